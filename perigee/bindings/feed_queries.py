@@ -17,7 +17,7 @@ from perigee.plans import ingest, world
 from perigee.plans.quality import approach_gate, catalog_gate, risk_gate
 from perigee.runtime import fresh_path
 from perigee.sources import sinks
-from perigee.sources.raw import approach_records, catalog_payloads, risk_records
+from perigee.sources.raw import approach_records, risk_records
 from perigee.sources.tables import read_csv, read_partitioned, read_table
 from perigee.sources.targets import clean_targets
 
@@ -117,7 +117,7 @@ _HEAD = "'2024-03-01' AS snapshot_key, 'raw-1' AS run_id, '2024-03-01T00:00:00Z'
 
 
 def _targets(spark, sf):
-    return C.classify_targets(catalog_payloads(P.catalog_documents(spark, sf)), _RUN_SCOPE)
+    return C.classify_targets(P.catalog_documents(spark, sf), _RUN_SCOPE)
 
 
 @query("catalog_targets", "P9 S6", f"SELECT target, status FROM {_TARGETS}")

@@ -102,28 +102,9 @@ def leaf_text(record: Column, path: str) -> Column:
     return F.try_variant_get(record, path, "string")
 
 
-def leaf_string(record: Column, path: str) -> Column:
-    """The value only if it is a JSON string."""
-    return F.when(leaf_kind(record, path) == "STRING", leaf_text(record, path))
-
-
-def leaf_boolean(record: Column, path: str) -> Column:
-    """The value only if it is JSON true or false, so unknown stays NULL."""
-    return F.when(leaf_kind(record, path) == "BOOLEAN", F.try_variant_get(record, path, "boolean"))
-
-
-def leaf_integer(record: Column, path: str) -> Column:
-    """The value only if it is a JSON integer."""
-    return F.when(leaf_kind(record, path) == "BIGINT", F.try_variant_get(record, path, "bigint"))
-
-
 def is_object(record: Column, path: str) -> Column:
     return F.coalesce(leaf_kind(record, path).startswith("OBJECT"), F.lit(False))
 
 
-def is_array(record: Column, path: str) -> Column:
-    return F.coalesce(leaf_kind(record, path).startswith("ARRAY"), F.lit(False))
-
-
 def is_number(kind: Column) -> Column:
     return kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")

@@ -7,62 +7,63 @@ from pyspark.sql import functions as F
 
 from perigee.functions.dates import approach_datetime, iso_date
 from perigee.functions.numbers import above, to_double
-from perigee.functions.text import is_array, is_object, leaf_boolean, leaf_integer, leaf_kind, leaf_text
 from perigee.operators.picking import first_by
 from perigee.schemas import table_columns
 
-_APPROACH = "$.close_approach_data[0]"
+# A record is parsed twice: every leaf as text, and the leaves whose JSON type matters under that
+# type, where a value of another type reads as NULL.
+RECORD_TEXT = (
+    "id string, name string, absolute_magnitude_h string, "
+    "estimated_diameter struct<kilometers: struct<estimated_diameter_min: string, estimated_diameter_max: string>>, "
+    "close_approach_data array<struct<close_approach_date: string, close_approach_date_full: string, "
+    "miss_distance: struct<kilometers: string>, relative_velocity: struct<kilometers_per_second: string>>>"
+)
+RECORD_TYPED = (
+    "is_potentially_hazardous_asteroid boolean, is_sentry_object boolean, "
+    "close_approach_data array<struct<epoch_date_close_approach: bigint>>"
+)
 # Where a record came from; the smallest wins among copies.
 PLACE = ["entry_pos", "record_pos"]
 
 
-def _truthy(record: Column, path: str) -> Column:
+def _given(text: Column) -> Column:
     """Present, and not an empty text, zero or false."""
-    text = leaf_text(record, path)
     return F.coalesce(~text.isin("", "0", "false"), F.lit(False))
 
 
-def _positive(record: Column, path: str) -> Column:
-    # A JSON boolean is not a number even where it would cast to one.
-    kind = leaf_kind(record, path)
-    return above(F.when(kind != "BOOLEAN", to_double(leaf_text(record, path))), 0.0)
-
-
-def approach_fields(record: Column) -> dict[str, Column]:
+def approach_fields(t: Column, y: Column) -> dict[str, Column]:
     """The table columns of one record. Optional fields that are malformed are NULL, never a rejection."""
-    low = _positive(record, "$.estimated_diameter.kilometers.estimated_diameter_min")
-    high = _positive(record, "$.estimated_diameter.kilometers.estimated_diameter_max")
+    near = F.get(t["close_approach_data"], 0)
+    sizes = t["estimated_diameter"]["kilometers"]
+    low = above(to_double(sizes["estimated_diameter_min"]), 0.0)
+    high = above(to_double(sizes["estimated_diameter_max"]), 0.0)
     inverted = F.coalesce(low > high, F.lit(False))
-    magnitude = F.when(leaf_kind(record, "$.absolute_magnitude_h") != "BOOLEAN",
-                       to_double(leaf_text(record, "$.absolute_magnitude_h")))
     return {
-        "id": leaf_text(record, "$.id"),
-        "name": leaf_text(record, "$.name"),
-        "closest_approach_date": iso_date(leaf_text(record, f"{_APPROACH}.close_approach_date")),
-        "miss_distance_km": to_double(leaf_text(record, f"{_APPROACH}.miss_distance.kilometers")),
-        "hazardous": leaf_boolean(record, "$.is_potentially_hazardous_asteroid"),
-        "close_approach_datetime": approach_datetime(leaf_text(record, f"{_APPROACH}.close_approach_date_full")),
-        "close_approach_epoch_ms": leaf_integer(record, f"{_APPROACH}.epoch_date_close_approach"),
-        "relative_velocity_km_s": _positive(record, f"{_APPROACH}.relative_velocity.kilometers_per_second"),
-        "absolute_magnitude_h": magnitude,
+        "id": t["id"],
+        "name": t["name"],
+        "closest_approach_date": iso_date(near["close_approach_date"]),
+        "miss_distance_km": to_double(near["miss_distance"]["kilometers"]),
+        "hazardous": y["is_potentially_hazardous_asteroid"],
+        "close_approach_datetime": approach_datetime(near["close_approach_date_full"]),
+        "close_approach_epoch_ms": F.get(y["close_approach_data"], 0)["epoch_date_close_approach"],
+        "relative_velocity_km_s": above(to_double(near["relative_velocity"]["kilometers_per_second"]), 0.0),
+        "absolute_magnitude_h": to_double(t["absolute_magnitude_h"]),
         "estimated_diameter_min_km": F.when(~inverted, low),
         "estimated_diameter_max_km": F.when(~inverted, high),
-        "is_sentry_object": leaf_boolean(record, "$.is_sentry_object"),
+        "is_sentry_object": y["is_sentry_object"],
     }
 
 
-def _defect(record: Column) -> Column:
+def _defect(t: Column) -> Column:
     """The first mandatory field that fails, in the order they are judged; NULL for a sound record."""
-    date = f"{_APPROACH}.close_approach_date"
-    km = f"{_APPROACH}.miss_distance.kilometers"
-    listed = is_array(record, "$.close_approach_data") & is_object(record, _APPROACH)
+    near = F.get(t["close_approach_data"], 0)
     return (
-        F.when(~_truthy(record, "$.id"), "missing_id")
-        .when(~_truthy(record, "$.name"), "missing_name")
-        .when(~listed, "missing_approach")
-        .when(~_truthy(record, date), "missing_date")
+        F.when(~_given(t["id"]), "missing_id")
+        .when(~_given(t["name"]), "missing_name")
+        .when(near.isNull(), "missing_approach")
+        .when(~_given(near["close_approach_date"]), "missing_date")
         .when(F.col("closest_approach_date").isNull(), "invalid_date")
-        .when(~_truthy(record, km), "missing_distance")
+        .when(~_given(near["miss_distance"]["kilometers"]), "missing_distance")
         .when(F.col("miss_distance_km").isNull(), "invalid_distance")
         .when(F.col("miss_distance_km") <= 0, "distance_not_positive")
         .when(F.col("hazardous").isNull(), "hazard_flag_not_boolean")
@@ -71,9 +72,11 @@ def _defect(record: Column) -> Column:
 
 def judge_approaches(records: DataFrame, scope: list[str]) -> DataFrame:
     """All records with their fields and `reject_reason`, before copies are compared."""
-    record = F.col("record")
-    fielded = records.select(*scope, *PLACE, "record", *[c.alias(n) for n, c in approach_fields(record).items()])
-    return fielded.withColumn("reject_reason", _defect(record)).drop("record")
+    parsed = records.select(
+        *scope, *PLACE, F.from_json("record_json", RECORD_TEXT).alias("t"), F.from_json("record_json", RECORD_TYPED).alias("y"))
+    fields = approach_fields(F.col("t"), F.col("y"))
+    fielded = parsed.select(*scope, *PLACE, "t", *[c.alias(n) for n, c in fields.items()])
+    return fielded.withColumn("reject_reason", _defect(F.col("t"))).drop("t")
 
 
 def accepted_approaches(records: DataFrame, scope: list[str]) -> DataFrame:

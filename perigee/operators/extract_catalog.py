@@ -11,32 +11,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perigee.functions.numbers import to_bigint, to_double
-from perigee.functions.text import (
-    blank_to_null, is_array, is_object, leaf_boolean, leaf_kind, leaf_string, leaf_text, squeeze, strip,
-)
+from perigee.functions.text import blank_to_null, is_object, leaf_kind, squeeze, strip
 from perigee.runtime import attach
 from perigee.schemas import table_columns
 
-PAYLOAD_ELEMENTS = "array<struct<name: string, value: string, sigma: string, units: string, title: string, label: string>>"
-PAYLOAD_PHYSICAL = (
-    "array<struct<name: string, value: string, sigma: string, units: string, ref: string, notes: string, "
-    "title: string, desc: string>>"
+DOCUMENT_TEXT = (
+    "code string, object struct<spkid: string, des: string, fullname: string, shortname: string, kind: string, prefix: string, "
+    "orbit_id: string, orbit_class: struct<code: string, name: string>, des_alt: string>, "
+    "orbit struct<orbit_id: string, epoch: string, equinox: string, soln_date: string, source: string, producer: string, "
+    "first_obs: string, last_obs: string, data_arc: string, n_obs_used: string, condition_code: string, rms: string, "
+    "moid: string, moid_jup: string, t_jup: string, pe_used: string, sb_used: string, elements: array<string>>, "
+    "phys_par array<string>"
 )
+DOCUMENT_FLAGS = "object struct<neo: boolean, pha: boolean>"
+ELEMENT = "name string, value string, sigma string, units string, title string, label string"
+PARAMETER = "name string, value string, sigma string, units string, ref string, notes string, title string, `desc` string"
 
 
-def _objects_of(doc: Column, path: str, schema: str) -> Column:
-    """The JSON objects of a list, leaves as text; entries of other types are dropped."""
-    items = F.try_variant_get(doc, path, "array<variant>")
-    kept = F.filter(items, lambda i: F.schema_of_variant(i).startswith("OBJECT"))
-    return F.from_json(F.concat(F.lit("["), F.array_join(F.transform(kept, F.to_json), ","), F.lit("]")), schema)
-
-
-def alternates(doc: Column, designation: Column) -> Column:
-    """Every text of `des_alt`, squeezed, distinct in order, without the own designation.
+def alternates(listed: Column, designation: Column) -> Column:
+    """Every text of a `des_alt` list, squeezed, distinct in order, without the own designation.
 
     NULL when the list was not captured, empty when the source lists none.
     """
-    entries = F.try_variant_get(doc, "$.object.des_alt", "array<variant>")
+    value = F.try_parse_json(listed)
+    entries = F.try_variant_get(value, "$", "array<variant>")
 
     def texts(entry: Column) -> Column:
         kind = F.schema_of_variant(entry)
@@ -46,46 +44,48 @@ def alternates(doc: Column, designation: Column) -> Column:
         return F.transform(strings, lambda v: squeeze(F.try_variant_get(v, "$", "string")))
 
     named = F.filter(F.flatten(F.transform(entries, texts)), lambda t: (t != "") & (t != designation))
-    return F.when(is_array(doc, "$.object.des_alt"), F.array_distinct(named))
+    return F.when(F.schema_of_variant(value).startswith("ARRAY"), F.array_distinct(named))
 
 
-def document_fields(doc: Column) -> dict[str, Column]:
-    text = lambda p: strip(leaf_text(doc, p))
-    designation = strip(leaf_string(doc, "$.object.des"))
-    orbit = "$.orbit"
+def document_fields(t: Column, flags: Column) -> dict[str, Column]:
+    obj, orb = t["object"], t["orbit"]
+    designation = strip(obj["des"])
+    text_or = lambda c, default: F.coalesce(strip(c), F.lit(default))
+    filled_or = lambda c, default: F.coalesce(blank_to_null(c), F.lit(default))
     # An explicit JSON null counts as absent.
     return {
-        "spkid": strip(leaf_string(doc, "$.object.spkid")),
+        "spkid": strip(obj["spkid"]),
         "designation": designation,
-        "fullname": F.coalesce(blank_to_null(leaf_text(doc, "$.object.fullname")), designation),
-        "shortname": blank_to_null(leaf_string(doc, "$.object.shortname")),
-        "object_kind": F.coalesce(blank_to_null(leaf_text(doc, "$.object.kind")), F.lit("unknown")),
-        "is_neo": leaf_boolean(doc, "$.object.neo"),
-        "is_pha": leaf_boolean(doc, "$.object.pha"),
-        "orbit_class_code": text("$.object.orbit_class.code"),
-        "orbit_class_name": text("$.object.orbit_class.name"),
-        "object_orbit_id": text("$.object.orbit_id"),
-        "prefix": blank_to_null(leaf_string(doc, "$.object.prefix")),
-        "alternate_designations": alternates(doc, designation),
-        "orbit_id": text(f"{orbit}.orbit_id"),
-        "epoch_jd": to_double(leaf_text(doc, f"{orbit}.epoch")),
-        "equinox": text(f"{orbit}.equinox"),
-        "soln_date": F.coalesce(text(f"{orbit}.soln_date"), F.lit("")),
-        "orbit_source": F.coalesce(blank_to_null(leaf_text(doc, f"{orbit}.source")), F.lit("JPL")),
-        "producer": blank_to_null(leaf_text(doc, f"{orbit}.producer")),
-        "first_obs": F.coalesce(text(f"{orbit}.first_obs"), F.lit("")),
-        "last_obs": F.coalesce(text(f"{orbit}.last_obs"), F.lit("")),
-        "data_arc_days": to_bigint(leaf_text(doc, f"{orbit}.data_arc")),
-        "n_obs_used": to_bigint(leaf_text(doc, f"{orbit}.n_obs_used")),
-        "condition_code": F.coalesce(blank_to_null(leaf_text(doc, f"{orbit}.condition_code")), F.lit("unknown")),
-        "rms": to_double(leaf_text(doc, f"{orbit}.rms")),
-        "earth_moid_au": to_double(leaf_text(doc, f"{orbit}.moid")),
-        "jupiter_moid_au": to_double(leaf_text(doc, f"{orbit}.moid_jup")),
-        "t_jup": to_double(leaf_text(doc, f"{orbit}.t_jup")),
-        "pe_used": blank_to_null(leaf_text(doc, f"{orbit}.pe_used")),
-        "sb_used": blank_to_null(leaf_text(doc, f"{orbit}.sb_used")),
-        "elements": _objects_of(doc, "$.orbit.elements", PAYLOAD_ELEMENTS),
-        "parameters": _objects_of(doc, "$.phys_par", PAYLOAD_PHYSICAL),
+        "fullname": F.coalesce(blank_to_null(obj["fullname"]), designation),
+        "shortname": blank_to_null(obj["shortname"]),
+        "object_kind": filled_or(obj["kind"], "unknown"),
+        "is_neo": flags["object"]["neo"],
+        "is_pha": flags["object"]["pha"],
+        "orbit_class_code": strip(obj["orbit_class"]["code"]),
+        "orbit_class_name": strip(obj["orbit_class"]["name"]),
+        "object_orbit_id": strip(obj["orbit_id"]),
+        "prefix": blank_to_null(obj["prefix"]),
+        "alternate_designations": alternates(obj["des_alt"], designation),
+        "orbit_id": strip(orb["orbit_id"]),
+        "epoch_jd": to_double(orb["epoch"]),
+        "equinox": strip(orb["equinox"]),
+        "soln_date": text_or(orb["soln_date"], ""),
+        "orbit_source": filled_or(orb["source"], "JPL"),
+        "producer": blank_to_null(orb["producer"]),
+        "first_obs": text_or(orb["first_obs"], ""),
+        "last_obs": text_or(orb["last_obs"], ""),
+        "data_arc_days": to_bigint(orb["data_arc"]),
+        "n_obs_used": to_bigint(orb["n_obs_used"]),
+        "condition_code": filled_or(orb["condition_code"], "unknown"),
+        "rms": to_double(orb["rms"]),
+        "earth_moid_au": to_double(orb["moid"]),
+        "jupiter_moid_au": to_double(orb["moid_jup"]),
+        "t_jup": to_double(orb["t_jup"]),
+        "pe_used": blank_to_null(orb["pe_used"]),
+        "sb_used": blank_to_null(orb["sb_used"]),
+        # Entries that are no objects parse to structs without a name, which later steps skip.
+        "elements": F.transform(orb["elements"], lambda e: F.from_json(e, ELEMENT)),
+        "parameters": F.transform(t["phys_par"], lambda p: F.from_json(p, PARAMETER)),
     }
 
 
@@ -116,27 +116,41 @@ def _below(column: str, minimum: float, strict: bool = False) -> Column:
     return ~F.coalesce(value > minimum if strict else value >= minimum, F.lit(False))
 
 
-def judge_documents(documents: DataFrame) -> DataFrame:
-    """Fields of every document, `object_defect` (identity unusable) and `defect` (anything unusable)."""
-    doc = F.col("doc")
-    carried = [c for c in documents.columns if c != "doc"]
-    fielded = documents.select(*carried, "doc", *[c.alias(n) for n, c in document_fields(doc).items()])
+def judge_documents(documents: DataFrame, payload: str = "payload") -> DataFrame:
+    """Fields of every document, `object_defect` (identity unusable) and `defect` (anything unusable).
+
+    The document is parsed once as text leaves, once for its flags, and once as VARIANT for the few
+    questions about JSON types.
+    """
+    carried = [c for c in documents.columns if c != payload]
+    parsed = documents.select(
+        *carried, F.from_json(payload, DOCUMENT_TEXT).alias("t"), F.from_json(payload, DOCUMENT_FLAGS).alias("flags"),
+        F.try_parse_json(payload).alias("doc"))
+    kinds = F.struct(
+        F.schema_of_variant("doc").startswith("OBJECT").alias("root"), leaf_kind(F.col("doc"), "$.list").alias("list"),
+        is_object(F.col("doc"), "$.object").alias("object"), is_object(F.col("doc"), "$.orbit").alias("orbit"),
+        leaf_kind(F.col("doc"), "$.object.spkid").alias("spkid"), leaf_kind(F.col("doc"), "$.object.des").alias("des"),
+        leaf_kind(F.col("doc"), "$.phys_par").alias("phys_par"))
+    fields = document_fields(F.col("t"), F.col("flags"))
+    fielded = parsed.select(*carried, F.col("t.code").alias("code"), kinds.alias("is"), *[c.alias(n) for n, c in fields.items()])
     refused = (
-        F.when(doc.isNull() | ~F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False)), "not_an_object")
-        .when((leaf_text(doc, "$.code") == "300") | leaf_kind(doc, "$.list").isNotNull(), "several_matches")
-        .when(~is_object(doc, "$.object"), "no_object_section")
-        .when(~is_object(doc, "$.orbit"), "no_orbit_section")
+        F.when(~F.coalesce(F.col("is.root"), F.lit(False)), "not_an_object")
+        .when((F.col("code") == "300") | F.col("is.list").isNotNull(), "several_matches")
+        .when(~F.col("is.object"), "no_object_section")
+        .when(~F.col("is.orbit"), "no_orbit_section")
     )
+    not_text = lambda name: ~F.coalesce(F.col(f"is.{name}") == "STRING", F.lit(False))
     identity = (
         F.when(refused.isNotNull(), refused)
-        .when(_absent("spkid"), "missing_spkid").when(_absent("designation"), "missing_designation")
+        .when(_absent("spkid") | not_text("spkid"), "missing_spkid")
+        .when(_absent("designation") | not_text("des"), "missing_designation")
         .when(_absent("orbit_class_code") | _absent("orbit_class_name"), "missing_orbit_class")
         .when(_absent("object_orbit_id"), "missing_orbit_id")
     )
     names = F.filter(F.transform("parameters", lambda p: strip(p["name"])), lambda n: n != "")
     negative = F.exists("elements", lambda e: (e["name"] == "e") & (to_double(e["value"]) < 0))
-    listed = is_array(doc, "$.orbit.elements") & (F.size(F.try_variant_get(doc, "$.orbit.elements", "array<variant>")) > 0)
-    has_list = leaf_kind(doc, "$.phys_par").isNull() | is_array(doc, "$.phys_par")
+    listed = F.coalesce(F.size("elements") > 0, F.lit(False))
+    has_list = F.col("is.phys_par").isNull() | F.col("is.phys_par").startswith("ARRAY")
     body = (
         F.when(_absent("orbit_id"), "orbit_without_id").when(_below("epoch_jd", 0.0, strict=True), "invalid_epoch")
         .when(_absent("equinox"), "missing_equinox").when(_below("n_obs_used", 0), "invalid_n_obs_used")
@@ -146,7 +160,7 @@ def judge_documents(documents: DataFrame) -> DataFrame:
         .when(F.coalesce(F.size(F.array_distinct(names)) < F.size(names), F.lit(False)), "duplicate_parameter")
     )
     judged = fielded.withColumn("object_defect", identity)
-    return judged.withColumn("defect", F.coalesce("object_defect", body)).drop("doc")
+    return judged.withColumn("defect", F.coalesce("object_defect", body)).drop("is", "code")
 
 
 def classify_targets(documents: DataFrame, scope: list[str]) -> DataFrame:

@@ -7,45 +7,47 @@ from pyspark.sql import functions as F
 
 from perigee.functions.dates import iso_date
 from perigee.functions.numbers import to_bigint, to_double
-from perigee.functions.text import blank_to_null, leaf_kind, leaf_text, strip
+from perigee.functions.text import blank_to_null, strip
 from perigee.operators.picking import first_by
 from perigee.schemas import table_columns
 
 
-def _whole(record: Column, path: str) -> Column:
-    """A whole number from text, or a JSON number cut to its whole part."""
-    text = leaf_text(record, path)
-    numeric = leaf_kind(record, path).rlike("^(DECIMAL|DOUBLE)")
-    return F.when(numeric, to_double(text).cast("bigint")).otherwise(to_bigint(text))
+RECORD_TEXT = (
+    "id string, des string, fullname string, h string, diameter string, ip string, n_imp string, ps_cum string, "
+    "ps_max string, ts_max string, v_inf string, `range` string, last_obs string, last_obs_jd string"
+)
+# A count may be a JSON number, which is cut to its whole part; as text it must be whole already.
+RECORD_NUMBERS = "n_imp double, ts_max double"
 
 
-def risk_fields(record: Column) -> dict[str, Column]:
-    designation = strip(leaf_text(record, "$.des"))
+def risk_fields(t: Column, y: Column) -> dict[str, Column]:
+    designation = strip(t["des"])
+    whole = lambda name: F.coalesce(y[name].cast("bigint"), to_bigint(t[name]))
     return {
-        "sentry_id": strip(leaf_text(record, "$.id")),
+        "sentry_id": strip(t["id"]),
         "designation": designation,
-        "fullname": F.coalesce(strip(leaf_text(record, "$.fullname")), designation),
-        "absolute_magnitude": to_double(leaf_text(record, "$.h")),
-        "estimated_diameter_km": to_double(leaf_text(record, "$.diameter")),
-        "impact_probability": to_double(leaf_text(record, "$.ip")),
-        "potential_impacts_count": _whole(record, "$.n_imp"),
-        "palermo_scale_cum": to_double(leaf_text(record, "$.ps_cum")),
-        "palermo_scale_max": to_double(leaf_text(record, "$.ps_max")),
-        "torino_scale_max": _whole(record, "$.ts_max"),
-        "v_infinity_km_s": to_double(leaf_text(record, "$.v_inf")),
-        "impact_year_range": F.coalesce(strip(leaf_text(record, "$.range")), F.lit("")),
-        "last_obs_date": iso_date(leaf_text(record, "$.last_obs")),
-        "last_obs_jd": to_double(leaf_text(record, "$.last_obs_jd")),
+        "fullname": F.coalesce(strip(t["fullname"]), designation),
+        "absolute_magnitude": to_double(t["h"]),
+        "estimated_diameter_km": to_double(t["diameter"]),
+        "impact_probability": to_double(t["ip"]),
+        "potential_impacts_count": whole("n_imp"),
+        "palermo_scale_cum": to_double(t["ps_cum"]),
+        "palermo_scale_max": to_double(t["ps_max"]),
+        "torino_scale_max": whole("ts_max"),
+        "v_infinity_km_s": to_double(t["v_inf"]),
+        "impact_year_range": F.coalesce(strip(t["range"]), F.lit("")),
+        "last_obs_date": iso_date(t["last_obs"]),
+        "last_obs_jd": to_double(t["last_obs_jd"]),
     }
 
 
-def _defect(record: Column) -> Column:
+def _defect(t: Column) -> Column:
     def outside(condition: Column) -> Column:
         return ~F.coalesce(condition, F.lit(False))
 
-    def malformed(path: str, column: str) -> Column:
+    def malformed(name: str, column: str) -> Column:
         # Blank is allowed and reads as NULL; text that is no number is not.
-        return blank_to_null(leaf_text(record, path)).isNotNull() & F.col(column).isNull()
+        return blank_to_null(t[name]).isNotNull() & F.col(column).isNull()
 
     ip, impacts = F.col("impact_probability"), F.col("potential_impacts_count")
     return (
@@ -56,16 +58,18 @@ def _defect(record: Column) -> Column:
         .when(outside(F.col("torino_scale_max") >= 0), "torino_scale")
         .when(outside(F.col("v_infinity_km_s") >= 0), "v_infinity")
         .when(F.col("last_obs_date").isNull(), "last_obs")
-        .when(malformed("$.h", "absolute_magnitude"), "absolute_magnitude")
-        .when(malformed("$.diameter", "estimated_diameter_km"), "estimated_diameter")
-        .when(malformed("$.last_obs_jd", "last_obs_jd"), "last_obs_jd")
+        .when(malformed("h", "absolute_magnitude"), "absolute_magnitude")
+        .when(malformed("diameter", "estimated_diameter_km"), "estimated_diameter")
+        .when(malformed("last_obs_jd", "last_obs_jd"), "last_obs_jd")
     )
 
 
 def judge_risk(records: DataFrame, scope: list[str]) -> DataFrame:
-    record = F.col("record")
-    fielded = records.select(*scope, "record_pos", "record", *[c.alias(n) for n, c in risk_fields(record).items()])
-    return fielded.withColumn("reject_reason", _defect(record)).drop("record")
+    parsed = records.select(
+        *scope, "record_pos", F.from_json("record_json", RECORD_TEXT).alias("t"), F.from_json("record_json", RECORD_NUMBERS).alias("y"))
+    fields = risk_fields(F.col("t"), F.col("y"))
+    fielded = parsed.select(*scope, "record_pos", "t", *[c.alias(n) for n, c in fields.items()])
+    return fielded.withColumn("reject_reason", _defect(F.col("t"))).drop("t")
 
 
 def accepted_risk(records: DataFrame, scope: list[str]) -> DataFrame:

@@ -79,7 +79,7 @@ def hub_aliases(catalog: DataFrame) -> DataFrame:
         "spkid", "designation",
         F.explode(F.array(
             F.struct(F.lit("des").alias("field"), normalize_designation(F.col("designation")).alias("alias")),
-            F.struct(F.lit("fullname"), normalize_designation(F.col("fullname"))),
+            F.struct(F.lit("fullname").alias("field"), normalize_designation(F.col("fullname")).alias("alias")),
         )).alias("x"),
     ).select("spkid", "designation", "x.field", "x.alias")
     alternate = (

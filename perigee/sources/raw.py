@@ -32,7 +32,7 @@ def approach_records(payloads: DataFrame, payload: str = "payload") -> DataFrame
     return entries.select(
         *[c for c in payloads.columns if c != payload], "entry_pos", F.col("entry.key").alias("entry_date"),
         F.posexplode("entry.value").alias("record_pos", "record_json"),
-    ).withColumn("record", F.try_parse_json("record_json"))
+    )
 
 
 def risk_records(payloads: DataFrame, payload: str = "payload") -> DataFrame:
@@ -40,12 +40,7 @@ def risk_records(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     parsed = payloads.withColumn("__p", F.from_json(payload, RISK_PAYLOAD)).drop(payload)
     return parsed.select(
         *[c for c in payloads.columns if c != payload], F.posexplode("__p.data").alias("record_pos", "record_json"),
-    ).withColumn("record", F.try_parse_json("record_json"))
-
-
-def catalog_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
-    """One row per object document, parsed."""
-    return payloads.withColumn("doc", F.try_parse_json(payload)).drop(payload)
+    )
 
 
 def read_summary(spark: SparkSession, path: str, schema: str) -> DataFrame:
