@@ -18,7 +18,7 @@ def payload_files(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").load(path)
     return files.select(
         F.col("path").alias("source_file"),
-        F.decode("content", F.lit("UTF-8")).alias("payload"),
+        F.decode("content", "UTF-8").alias("payload"),
         F.sha2(F.col("content"), 256).alias("source_sha256"),
     )
 

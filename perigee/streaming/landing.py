@@ -24,7 +24,7 @@ def raw_stream(spark: SparkSession, folder: str) -> DataFrame:
     """New whole files of a landing folder with the digest of their bytes."""
     files = spark.readStream.format("binaryFile").schema(RAW_FILE_DDL).load(folder)
     return files.select(
-        F.col("path").alias("source_file"), F.decode("content", F.lit("UTF-8")).alias("payload"),
+        F.col("path").alias("source_file"), F.decode("content", "UTF-8").alias("payload"),
         F.sha2(F.col("content"), 256).alias("source_sha256"))
 
 
