@@ -10,9 +10,8 @@ from perigee.functions.text import strip
 
 def iso_date(text: Column) -> Column:
     """The text itself when it is a real yyyy-MM-dd calendar date, else NULL."""
-    cleaned = strip(text)
-    real = cleaned.rlike(r"^\d{4}-\d{2}-\d{2}$") & F.try_to_date(cleaned, "yyyy-MM-dd").isNotNull()
-    return F.when(real, cleaned)
+    day = F.try_to_date(F.regexp_extract(strip(text), r"^([0-9]{4}-[0-9]{2}-[0-9]{2})$", 1), "yyyy-MM-dd")
+    return F.date_format(day, "yyyy-MM-dd")
 
 
 def approach_datetime(text: Column) -> Column:

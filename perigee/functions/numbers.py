@@ -5,23 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from perigee.functions.text import strip
-
-_DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_INTEGER = r"^[+-]?[0-9]+$"
+# The number alone, between blanks; anything else gives the empty text, which casts to NULL.
+_DECIMAL = r"(?U)^[\s\x1c-\x1f]*([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?)[\s\x1c-\x1f]*$"
+_INTEGER = r"(?U)^[\s\x1c-\x1f]*([+-]?[0-9]+)[\s\x1c-\x1f]*$"
 
 
 def to_double(text: Column) -> Column:
     """A finite double, or NULL. Type suffixes, digit separators, NaN and infinities are malformed."""
-    cleaned = strip(text)
-    value = F.when(cleaned.rlike(_DECIMAL), cleaned.try_cast("double"))
+    value = F.regexp_extract(text, _DECIMAL, 1).try_cast("double")
     return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def to_bigint(text: Column) -> Column:
     """A whole number, or NULL; `3.7` is malformed, not rounded."""
-    cleaned = strip(text)
-    return F.when(cleaned.rlike(_INTEGER), cleaned.try_cast("bigint"))
+    return F.regexp_extract(text, _INTEGER, 1).try_cast("bigint")
 
 
 def above(value: Column, minimum: float) -> Column:

@@ -7,37 +7,43 @@ from pyspark.sql import functions as F
 
 from perigee.vocabulary import SENSITIVE_WORDS
 
-# Unicode whitespace plus the four ASCII separators.
-WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
-_EDGE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# Everything that counts as whitespace: the ASCII blanks and separators and the Unicode spaces.
+BLANKS = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+_RUN = r"(?U)[\s\x1c-\x1f]+"
 _SECRET = r"(?U)([?&]api_key=)[^&\"'\s]+"
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, _EDGE, "")
+    return F.btrim(text, F.lit(BLANKS))
+
+
+def _collapse(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, _RUN, " "))
 
 
 def squeeze(text: Column) -> Column:
     """Strip, and collapse every whitespace run to one space; NULL becomes the empty text."""
-    return F.coalesce(F.regexp_replace(strip(text), WHITESPACE, " "), F.lit(""))
+    return F.coalesce(_collapse(text), F.lit(""))
 
 
 def unwrap(text: Column) -> Column:
-    """Remove one outer pair of parentheses when it wraps the whole text."""
-    inner = F.substring(text, F.lit(2), F.length(text) - 2)
-    wrapped = text.startswith("(") & text.endswith(")")
-    # A lone "(" cannot also end with ")"; "()" leaves the empty text.
-    return F.when(wrapped, inner).otherwise(text)
+    """Remove one outer pair of parentheses when it wraps the whole text (of one line)."""
+    return F.regexp_replace(text, r"^\((.*)\)$", "$1")
 
 
 def normalize_designation(text: Column) -> Column:
-    """The matching form of a designation: squeezed, unwrapped once, upper case. Stored values never change."""
-    return F.upper(squeeze(unwrap(squeeze(text))))
+    """The matching form of a designation: squeezed, unwrapped once, upper case. Stored values never change.
+
+    Once runs are collapsed the only blanks left are single spaces, so the inner text needs a trim.
+    """
+    return F.coalesce(F.upper(F.trim(unwrap(_collapse(text)))), F.lit(""))
 
 
 def blank_to_null(text: Column) -> Column:
-    cleaned = strip(text)
-    return F.when(cleaned != "", cleaned)
+    return F.nullif(strip(text), F.lit(""))
 
 
 def empty_to_null(text: Column) -> Column:

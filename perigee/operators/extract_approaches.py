@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from perigee.functions.dates import approach_datetime, iso_date
 from perigee.functions.numbers import above, to_double
 from perigee.operators.picking import first_by
+from perigee.runtime import pinned
 from perigee.schemas import table_columns
 
 # A record is parsed twice: every leaf as text, and the leaves whose JSON type matters under that
@@ -72,10 +73,9 @@ def _defect(t: Column) -> Column:
 
 def judge_approaches(records: DataFrame, scope: list[str]) -> DataFrame:
     """All records with their fields and `reject_reason`, before copies are compared."""
-    parsed = records.select(
-        *scope, *PLACE, F.from_json("record_json", RECORD_TEXT).alias("t"), F.from_json("record_json", RECORD_TYPED).alias("y"))
-    fields = approach_fields(F.col("t"), F.col("y"))
-    fielded = parsed.select(*scope, *PLACE, "t", *[c.alias(n) for n, c in fields.items()])
+    parsed = pinned(records, t=F.from_json("record_json", RECORD_TEXT), y=F.from_json("record_json", RECORD_TYPED))
+    fielded = pinned(parsed, f=F.struct(*[c.alias(n) for n, c in approach_fields(F.col("t"), F.col("y")).items()]))
+    fielded = fielded.select(*scope, *PLACE, "t", "f.*")
     return fielded.withColumn("reject_reason", _defect(F.col("t"))).drop("t")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from perigee.functions.numbers import to_bigint, to_double
 from perigee.functions.text import blank_to_null, is_object, leaf_kind, squeeze, strip
-from perigee.runtime import attach
+from perigee.runtime import attach, pinned
 from perigee.schemas import table_columns
 
 DOCUMENT_TEXT = (
@@ -123,16 +123,15 @@ def judge_documents(documents: DataFrame, payload: str = "payload") -> DataFrame
     questions about JSON types.
     """
     carried = [c for c in documents.columns if c != payload]
-    parsed = documents.select(
-        *carried, F.from_json(payload, DOCUMENT_TEXT).alias("t"), F.from_json(payload, DOCUMENT_FLAGS).alias("flags"),
-        F.try_parse_json(payload).alias("doc"))
+    parsed = pinned(
+        documents, t=F.from_json(payload, DOCUMENT_TEXT), flags=F.from_json(payload, DOCUMENT_FLAGS), doc=F.try_parse_json(payload))
     kinds = F.struct(
         F.schema_of_variant("doc").startswith("OBJECT").alias("root"), leaf_kind(F.col("doc"), "$.list").alias("list"),
         is_object(F.col("doc"), "$.object").alias("object"), is_object(F.col("doc"), "$.orbit").alias("orbit"),
         leaf_kind(F.col("doc"), "$.object.spkid").alias("spkid"), leaf_kind(F.col("doc"), "$.object.des").alias("des"),
         leaf_kind(F.col("doc"), "$.phys_par").alias("phys_par"))
-    fields = document_fields(F.col("t"), F.col("flags"))
-    fielded = parsed.select(*carried, F.col("t.code").alias("code"), kinds.alias("is"), *[c.alias(n) for n, c in fields.items()])
+    fields = F.struct(*[c.alias(n) for n, c in document_fields(F.col("t"), F.col("flags")).items()])
+    fielded = pinned(parsed, kinds=kinds, f=fields).select(*carried, F.col("t.code").alias("code"), F.col("kinds").alias("is"), "f.*")
     refused = (
         F.when(~F.coalesce(F.col("is.root"), F.lit(False)), "not_an_object")
         .when((F.col("code") == "300") | F.col("is.list").isNotNull(), "several_matches")
@@ -159,8 +158,8 @@ def judge_documents(documents: DataFrame, payload: str = "payload") -> DataFrame
         .when(~has_list, "parameters_not_a_list")
         .when(F.coalesce(F.size(F.array_distinct(names)) < F.size(names), F.lit(False)), "duplicate_parameter")
     )
-    judged = fielded.withColumn("object_defect", identity)
-    return judged.withColumn("defect", F.coalesce("object_defect", body)).drop("is", "code")
+    judged = pinned(fielded, object_defect=identity)
+    return pinned(judged, defect=F.coalesce("object_defect", body)).drop("is", "code")
 
 
 def classify_targets(documents: DataFrame, scope: list[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from perigee.functions.dates import iso_date
 from perigee.functions.numbers import to_bigint, to_double
 from perigee.functions.text import blank_to_null, strip
 from perigee.operators.picking import first_by
+from perigee.runtime import pinned
 from perigee.schemas import table_columns
 
 
@@ -65,10 +66,9 @@ def _defect(t: Column) -> Column:
 
 
 def judge_risk(records: DataFrame, scope: list[str]) -> DataFrame:
-    parsed = records.select(
-        *scope, "record_pos", F.from_json("record_json", RECORD_TEXT).alias("t"), F.from_json("record_json", RECORD_NUMBERS).alias("y"))
-    fields = risk_fields(F.col("t"), F.col("y"))
-    fielded = parsed.select(*scope, "record_pos", "t", *[c.alias(n) for n, c in fields.items()])
+    parsed = pinned(records, t=F.from_json("record_json", RECORD_TEXT), y=F.from_json("record_json", RECORD_NUMBERS))
+    fielded = pinned(parsed, f=F.struct(*[c.alias(n) for n, c in risk_fields(F.col("t"), F.col("y")).items()]))
+    fielded = fielded.select(*scope, "record_pos", "t", "f.*")
     return fielded.withColumn("reject_reason", _defect(F.col("t"))).drop("t")
 
 

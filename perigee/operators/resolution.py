@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from perigee import vocabulary as V
 from perigee.functions.keys import entity_key
-from perigee.functions.text import blank_to_null, normalize_designation, strip
-from perigee.runtime import attach
+from perigee.functions.text import blank_to_null, normalize_designation
+from perigee.runtime import attach, pinned
 
 # Candidate lists up to this long are written into the evidence. A longer list is given by its size,
 # and `candidates` of the result holds it in full, one row per candidate.
@@ -251,7 +251,7 @@ def approach_audit(approaches: DataFrame, catalog: DataFrame, aliases: DataFrame
         F.when(is_direct & names_another, contradiction).when(is_direct, direct_row)
         .when(total == 1, sole).when(total > 1, several).otherwise(nothing)
     )
-    return invalid.unionByName(found.select(row.alias("a")).select("a.*"))
+    return invalid.unionByName(pinned(found, a=row).select("a.*"))
 
 
 def risk_audit(risk: DataFrame, aliases: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from perigee import vocabulary as V
 from perigee.functions.text import is_number, is_object, leaf_text
-from perigee.runtime import attach
+from perigee.runtime import attach, pinned
 
 UNIT_TOLERANCE = 1e-6
 CATALOG_STATUSES = [V.AVAILABLE, V.NOT_RESOLVED, V.NOT_PRESENT]
@@ -99,9 +99,9 @@ def world_defect(record: Column) -> Column:
 
 def validate_world(records: DataFrame, text: str = "record_json") -> DataFrame:
     """Every record with its id and `reason` (NULL when accepted); all copies of a repeated id are refused."""
-    parsed = records.withColumn("__r", F.try_parse_json(text))
-    ident = F.when(_kind(F.col("__r"), "$.neows_id") == "STRING", leaf_text(F.col("__r"), "$.neows_id"))
-    judged = parsed.withColumns({"neows_id": ident, "reason": world_defect(F.col("__r"))}).drop("__r")
+    parsed = pinned(records, r=F.try_parse_json(text))
+    ident = F.when(_kind(F.col("r"), "$.neows_id") == "STRING", leaf_text(F.col("r"), "$.neows_id"))
+    judged = pinned(parsed, neows_id=ident, reason=world_defect(F.col("r"))).drop("r")
     sound = judged.filter(F.col("reason").isNull())
     repeated = sound.groupBy("neows_id").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select(
         F.col("neows_id").alias("repeated_id"))
@@ -131,5 +131,5 @@ def profile_defect(record: Column) -> Column:
 
 
 def validate_profiles(records: DataFrame, text: str = "record_json") -> DataFrame:
-    parsed = records.withColumn("__r", F.try_parse_json(text))
-    return parsed.withColumn("reason", profile_defect(F.col("__r"))).drop("__r")
+    parsed = pinned(records, r=F.try_parse_json(text))
+    return pinned(parsed, reason=profile_defect(F.col("r"))).drop("r")

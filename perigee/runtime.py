@@ -67,6 +67,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def pinned(df: DataFrame, **values: Column) -> DataFrame:
+    """Add columns that are computed exactly once per row.
+
+    A plain projection is copied into every filter and expression above it, so a parsed document
+    would be parsed once per field. The value of a generator cannot be copied.
+    """
+    once = F.explode(F.array(F.struct(*[v.alias(k) for k, v in values.items()])))
+    return df.select(*df.columns, once.alias("__once")).select(*df.columns, *[F.col("__once")[k].alias(k) for k in values])
+
+
 def one_row(df: DataFrame) -> DataFrame:
     """Mark a global aggregate (exactly one row by construction) for broadcast."""
     return F.broadcast(df)
