@@ -14,6 +14,12 @@ from perigee.bindings.domain import table
 RUN = {"run_id": "raw-1", "snapshot_time": "2024-03-01T00:00:00Z"}
 
 
+def _spread(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table spread over the cores: the given files hold one row group each, and parsing the
+    documents costs far more than moving the narrow rows. Stored raw files need no such step."""
+    return table(spark, sf_dir, name).repartition(2 * spark.sparkContext.defaultParallelism, key)
+
+
 def _obj(**pieces: Column | str) -> Column:
     """A JSON object of already encoded values; a NULL value leaves its key out."""
     parts = [F.concat(F.lit(f'"{k}":'), v if isinstance(v, Column) else F.lit(v)) for k, v in pieces.items()]
@@ -31,7 +37,7 @@ def _either(condition: Column, yes, no) -> Column:
 
 def approach_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One feed document per order: a record that may be broken, its copy, and a sound one on another date."""
-    orders = table(spark, sf_dir, "orders")
+    orders = _spread(spark, sf_dir, "orders", "o_orderkey")
     v, key = F.col("o_orderkey") % 16, F.col("o_orderkey")
     date = F.date_format("o_orderdate", "yyyy-MM-dd")
     price = F.col("o_totalprice")
@@ -68,7 +74,7 @@ def approach_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def risk_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One catalog document per event: a record that may be broken, its copy, and something that is no record."""
-    events = table(spark, sf_dir, "events")
+    events = _spread(spark, sf_dir, "events", "event_id")
     v, key = F.col("event_id") % 14, F.col("event_id")
     none = F.lit(None).cast("string")
     rec = _obj(
@@ -90,7 +96,7 @@ def risk_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One object document per part; two neighbouring parts are two targets of one object."""
-    part = table(spark, sf_dir, "part")
+    part = _spread(spark, sf_dir, "part", "p_partkey")
     v, key = F.col("p_partkey") % 20, F.col("p_partkey")
     none = F.lit(None).cast("string")
     text = key.cast("string")

@@ -32,12 +32,19 @@ def _given(text: Column) -> Column:
     return F.coalesce(~text.isin("", "0", "false"), F.lit(False))
 
 
-def approach_fields(t: Column, y: Column) -> dict[str, Column]:
+def approach_numbers(t: Column) -> Column:
+    """The positive numbers of one record, read once."""
+    sizes = t["estimated_diameter"]["kilometers"]
+    speed = F.get(t["close_approach_data"], 0)["relative_velocity"]["kilometers_per_second"]
+    return F.struct(
+        to_double(sizes["estimated_diameter_min"]).alias("low"), to_double(sizes["estimated_diameter_max"]).alias("high"),
+        to_double(speed).alias("speed"))
+
+
+def approach_fields(t: Column, y: Column, numbers: Column) -> dict[str, Column]:
     """The table columns of one record. Optional fields that are malformed are NULL, never a rejection."""
     near = F.get(t["close_approach_data"], 0)
-    sizes = t["estimated_diameter"]["kilometers"]
-    low = above(to_double(sizes["estimated_diameter_min"]), 0.0)
-    high = above(to_double(sizes["estimated_diameter_max"]), 0.0)
+    low, high = above(numbers["low"], 0.0), above(numbers["high"], 0.0)
     inverted = F.coalesce(low > high, F.lit(False))
     return {
         "id": t["id"],
@@ -47,7 +54,7 @@ def approach_fields(t: Column, y: Column) -> dict[str, Column]:
         "hazardous": y["is_potentially_hazardous_asteroid"],
         "close_approach_datetime": approach_datetime(near["close_approach_date_full"]),
         "close_approach_epoch_ms": F.get(y["close_approach_data"], 0)["epoch_date_close_approach"],
-        "relative_velocity_km_s": above(to_double(near["relative_velocity"]["kilometers_per_second"]), 0.0),
+        "relative_velocity_km_s": above(numbers["speed"], 0.0),
         "absolute_magnitude_h": to_double(t["absolute_magnitude_h"]),
         "estimated_diameter_min_km": F.when(~inverted, low),
         "estimated_diameter_max_km": F.when(~inverted, high),
@@ -74,7 +81,9 @@ def _defect(t: Column) -> Column:
 def judge_approaches(records: DataFrame, scope: list[str]) -> DataFrame:
     """All records with their fields and `reject_reason`, before copies are compared."""
     parsed = pinned(records, t=F.from_json("record_json", RECORD_TEXT), y=F.from_json("record_json", RECORD_TYPED))
-    fielded = pinned(parsed, f=F.struct(*[c.alias(n) for n, c in approach_fields(F.col("t"), F.col("y")).items()]))
+    parsed = pinned(parsed, numbers=approach_numbers(F.col("t")))
+    fields = approach_fields(F.col("t"), F.col("y"), F.col("numbers"))
+    fielded = pinned(parsed, f=F.struct(*[c.alias(n) for n, c in fields.items()]))
     fielded = fielded.select(*scope, *PLACE, "t", "f.*")
     return fielded.withColumn("reject_reason", _defect(F.col("t"))).drop("t")
 

@@ -6,25 +6,18 @@ reduces a hot key to one row before the shuffle; no task ever sees a whole group
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _ordering(columns: list[str], nulls_last: bool) -> list[Column]:
-    if not nulls_last:
-        return [F.col(c) for c in columns]
-    # (is-null, value): NULL sorts after every value when the struct is minimised.
-    return [part for c in columns for part in (F.col(c).isNull(), F.col(c))]
-
-
 def _pick(df: DataFrame, keys: list[str], order: list[str], largest: bool) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    # The remaining columns break ties, so equal orderings still give one fixed row.
-    sortable = [c for c in rest if c not in order and not df.schema[c].dataType.simpleString().startswith(("map", "variant"))]
-    rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(_ordering(order + sortable, not largest))])
-    carried = F.struct(*[F.col(c) for c in rest])
-    chosen = (F.max_by if largest else F.min_by)(carried, rank)
-    picked = df.groupBy(*keys).agg(chosen.alias("__row"))
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    # The whole row is one struct that starts with the ordering; the other columns break ties, so
+    # equal orderings still give one fixed row. NULL must sort last when the struct is minimised.
+    ordering = [F.col(c) for c in order] if largest else [
+        part for c in order for part in (F.col(c).isNull().alias(f"__no_{c}"), F.col(c))]
+    row = F.struct(*ordering, *rest)
+    picked = df.groupBy(*keys).agg((F.max if largest else F.min)(row).alias("__row"))
     return picked.select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in df.columns])
 
 

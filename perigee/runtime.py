@@ -17,6 +17,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+# Static settings for sessions made here. Recording the Python call site of every expression costs
+# more than planning these queries.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 _SCRATCH: dict[str, str] = {}
 
@@ -26,7 +29,7 @@ def build_session(app_name: str = "perigee", master: str | None = None, **settin
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in RUNTIME_SETTINGS.items():
+    for key, value in {**RUNTIME_SETTINGS, **STATIC_SETTINGS}.items():
         builder = builder.config(key, value)
     for key, value in settings.items():
         builder = builder.config(key.replace("_", "."), value)
