@@ -178,7 +178,7 @@ def _(spark, sf):
 @query("run_manifests", "A16 F7 F32", """
 SELECT 'r' || o_orderkey AS pipeline_run_id, CASE WHEN o_orderstatus = 'P' THEN 'HISTORICAL_BACKFILL' ELSE 'CURRENT_PRODUCTION' END AS execution_mode,
   CASE WHEN bool_or(k AND (l_returnflag = 'A' OR l_discount > 0.05)) THEN 'FAILED' ELSE 'SUCCESS' END AS overall_status,
-  greatest(0, round(max(o_totalprice) / 1000 - 100, 2)) AS duration_seconds, count(*) FILTER (k) AS stage_count,
+  greatest(0, floor(max(o_totalprice)) - 100000) AS duration_seconds, count(*) FILTER (k) AS stage_count,
   coalesce(string_agg(DISTINCT 'p/' || l_partkey || '?api_key=REDACTED', ',' ORDER BY 'p/' || l_partkey || '?api_key=REDACTED') FILTER (k), '') AS published_keys,
   'metadata/pipeline_runs/year=' || strftime(max(o_orderdate), '%Y/month=%m/day=%d') || '/run_manifest_r' || o_orderkey || '.json' AS manifest_path
 FROM (SELECT *, l_linenumber IS NOT NULL AND NOT (o_orderstatus = 'P' AND l_linenumber = 3) AS k FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey)
@@ -189,7 +189,7 @@ def _(spark, sf):
     runs = orders.select(
         run.alias("pipeline_run_id"), F.when(F.col("o_orderstatus") == "P", "historical_backfill").otherwise(" CURRENT_PRODUCTION").alias("execution_mode"),
         F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T00:00:00Z")).alias("started_at"), F.lit(None).cast("string").alias("completed_at"),
-        (F.col("o_totalprice") / 1000 - 100).alias("duration_seconds"), F.lit(None).cast("string").alias("overall_status"))
+        (F.floor("o_totalprice") - 100000).cast("double").alias("duration_seconds"), F.lit(None).cast("string").alias("overall_status"))
     none = F.lit(None).cast("boolean")
     stages = lines.select(
         F.concat(F.lit("r"), F.col("l_orderkey").cast("string")).alias("pipeline_run_id"),
