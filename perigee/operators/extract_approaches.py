@@ -28,8 +28,8 @@ PLACE = ["entry_pos", "record_pos"]
 
 
 def _given(text: Column) -> Column:
-    """Present, and not an empty text, zero or false."""
-    return F.coalesce(~text.isin("", "0", "false"), F.lit(False))
+    """Present and not the empty text."""
+    return F.coalesce(text != "", F.lit(False))
 
 
 def approach_numbers(t: Column) -> Column:
@@ -62,16 +62,24 @@ def approach_fields(t: Column, y: Column, numbers: Column) -> dict[str, Column]:
     }
 
 
-def _defect(t: Column) -> Column:
-    """The first mandatory field that fails, in the order they are judged; NULL for a sound record."""
+def _presence(t: Column) -> dict[str, Column]:
+    """Which mandatory parts a record holds at all."""
     near = F.get(t["close_approach_data"], 0)
+    return {
+        "has_id": _given(t["id"]), "has_name": _given(t["name"]), "has_approach": near.isNotNull(),
+        "has_date": _given(near["close_approach_date"]), "has_distance": _given(near["miss_distance"]["kilometers"]),
+    }
+
+
+def _defect() -> Column:
+    """The first mandatory field that fails, in the order they are judged; NULL for a sound record."""
     return (
-        F.when(~_given(t["id"]), "missing_id")
-        .when(~_given(t["name"]), "missing_name")
-        .when(near.isNull(), "missing_approach")
-        .when(~_given(near["close_approach_date"]), "missing_date")
+        F.when(~F.col("has_id"), "missing_id")
+        .when(~F.col("has_name"), "missing_name")
+        .when(~F.col("has_approach"), "missing_approach")
+        .when(~F.col("has_date"), "missing_date")
         .when(F.col("closest_approach_date").isNull(), "invalid_date")
-        .when(~_given(near["miss_distance"]["kilometers"]), "missing_distance")
+        .when(~F.col("has_distance"), "missing_distance")
         .when(F.col("miss_distance_km").isNull(), "invalid_distance")
         .when(F.col("miss_distance_km") <= 0, "distance_not_positive")
         .when(F.col("hazardous").isNull(), "hazard_flag_not_boolean")
@@ -80,12 +88,11 @@ def _defect(t: Column) -> Column:
 
 def judge_approaches(records: DataFrame, scope: list[str]) -> DataFrame:
     """All records with their fields and `reject_reason`, before copies are compared."""
-    parsed = pinned(records, t=F.from_json("record_json", RECORD_TEXT), y=F.from_json("record_json", RECORD_TYPED))
+    parsed = pinned(records.select(*scope, *PLACE, "record_json"), t=F.from_json("record_json", RECORD_TEXT), y=F.from_json("record_json", RECORD_TYPED))
     parsed = pinned(parsed, numbers=approach_numbers(F.col("t")))
-    fields = approach_fields(F.col("t"), F.col("y"), F.col("numbers"))
-    fielded = pinned(parsed, f=F.struct(*[c.alias(n) for n, c in fields.items()]))
-    fielded = fielded.select(*scope, *PLACE, "t", "f.*")
-    return fielded.withColumn("reject_reason", _defect(F.col("t"))).drop("t")
+    parts = _presence(F.col("t"))
+    fielded = pinned(parsed, **approach_fields(F.col("t"), F.col("y"), F.col("numbers")), **parts)
+    return fielded.drop("record_json", "t", "y", "numbers").withColumn("reject_reason", _defect()).drop(*parts)
 
 
 def accepted_approaches(records: DataFrame, scope: list[str]) -> DataFrame:

@@ -122,44 +122,42 @@ def judge_documents(documents: DataFrame, payload: str = "payload") -> DataFrame
     The document is parsed once as text leaves, once for its flags, and once as VARIANT for the few
     questions about JSON types.
     """
-    carried = [c for c in documents.columns if c != payload]
     parsed = pinned(
         documents, t=F.from_json(payload, DOCUMENT_TEXT), flags=F.from_json(payload, DOCUMENT_FLAGS), doc=F.try_parse_json(payload))
-    kinds = F.struct(
-        F.schema_of_variant("doc").startswith("OBJECT").alias("root"), leaf_kind(F.col("doc"), "$.list").alias("list"),
-        is_object(F.col("doc"), "$.object").alias("object"), is_object(F.col("doc"), "$.orbit").alias("orbit"),
-        leaf_kind(F.col("doc"), "$.object.spkid").alias("spkid"), leaf_kind(F.col("doc"), "$.object.des").alias("des"),
-        leaf_kind(F.col("doc"), "$.phys_par").alias("phys_par"))
-    fields = F.struct(*[c.alias(n) for n, c in document_fields(F.col("t"), F.col("flags")).items()])
-    fielded = pinned(parsed, kinds=kinds, f=fields).select(*carried, F.col("t.code").alias("code"), F.col("kinds").alias("is"), "f.*")
+    doc = F.col("doc")
+    asked = {
+        "is_root": F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False)),
+        "is_several": F.coalesce(F.col("t.code") == "300", F.lit(False)) | leaf_kind(doc, "$.list").isNotNull(),
+        "has_object": is_object(doc, "$.object"), "has_orbit": is_object(doc, "$.orbit"),
+        "spkid_text": F.coalesce(leaf_kind(doc, "$.object.spkid") == "STRING", F.lit(False)),
+        "des_text": F.coalesce(leaf_kind(doc, "$.object.des") == "STRING", F.lit(False)),
+        "parameters_listed": F.coalesce(leaf_kind(doc, "$.phys_par").startswith("ARRAY"), F.lit(True)),
+    }
+    fielded = pinned(parsed, **document_fields(F.col("t"), F.col("flags")), **asked).drop(payload, "t", "flags", "doc")
     refused = (
-        F.when(~F.coalesce(F.col("is.root"), F.lit(False)), "not_an_object")
-        .when((F.col("code") == "300") | F.col("is.list").isNotNull(), "several_matches")
-        .when(~F.col("is.object"), "no_object_section")
-        .when(~F.col("is.orbit"), "no_orbit_section")
+        F.when(~F.col("is_root"), "not_an_object").when(F.col("is_several"), "several_matches")
+        .when(~F.col("has_object"), "no_object_section").when(~F.col("has_orbit"), "no_orbit_section")
     )
-    not_text = lambda name: ~F.coalesce(F.col(f"is.{name}") == "STRING", F.lit(False))
     identity = (
         F.when(refused.isNotNull(), refused)
-        .when(_absent("spkid") | not_text("spkid"), "missing_spkid")
-        .when(_absent("designation") | not_text("des"), "missing_designation")
+        .when(_absent("spkid") | ~F.col("spkid_text"), "missing_spkid")
+        .when(_absent("designation") | ~F.col("des_text"), "missing_designation")
         .when(_absent("orbit_class_code") | _absent("orbit_class_name"), "missing_orbit_class")
         .when(_absent("object_orbit_id"), "missing_orbit_id")
     )
     names = F.filter(F.transform("parameters", lambda p: strip(p["name"])), lambda n: n != "")
     negative = F.exists("elements", lambda e: (e["name"] == "e") & (to_double(e["value"]) < 0))
     listed = F.coalesce(F.size("elements") > 0, F.lit(False))
-    has_list = F.col("is.phys_par").isNull() | F.col("is.phys_par").startswith("ARRAY")
     body = (
         F.when(_absent("orbit_id"), "orbit_without_id").when(_below("epoch_jd", 0.0, strict=True), "invalid_epoch")
         .when(_absent("equinox"), "missing_equinox").when(_below("n_obs_used", 0), "invalid_n_obs_used")
         .when(_below("rms", 0.0), "invalid_rms").when(_below("earth_moid_au", 0.0), "invalid_earth_moid")
         .when(~listed, "no_elements").when(F.coalesce(negative, F.lit(False)), "negative_eccentricity")
-        .when(~has_list, "parameters_not_a_list")
+        .when(~F.col("parameters_listed"), "parameters_not_a_list")
         .when(F.coalesce(F.size(F.array_distinct(names)) < F.size(names), F.lit(False)), "duplicate_parameter")
     )
     judged = pinned(fielded, object_defect=identity)
-    return pinned(judged, defect=F.coalesce("object_defect", body)).drop("is", "code")
+    return pinned(judged, defect=F.coalesce("object_defect", body)).drop(*asked)
 
 
 def classify_targets(documents: DataFrame, scope: list[str]) -> DataFrame:

@@ -42,14 +42,15 @@ def risk_fields(t: Column, y: Column) -> dict[str, Column]:
     }
 
 
-def _defect(t: Column) -> Column:
+def _written(t: Column) -> dict[str, Column]:
+    """Which optional numbers hold any text: blank reads as NULL, text that is no number is malformed."""
+    return {f"wrote_{name}": blank_to_null(t[name]).isNotNull() for name in ("h", "diameter", "last_obs_jd")}
+
+
+def _defect() -> Column:
     def outside(condition: Column) -> Column:
         return ~F.coalesce(condition, F.lit(False))
 
-    def malformed(name: str, column: str) -> Column:
-        # Blank is allowed and reads as NULL; text that is no number is not.
-        return blank_to_null(t[name]).isNotNull() & F.col(column).isNull()
-
     ip, impacts = F.col("impact_probability"), F.col("potential_impacts_count")
     return (
         F.when(outside((F.col("sentry_id") != "") & (F.col("designation") != "")), "missing_identifier")
@@ -59,17 +60,18 @@ def _defect(t: Column) -> Column:
         .when(outside(F.col("torino_scale_max") >= 0), "torino_scale")
         .when(outside(F.col("v_infinity_km_s") >= 0), "v_infinity")
         .when(F.col("last_obs_date").isNull(), "last_obs")
-        .when(malformed("h", "absolute_magnitude"), "absolute_magnitude")
-        .when(malformed("diameter", "estimated_diameter_km"), "estimated_diameter")
-        .when(malformed("last_obs_jd", "last_obs_jd"), "last_obs_jd")
+        .when(F.col("wrote_h") & F.col("absolute_magnitude").isNull(), "absolute_magnitude")
+        .when(F.col("wrote_diameter") & F.col("estimated_diameter_km").isNull(), "estimated_diameter")
+        .when(F.col("wrote_last_obs_jd") & F.col("last_obs_jd").isNull(), "last_obs_jd")
     )
 
 
 def judge_risk(records: DataFrame, scope: list[str]) -> DataFrame:
-    parsed = pinned(records, t=F.from_json("record_json", RECORD_TEXT), y=F.from_json("record_json", RECORD_NUMBERS))
-    fielded = pinned(parsed, f=F.struct(*[c.alias(n) for n, c in risk_fields(F.col("t"), F.col("y")).items()]))
-    fielded = fielded.select(*scope, "record_pos", "t", "f.*")
-    return fielded.withColumn("reject_reason", _defect(F.col("t"))).drop("t")
+    rows = records.select(*scope, "record_pos", "record_json")
+    parsed = pinned(rows, t=F.from_json("record_json", RECORD_TEXT), y=F.from_json("record_json", RECORD_NUMBERS))
+    written = _written(F.col("t"))
+    fielded = pinned(parsed, **risk_fields(F.col("t"), F.col("y")), **written).drop("record_json", "t", "y")
+    return fielded.withColumn("reject_reason", _defect()).drop(*written)
 
 
 def accepted_risk(records: DataFrame, scope: list[str]) -> DataFrame:

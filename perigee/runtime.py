@@ -76,8 +76,7 @@ def pinned(df: DataFrame, **values: Column) -> DataFrame:
     A plain projection is copied into every filter and expression above it, so a parsed document
     would be parsed once per field. The value of a generator cannot be copied.
     """
-    once = F.explode(F.array(F.struct(*[v.alias(k) for k, v in values.items()])))
-    return df.select(*df.columns, once.alias("__once")).select(*df.columns, *[F.col("__once")[k].alias(k) for k in values])
+    return df.select(*df.columns, F.inline(F.array(F.struct(*[v.alias(k) for k, v in values.items()]))))
 
 
 def one_row(df: DataFrame) -> DataFrame:
