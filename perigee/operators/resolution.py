@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from perigee import vocabulary as V
 from perigee.functions.keys import entity_key
 from perigee.functions.text import blank_to_null, normalize_designation
-from perigee.runtime import attach, pinned
+from perigee.runtime import attach, materialize, pinned
 
 # Candidate lists up to this long are written into the evidence. A longer list is given by its size,
 # and `candidates` of the result holds it in full, one row per candidate.
@@ -68,31 +68,25 @@ def hub_entities(catalog: DataFrame) -> DataFrame:
     )
 
 
-def hub_aliases(catalog: DataFrame) -> DataFrame:
+def hub_aliases(catalog: DataFrame, hub: DataFrame) -> DataFrame:
     """(alias, spkid) pairs of the hub: how the pair arises and the designation it carries.
 
     Alternates of all copies of an identity count, so the result does not depend on input order.
     """
-    entity = hub_entities(catalog).filter(F.col("spkid").isNotNull())
     # Each entity is one `des` row; the number of entities behind an alias is what makes it ambiguous.
-    named = entity.select(
+    named = hub.filter(F.col("spkid").isNotNull()).select(
         "spkid", "designation",
-        F.explode(F.array(
+        F.inline(F.array(
             F.struct(F.lit("des").alias("field"), normalize_designation(F.col("designation")).alias("alias")),
             F.struct(F.lit("fullname").alias("field"), normalize_designation(F.col("fullname")).alias("alias")),
-        )).alias("x"),
-    ).select("spkid", "designation", "x.field", "x.alias")
-    alternate = (
-        catalog.select(
-            blank_to_null(F.col("spkid")).alias("spkid"),
-            blank_to_null(F.col("designation")).alias("designation"),
-            F.explode("alternate_designations").alias("listed"),
-        )
-        .select("spkid", "designation", F.lit("alternate").alias("field"), normalize_designation(F.col("listed")).alias("alias"))
-        .filter(F.col("spkid").isNotNull())
-        .filter(F.col("alias") != F.coalesce(normalize_designation(F.col("designation")), F.lit("")))
-        .distinct()
+        )),
     )
+    listed = catalog.select("spkid", "designation", F.explode("alternate_designations").alias("listed")).distinct()
+    alternate = pinned(
+        listed, id=blank_to_null(F.col("spkid")), own=blank_to_null(F.col("designation")),
+        alias=normalize_designation(F.col("listed")), own_alias=normalize_designation(F.col("designation")),
+    ).filter(F.col("id").isNotNull() & (F.col("alias") != F.col("own_alias"))).select(
+        F.col("id").alias("spkid"), F.col("own").alias("designation"), F.lit("alternate").alias("field"), "alias")
     pairs = named.unionByName(alternate).filter((F.col("alias") != ""))
     count = lambda field: F.count_if(F.col("field") == field)
     return pairs.groupBy("alias", "spkid").agg(
@@ -159,24 +153,24 @@ def _audit_row(system: Column | str, name: str, value: Column, state: str, rule:
 
 
 def _expand(df: DataFrame, *rows: Column) -> DataFrame:
-    return df.select(F.explode(F.array(*rows)).alias("a")).select("a.*")
+    """The given rows of each input row, without the NULL ones."""
+    return df.select(F.inline(F.array_compact(F.array(*rows))))
 
 
-def catalog_audit(catalog: DataFrame) -> DataFrame:
-    entity = hub_entities(catalog)
-    broken = entity.filter(F.col("spkid").isNull())
-    sound = entity.filter(F.col("spkid").isNotNull())
+def catalog_audit(hub: DataFrame) -> DataFrame:
+    """One or two rows per identity: the pivot (or why there is none) and the designation."""
     spk, des, full = F.col("spkid"), F.col("designation"), F.col("fullname")
-    invalid = _expand(broken, _audit_row(
+    invalid = _audit_row(
         V.CATALOG_FEED, "spkid", F.coalesce("raw_spkid", F.lit("")), V.INVALID, V.INVALID_IDENTIFIER,
-        evidence(error=F.lit(NO_CATALOG_ID))))
-    pivots = _expand(sound, _audit_row(
+        evidence(error=F.lit(NO_CATALOG_ID)))
+    pivot = _audit_row(
         V.CATALOG_FEED, "spkid", spk, V.RESOLVED, V.PIVOT,
-        evidence(pivot=F.lit("canonical_external_pivot"), spkid=spk, fullname=full), spk, "spkid", spk))
-    named = _expand(sound.filter(des.isNotNull()), _audit_row(
+        evidence(pivot=F.lit("canonical_external_pivot"), spkid=spk, fullname=full), spk, "spkid", spk)
+    named = _audit_row(
         V.CATALOG_FEED, "des", des, V.RESOLVED, V.CATALOG_DESIGNATION,
-        evidence(associated_with_spkid=spk, fullname=full), spk, "spkid", spk))
-    return invalid.unionByName(pivots).unionByName(named)
+        evidence(associated_with_spkid=spk, fullname=full), spk, "spkid", spk)
+    sound = spk.isNotNull()
+    return _expand(hub, F.when(sound, pivot).otherwise(invalid), F.when(sound & des.isNotNull(), named))
 
 
 def _listing(ids: Column, total: Column) -> tuple[Column, Column]:
@@ -189,25 +183,22 @@ def _keys_of(ids: Column) -> Column:
     return F.transform(ids, entity_key)
 
 
-def approach_audit(approaches: DataFrame, catalog: DataFrame, aliases: DataFrame) -> DataFrame:
+def approach_audit(approaches: DataFrame, hub: DataFrame, aliases: DataFrame) -> DataFrame:
+    """One row per distinct (id, name): by id, else by designation, else by full name and alternates."""
     feed = approaches.select(F.col("id").alias("raw_id"), "name").distinct().select(
-        "raw_id", blank_to_null(F.col("raw_id")).alias("id"), blank_to_null(F.col("name")).alias("name"))
-    feed = feed.withColumn("alias", F.nullif(normalize_designation(F.col("name")), F.lit("")))
+        "raw_id", blank_to_null(F.col("raw_id")).alias("id"), blank_to_null(F.col("name")).alias("name"),
+        F.nullif(normalize_designation(F.col("name")), F.lit("")).alias("alias"))
     ident, name, alias = F.col("id"), F.col("name"), F.col("alias")
 
-    invalid = _expand(feed.filter(ident.isNull()), _audit_row(
-        V.APPROACH_FEED, "id", F.coalesce("raw_id", F.lit("")), V.INVALID, V.INVALID_IDENTIFIER,
-        evidence(error=F.lit(NO_APPROACH_ID))))
-
     # An spkid listed under two designations (or under one and none) cannot be matched directly.
     label = F.coalesce("designation", F.lit("\u0000"))
     direct = (
-        hub_entities(catalog).filter(F.col("spkid").isNotNull()).groupBy("spkid")
+        hub.filter(F.col("spkid").isNotNull()).groupBy("spkid")
         .agg((F.min(label) == F.max(label)).alias("is_consistent"))
         .filter("is_consistent").select(F.col("spkid").alias("direct_spkid"))
     )
-    found = attach(feed.filter(ident.isNotNull()), direct, "id", "direct_spkid", spread=["id"])
-    found = attach(found, aliases.withColumnRenamed("alias", "hub_alias"), "alias", "hub_alias", spread=["id"])
+    found = attach(feed, direct, "id", "direct_spkid", spread=["raw_id", "name"])
+    found = attach(found, aliases.withColumnRenamed("alias", "hub_alias"), "alias", "hub_alias", spread=["raw_id"])
 
     is_direct = F.col("direct_spkid").isNotNull()
     des_count = F.coalesce("des_count", F.lit(0))
@@ -226,6 +217,9 @@ def approach_audit(approaches: DataFrame, catalog: DataFrame, aliases: DataFrame
     ids, hidden = _listing(ids, total)
     others, others_hidden = _listing(F.filter("des_ids", lambda s: s != ident), des_count)
 
+    invalid = _audit_row(
+        V.APPROACH_FEED, "id", F.coalesce("raw_id", F.lit("")), V.INVALID, V.INVALID_IDENTIFIER,
+        evidence(error=F.lit(NO_APPROACH_ID)))
     contradiction = _audit_row(
         V.APPROACH_FEED, "id", ident, V.AMBIGUOUS, V.CONTRADICTION,
         evidence(error=F.lit(CONTRADICTORY), id_spkid=ident, contradicting_spkids=others, name=name,
@@ -248,27 +242,27 @@ def approach_audit(approaches: DataFrame, catalog: DataFrame, aliases: DataFrame
         V.APPROACH_FEED, "id", ident, V.UNRESOLVED, V.NO_MATCH,
         evidence(reason=F.lit(APPROACH_UNMATCHED), name=name, normalized_designation=alias))
     row = (
-        F.when(is_direct & names_another, contradiction).when(is_direct, direct_row)
+        F.when(ident.isNull(), invalid).when(is_direct & names_another, contradiction).when(is_direct, direct_row)
         .when(total == 1, sole).when(total > 1, several).otherwise(nothing)
     )
-    return invalid.unionByName(pinned(found, a=row).select("a.*"))
+    return _expand(found, row)
 
 
 def risk_audit(risk: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Two rows per distinct risk object, by designation alone; one if an identifier is missing."""
     feed = risk.select("sentry_id", "designation", "fullname").distinct().select(
         F.col("sentry_id").alias("raw_id"), F.col("designation").alias("raw_des"),
         blank_to_null(F.col("sentry_id")).alias("sentry_id"), blank_to_null(F.col("designation")).alias("des"),
         blank_to_null(F.col("fullname")).alias("fullname"))
+    feed = feed.withColumn("alias", F.nullif(normalize_designation(F.col("des")), F.lit("")))
     ident, des, full = F.col("sentry_id"), F.col("des"), F.col("fullname")
-    no_id = _expand(feed.filter(ident.isNull()), _audit_row(
+    no_id = F.array(_audit_row(
         V.RISK_FEED, "sentry_id", F.coalesce("raw_id", F.lit("")), V.INVALID, V.INVALID_IDENTIFIER,
         evidence(error=F.lit(NO_RISK_ID))))
-    no_des = _expand(feed.filter(ident.isNotNull() & des.isNull()), _audit_row(
+    no_des = F.array(_audit_row(
         V.RISK_FEED, "des", F.coalesce("raw_des", F.lit("")), V.INVALID, V.INVALID_IDENTIFIER,
         evidence(error=F.lit(NO_RISK_DESIGNATION))))
-
-    usable = feed.filter(ident.isNotNull() & des.isNotNull()).withColumn("alias", normalize_designation(des))
-    found = attach(usable, aliases.withColumnRenamed("alias", "hub_alias"), "alias", "hub_alias", spread=["sentry_id"])
+    found = attach(feed, aliases.withColumnRenamed("alias", "hub_alias"), "alias", "hub_alias", spread=["raw_id"])
     count = F.coalesce("des_count", F.lit(0))
     matched, matched_des = F.col("des_first"), F.coalesce("des_designation", "des")
     ids, hidden = _listing(F.col("des_ids"), count)
@@ -291,13 +285,15 @@ def risk_audit(risk: DataFrame, aliases: DataFrame) -> DataFrame:
     )
     nothing = F.array(
         _audit_row(V.RISK_FEED, "des", des, V.UNRESOLVED, V.NO_MATCH,
-                   evidence(reason=F.lit(RISK_UNMATCHED), normalized=F.col("alias"), fullname=full)),
+                   evidence(reason=F.lit(RISK_UNMATCHED), normalized=F.coalesce("alias", F.lit("")), fullname=full)),
         _audit_row(V.RISK_FEED, "sentry_id", ident, V.UNRESOLVED, V.NO_MATCH,
                    evidence(reason=F.lit(RISK_ID_UNMATCHED), designation=des, fullname=full)),
     )
-    rows = F.when(count == 1, sole).when(count > 1, several).otherwise(nothing)
-    matched_rows = found.select(F.explode(rows).alias("a")).select("a.*")
-    return no_id.unionByName(no_des).unionByName(matched_rows)
+    rows = (
+        F.when(ident.isNull(), no_id).when(des.isNull(), no_des)
+        .when(count == 1, sole).when(count > 1, several).otherwise(nothing)
+    )
+    return found.select(F.inline(rows))
 
 
 IDENTIFIER = ["source_system", "identifier_name", "source_identifier_value"]
@@ -314,7 +310,8 @@ def collapse(evaluations: DataFrame, run_id: str, resolved_at: str) -> DataFrame
         "matched_target_identifier_name", "matched_target_identifier_value", "evidence_json",
     )
     keyed = evaluations.withColumn("key", F.when(F.col("matched_spkid").isNotNull(), entity_key(F.col("matched_spkid"))))
-    pairs = keyed.groupBy(*IDENTIFIER, "key").agg(F.max(verdict).alias("verdict"))
+    # Both branches below read the pairs, so they are written once.
+    pairs = materialize(keyed.groupBy(*IDENTIFIER, "key").agg(F.max(verdict).alias("verdict")), "evaluations")
 
     # Competing keys, listed while the list is short.
     rank = Window.partitionBy(*IDENTIFIER).orderBy("key")
@@ -359,12 +356,16 @@ def audit_of(identifiers: DataFrame) -> DataFrame:
 
 def resolve(approaches: DataFrame, catalog: DataFrame, risk: DataFrame, run_id: str, resolved_at: str) -> Crosswalk:
     """Resolve the three feeds. Reads id/name, spkid/designation/fullname/alternate_designations and
-    sentry_id/designation/fullname; anything else in the inputs is pruned away."""
-    pairs = hub_aliases(catalog)
-    aliases = alias_index(pairs)
+    sentry_id/designation/fullname; anything else in the inputs is pruned away. Intermediate tables
+    are written to the shared folder, so this runs jobs; the final collapse stays lazy."""
+    # The hub, its aliases and their index are each read several times; written once, they cost one
+    # pass over the catalog and the joins know their sizes.
+    hub = materialize(hub_entities(catalog), "hub")
+    pairs = materialize(hub_aliases(catalog, hub), "aliases")
+    aliases = materialize(alias_index(pairs), "alias-index")
     evaluations = (
-        catalog_audit(catalog)
-        .unionByName(approach_audit(approaches, catalog, aliases))
+        catalog_audit(hub)
+        .unionByName(approach_audit(approaches, hub, aliases))
         .unionByName(risk_audit(risk, aliases))
     )
     candidates = pairs.select("alias", "spkid", entity_key(F.col("spkid")).alias("asteroid_key"),
