@@ -31,7 +31,9 @@ def with_neighbours(
 
     cut = df.withColumn("__bucket", bucket)
     inside = Window.partitionBy(*keys, "__bucket").orderBy(*order)
-    body = cut.withColumn("__before", F.lag(value).over(inside)).withColumn("__after", F.lead(value).over(inside))
+    # Stated, because a window over (key, bucket) would also accept rows that an earlier join left
+    # partitioned by key alone, and a hot key would stay whole.
+    body = cut.repartition(*keys, "__bucket").withColumn("__before", F.lag(value).over(inside)).withColumn("__after", F.lead(value).over(inside))
 
     rank = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
     edges = cut.groupBy(*keys, "__bucket").agg(

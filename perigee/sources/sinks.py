@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from perigee.functions.dates import date_parts
 from perigee.functions.text import redact_api_key
 from perigee.operators.picking import insert_if_absent
-from perigee.operators.resolution import Crosswalk, audit_of, bridge_of
+from perigee.operators.resolution import Crosswalk, audit_of, bridge_of, in_order
 from perigee.runtime import materialize
 from perigee.schemas import table_columns
 from perigee.sources.files import exists
@@ -104,11 +104,11 @@ def load_relational(spark: SparkSession, accepted: DataFrame, folder: str) -> tu
 
 
 def save_crosswalk(crosswalk: Crosswalk, folder: str) -> tuple[str, str]:
-    """Bridge and audit side by side. The collapsed identifiers are computed once for both."""
+    """Bridge and audit side by side, in their fixed order. The collapsed identifiers are computed once for both."""
     fixed = materialize(crosswalk.identifiers, "identifiers")
     bridge_path, audit_path = f"{folder}/bridge_asteroid_identifier.parquet", f"{folder}/fact_entity_resolution.parquet"
-    write_table(bridge_of(fixed), "bridge_asteroid_identifier", bridge_path)
-    write_table(audit_of(fixed), "fact_entity_resolution", audit_path)
+    write_table(in_order(bridge_of(fixed)), "bridge_asteroid_identifier", bridge_path)
+    write_table(in_order(audit_of(fixed)), "fact_entity_resolution", audit_path)
     return bridge_path, audit_path
 
 
