@@ -44,10 +44,15 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach: `spark.checkpoint.dir`, or a private one when it is unset."""
+    """The folder every executor can reach: `spark.checkpoint.dir`.
+
+    Only a local session, as in tests, may leave it unset; it then gets a private folder.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _SCRATCH:
         _SCRATCH[app] = tempfile.mkdtemp(prefix="perigee-")
