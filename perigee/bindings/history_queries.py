@@ -92,9 +92,9 @@ def _(spark, sf):
 # --- ad-hoc questions --------------------------------------------------------------------------
 
 @query("day_partition_listing", "P10 S3", with_tables("""
-SELECT id, name, closest_approach_date, miss_distance_km, hazardous FROM apr WHERE year = '1997' AND month = '05' AND day = '28'""", "apr"))
+SELECT id, name, closest_approach_date, miss_distance_km, hazardous FROM apr WHERE year = '1998' AND month = '10' AND day = '03'""", "apr"))
 def _(spark, sf):
-    return adhoc.daily_listing(D.approaches(spark, sf), "1997", "05", "28")
+    return adhoc.daily_listing(D.approaches(spark, sf), "1998", "10", "03")
 
 
 @query("month_hazard_summary", "A3", with_tables("""

@@ -1,7 +1,8 @@
 """Keep one row per key.
 
 A pick is an aggregate (`max`/`min` of an ordering struct that carries the row), so each task
-reduces a hot key to one row before the shuffle; no task ever sees a whole group.
+reduces a hot key to one row before the shuffle; no task ever sees a whole group. All columns must
+be orderable, so no maps.
 """
 
 from __future__ import annotations
