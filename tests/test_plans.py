@@ -117,6 +117,15 @@ def test_watchlist_page(spark):
             watchlist.watchlist_page(served, **bad)
 
 
+@pytest.mark.parametrize("offset", [0, 1, 37, 495, 999, 1000, 5000])
+def test_deep_pages_equal_plain_pages(spark, offset):
+    from perigee.operators.tallying import page
+
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("a"), F.col("id").alias("b")).repartition(7)
+    plain, deep = (page(df, ["a", "b"], 10, offset, deep_from=d)[0].collect() for d in (10**9, 0))
+    assert plain == deep
+
+
 def test_cross_source_profile(spark):
     rows = approach_table(spark, dict(id="1", miss_distance_km=5e6, hazardous=None), dict(id="1", miss_distance_km=4e6, hazardous=True, closest_approach_date="2026-10-01"))
     got = by(cross_source.cross_source_profile(rows, risk(spark), *catalog_tables(spark), bridge(spark), AS_OF), "asteroid_key")
