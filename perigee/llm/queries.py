@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm import bpe, language, line_spread, quality, secrets, shards, simhash, token_files, toxicity
+from perigee.llm import bpe, decontaminate, language, line_spread, quality, secrets, shards, simhash, token_files, toxicity
 from perigee.llm.common import documents
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(documents(spark, sf_dir))
 
@@ -45,6 +49,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.report(documents(spark, sf_dir))
 
@@ -64,9 +72,10 @@ QUERIES: dict[str, Run] = {
     "op4_sharding": op4_sharding,
     "op5_token_files": op5_token_files,
     "op6_toxicity": op6_toxicity,
+    "op7_decontamination": op7_decontamination,
     "op8_language_id": op8_language_id,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
 
-SQL: dict[str, str] = {"op10_line_dedup": line_spread.REPORT_SQL}
+SQL: dict[str, str] = {"op7_decontamination": decontaminate.REPORT_SQL, "op10_line_dedup": line_spread.REPORT_SQL}
