@@ -14,7 +14,7 @@ from perigee.operators import extract_catalog as C
 from perigee.operators import extract_risk as K
 from perigee.operators.validation import validate_profiles, validate_world
 from perigee.plans import ingest, world
-from perigee.plans.quality import approach_gate, catalog_gate, risk_gate
+from perigee.plans.quality import approach_gate, catalog_gate, risk_gate, with_silent_payloads
 from perigee.runtime import fresh_path
 from perigee.sources import sinks
 from perigee.sources.raw import approach_records, risk_records
@@ -24,7 +24,10 @@ from perigee.sources.targets import clean_targets
 # --- close approaches ----------------------------------------------------------------------------
 
 _OK = "v NOT IN (0, 1, 2, 3, 4, 5, 6, 7, 8)"
-_ORD = "(SELECT *, o_orderkey % 16 AS v, strftime(o_orderdate, '%Y-%m-%d') AS d, strftime(o_orderdate::DATE - 1, '%Y-%m-%d') AS d1 FROM orders)"
+# Every 97th document is cut short and the next one holds no record; variants 14 and 15 send no copy.
+_KEPT = "o_orderkey % 97 NOT IN (3, 4)"
+_ALL = "(SELECT *, o_orderkey % 16 AS v, strftime(o_orderdate, '%Y-%m-%d') AS d, strftime(o_orderdate::DATE - 1, '%Y-%m-%d') AS d1 FROM orders)"
+_ORD = f"(SELECT * FROM {_ALL} WHERE {_KEPT})"
 
 
 def _approach_row(ident: str, day: str, broken: bool) -> str:
@@ -51,25 +54,29 @@ def _(spark, sf):
 SELECT reject_reason, count(*) AS records FROM (
 SELECT CASE v WHEN 0 THEN 'missing_id' WHEN 1 THEN 'missing_name' WHEN 2 THEN 'missing_approach' WHEN 3 THEN 'missing_date' WHEN 4 THEN 'invalid_date'
   WHEN 5 THEN 'missing_distance' WHEN 6 THEN 'invalid_distance' WHEN 7 THEN 'distance_not_positive' WHEN 8 THEN 'hazard_flag_not_boolean'
-  ELSE CASE WHEN copy = 1 THEN 'duplicate' END END AS reject_reason FROM {_ORD}, (SELECT unnest([0, 1]) AS copy)
-UNION ALL SELECT NULL FROM orders) GROUP BY 1""")
+  ELSE CASE WHEN copy = 1 THEN 'duplicate' END END AS reject_reason FROM {_ORD}, (SELECT unnest([0, 1]) AS copy) WHERE copy = 0 OR v < 14
+UNION ALL SELECT NULL FROM {_ORD}) GROUP BY 1""")
 def _(spark, sf):
     return A.classified_approaches(_approach_records(spark, sf), ["source_file"]).groupBy("reject_reason").agg(
         F.count(F.lit(1)).alias("records"))
 
 
-@query("approach_gate", "Q1", f"""
-SELECT CASE WHEN {_OK} THEN 2 ELSE 1 END AS valid_records, CASE WHEN {_OK} THEN 1 ELSE 2 END AS skipped_records,
-  round(CASE WHEN {_OK} THEN 1 ELSE 2 END / 3 * 100.0::DOUBLE, 2) AS rejection_pct, false AS gate_passed, count(*) AS payloads
-FROM {_ORD} GROUP BY ALL""")
+@query("approach_gate", "Q1 S5", f"""
+SELECT CASE WHEN NOT {_KEPT} THEN 0 WHEN {_OK} THEN 2 ELSE 1 END::BIGINT AS valid_records,
+  CASE WHEN NOT {_KEPT} OR v >= 14 THEN 0 WHEN {_OK} THEN 1 ELSE 2 END::BIGINT AS skipped_records,
+  round(CASE WHEN NOT {_KEPT} OR v >= 14 THEN 0 WHEN {_OK} THEN 1 ELSE 2 END / 3 * 100.0::DOUBLE, 2) AS rejection_pct,
+  {_KEPT} AND v >= 14 AS gate_passed, CASE o_orderkey % 97 WHEN 3 THEN 'unreadable' WHEN 4 THEN 'empty' END AS defect, count(*) AS payloads
+FROM {_ALL} GROUP BY ALL""")
 def _(spark, sf):
-    gate = approach_gate(A.approach_tally(_approach_records(spark, sf), ["source_file"]))
-    return gate.groupBy("valid_records", "skipped_records", "rejection_pct", "gate_passed").agg(F.count(F.lit(1)).alias("payloads"))
+    tally = A.approach_tally(_approach_records(spark, sf), ["source_file"])
+    gate = approach_gate(with_silent_payloads(tally, P.approach_payloads(spark, sf), ["source_file"]))
+    return gate.groupBy("valid_records", "skipped_records", "rejection_pct", "gate_passed", "defect").agg(F.count(F.lit(1)).alias("payloads"))
 
 
 # --- risk ----------------------------------------------------------------------------------------
 
-_EV = "(SELECT *, event_id % 14 AS v FROM events)"
+_ALL_EV = "(SELECT *, event_id % 14 AS v FROM events)"
+_EV = f"(SELECT * FROM {_ALL_EV} WHERE event_id % 89 NOT IN (5, 6))"
 
 
 def _risk_records(spark, sf):
@@ -91,18 +98,20 @@ def _(spark, sf):
 SELECT reject_reason, count(*) AS records FROM (
 SELECT CASE WHEN v IN (0, 2) THEN 'impact_probability' WHEN v = 3 THEN 'potential_impacts_count' WHEN v = 4 THEN 'torino_scale' WHEN v = 5 THEN 'v_infinity'
   WHEN v = 7 THEN 'absolute_magnitude' WHEN v = 10 THEN 'last_obs' WHEN v = 11 THEN 'missing_identifier' ELSE CASE WHEN copy = 1 THEN 'duplicate' END END AS reject_reason
-FROM {_EV}, (SELECT unnest([0, 1]) AS copy) UNION ALL SELECT 'missing_identifier' FROM events) GROUP BY 1""")
+FROM {_EV}, (SELECT unnest([0, 1]) AS copy) UNION ALL SELECT 'missing_identifier' FROM {_EV}) GROUP BY 1""")
 def _(spark, sf):
     return K.classified_risk(_risk_records(spark, sf), ["snapshot_key"]).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("records"))
 
 
-@query("risk_gate", "Q5", f"""
-SELECT valid AS valid_records, 3 - valid AS skipped_records, round((3 - valid) / 3 * 100.0::DOUBLE, 2) AS rejection_pct,
-  CASE WHEN valid = 0 THEN 'FAILED' ELSE 'WARNING' END AS status, count(*) AS payloads
-FROM (SELECT CASE WHEN v IN (0, 2, 3, 4, 5, 7, 10, 11) THEN 0 ELSE 1 END::BIGINT AS valid FROM {_EV}) GROUP BY ALL""")
+@query("risk_gate", "Q5 S7", f"""
+SELECT valid AS valid_records, received - valid AS skipped_records, CASE WHEN received = 0 THEN 0.0 ELSE round((received - valid) / received * 100.0::DOUBLE, 2) END AS rejection_pct,
+  CASE WHEN valid = 0 THEN 'FAILED' ELSE 'WARNING' END AS status, CASE event_id % 89 WHEN 5 THEN 'unreadable' WHEN 6 THEN 'empty' END AS defect, count(*) AS payloads
+FROM (SELECT event_id, CASE WHEN event_id % 89 IN (5, 6) THEN 0 ELSE 3 END::BIGINT AS received,
+  CASE WHEN event_id % 89 IN (5, 6) OR v IN (0, 2, 3, 4, 5, 7, 10, 11) THEN 0 ELSE 1 END::BIGINT AS valid FROM {_ALL_EV}) GROUP BY ALL""")
 def _(spark, sf):
-    gate = risk_gate(K.risk_tally(_risk_records(spark, sf), ["snapshot_key"]))
-    return gate.groupBy("valid_records", "skipped_records", "rejection_pct", "status").agg(F.count(F.lit(1)).alias("payloads"))
+    tally = K.risk_tally(_risk_records(spark, sf), ["snapshot_key"])
+    gate = risk_gate(with_silent_payloads(tally, P.risk_payloads(spark, sf), ["snapshot_key"]))
+    return gate.groupBy("valid_records", "skipped_records", "rejection_pct", "status", "defect").agg(F.count(F.lit(1)).alias("payloads"))
 
 
 # --- catalog -------------------------------------------------------------------------------------
@@ -177,9 +186,9 @@ def _(spark, sf):
 # --- validation ----------------------------------------------------------------------------------
 
 @query("world_validation", "P13", with_tables("""
-SELECT reason, count(*) AS records FROM (SELECT CASE WHEN NOT regexp_full_match(neows_id, '[1-9][0-9]*') THEN 'missing or malformed neows_id'
-  WHEN name IS NULL THEN 'missing name' WHEN match_state = 'AMBIGUOUS' THEN 'miss_distance_km is not a positive finite number'
-  WHEN match_state = 'UNRESOLVED' THEN 'duplicate neows_id' END AS reason, unnest(CASE WHEN match_state = 'UNRESOLVED' THEN [1, 2] ELSE [1] END)
+SELECT reason, count(*) AS records FROM (SELECT CASE WHEN NOT regexp_full_match(neows_id, '[1-9][0-9]*') THEN 'neows_id: no id'
+  WHEN name IS NULL THEN 'name: no text' WHEN match_state = 'AMBIGUOUS' THEN 'encounter.miss_distance_km: no positive'
+  WHEN match_state = 'UNRESOLVED' THEN 'neows_id: repeated' END AS reason, unnest(CASE WHEN match_state = 'UNRESOLVED' THEN [1, 2] ELSE [1] END)
 FROM wld) GROUP BY 1""", "wld"))
 def _(spark, sf):
     records = world.world_records(_world(spark, sf))
@@ -193,8 +202,8 @@ def _(spark, sf):
 
 
 @query("profile_validation", "P14", with_tables("""
-SELECT reason, count(*) AS records FROM (SELECT CASE WHEN match_state = 'UNRESOLVED' THEN 'encounter.is_sentry_object is not a boolean or null'
-  WHEN match_state = 'AMBIGUOUS' THEN 'section physical is missing' END AS reason FROM wld) GROUP BY 1""", "wld"))
+SELECT reason, count(*) AS records FROM (SELECT CASE WHEN match_state = 'UNRESOLVED' THEN 'encounter.is_sentry_object: no boolean'
+  WHEN match_state = 'AMBIGUOUS' THEN 'physical: no object' END AS reason FROM wld) GROUP BY 1""", "wld"))
 def _(spark, sf):
     profiles = _profile(spark, sf)
     text = F.to_json(F.struct(*profiles.columns), {"ignoreNullFields": "false"})
@@ -221,11 +230,11 @@ def _(spark, sf):
 
 
 @query("approach_csv_roundtrip", "K3 S4", with_tables(
-    "SELECT id, coalesce(name, '') AS name, closest_approach_date, miss_distance_km, hazardous FROM apr WHERE trim(id) <> ''", "apr"))
+    "SELECT id, name, closest_approach_date, miss_distance_km, hazardous FROM apr", "apr"))
 def _(spark, sf):
     path = fresh_path(spark, "csv")
-    sinks.write_csv(D.approaches(spark, sf).filter(F.trim("id") != ""), path)
-    return read_csv(spark, path).withColumn("name", F.coalesce("name", F.lit("")))
+    sinks.write_csv(D.approaches(spark, sf), path)
+    return read_csv(spark, path)
 
 
 @query("lineage_table_roundtrip", "K2 F33", with_tables("""
@@ -254,15 +263,17 @@ def _(spark, sf):
     return per.agg(F.sum("n").alias("children"), F.max("d").alias("last_first_date")).crossJoin(F.broadcast(kept)).crossJoin(F.broadcast(added))
 
 
-@query("raw_replay", "S8 K6 F6", f"""
-SELECT count(*) AS table_rows, sum(miss_distance_km > 0)::BIGINT AS positive, true AS digests_known FROM (
-SELECT o_totalprice AS miss_distance_km FROM {_ORD} WHERE {_OK} UNION ALL SELECT o_totalprice FROM orders)""")
+@query("raw_replay", "S8 K6 F6 Q1", f"""
+SELECT count(*) AS table_rows, sum(o_totalprice) > 0 AS distances, count(DISTINCT o_orderkey) AS documents,
+  (SELECT count(*) FROM {_ALL} WHERE NOT ({_KEPT} AND v >= 14)) AS refused
+FROM {_ORD}, (SELECT unnest([0, 1]) AS record) WHERE v >= 14""")
 def _(spark, sf):
-    # The redacted documents are written as text lines and replayed; their gate figures are per order.
+    # The redacted documents are written as text lines, and each line is replayed as a file would be.
     path = fresh_path(spark, "raw")
     sinks.write_raw(P.approach_payloads(spark, sf), path)
     lines = spark.read.text(path).select(
-        F.md5("value").alias("source_file"), F.sha2("value", 256).alias("source_sha256"), F.col("value").alias("payload"))
-    rows = A.accepted_approaches(approach_records(lines), ingest.SOURCE)
-    return rows.agg(F.count(F.lit(1)).alias("table_rows"), F.count_if(F.col("miss_distance_km") > 0).alias("positive"),
-                    F.min(F.length("source_sha256") == 64).alias("digests_known"))
+        F.concat(F.lit("replay/"), F.sha2("value", 256)).alias("source_file"), F.sha2("value", 256).alias("source_sha256"), F.col("value").alias("payload"))
+    rows, gate = ingest.replay_payloads(lines)
+    stored = rows.agg(F.count(F.lit(1)).alias("table_rows"), (F.sum("miss_distance_km") > 0).alias("distances"),
+                      F.countDistinct("source_raw_sha256").alias("documents"))
+    return stored.crossJoin(F.broadcast(gate.agg(F.count_if(~F.col("gate_passed")).alias("refused"))))

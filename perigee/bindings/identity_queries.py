@@ -31,6 +31,11 @@ def _(spark, sf):
     return D.crosswalk(spark, sf).candidates
 
 
+@query("resolution_links", "C1 J13 F30", with_tables("SELECT * FROM clk", "clk"))
+def _(spark, sf):
+    return D.crosswalk(spark, sf).links
+
+
 @query("resolution_metrics", "A14", with_tables("""
 SELECT *, round(resolved_count / total_evaluated * 100, 2) AS resolution_rate_pct, (SELECT count(*) FROM brg) AS bridge_records_emitted FROM (
 SELECT count(*) AS total_evaluated, count(*) FILTER (match_state = 'RESOLVED') AS resolved_count,

@@ -35,6 +35,11 @@ def _either(condition: Column, yes, no) -> Column:
     return F.when(condition, wrap(yes)).otherwise(wrap(no))
 
 
+def _silenced(doc: Column, turn: Column, first: int, empty: Column) -> Column:
+    """The document, cut short where `turn` is `first` and without records at the next turn."""
+    return F.when(turn == first, F.substring(doc, F.lit(1), F.length(doc) - 2)).when(turn == first + 1, empty).otherwise(doc)
+
+
 def approach_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One feed document per order: a record that may be broken, its copy, and a sound one on another date."""
     orders = _spread(spark, sf_dir, "orders", "o_orderkey")
@@ -68,8 +73,10 @@ def approach_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     main = record(F.concat(F.lit("7"), key.cast("string")), date, True)
     other_day = F.date_format(F.date_sub(F.col("o_orderdate").cast("date"), 1), "yyyy-MM-dd")
     sound = record(F.concat(F.lit("8"), key.cast("string")), other_day, False)
-    near = F.concat(F.lit("{"), _q(date), F.lit(":["), main, F.lit(","), main, F.lit("],"), _q(other_day), F.lit(":["), sound, F.lit("]}"))
-    return orders.select(key.cast("string").alias("source_file"), _obj(near_earth_objects=near).alias("payload"))
+    copy = F.when(v < 14, F.concat(F.lit(","), main)).otherwise(F.lit(""))
+    near = F.concat(F.lit("{"), _q(date), F.lit(":["), main, copy, F.lit("],"), _q(other_day), F.lit(":["), sound, F.lit("]}"))
+    doc = _silenced(_obj(near_earth_objects=near), key % 97, 3, F.concat(F.lit('{"near_earth_objects":{},"n":'), key.cast("string"), F.lit("}")))
+    return orders.select(key.cast("string").alias("source_file"), doc.alias("payload"))
 
 
 def risk_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +96,7 @@ def risk_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         h=_either(v == 6, '" "', _either(v == 7, '"x"', '"18.5"')), diameter='"0.66"', last_obs_jd="2444222.5",
     )
     doc = _obj(data=F.concat(F.lit("["), rec, F.lit(","), rec, F.lit(",3]")))
+    doc = _silenced(doc, key % 89, 5, F.lit('{"data":[]}'))
     return events.select(
         key.alias("file_no"), F.lit(RUN["run_id"]).alias("run_id"), F.lit(RUN["snapshot_time"]).alias("snapshot_time"),
         F.concat(F.lit("2024-03-01#"), key.cast("string")).alias("snapshot_key"), doc.alias("payload"))

@@ -79,7 +79,8 @@ def _(spark, sf):
 
 @query("strict_numbers", "F5 F31", """
 SELECT event_id, CASE WHEN event_id % 5 IN (0, 1) THEN value END AS number, CASE WHEN event_id % 5 = 0 AND value > 100 THEN value END AS above_100,
-  CASE WHEN event_id % 5 = 4 THEN floor(value)::BIGINT END AS whole, CASE WHEN event_id % 5 <> 0 THEN value END AS not_nan FROM events""")
+  CASE WHEN event_id % 5 = 4 THEN floor(value)::BIGINT END AS whole, CASE WHEN event_id % 5 <> 0 THEN value END AS not_nan,
+  CASE event_id % 4 WHEN 0 THEN 1e100 WHEN 1 THEN 1e308 WHEN 2 THEN 1e200 END AS large FROM events""")
 def _(spark, sf):
     v = F.col("value").cast("string")
     kind = F.col("event_id") % 5
@@ -88,8 +89,10 @@ def _(spark, sf):
     whole = F.when(kind == 4, F.concat(F.lit("+"), F.floor("value").cast("string"))).otherwise(F.concat(F.floor("value").cast("string"), F.lit(".5")))
     number = numbers.to_double(written)
     maybe_nan = F.when(kind == 0, F.lit(float("nan"))).otherwise(F.col("value"))
+    turn = F.col("event_id") % 4
+    large = F.when(turn == 0, "1e100").when(turn == 1, "1E+308").when(turn == 2, "1" + "0" * 200).otherwise("1e400")
     return D.table(spark, sf, "events").select(
-        "event_id", number.alias("number"), numbers.above(F.when(kind == 0, number), 100.0).alias("above_100"),
+        "event_id", numbers.to_double(large).alias("large"), number.alias("number"), numbers.above(F.when(kind == 0, number), 100.0).alias("above_100"),
         numbers.to_bigint(whole).alias("whole"), numbers.nan_to_null(maybe_nan).alias("not_nan"))
 
 

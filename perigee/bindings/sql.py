@@ -168,14 +168,6 @@ WHERE f.i IS NOT NULL"""),
 
 def _evaluations() -> str:
     n = "NULL"
-    cap = str(R.INLINE_CANDIDATES)
-
-    def many(ids, count):
-        return dict(ids=f"CASE WHEN {count} <= {cap} THEN {ids} END", size=f"CASE WHEN {count} > {cap} THEN {count}::VARCHAR END")
-
-    keys = f"list_transform(ids, lambda e: {key_of('e')})"
-    amb1, con = many(jlist("ids"), "n"), many(jlist("list_filter(dids, lambda s: s <> i)"), "dn")
-    key1 = many(jlist(keys), "n")["ids"]
     parts = [
         _audit("sbdb", "spkid", "coalesce(raw, '')", n, "", n, "INVALID", f"'{R.V.INVALID_IDENTIFIER}'",
                proof(error=_lit(R.NO_CATALOG_ID))) + " FROM hub WHERE spk IS NULL",
@@ -186,8 +178,8 @@ def _evaluations() -> str:
         _audit("neows", "id", "raw", n, "", n, "INVALID", f"'{R.V.INVALID_IDENTIFIER}'",
                proof(error=_lit(R.NO_APPROACH_ID))) + " FROM fd1 WHERE i IS NULL",
         _audit("neows", "id", "i", "i", "spkid", n, "AMBIGUOUS", f"'{R.V.CONTRADICTION}'",
-               proof(error=_lit(R.CONTRADICTORY), id_spkid=jtext("i"), contradicting_spkids=con["ids"], name=jtext("name"),
-                     candidate_count=con["size"])) + " FROM ev1 WHERE direct AND coalesce(other, false)",
+               proof(error=_lit(R.CONTRADICTORY), id_spkid=jtext("i"), name=jtext("name"), normalized_designation=jtext("alias"),
+                     candidate_count="dn::VARCHAR")) + " FROM ev1 WHERE direct AND coalesce(other, false)",
         _audit("neows", "id", "i", "i", "spkid", "i", "RESOLVED", f"'{R.V.EXACT_SPKID}'",
                proof(matched_spkid=jtext("i"), pivot_match=_lit("exact_spkid"), name=jtext("name")))
         + " FROM ev1 WHERE direct AND NOT coalesce(other, false)",
@@ -195,8 +187,8 @@ def _evaluations() -> str:
                proof(matched_sbdb_des=jtext("des"), matched_spkid=jtext("spk"), name=jtext("name"), normalized_designation=jtext("alias"),
                      resolution_rule=jtext("rule"), matched_sbdb_field=jtext("field"))) + " FROM ev1 WHERE NOT direct AND n = 1",
         _audit("neows", "id", "i", "alias", "des", n, "AMBIGUOUS", f"'{R.V.COLLISION}'",
-               proof(conflicting_keys=key1, conflicting_spkids=amb1["ids"], error=_lit(R.APPROACH_COLLISION), name=jtext("name"),
-                     normalized_designation=jtext("alias"), matched_sbdb_field=jtext("field"), candidate_count=amb1["size"]))
+               proof(error=_lit(R.APPROACH_COLLISION), name=jtext("name"), normalized_designation=jtext("alias"),
+                     matched_sbdb_field=jtext("field"), candidate_count="n::VARCHAR"))
         + " FROM ev1 WHERE NOT direct AND n > 1",
         _audit("neows", "id", "i", n, "", n, "UNRESOLVED", f"'{R.V.NO_MATCH}'",
                proof(reason=_lit(R.APPROACH_UNMATCHED), name=jtext("name"), normalized_designation=jtext("alias")))
@@ -209,11 +201,11 @@ def _evaluations() -> str:
         _audit("sentry", "sentry_id", "i", "hub_des", "des", "spk", "RESOLVED", f"'{R.V.RISK_ID_BY_DESIGNATION}'",
                proof(associated_via_sentry_des=jtext("des"), matched_spkid=jtext("spk"), fullname=jtext("fnm"))) + " FROM ev3 WHERE n = 1",
         _audit("sentry", "des", "des", "des", "des", n, "AMBIGUOUS", f"'{R.V.COLLISION}'",
-               proof(error=_lit(R.RISK_COLLISION), conflicting_spkids=amb1["ids"], conflicting_keys=key1, fullname=jtext("fnm"),
-                     candidate_count=amb1["size"])) + " FROM ev3 WHERE n > 1",
+               proof(error=_lit(R.RISK_COLLISION), normalized_designation=jtext("alias"), fullname=jtext("fnm"),
+                     candidate_count="n::VARCHAR")) + " FROM ev3 WHERE n > 1",
         _audit("sentry", "sentry_id", "i", "des", "des", n, "AMBIGUOUS", f"'{R.V.COLLISION}'",
-               proof(error=_lit(R.RISK_ID_COLLISION), conflicting_spkids=amb1["ids"], fullname=jtext("fnm"),
-                     candidate_count=amb1["size"])) + " FROM ev3 WHERE n > 1",
+               proof(error=_lit(R.RISK_ID_COLLISION), normalized_designation=jtext("alias"), fullname=jtext("fnm"),
+                     candidate_count="n::VARCHAR")) + " FROM ev3 WHERE n > 1",
         _audit("sentry", "des", "des", n, "", n, "UNRESOLVED", f"'{R.V.NO_MATCH}'",
                proof(reason=_lit(R.RISK_UNMATCHED), normalized=jtext("alias"), fullname=jtext("fnm"))) + " FROM ev3 WHERE n = 0",
         _audit("sentry", "sentry_id", "i", n, "", n, "UNRESOLVED", f"'{R.V.NO_MATCH}'",
@@ -223,18 +215,24 @@ def _evaluations() -> str:
 
 
 TABLES["evl"] = (["hub", "fd1", "ev1", "fd3", "ev3"], _evaluations())
-_COMPETING = jlist("list_sort(list(DISTINCT ky) FILTER (ky IS NOT NULL))")
 TABLES["fin"] = (["evl"], f"""
 SELECT sys, nm, val, count(DISTINCT ky) AS nkeys, min(ky) AS ky,
   arg_max(st, (sev, st, rl, tsys, tnm, tval, ev)) AS st, arg_max(rl, (sev, st, rl, tsys, tnm, tval, ev)) AS rl,
   arg_max(coalesce(tsys, chr(1)), (sev, st, rl, tsys, tnm, tval, ev)) AS tsys,
   arg_max(coalesce(tnm, chr(1)), (sev, st, rl, tsys, tnm, tval, ev)) AS tnm,
   arg_max(coalesce(tval, chr(1)), (sev, st, rl, tsys, tnm, tval, ev)) AS tval, arg_max(ev, (sev, st, rl, tsys, tnm, tval, ev)) AS ev,
-  {proof(error=_lit(R.COMPETING_KEYS), competing_keys=f"CASE WHEN count(DISTINCT ky) <= {R.INLINE_CANDIDATES} THEN {_COMPETING} END",
-         candidate_count=f"CASE WHEN count(DISTINCT ky) > {R.INLINE_CANDIDATES} THEN count(DISTINCT ky)::VARCHAR END")} AS clash
+  {proof(error=_lit(R.COMPETING_KEYS), candidate_count="count(DISTINCT ky)::VARCHAR")} AS clash
 FROM (SELECT *, CASE WHEN spk IS NOT NULL THEN {key_of('spk')} END AS ky,
         CASE st WHEN 'RESOLVED' THEN 1 WHEN 'UNRESOLVED' THEN 2 WHEN 'INVALID' THEN 3 ELSE 4 END AS sev FROM evl)
 GROUP BY sys, nm, val""")
+TABLES["clk"] = (["ev1", "ev3", "evl", "fin"], f"""
+SELECT 'neows' AS source_system, 'id' AS identifier_name, i AS source_identifier_value, 'CONTRADICTORY_CANDIDATE_QUARANTINE' AS kind, alias,
+  NULL::VARCHAR AS candidate_key FROM ev1 WHERE direct AND coalesce(other, false)
+UNION SELECT 'neows', 'id', i, 'DUPLICATE_COLLISION_QUARANTINE', alias, NULL FROM ev1 WHERE NOT direct AND n > 1
+UNION SELECT 'sentry', 'des', des, 'DUPLICATE_COLLISION_QUARANTINE', alias, NULL FROM ev3 WHERE n > 1
+UNION SELECT 'sentry', 'sentry_id', i, 'DUPLICATE_COLLISION_QUARANTINE', alias, NULL FROM ev3 WHERE n > 1
+UNION SELECT e.sys, e.nm, e.val, 'COMPETING_KEYS', NULL, {key_of('e.spk')} FROM evl e JOIN fin f
+  ON f.sys = e.sys AND f.nm = e.nm AND f.val = e.val AND f.nkeys > 1 WHERE e.spk IS NOT NULL""")
 TABLES["aud"] = (["fin"], f"""
 SELECT '{RUN_ID}' AS resolution_run_id, '{RESOLVED_AT}' AS resolved_at, sys AS source_system, nm AS identifier_name,
   val AS source_identifier_value, nullif(tsys, chr(1)) AS matched_target_system, nullif(tnm, chr(1)) AS matched_target_identifier_name,

@@ -5,18 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The number alone, between blanks; anything else gives the empty text, which casts to NULL. At most
-# 200 digits and a positive exponent of two digits keep every accepted value finite.
-_DECIMAL = (
-    r"(?U)^[\s\x1c-\x1f]*([+-]?([0-9]{1,200}(\.[0-9]{0,200})?|\.[0-9]{1,200})([eE](-[0-9]{1,4}|\+?[0-9]{1,2}))?)"
-    r"[\s\x1c-\x1f]*$"
-)
+# The number alone, between blanks; anything else gives the empty text, which casts to NULL.
+_DECIMAL = r"(?U)^[\s\x1c-\x1f]*([+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?)[\s\x1c-\x1f]*$"
 _INTEGER = r"(?U)^[\s\x1c-\x1f]*([+-]?[0-9]+)[\s\x1c-\x1f]*$"
 
 
 def to_double(text: Column) -> Column:
-    """A finite double, or NULL. Type suffixes, digit separators, NaN and infinities are malformed."""
-    return F.regexp_extract(text, _DECIMAL, 1).try_cast("double")
+    """A finite double, or NULL, of any length. Type suffixes, digit separators, NaN and infinities are
+    malformed, and so is a number too large for a double."""
+    value = F.regexp_extract(text, _DECIMAL, 1).try_cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def to_bigint(text: Column) -> Column:

@@ -95,11 +95,12 @@ def judge_approaches(records: DataFrame, scope: list[str]) -> DataFrame:
     return fielded.drop("record_json", "t", "y", "numbers").withColumn("reject_reason", _defect()).drop(*parts)
 
 
-def accepted_approaches(records: DataFrame, scope: list[str]) -> DataFrame:
-    """The table rows: sound records, the first of each (id, date) within its payload (`scope`)."""
+def accepted_approaches(records: DataFrame, scope: list[str], placed: bool = False) -> DataFrame:
+    """The table rows: sound records, the first of each (id, date) within its payload (`scope`), with
+    their place in it if `placed`."""
     sound = judge_approaches(records, scope).filter(F.col("reject_reason").isNull())
     kept = first_by(sound, [*scope, "id", "closest_approach_date"], PLACE)
-    return kept.select(*scope, *table_columns("asteroids"))
+    return kept.select(*scope, *(PLACE if placed else []), *table_columns("asteroids"))
 
 
 def classified_approaches(records: DataFrame, scope: list[str]) -> DataFrame:

@@ -65,6 +65,19 @@ def distinct_identifiers(bridge: DataFrame, system: str, name: str) -> DataFrame
     return bridge.filter(wanted & (F.col("identifier_value") != "")).select("asteroid_key", "identifier_value").distinct()
 
 
-def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """The incoming rows, one per key, whose key is not in the target."""
-    return incoming.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti")
+def insert_if_absent(
+    target: DataFrame, incoming: DataFrame, keys: list[str], order: list[str] | None = None, between: str | None = None,
+) -> DataFrame:
+    """The incoming rows, one per key, whose key is not in the target.
+
+    Of several incoming copies the first by `order` stays, then the smallest by the other columns; the
+    order columns are left out of the result unless the target has them. With `between`, one of the
+    keys, only the target's rows in the incoming range of that column are read.
+    """
+    order = order or []
+    fresh = first_by(incoming, keys, order)
+    if between:
+        low, high = incoming.agg(F.min(between), F.max(between)).first()
+        target = target.filter(F.col(between).between(F.lit(low), F.lit(high)))
+    kept = fresh.drop(*[c for c in order if c not in target.columns])
+    return kept.join(target.select(*keys), keys, "left_anti")

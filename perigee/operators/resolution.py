@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perigee import vocabulary as V
@@ -17,9 +17,10 @@ from perigee.functions.keys import entity_key
 from perigee.functions.text import blank_to_null, normalize_designation
 from perigee.runtime import attach, materialize, pinned
 
-# Candidate lists up to this long are written into the evidence. A longer list is given by its size,
-# and `candidates` of the result holds it in full, one row per candidate.
-INLINE_CANDIDATES = 100
+# Evidence gives the number of candidates. The candidates themselves are rows: `links` leads from an
+# identifier to an alias or to its competing keys, and `candidates` from an alias to its objects, so an
+# alias shared by many objects and named by many identifiers is listed once.
+COMPETING = "COMPETING_KEYS"
 
 # Texts stored in the evidence; fixed values.
 NO_CATALOG_ID = "Missing or empty SBDB SPK-ID"
@@ -38,10 +39,15 @@ COMPETING_KEYS = "Source identifier mapped to multiple competing asteroid_keys"
 
 @dataclass(frozen=True)
 class Crosswalk:
-    """`identifiers` has one row per (source_system, identifier_name, value) and feeds the other two."""
+    """`identifiers` has one row per (source_system, identifier_name, value) and feeds bridge and audit.
+
+    `links` has one row per ambiguous identifier and alias or competing key; `candidates` has one per
+    (alias, object).
+    """
 
     identifiers: DataFrame
     candidates: DataFrame
+    links: DataFrame
 
     @property
     def bridge(self) -> DataFrame:
@@ -99,9 +105,9 @@ def hub_aliases(catalog: DataFrame, hub: DataFrame) -> DataFrame:
 
 
 def alias_index(pairs: DataFrame) -> DataFrame:
-    """One row per alias: candidate counts, the sole candidate, and bounded candidate lists."""
+    """One row per alias: candidate counts and the sole candidate."""
     is_des, is_other = F.col("des_entities") > 0, F.col("by_fullname") | F.col("by_alternate")
-    counts = pairs.groupBy("alias").agg(
+    return pairs.groupBy("alias").agg(
         F.sum("des_entities").alias("des_count"),
         F.min(F.when(is_des, F.col("spkid"))).alias("des_first"),
         F.max(F.when(is_des, F.col("spkid"))).alias("des_last"),
@@ -111,31 +117,13 @@ def alias_index(pairs: DataFrame) -> DataFrame:
         F.max("other_designation").alias("other_designation"),
         F.max("by_fullname").alias("other_by_fullname"),
     )
-    return counts.join(_short_lists(pairs, is_des, is_other), "alias", "left")
-
-
-def _short_lists(pairs: DataFrame, is_des: Column, is_other: Column) -> DataFrame:
-    """The first few candidates per alias and family. The row_number filter is also applied before
-    the shuffle (window group limit), so each task sends at most that many rows of a hot alias."""
-    family = F.explode(F.array_compact(F.array(
-        F.when(is_des, F.struct(F.lit("des").alias("family"), F.col("des_entities").alias("times"))),
-        F.when(is_other, F.struct(F.lit("other").alias("family"), F.lit(1).cast("bigint").alias("times"))),
-    )))
-    rows = pairs.select("alias", "spkid", family.alias("x")).select("alias", "spkid", "x.family", "x.times")
-    ranked = rows.withColumn("rn", F.row_number().over(Window.partitionBy("alias", "family").orderBy("spkid")))
-    few = ranked.filter(F.col("rn") <= INLINE_CANDIDATES)
-    listed = F.sort_array(F.collect_list(F.struct("spkid", F.least("times", F.lit(INLINE_CANDIDATES)).cast("int").alias("times"))))
-    spread = lambda a: F.flatten(F.transform(a, lambda e: F.array_repeat(e["spkid"], e["times"])))
-    lists = few.groupBy("alias", "family").agg(spread(listed).alias("ids"))
-    return lists.groupBy("alias").agg(
-        F.max(F.when(F.col("family") == "des", F.col("ids"))).alias("des_ids"),
-        F.max(F.when(F.col("family") == "other", F.col("ids"))).alias("other_ids"),
-    )
 
 
 def _audit_row(system: Column | str, name: str, value: Column, state: str, rule: Column | str, proof: Column,
-               target: Column | None = None, target_name: str | None = None, spkid: Column | None = None) -> Column:
-    """One audit row as a struct; `spkid` is the matched object of a resolved row."""
+               target: Column | None = None, target_name: str | None = None, spkid: Column | None = None,
+               alias: Column | None = None) -> Column:
+    """One audit row as a struct; `spkid` is the matched object of a resolved row, `alias` leads to the
+    candidates of an ambiguous one."""
     text = F.lit(None).cast("string")
     matched = target is not None
     return F.struct(
@@ -146,6 +134,7 @@ def _audit_row(system: Column | str, name: str, value: Column, state: str, rule:
         (F.lit(target_name) if matched else text).alias("matched_target_identifier_name"),
         (target if matched else text).alias("matched_target_identifier_value"),
         (spkid if spkid is not None else text).alias("matched_spkid"),
+        (alias if alias is not None else text).alias("candidates_alias"),
         F.lit(state).alias("match_state"),
         (rule if isinstance(rule, Column) else F.lit(rule)).alias("match_rule"),
         proof.alias("evidence_json"),
@@ -173,16 +162,6 @@ def catalog_audit(hub: DataFrame) -> DataFrame:
     return _expand(hub, F.when(sound, pivot).otherwise(invalid), F.when(sound & des.isNotNull(), named))
 
 
-def _listing(ids: Column, total: Column) -> tuple[Column, Column]:
-    """The candidate list when it is complete, else NULL with the size to report instead."""
-    whole = total <= INLINE_CANDIDATES
-    return F.when(whole, ids), F.when(~whole, total)
-
-
-def _keys_of(ids: Column) -> Column:
-    return F.transform(ids, entity_key)
-
-
 def approach_audit(approaches: DataFrame, hub: DataFrame, aliases: DataFrame) -> DataFrame:
     """One row per distinct (id, name): by id, else by designation, else by full name and alternates."""
     feed = approaches.select(F.col("id").alias("raw_id"), "name").distinct().select(
@@ -213,18 +192,13 @@ def approach_audit(approaches: DataFrame, hub: DataFrame, aliases: DataFrame) ->
     )
     matched = F.when(use_des, F.col("des_first")).otherwise(F.col("other_spkid"))
     matched_des = F.when(use_des, F.col("des_designation")).otherwise(F.col("other_designation"))
-    ids = F.when(use_des, F.col("des_ids")).otherwise(F.col("other_ids"))
-    ids, hidden = _listing(ids, total)
-    others, others_hidden = _listing(F.filter("des_ids", lambda s: s != ident), des_count)
-
     invalid = _audit_row(
         V.APPROACH_FEED, "id", F.coalesce("raw_id", F.lit("")), V.INVALID, V.INVALID_IDENTIFIER,
         evidence(error=F.lit(NO_APPROACH_ID)))
     contradiction = _audit_row(
         V.APPROACH_FEED, "id", ident, V.AMBIGUOUS, V.CONTRADICTION,
-        evidence(error=F.lit(CONTRADICTORY), id_spkid=ident, contradicting_spkids=others, name=name,
-                 candidate_count=others_hidden),
-        ident, "spkid")
+        evidence(error=F.lit(CONTRADICTORY), id_spkid=ident, name=name, normalized_designation=alias, candidate_count=des_count),
+        ident, "spkid", alias=alias)
     direct_row = _audit_row(
         V.APPROACH_FEED, "id", ident, V.RESOLVED, V.EXACT_SPKID,
         evidence(matched_spkid=ident, pivot_match=F.lit("exact_spkid"), name=name), ident, "spkid", ident)
@@ -235,9 +209,9 @@ def approach_audit(approaches: DataFrame, hub: DataFrame, aliases: DataFrame) ->
         matched_des, "des", matched)
     several = _audit_row(
         V.APPROACH_FEED, "id", ident, V.AMBIGUOUS, V.COLLISION,
-        evidence(conflicting_keys=_keys_of(ids), conflicting_spkids=ids, error=F.lit(APPROACH_COLLISION), name=name,
-                 normalized_designation=alias, matched_sbdb_field=field, candidate_count=hidden),
-        alias, "des")
+        evidence(error=F.lit(APPROACH_COLLISION), name=name, normalized_designation=alias, matched_sbdb_field=field,
+                 candidate_count=total),
+        alias, "des", alias=alias)
     nothing = _audit_row(
         V.APPROACH_FEED, "id", ident, V.UNRESOLVED, V.NO_MATCH,
         evidence(reason=F.lit(APPROACH_UNMATCHED), name=name, normalized_designation=alias))
@@ -265,7 +239,6 @@ def risk_audit(risk: DataFrame, aliases: DataFrame) -> DataFrame:
     found = attach(feed, aliases.withColumnRenamed("alias", "hub_alias"), "alias", "hub_alias", spread=["raw_id"])
     count = F.coalesce("des_count", F.lit(0))
     matched, matched_des = F.col("des_first"), F.coalesce("des_designation", "des")
-    ids, hidden = _listing(F.col("des_ids"), count)
 
     sole = F.array(
         _audit_row(V.RISK_FEED, "des", des, V.RESOLVED, V.EXACT_DESIGNATION,
@@ -277,11 +250,11 @@ def risk_audit(risk: DataFrame, aliases: DataFrame) -> DataFrame:
     )
     several = F.array(
         _audit_row(V.RISK_FEED, "des", des, V.AMBIGUOUS, V.COLLISION,
-                   evidence(error=F.lit(RISK_COLLISION), conflicting_spkids=ids, conflicting_keys=_keys_of(ids),
-                            fullname=full, candidate_count=hidden), des, "des"),
+                   evidence(error=F.lit(RISK_COLLISION), normalized_designation=F.col("alias"), fullname=full,
+                            candidate_count=count), des, "des", alias=F.col("alias")),
         _audit_row(V.RISK_FEED, "sentry_id", ident, V.AMBIGUOUS, V.COLLISION,
-                   evidence(error=F.lit(RISK_ID_COLLISION), conflicting_spkids=ids, fullname=full,
-                            candidate_count=hidden), des, "des"),
+                   evidence(error=F.lit(RISK_ID_COLLISION), normalized_designation=F.col("alias"), fullname=full,
+                            candidate_count=count), des, "des", alias=F.col("alias")),
     )
     nothing = F.array(
         _audit_row(V.RISK_FEED, "des", des, V.UNRESOLVED, V.NO_MATCH,
@@ -299,29 +272,24 @@ def risk_audit(risk: DataFrame, aliases: DataFrame) -> DataFrame:
 IDENTIFIER = ["source_system", "identifier_name", "source_identifier_value"]
 
 
-def collapse(evaluations: DataFrame, run_id: str, resolved_at: str) -> DataFrame:
-    """One row per identifier: the most conservative evaluation, and its single key if it has one.
-
-    An identifier that reached two keys is quarantined: no bridge row, and an AMBIGUOUS audit.
-    """
+def evaluated_pairs(evaluations: DataFrame) -> DataFrame:
+    """One row per identifier and key, or alias of its candidates, with the most conservative verdict."""
     severity = F.create_map(*[F.lit(x) for kv in V.STATE_SEVERITY.items() for x in kv])
     verdict = F.struct(
         severity[F.col("match_state")].alias("severity"), "match_state", "match_rule", "matched_target_system",
         "matched_target_identifier_name", "matched_target_identifier_value", "evidence_json",
     )
     keyed = evaluations.withColumn("key", F.when(F.col("matched_spkid").isNotNull(), entity_key(F.col("matched_spkid"))))
-    # Both branches below read the pairs, so they are written once.
-    pairs = materialize(keyed.groupBy(*IDENTIFIER, "key").agg(F.max(verdict).alias("verdict")), "evaluations")
-
-    # Competing keys, listed while the list is short.
-    rank = Window.partitionBy(*IDENTIFIER).orderBy("key")
-    few = pairs.filter(F.col("key").isNotNull()).withColumn("rn", F.row_number().over(rank))
-    few = few.filter(F.col("rn") <= INLINE_CANDIDATES).groupBy(*IDENTIFIER).agg(
-        F.sort_array(F.collect_list("key")).alias("competing"))
-    one = pairs.groupBy(*IDENTIFIER).agg(
+    return keyed.groupBy(*IDENTIFIER, "key", "candidates_alias").agg(F.max(verdict).alias("verdict"))
+
+
+def collapse(pairs: DataFrame, run_id: str, resolved_at: str) -> DataFrame:
+    """One row per identifier: the most conservative evaluation, and its single key if it has one.
+
+    An identifier that reached two keys is quarantined: no bridge row, and an AMBIGUOUS audit.
+    """
+    joined = pairs.groupBy(*IDENTIFIER).agg(
         F.count("key").alias("key_count"), F.min("key").alias("first_key"), F.max("verdict").alias("v"))
-    joined = one.join(few, IDENTIFIER, "left")
-    competing, hidden = _listing(F.col("competing"), F.col("key_count"))
     clash = F.col("key_count") > 1
     v = F.col("v")
     state = F.when(clash, V.AMBIGUOUS).otherwise(v["match_state"])
@@ -335,12 +303,23 @@ def collapse(evaluations: DataFrame, run_id: str, resolved_at: str) -> DataFrame
         F.when(state == V.RESOLVED, F.col("first_key")).alias("assigned_asteroid_key"),
         state.alias("match_state"),
         F.when(clash, V.COLLISION).otherwise(v["match_rule"]).alias("match_rule"),
-        F.when(clash, evidence(error=F.lit(COMPETING_KEYS), competing_keys=competing, candidate_count=hidden))
+        F.when(clash, evidence(error=F.lit(COMPETING_KEYS), candidate_count=F.col("key_count")))
         .otherwise(v["evidence_json"]).alias("evidence_json"),
         F.when(F.col("key_count") == 1, F.col("first_key")).alias("bridge_key"),
     )
 
 
+def candidate_links(pairs: DataFrame) -> DataFrame:
+    """Where the candidates of ambiguous identifiers are: under an alias, or the competing keys themselves."""
+    by_alias = pairs.filter(F.col("candidates_alias").isNotNull()).select(
+        *IDENTIFIER, F.col("verdict.match_rule").alias("kind"), F.col("candidates_alias").alias("alias"), F.lit(None).cast("string").alias("candidate_key"))
+    keyed = pairs.filter(F.col("key").isNotNull())
+    several = keyed.groupBy(*IDENTIFIER).agg(F.count("key").alias("n")).filter("n > 1").drop("n")
+    competing = keyed.join(several, IDENTIFIER, "left_semi").select(
+        *IDENTIFIER, F.lit(COMPETING).alias("kind"), F.lit(None).cast("string").alias("alias"), F.col("key").alias("candidate_key"))
+    return by_alias.unionByName(competing)
+
+
 def bridge_of(identifiers: DataFrame) -> DataFrame:
     is_pivot = (F.col("source_system") == V.CATALOG_FEED) & (F.col("identifier_name") == "spkid")
     return identifiers.filter(F.col("bridge_key").isNotNull()).select(
@@ -366,8 +345,8 @@ def resolve(approaches: DataFrame, catalog: DataFrame, risk: DataFrame, run_id:
     """Resolve the three feeds. Reads id/name, spkid/designation/fullname/alternate_designations and
     sentry_id/designation/fullname; anything else in the inputs is pruned away. Intermediate tables
     are written to the shared folder, so this runs jobs; the final collapse stays lazy."""
-    # The hub, its aliases and their index are each read several times; written once, they cost one
-    # pass over the catalog and the joins know their sizes.
+    # The hub, its aliases and their index are each read several times; written once, they cost two
+    # reads of the catalog and the joins know their sizes.
     hub = materialize(hub_entities(catalog), "hub")
     pairs = materialize(hub_aliases(catalog, hub), "aliases")
     aliases = materialize(alias_index(pairs), "alias-index")
@@ -378,7 +357,8 @@ def resolve(approaches: DataFrame, catalog: DataFrame, risk: DataFrame, run_id:
     )
     candidates = pairs.select("alias", "spkid", entity_key(F.col("spkid")).alias("asteroid_key"),
                               "des_entities", "by_fullname", "by_alternate")
-    return Crosswalk(collapse(evaluations, run_id, resolved_at), candidates)
+    evaluated = materialize(evaluated_pairs(evaluations), "evaluations")
+    return Crosswalk(collapse(evaluated, run_id, resolved_at), candidates, candidate_links(evaluated))
 
 
 def resolution_metrics(audit: DataFrame, bridge: DataFrame) -> DataFrame:

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perigee.runtime import materialize
-
 
 def pivot_values(df: DataFrame, keys: list[str], name: str, value: str, columns: dict[str, str]) -> DataFrame:
     """Long to wide: one column per (output -> stored name), the largest value of each."""
@@ -41,38 +39,14 @@ def duplicated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
-# A page that starts further in is found through the sorted files instead of a top-k on the driver.
-DEEP_OFFSET = 100_000
-
-
-def _deep_page(df: DataFrame, order: list[Column], limit: int, offset: int) -> DataFrame:
-    """Sort once into files, count rows per file, and read only the files the page touches.
-
-    A global sort writes its partitions in order, so file names sort like the rows; the running
-    count is over one row per file.
-    """
-    ordered = materialize(df.orderBy(*order), "ordered").withColumn("__file", F.element_at(F.split(F.input_file_name(), "/"), -1))
-    files = ordered.groupBy("__file").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.orderBy("__file"))
-    files = files.withColumn("__first", upto - F.col("n")).filter(
-        (F.col("__first") < offset + limit) & (F.col("__first") + F.col("n") > offset))
-    skipped = files.agg(F.min("__first").alias("skipped")).first()["skipped"]  # one number
-    if skipped is None:
-        return df.limit(0)
-    kept = ordered.join(files.select("__file"), "__file", "left_semi").drop("__file")
-    return kept.orderBy(*order).offset(offset - skipped).limit(limit)
-
-
-def page(
-    df: DataFrame, order: list[str], limit: int = 50, offset: int = 0, deep_from: int = DEEP_OFFSET,
-) -> tuple[DataFrame, DataFrame]:
+def page(df: DataFrame, order: list[str], limit: int = 50, offset: int = 0) -> tuple[DataFrame, DataFrame]:
     """One page in a total order, and a one-row frame with the total before slicing."""
     if not 1 <= limit <= 500:
         raise ValueError("limit must lie in 1..500")
     if offset < 0:
         raise ValueError("offset must not be negative")
     ascending = [F.col(c).asc_nulls_last() for c in order]
-    rows = _deep_page(df, ascending, limit, offset) if offset >= deep_from else df.orderBy(*ascending).offset(offset).limit(limit)
+    rows = df.orderBy(*ascending).offset(offset).limit(limit)
     total = df.agg(F.count(F.lit(1)).alias("total")).select(
         "total", F.lit(limit).alias("limit"), F.lit(offset).alias("offset"),
         F.greatest(F.lit(0), F.least(F.lit(limit), F.col("total") - offset)).cast("bigint").alias("returned"),

@@ -10,10 +10,11 @@ from perigee.functions.text import is_number, is_object, leaf_text
 from perigee.runtime import attach, pinned
 
 UNIT_TOLERANCE = 1e-6
+ID_DIGITS = r"^[1-9][0-9]*$"
 CATALOG_STATUSES = [V.AVAILABLE, V.NOT_RESOLVED, V.NOT_PRESENT]
 RISK_STATUSES = [V.AVAILABLE, V.NOT_RESOLVED, V.NOT_PRESENT, V.LINK_AMBIGUOUS, V.LINKED_NO_RECORD]
 
-# The profile fields that are shown, by section and kind.
+# The profile fields that are shown, by section and kind; names as served.
 PROFILE_FIELDS = {
     "identity": {
         "name": "string", "neows_id": "string", "match_state": "string", "sbdb_spkid": "string",
@@ -60,40 +61,62 @@ def _double(record: Column, path: str) -> Column:
     return F.try_variant_get(record, path, "double")
 
 
+# What is judged in a world record: (path, kind, null allowed). The blocks come first, as their fields
+# mean nothing without them.
+WORLD_RULES = [
+    ("encounter", "object", False), ("illustrative_direction", "object", False),
+    ("neows_id", "id", False), ("name", "text", False), ("asteroid_key", "string", True),
+    ("resolution.match_state", V.MATCH_STATES, False), ("sbdb.status", CATALOG_STATUSES, False), ("sentry.status", RISK_STATUSES, False),
+    ("sentry.in_latest_catalog", "boolean", True),
+    ("encounter.closest_approach_date", "string", False), ("encounter.close_approach_datetime", "string", True),
+    ("encounter.miss_distance_km", "positive", False), ("encounter.is_potentially_hazardous", "boolean", True),
+    ("encounter.relative_velocity_km_s", "number", True), ("encounter.estimated_diameter_min_km", "number", True),
+    ("encounter.estimated_diameter_max_km", "number", True),
+    *[(f"illustrative_direction.{c}", "number", False) for c in "xyz"],
+]
+
+
+def _meets(record: Column, path: str, kind: str | list[str], nullable: bool) -> Column:
+    """Whether one field is as a rule says."""
+    place = f"$.{path}"
+    if isinstance(kind, list):
+        good = leaf_text(record, place).isin(kind)
+    elif kind == "object":
+        good = is_object(record, place)
+    elif kind == "id":
+        good = _is(record, place, "string", False) & leaf_text(record, place).rlike(ID_DIGITS)
+    elif kind == "text":
+        good = _is(record, place, "string", False) & (leaf_text(record, place) != "")
+    elif kind == "positive":
+        good = _is(record, place, "number", False) & (_double(record, place) > 0)
+    else:
+        good = _is(record, place, kind, nullable)
+    return F.coalesce(good, F.lit(False))
+
+
+def _code(path: str, kind: str | list[str]) -> str:
+    return f"{path}: {'unknown value' if isinstance(kind, list) else 'no ' + kind}"
+
+
 def world_defect(record: Column) -> Column:
-    """Reason a world record is unusable, in the order the fields are judged."""
-    e, d = "$.encounter", "$.illustrative_direction"
-    km = _double(record, f"{e}.miss_distance_km")
-    x, y, z = (_double(record, f"{d}.{c}") for c in "xyz")
-    finite = F.lit(True)
-    for c in "xyz":
-        finite = finite & _is(record, f"{d}.{c}", "number", nullable=False)
-    norm = F.sqrt(x * x + y * y + z * z)
-    reason = (
-        F.when(record.isNull() | ~F.coalesce(F.schema_of_variant(record).startswith("OBJECT"), F.lit(False)),
-               "record is not an object")
-        .when(~(_is(record, "$.neows_id", "string", False) & F.coalesce(leaf_text(record, "$.neows_id").rlike(r"^[1-9][0-9]*$"), F.lit(False))),
-              "missing or malformed neows_id")
-        .when(~(_is(record, "$.name", "string", False) & (F.coalesce(leaf_text(record, "$.name"), F.lit("")) != "")), "missing name")
-        .when(~_is(record, "$.asteroid_key", "string", True), "asteroid_key has the wrong type")
-        .when(~is_object(record, e), "missing encounter")
-        .when(~_is(record, f"{e}.closest_approach_date", "string", False), "missing closest_approach_date")
-        .when(~(_is(record, f"{e}.miss_distance_km", "number", False) & F.coalesce(km > 0, F.lit(False))),
-              "miss_distance_km is not a positive finite number")
-        .when(~_is(record, f"{e}.close_approach_datetime", "string", True), "close_approach_datetime has the wrong type")
-        .when(~_is(record, f"{e}.is_potentially_hazardous", "boolean", True), "is_potentially_hazardous is not true/false/null")
-    )
-    for field in ("relative_velocity_km_s", "estimated_diameter_min_km", "estimated_diameter_max_km"):
-        reason = reason.when(~_is(record, f"{e}.{field}", "number", True), f"{field} is not a finite number or null")
-    member = lambda path, allowed: F.coalesce(leaf_text(record, path).isin(allowed), F.lit(False))
+    """Code of the first rule that a world record breaks, NULL for a sound one."""
+    whole = F.coalesce(F.schema_of_variant(record).startswith("OBJECT"), F.lit(False))
+    reason = F.when(~whole, "record: no object")
+    for path, kind, nullable in WORLD_RULES:
+        reason = reason.when(~_meets(record, path, kind, nullable), _code(path, kind))
+    length = F.sqrt(sum((F.pow(_double(record, f"$.illustrative_direction.{c}"), F.lit(2)) for c in "xyz"), F.lit(0.0)))
+    return reason.when(F.abs(length - 1.0) > UNIT_TOLERANCE, "illustrative_direction: no unit vector")
+
+
+def envelope_defect(record: Column, algorithms: list[str]) -> Column:
+    """Code of what is wrong with the envelope of a world response: its lists, header or direction algorithm."""
+    header = "$.metadata"
     return (
-        reason.when(~member("$.resolution.match_state", V.MATCH_STATES), "unknown resolution.match_state")
-        .when(~member("$.sbdb.status", CATALOG_STATUSES), "unknown sbdb.status")
-        .when(~member("$.sentry.status", RISK_STATUSES), "unknown sentry.status")
-        .when(~_is(record, "$.sentry.in_latest_catalog", "boolean", True), "sentry.in_latest_catalog is not true/false/null")
-        .when(~is_object(record, d), "missing illustrative_direction")
-        .when(~finite, "illustrative_direction has non-finite components")
-        .when(F.abs(norm - 1.0) > UNIT_TOLERANCE, "illustrative_direction is not a unit vector")
+        F.when(~F.coalesce(F.schema_of_variant(record).startswith("OBJECT"), F.lit(False)), "response: no object")
+        .when(~F.coalesce(F.schema_of_variant(F.try_variant_get(record, "$.data", "variant")).startswith("ARRAY"), F.lit(False)), "data: no list")
+        .when(~is_object(record, header), "metadata: no object")
+        .when(~_is(record, f"{header}.count", "integer", False), "metadata.count: no integer")
+        .when(~F.coalesce(leaf_text(record, f"{header}.direction_algorithm").isin(algorithms), F.lit(False)), "metadata.direction_algorithm: unknown value")
     )
 
 
@@ -107,26 +130,26 @@ def validate_world(records: DataFrame, text: str = "record_json") -> DataFrame:
         F.col("neows_id").alias("repeated_id"))
     joined = attach(judged, repeated, "neows_id", "repeated_id", spread=[text])
     twice = F.col("reason").isNull() & F.col("repeated_id").isNotNull()
-    return joined.withColumn("reason", F.when(twice, "duplicate neows_id").otherwise(F.col("reason"))).drop("repeated_id")
+    return joined.withColumn("reason", F.when(twice, "neows_id: repeated").otherwise(F.col("reason"))).drop("repeated_id")
 
 
 def profile_defect(record: Column) -> Column:
     """Reason a profile is unusable: any displayed field of the wrong kind fails all of it."""
-    reason = F.when(~_is(record, "$.neows_id", "string", False), "missing neows_id")
+    reason = F.when(~_is(record, "$.neows_id", "string", False), "neows_id: no string")
     for section, fields in PROFILE_FIELDS.items():
-        reason = reason.when(~is_object(record, f"$.{section}"), f"section {section} is missing")
+        reason = reason.when(~is_object(record, f"$.{section}"), f"{section}: no object")
         for name, kind in fields.items():
-            reason = reason.when(~_is(record, f"$.{section}.{name}", kind, True), f"{section}.{name} is not a {kind} or null")
+            reason = reason.when(~_is(record, f"$.{section}.{name}", kind, True), f"{section}.{name}: no {kind}")
         block = f"$.{section}.availability"
         given = _kind(record, block).isNotNull()
         known = F.coalesce(leaf_text(record, f"{block}.status").isin(V.AVAILABLE, V.PARTIAL, V.UNAVAILABLE), F.lit(False))
         reasons = F.map_values(F.try_variant_get(record, f"{block}.unavailable", "map<string, string>"))
         listed = F.coalesce(F.forall(reasons, lambda r: F.coalesce(r.isin(V.UNAVAILABLE_REASONS), F.lit(False))), F.lit(False))
-        reason = reason.when(given & ~(known & is_object(record, f"{block}.unavailable")), f"{section}.availability is malformed")
-        reason = reason.when(given & ~listed, f"{section}.availability has an unknown reason")
+        reason = reason.when(given & ~(known & is_object(record, f"{block}.unavailable")), f"{section}.availability: unknown value")
+        reason = reason.when(given & ~listed, f"{section}.availability: unknown reason")
     return (
         reason.when(~(_is(record, "$.sentry.status", "string", False) & _is(record, "$.sentry.source_contract", "string", False)
-                      & is_object(record, "$.provenance")), "sentry or provenance block is malformed")
+                      & is_object(record, "$.provenance")), "sentry: no status, contract or provenance")
     )
 
 

@@ -6,20 +6,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee.operators.extract_approaches import accepted_approaches, approach_tally
-from perigee.plans.quality import approach_gate, passing
+from perigee.plans.quality import approach_gate, passing, with_silent_payloads
 from perigee.schemas import table_columns
 from perigee.sources.raw import approach_records, payload_files
 
 SOURCE = ["source_file", "source_sha256"]
 
 
-def replay_approaches(spark: SparkSession, raw_path: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of the raw files that pass the gate, stamped with file name and digest; and the gate itself."""
-    records = approach_records(payload_files(spark, raw_path))
-    gate = approach_gate(approach_tally(records, SOURCE))
+def replay_payloads(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the raw documents that pass the gate, stamped with file name and digest; and the gate itself.
+
+    Every document has a row in the gate, also one that can't be read or holds no record.
+    """
+    records = approach_records(payloads)
+    gate = approach_gate(with_silent_payloads(approach_tally(records, SOURCE), payloads, SOURCE))
     rows = passing(accepted_approaches(records, SOURCE), gate, SOURCE)
     named = rows.select(
         *table_columns("asteroids"),
         F.element_at(F.split("source_file", "/"), -1).alias("source_raw_file"),
         F.col("source_sha256").alias("source_raw_sha256"))
     return named, gate
+
+
+def replay_approaches(spark: SparkSession, raw_path: str) -> tuple[DataFrame, DataFrame]:
+    return replay_payloads(payload_files(spark, raw_path))

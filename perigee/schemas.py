@@ -75,7 +75,7 @@ TABLE_DDL = {
     ),
     "relational_asteroids": "asteroid_id string, name string, hazardous boolean",
     "relational_close_approaches": (
-        "approach_id bigint, asteroid_id string, approach_date string, miss_distance_km double"
+        "approach_id string, asteroid_id string, approach_date string, miss_distance_km double"
     ),
 }
 

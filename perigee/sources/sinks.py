@@ -12,7 +12,7 @@ from perigee.operators.resolution import Crosswalk, audit_of, bridge_of, in_orde
 from perigee.runtime import materialize
 from perigee.schemas import table_columns
 from perigee.sources.files import exists
-from perigee.sources.tables import check_contract, read_table
+from perigee.sources.tables import CSV_FORMAT, check_contract, read_table
 
 # Where each dataset is published, below a root; `{name}` is the table.
 LAYOUT = {
@@ -47,7 +47,7 @@ def write_table_with_lineage(df: DataFrame, name: str, path: str, run_id: str, i
 
 def write_csv(df: DataFrame, path: str) -> None:
     """The five legacy columns; anything else is left out."""
-    df.select(*table_columns("asteroids_csv")).write.mode("overwrite").option("header", True).csv(path)
+    df.select(*table_columns("asteroids_csv")).write.mode("overwrite").options(**CSV_FORMAT).csv(path)
 
 
 def publish(df: DataFrame, root: str, moment: Column) -> None:
@@ -64,7 +64,7 @@ def publish(df: DataFrame, root: str, moment: Column) -> None:
 def publish_csv(df: DataFrame, root: str, moment: Column) -> None:
     parted = df.select(*table_columns("asteroids_csv")).withColumns(date_parts(moment))
     (parted.hint("rebalance", "year", "month", "day").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").option("header", True).partitionBy("year", "month", "day").csv(root))
+     .option("partitionOverwriteMode", "dynamic").options(**CSV_FORMAT).partitionBy("year", "month", "day").csv(root))
 
 
 def redact_payloads(payloads: DataFrame, column: str = "payload") -> DataFrame:
@@ -76,26 +76,30 @@ def write_raw(payloads: DataFrame, path: str) -> None:
     redact_payloads(payloads).select("payload").write.mode("overwrite").text(path)
 
 
-def parent_rows(accepted: DataFrame) -> DataFrame:
-    return accepted.select(F.col("id").alias("asteroid_id"), "name", "hazardous")
+def parent_rows(accepted: DataFrame, order: list[str]) -> DataFrame:
+    return accepted.select(F.col("id").alias("asteroid_id"), "name", "hazardous", *order)
 
 
-def child_rows(accepted: DataFrame) -> DataFrame:
+def child_rows(accepted: DataFrame, order: list[str]) -> DataFrame:
     return accepted.select(F.col("id").alias("asteroid_id"), F.col("closest_approach_date").alias("approach_date"),
-                           "miss_distance_km")
+                           "miss_distance_km", *order)
 
 
-def load_relational(spark: SparkSession, accepted: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+def load_relational(spark: SparkSession, accepted: DataFrame, folder: str, order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Append the unseen objects and the unseen (object, date) approaches; returns what was added.
 
-    The surrogate id is a hash of the natural key, so a repeated load gives the same ids.
+    Of several copies the first by `order` stays (columns of `accepted` that give a row's place, not
+    among the loaded ones), then the smallest. The surrogate id is a 128-bit digest of the natural key,
+    so a repeated load gives the same ids.
     """
+    order = order or []
     parents_path, children_path = f"{folder}/asteroids", f"{folder}/close_approaches"
     parents = read_table(spark, parents_path, "relational_asteroids")
     children = read_table(spark, children_path, "relational_close_approaches")
-    new_parents = insert_if_absent(parents, parent_rows(accepted), ["asteroid_id"])
-    new_children = insert_if_absent(children, child_rows(accepted), ["asteroid_id", "approach_date"]).select(
-        F.xxhash64("asteroid_id", "approach_date").alias("approach_id"), "asteroid_id", "approach_date", "miss_distance_km")
+    new_parents = insert_if_absent(parents, parent_rows(accepted, order), ["asteroid_id"], order)
+    unseen = insert_if_absent(children, child_rows(accepted, order), ["asteroid_id", "approach_date"], order, between="approach_date")
+    natural = F.to_json(F.struct("asteroid_id", "approach_date"))
+    new_children = unseen.select(F.md5(natural).alias("approach_id"), "asteroid_id", "approach_date", "miss_distance_km")
     # Fixed before the append, so the read of the target cannot see its own output.
     new_parents, new_children = materialize(new_parents, "new-parents"), materialize(new_children, "new-children")
     new_parents.write.mode("append").parquet(parents_path)
@@ -104,11 +108,16 @@ def load_relational(spark: SparkSession, accepted: DataFrame, folder: str) -> tu
 
 
 def save_crosswalk(crosswalk: Crosswalk, folder: str) -> tuple[str, str]:
-    """Bridge and audit side by side, in their fixed order. The collapsed identifiers are computed once for both."""
+    """Bridge and audit side by side, in their fixed order, with the candidates of ambiguous identifiers.
+
+    The collapsed identifiers are computed once for both.
+    """
     fixed = materialize(crosswalk.identifiers, "identifiers")
     bridge_path, audit_path = f"{folder}/bridge_asteroid_identifier.parquet", f"{folder}/fact_entity_resolution.parquet"
     write_table(in_order(bridge_of(fixed)), "bridge_asteroid_identifier", bridge_path)
     write_table(in_order(audit_of(fixed)), "fact_entity_resolution", audit_path)
+    crosswalk.candidates.write.mode("overwrite").parquet(f"{folder}/alias_candidates.parquet")
+    crosswalk.links.write.mode("overwrite").parquet(f"{folder}/candidate_links.parquet")
     return bridge_path, audit_path
 
 

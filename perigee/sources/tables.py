@@ -47,9 +47,13 @@ def read_partitioned(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(schema).option("basePath", root).parquet(root)
 
 
+# Every blank is data; a NULL is written as a mark, so that an empty text stays one.
+CSV_FORMAT = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "nullValue": "\\N", "escape": '"'}
+
+
 def read_csv(spark: SparkSession, path: str, name: str = "asteroids_csv") -> DataFrame:
-    """Comma-separated files with one header line each."""
-    return spark.read.schema(table_schema(name)).option("header", True).csv(path)
+    """Comma-separated files with one header line each; blanks count, and NULL is not the empty text."""
+    return spark.read.schema(table_schema(name)).options(**CSV_FORMAT).csv(path)
 
 
 def resolve_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

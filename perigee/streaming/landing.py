@@ -9,11 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.operators.extract_approaches import accepted_approaches
-from perigee.operators.extract_risk import accepted_risk
+from perigee import vocabulary as V
+from perigee.operators.extract_approaches import PLACE, accepted_approaches, approach_tally
+from perigee.operators.extract_risk import accepted_risk, risk_tally
 from perigee.operators.picking import insert_if_absent
+from perigee.plans.quality import approach_gate, passing, risk_gate, with_silent_payloads
 from perigee.runtime import materialize
 from perigee.schemas import table_columns
+from perigee.sources.files import exists
 from perigee.sources.raw import approach_records, risk_records
 from perigee.sources.tables import check_contract, read_table
 
@@ -28,34 +31,53 @@ def raw_stream(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.col("content"), 256).alias("source_sha256"))
 
 
-def append_unseen(rows: DataFrame, name: str, path: str, grain: list[str]) -> None:
+def append_unseen(rows: DataFrame, name: str, path: str, grain: list[str], order: list[str], between: str) -> None:
     spark = rows.sparkSession
-    fresh = insert_if_absent(read_table(spark, path, name), check_contract(rows, name), grain)
-    materialize(fresh, f"batch-{name}").write.mode("append").parquet(path)
+    own = check_contract(rows.drop(*order), name).columns
+    fresh = insert_if_absent(read_table(spark, path, name), rows.select(*own, *order), grain, order, between)
+    materialize(fresh.select(*own), f"batch-{name}").write.mode("append").parquet(path)
+
+
+def quarantine(refused: DataFrame, path: str) -> None:
+    """Refused files with their figures, beside the table; a file that is listed already stays as it is."""
+    spark, place = refused.sparkSession, f"{path}_quarantine"
+    if exists(spark, place):
+        refused = refused.join(spark.read.parquet(place).select("source_file"), "source_file", "left_anti")
+    materialize(refused, "refused").write.mode("append").parquet(place)
 
 
 def ingest_approaches(spark: SparkSession, folder: str, table_path: str, checkpoint: str):
-    """Run once over everything new in the folder, then stop."""
+    """Run once over everything new in the folder, then stop. A file that fails the gate loads nothing
+    and is listed in `<table_path>_quarantine`."""
+    scope = ["source_file"]
 
     def handle(batch: DataFrame, _: int) -> None:
-        rows = accepted_approaches(approach_records(batch), ["source_file"]).drop("source_file")
-        append_unseen(rows, "asteroids", table_path, ["id", "closest_approach_date"])
+        files = materialize(batch, "landed")
+        records = approach_records(files)
+        gate = materialize(approach_gate(with_silent_payloads(approach_tally(records, scope), files, scope)), "gate")
+        quarantine(gate.filter(~F.col("gate_passed")), table_path)
+        rows = passing(accepted_approaches(records, scope, placed=True), gate, scope)
+        append_unseen(rows, "asteroids", table_path, ["id", "closest_approach_date"], [*scope, *PLACE], "closest_approach_date")
 
     return (raw_stream(spark, folder).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
 def ingest_risk(spark: SparkSession, folder: str, table_path: str, checkpoint: str):
-    """Risk files named `<snapshot_key>_<run_id>.json`; the snapshot comes from the name."""
+    """Risk files named `<snapshot_key>_<run_id>.json`; the snapshot comes from the name. A file without
+    a valid row loads nothing and is listed in `<table_path>_quarantine`."""
+    scope = ["snapshot_key", "run_id", "snapshot_time"]
 
     def handle(batch: DataFrame, _: int) -> None:
         stem = F.regexp_extract("source_file", r"([^/]+)\.json$", 1)
-        keyed = risk_records(batch).withColumns({
+        files = materialize(batch.withColumns({
             "snapshot_key": F.substring(stem, 1, 10), "run_id": F.substring(stem, F.lit(12), F.length(stem)),
-            "snapshot_time": F.concat(F.substring(stem, 1, 10), F.lit("T00:00:00Z"))})
-        rows = accepted_risk(keyed, ["snapshot_key", "run_id", "snapshot_time"])
-        append_unseen(rows.select(*table_columns("fact_sentry_risk_snapshot")), "fact_sentry_risk_snapshot", table_path,
-                      ["snapshot_key", "sentry_id"])
+            "snapshot_time": F.concat(F.substring(stem, 1, 10), F.lit("T00:00:00Z"))}), "landed")
+        records = risk_records(files)
+        gate = risk_gate(with_silent_payloads(risk_tally(records, [*scope, "source_file"]), files, [*scope, "source_file"]))
+        quarantine(gate.filter(F.col("status") == V.FAILED), table_path)
+        rows = accepted_risk(records, scope).select(*table_columns("fact_sentry_risk_snapshot"))
+        append_unseen(rows, "fact_sentry_risk_snapshot", table_path, ["snapshot_key", "sentry_id"], [], "snapshot_key")
 
     return (raw_stream(spark, folder).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

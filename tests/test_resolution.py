@@ -31,6 +31,12 @@ def key(spark, spkid):
     return spark.range(1).select(entity_key(F.lit(spkid))).first()[0]
 
 
+def candidates(result, value):
+    """Objects behind an ambiguous identifier, by way of its alias."""
+    links = result.links.filter((F.col("source_identifier_value") == value) & F.col("alias").isNotNull())
+    return sorted(r.spkid for r in links.select("alias").distinct().join(result.candidates, "alias").collect())
+
+
 def test_every_rule(spark):
     result = run(
         spark,
@@ -75,8 +81,9 @@ def test_every_rule(spark):
     assert ("sbdb", "des", "DUP") not in bridge and ("neows", "id", "6") not in bridge
     assert bridge["sbdb", "spkid", "1"]["is_primary_pivot"] and not bridge["neows", "id", "1"]["is_primary_pivot"]
     proof = json.loads(got["neows", "id", "6"]["evidence_json"])
-    assert proof["contradicting_spkids"] == ["1"] and list(proof) == sorted(proof)
-    assert json.loads(got["neows", "id", "304"]["evidence_json"])["conflicting_spkids"] == ["4", "5"]
+    assert proof["candidate_count"] == 1 and list(proof) == sorted(proof)
+    assert json.loads(got["neows", "id", "304"]["evidence_json"])["candidate_count"] == 2
+    assert candidates(result, "6") == ["1"] and candidates(result, "304") == ["4", "5"] and candidates(result, "305") == ["8", "9"]
     assert "name" not in json.loads(got["neows", "id", "307"]["evidence_json"])
 
 
@@ -84,7 +91,9 @@ def test_one_id_reaching_two_objects_is_quarantined(spark):
     result = run(spark, [("1", "A", "a"), ("2", "B", "b")], [("30", "A"), ("30", "B")])
     row = audit(result)["neows", "id", "30"]
     assert (row["match_state"], row["match_rule"], row["assigned_asteroid_key"]) == ("AMBIGUOUS", "DUPLICATE_COLLISION_QUARANTINE", None)
-    assert json.loads(row["evidence_json"])["competing_keys"] == sorted([key(spark, "1"), key(spark, "2")])
+    assert json.loads(row["evidence_json"])["candidate_count"] == 2
+    keys = [r.candidate_key for r in result.links.filter("kind = 'COMPETING_KEYS'").collect()]
+    assert sorted(keys) == sorted([key(spark, "1"), key(spark, "2")])
     assert ("neows", "id", "30") not in by(result.bridge, "source_system", "identifier_name", "identifier_value")
 
 
@@ -109,33 +118,40 @@ def test_order_does_not_matter(spark):
     assert sorted(results[0].bridge.collect()) == sorted(results[1].bridge.collect())
 
 
-def test_long_candidate_lists_are_counted_and_kept_as_rows(spark):
-    n = R.INLINE_CANDIDATES + 5
-    result = run(spark, [(str(i), "HOT", f"f{i}") for i in range(n)], [("x1", "hot")])
+def test_candidates_of_any_number_are_kept_as_rows(spark):
+    n = 305
+    result = run(spark, [(str(i), "HOT", f"f{i}") for i in range(n)], [("x1", "hot"), ("x2", "HOT")])
+    row = audit(result)["neows", "id", "x1"]
+    assert row["match_state"] == "AMBIGUOUS" and json.loads(row["evidence_json"])["candidate_count"] == n
+    assert len(candidates(result, "x1")) == n and result.candidates.filter("alias = 'HOT'").count() == n
+    assert result.links.filter("identifier_name = 'id'").count() == 2  # one row for each identifier, none for each pair
+
+
+def test_competing_keys_of_any_number_are_kept_as_rows(spark):
+    result = run(spark, [(str(i), f"N{i}", f"f{i}") for i in range(150)], [("x1", f"n{i}") for i in range(150)])
     row = audit(result)["neows", "id", "x1"]
-    proof = json.loads(row["evidence_json"])
-    assert row["match_state"] == "AMBIGUOUS" and proof["candidate_count"] == n and "conflicting_spkids" not in proof
-    assert result.candidates.filter("alias = 'HOT'").count() == n
-
-
-def test_thirty_five_records_reach_thirty_four_objects(spark):
-    plain = [f"20{10 + i} T{i}" for i in range(29)]
-    numbered = [("138971", "2001 CB21"), ("376848", "2001 RY47"), ("499496", "2010 MR87"), ("523934", "1998 FF14")]
-    catalog = [(str(50000 + i), d, f"({d})", []) for i, d in enumerate(plain)]
-    catalog += [(f"20{n}", n, f"{n} ({d})", [d]) for n, d in numbered]
-    catalog += [("50092353", "2001 SY169", "(2001 SY169)", ["2013 ET"])]
-    feed = [(str(3000 + i), f"({d})") for i, d in enumerate(plain)] + [(f"2{n}", f"{n} ({d})") for n, d in numbered]
-    feed += [("3092330", "(2001 SY169)"), ("3629117", "(2013 ET)")]
-    result = run(spark, catalog, feed, [("3427460", plain[0], None), ("3548666", plain[1], None)])
+    assert row["match_state"] == "AMBIGUOUS" and json.loads(row["evidence_json"])["candidate_count"] == 150
+    assert result.links.filter("kind = 'COMPETING_KEYS'").select("candidate_key").distinct().count() == 150
+
+
+def test_a_feed_that_resolves_whole(spark):
+    plain = [f"19{50 + i} K{i}" for i in range(8)]
+    numbered = [("700001", "1987 ZZ1"), ("700002", "1988 ZZ2")]
+    catalog = [(str(81000 + i), d, f"({d})", []) for i, d in enumerate(plain)]
+    catalog += [(f"33{n}", n, f"{n} ({d})", [d]) for n, d in numbered] + [("44000001", "1991 QQ7", "(1991 QQ7)", ["1992 QR8"])]
+    feed = [(str(9100 + i), f"({d})") for i, d in enumerate(plain)] + [(f"5{n}", f"{n} ({d})") for n, d in numbered]
+    feed += [("9500", "(1991 QQ7)"), ("9501", "(1992 QR8)")]
+    result = run(spark, catalog, feed, [("r1", plain[0], None), ("r2", plain[3], None)])
     rows = [r for r in result.audit.collect() if r.source_system == "neows"]
     rules = [r.match_rule for r in rows]
-    assert len(rows) == 35 and len({r.assigned_asteroid_key for r in rows}) == 34
-    assert [rules.count(x) for x in ("EXACT_DESIGNATION_MATCH", "EXACT_FULLNAME_MATCH", "ALTERNATE_DESIGNATION_MATCH")] == [30, 4, 1]
+    # Eight plain names and one of the last two by designation, two by full name, the other by its alternate.
+    assert len(rows) == 12 and len({r.assigned_asteroid_key for r in rows}) == 11
+    assert [rules.count(x) for x in ("EXACT_DESIGNATION_MATCH", "EXACT_FULLNAME_MATCH", "ALTERNATE_DESIGNATION_MATCH")] == [9, 2, 1]
     assert bridge_check(result.bridge).first().status == "PASSED"
     assert audit_check(result.audit, result.bridge).first().status == "PASSED"
     metrics = resolution_metrics(result.audit, result.bridge).first()
     assert metrics.resolved_count == metrics.total_evaluated and metrics.resolution_rate_pct == 100.0
-    assert by(metrics_breakdown(result.audit), "dimension", "value")["source", "neows"]["evaluations"] == 35
+    assert by(metrics_breakdown(result.audit), "dimension", "value")["source", "neows"]["evaluations"] == 12
 
 
 def test_empty_inputs(spark):

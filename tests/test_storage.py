@@ -59,9 +59,15 @@ def test_streaming_ingest_adds_only_the_unseen(spark, tmp_path):
     doc = lambda *r: json.dumps({"near_earth_objects": {"d": list(r)}})
     (land / "a.json").write_text(doc(approach(id="1"), approach(id="2")))
     ingest_approaches(spark, str(land), table, check).awaitTermination()
-    (land / "b.json").write_text(doc(approach(id="2"), approach(id="3"), approach(id="")))
+    (land / "b.json").write_text(doc(approach(id="2"), approach(id="3")))
+    (land / "c.json").write_text(doc(approach(id="4"), approach(id="5"), approach(id="")))  # a third is refused: nothing of it loads
+    (land / "d.json").write_text('{"near_earth_objects":{}}')
+    (land / "e.json").write_text('{"near_earth_obj')
     ingest_approaches(spark, str(land), table, check).awaitTermination()
     assert sorted(r.id for r in tables.read_table(spark, table, "asteroids").collect()) == ["1", "2", "3"]
+    refused = spark.read.parquet(f"{table}_quarantine").collect()
+    assert sorted((r.source_file[-6:], r.records_received, r.defect) for r in refused) == [
+        ("c.json", 3, None), ("d.json", 0, "empty"), ("e.json", 0, "unreadable")]
 
     risks, store = tmp_path / "risk", str(tmp_path / "risk_table")
     risks.mkdir()
