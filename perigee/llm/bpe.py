@@ -224,7 +224,7 @@ def decoded(docs: DataFrame, path: str, ids: str = "ids", into: str = "decoded")
     docs.sparkSession.conf.set(*BATCH_SETTING)
     shared = file_text(docs.sparkSession, path)
     kept = without(docs, [into])
-    schema = kept.select("*", F.lit("").alias(into)).schema
+    schema = kept.select("*", F.lit(None).cast("string").alias(into)).schema
 
     def run(batches):
         own = encoder(shared)
