@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from functools import partial
 
 import numpy as np
@@ -69,12 +70,26 @@ def labelled_runs(text: str) -> tuple[list[str], list[str]]:
     if not spans:
         return ORDINARY.findall(text), []
     values = [ASSIGN.match(text, start)[2] if kind == 0 else text[start:end] for start, kind, end in spans]
-    ordinary = [m[0] for m in ORDINARY.finditer(text) if not _overlaps(m.start(), m.end(), spans)]
+    taken = Taken(spans)
+    ordinary = [m[0] for m in ORDINARY.finditer(text) if not taken.overlaps(*m.span())]
     return ordinary, [part for value in values for part in RANDOM_PART.findall(value)]
 
 
-def _overlaps(start: int, end: int, spans: list[Span]) -> bool:
-    return any(a < end and start < b for a, _, b in spans)
+class Taken:
+    """The union of some spans, to ask whether a stretch overlaps it."""
+
+    def __init__(self, spans: list[Span]):
+        self.starts, self.ends = [], []
+        for start, _, end in spans:  # by start
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(end, self.ends[-1])
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def overlaps(self, start: int, end: int) -> bool:
+        at = bisect_left(self.starts, end) - 1
+        return at >= 0 and start < self.ends[at]
 
 
 def _count(batches):
@@ -121,14 +136,14 @@ def log_ratios(ordinary: np.ndarray, random: np.ndarray) -> np.ndarray:
 
 
 def markov_spans(text: str, ratios: np.ndarray, base: list[Span]) -> list[Span]:
-    found = []
+    found, taken = [], Taken(base)
     least = math.log(PRIOR_ODDS)
     for match in RUN.finditer(text):
         run = match[0]
         if any(map(str.isdigit, run)) + any(map(str.isupper, run)) + any(map(str.islower, run)) < MIN_KINDS:
             continue
         codes = _codes(run)
-        if ratios[codes[:-1], codes[1:]].sum() > max(least, MIN_PER_CHAR * len(run)) and not _overlaps(*match.span(), base):
+        if ratios[codes[:-1], codes[1:]].sum() > max(least, MIN_PER_CHAR * len(run)) and not taken.overlaps(*match.span()):
             found.append((match.start(), 3, match.end()))
     return found
 
