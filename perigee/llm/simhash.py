@@ -71,7 +71,8 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     probes = prints.select(F.col("simhash").alias("a"), F.inline(halves)).select("a", "half", "value", ball.alias("flip"))
     probes = probes.select("a", "half", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
-    return probes.join(table, ["half", "value"]).filter(near).select("a", "b").distinct()
+    # Estimates of a generated table's size don't see the 66 rows per fingerprint; without the hint it may be broadcast.
+    return probes.hint("merge").join(table, ["half", "value"]).filter(near).select("a", "b").distinct()
 
 
 def components(pairs: DataFrame) -> DataFrame:
