@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perigee.llm.common import digests, without
-from perigee.runtime import materialize
+from perigee.runtime import materialize, pinned
 
 MIN_SITES = 10
 MIN_CHARS = 20
@@ -23,12 +23,13 @@ LOG_REGISTERS = 10
 # Boilerplate frames a text. Where it would take more than this share of the characters, the document is
 # itself a copy spread over sites; its text stays for the near-duplicate step, which keeps one of them.
 MAX_SHARE = 0.5
+BLANKS = " \t\n\x0b\x0c\r\xa0"
 ADDED = ("n_lines", "n_removed", "removed_lines")
 
 
 def normal(line: Column) -> Column:
     """A line as it is compared; blanks at its ends and letter case don't count."""
-    return F.lower(F.regexp_replace(line, r"^[\s\x{a0}]+|[\s\x{a0}]+$", ""))
+    return F.lower(F.btrim(line, F.lit(BLANKS)))
 
 
 def eligible(line: Column, min_chars: int) -> Column:
@@ -37,8 +38,9 @@ def eligible(line: Column, min_chars: int) -> Column:
 
 def _lines(docs: DataFrame, text: str, min_chars: int, *keep: Column) -> DataFrame:
     """One row (keep..., at, line_1, line_2) per line of `min_chars` or more; null and empty texts have none."""
-    parts = docs.filter(F.length(text) >= min_chars).select(*keep, F.posexplode(F.split(F.col(text), "\n")).alias("at", "line"))
-    parts = parts.select(*[c for c in parts.columns if c != "line"], normal(F.col("line")).alias("line"))
+    # Normalized inside the array: a projection of the exploded line would be computed again by the filter.
+    normalized = F.transform(F.split(F.col(text), "\n"), normal)
+    parts = docs.filter(F.length(text) >= min_chars).select(*keep, F.posexplode(normalized).alias("at", "line"))
     ids = digests(F.col("line"))
     return parts.filter(eligible(F.col("line"), min_chars)).select(*[c for c in parts.columns if c != "line"], ids[0].alias("line_1"), ids[1].alias("line_2"))
 
@@ -56,10 +58,6 @@ def widespread(docs: DataFrame, site: str = "source", text: str = "text", min_si
     return materialize(sure.unionByName(exact.select(*keys)), "boilerplate")
 
 
-def _chars(parts: Column) -> Column:
-    return F.aggregate(parts, F.lit(0).cast("bigint"), lambda total, part: total + F.length(part))
-
-
 def without_boilerplate(
     docs: DataFrame, key: str = "doc_id", site: str = "source", text: str = "text",
     min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, max_share: float = MAX_SHARE,
@@ -78,15 +76,20 @@ def without_boilerplate(
     hits = lines.join(shared, ["line_1", "line_2"], "left_semi").groupBy("__1", "__2").agg(F.array_sort(F.collect_set("at")).alias("removed_lines"))
     hits = materialize(hits, "removals")
     found = kept.withColumns({"__1": ids[0], "__2": ids[1]}).join(hits, ["__1", "__2"], "left")
-    parts = F.split(F.col(text), "\n")
-    found = found.withColumn("removed_lines", F.when(_chars(F.transform("removed_lines", lambda at: parts[at])) <= max_share * _chars(parts), F.col("removed_lines")))
+    # The lines are split once per row; every use below refers to the column.
+    found = pinned(found, __lines=F.split(F.col(text), "\n"))
+    lines_of, n_lines = F.col("__lines"), F.size("__lines")
+    removed = F.aggregate("removed_lines", F.lit(0).cast("bigint"), lambda total, at: total + F.length(lines_of[at]))
+    found = found.withColumn("removed_lines", F.when(removed <= max_share * (F.length(text) - n_lines + 1), F.col("removed_lines")))
     gone = F.coalesce("removed_lines", F.array().cast("array<int>"))
-    rest = F.array_join(F.filter(parts, lambda line, at: ~F.array_contains(gone, at)), "\n")
-    return found.withColumns({
+    left = F.array_except(F.sequence(F.lit(0), n_lines - 1), gone)
+    rest = F.array_join(F.transform(left, lambda at: lines_of[at]), "\n")
+    found = found.withColumns({
         text: F.when(F.col("removed_lines").isNull(), F.col(text)).otherwise(rest),
-        "n_lines": F.coalesce(F.size(parts), F.lit(0)).cast("bigint"),
+        "n_lines": F.coalesce(n_lines, F.lit(0)).cast("bigint"),
         "n_removed": F.size(gone).cast("bigint"), "removed_lines": gone,
-    }).select(*kept.columns, *ADDED)
+    })
+    return found.select(*kept.columns, *ADDED)
 
 
 def report(docs: DataFrame) -> DataFrame:
