@@ -13,6 +13,8 @@ import json
 import re
 import unicodedata
 import zlib
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -143,6 +145,8 @@ class WordEncoder:
         if any(re.search(r"\s", t["content"]) or t["normalized"] for t in config["added_tokens"]):
             raise ValueError("added tokens must be strings without blanks")
         self.special = tuple(t["content"] for t in config["added_tokens"])
+        # Words differ more than their pieces, mostly by marks at their ends; both are remembered.
+        self.pieces = Memo(self.piece)
         self.memo = Memo(self.word)
 
     def word(self, word: str) -> bytes:
@@ -151,10 +155,14 @@ class WordEncoder:
         if not SIMPLE.fullmatch(word) or any(s in word for s in self.special):
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         else:
-            found = PIECES.findall(unicodedata.normalize("NFC", word).lower())
-            ids = [t.id for p in found for t in self.tokenize(p.encode().decode("latin-1").translate(self.table))]
+            plain = word if word.isascii() else unicodedata.normalize("NFC", word)
+            return b"".join(map(self.pieces.__getitem__, PIECES.findall(plain.lower())))
         return np.array(ids, "<u4").tobytes()
 
+    def piece(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.table)
+        return array("I", [t.id for t in self.tokenize(letters)]).tobytes()
+
     def encode(self, text: str | None) -> bytes:
         text = text or ""
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
