@@ -35,8 +35,6 @@ ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_=-"
 STATES = len(ALPHABET)
 SMOOTHING = 0.5
 PRIOR_ODDS = 1e4  # ordinary runs for one random run
-MIN_PER_CHAR = 2.5  # least ratio for each character, in nats
-MIN_KINDS = 2  # of digits, upper-case and lower-case letters that a random run must have
 ORDINARY = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 RANDOM_PART = re.compile(r"[A-Za-z0-9+/_=-]{6,}")
 # Usual alphabets of random strings, as ends of ranges in ALPHABET; each weighs as much as this many
@@ -139,11 +137,8 @@ def markov_spans(text: str, ratios: np.ndarray, base: list[Span]) -> list[Span]:
     found, taken = [], Taken(base)
     least = math.log(PRIOR_ODDS)
     for match in RUN.finditer(text):
-        run = match[0]
-        if any(map(str.isdigit, run)) + any(map(str.isupper, run)) + any(map(str.islower, run)) < MIN_KINDS:
-            continue
-        codes = _codes(run)
-        if ratios[codes[:-1], codes[1:]].sum() > max(least, MIN_PER_CHAR * len(run)) and not taken.overlaps(*match.span()):
+        codes = _codes(match[0])
+        if ratios[codes[:-1], codes[1:]].sum() > least and not taken.overlaps(*match.span()):
             found.append((match.start(), 3, match.end()))
     return found
 

@@ -73,3 +73,20 @@ def test_random_strings_are_told_from_names(spark):
     hits = sum(bool(secrets.markov_spans(f"see {s} there", ratios, [])) for s in drawn)
     assert hits >= 36
     assert not any(secrets.markov_spans(f"see {s} there", ratios, []) for s in names)
+
+
+def test_random_strings_of_every_alphabet_are_found(spark):
+    draw, lower, digits = random.Random(11), "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    docs = spark.read.parquet(f"{plain.SF}/documents.parquet")
+    ratios = secrets.fit(docs)
+    kinds = {
+        "lower": ("", lower, 32), "upper": ("", lower.upper(), 32), "hex": ("", digits + "abcdef", 20), "upper hex": ("", digits + "ABCDEF", 32),
+        "prefixed": ("sk_live_", lower + lower.upper() + digits, 24),
+    }
+    found = {}
+    for kind, (prefix, letters, size) in kinds.items():
+        drawn = [prefix + "".join(draw.choices(letters, k=size)) for _ in range(100)]
+        found[kind] = sum(bool(secrets.markov_spans(f"see {s} there", ratios, [])) for s in drawn)
+    assert min(found.values()) >= 98, found
+    texts = [r["text"] or "" for r in docs.select("text").collect()]
+    assert any(secrets.RUN.search(t) for t in texts) and not any(secrets.markov_spans(t, ratios, secrets.base_spans(t)) for t in texts)
