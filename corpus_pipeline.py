@@ -19,8 +19,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that stand on many sites."""
-    return line_spread.without_boilerplate(docs.select(COLUMNS)).select(COLUMNS)
+    """Documents without lines that stand on many sites; texts that are only copied stay for the next stage."""
+    return line_spread.without_boilerplate(docs.select(COLUMNS), only_copies=True).select(COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,27 +60,38 @@ def widespread(docs: DataFrame, site: str = "source", text: str = "text", min_si
 
 def without_boilerplate(
     docs: DataFrame, key: str = "doc_id", site: str = "source", text: str = "text",
-    min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, max_share: float = MAX_SHARE,
+    min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, max_share: float = MAX_SHARE, only_copies: bool = False,
 ) -> DataFrame:
     """`docs` with boilerplate lines taken out of the text, and `n_lines`, `n_removed`, `removed_lines`.
 
     The other lines keep their order and bytes. A text loses nothing if boilerplate is over `max_share` of
-    its characters (line ends not counted); with 1.0 a text that is only boilerplate becomes empty. Null
+    its characters (line ends not counted); with 1.0 a text that is only boilerplate becomes empty. With
+    `only_copies` that spares only lines that stand in fewer than `min_sites` distinct texts with a site,
+    as such lines are on many sites by whole copies; other boilerplate goes whatever its share. Null
     texts stay null with no lines; an empty text has one empty line. Rows with a null site lose lines
     but don't count as a site. Repeated rows stay. `removed_lines` are positions from 0, ascending.
     """
     shared = widespread(docs, site, text, min_sites, min_chars)
     kept = without(docs, ADDED)
     ids = digests(F.col(key), F.col(text))
-    lines = _lines(kept, text, min_chars, ids[0].alias("__1"), ids[1].alias("__2"))
-    hits = lines.join(shared, ["line_1", "line_2"], "left_semi").groupBy("__1", "__2").agg(F.array_sort(F.collect_set("at")).alias("removed_lines"))
+    keys, same = ["line_1", "line_2"], digests(F.col(text))
+    found_in = [F.when(F.col(site).isNotNull(), c).alias(f"text_{i}") for i, c in enumerate(same, 1)] if only_copies else []
+    hits = _lines(kept, text, min_chars, ids[0].alias("__1"), ids[1].alias("__2"), *found_in).join(shared, keys, "left_semi")
+    surely = F.lit(False)
+    if only_copies:
+        hits = materialize(hits, "occurrences")
+        texts = hits.filter(F.col("text_1").isNotNull()).select(*keys, "text_1", "text_2").distinct()
+        framing = texts.groupBy(*keys).count().select(*keys, (F.col("count") >= min_sites).alias("framing"))
+        hits, surely = hits.join(materialize(framing, "framing"), keys, "left"), F.coalesce("framing", F.lit(False))
+    hits = hits.groupBy("__1", "__2").agg(
+        F.array_sort(F.collect_set("at")).alias("removed_lines"), F.array_sort(F.collect_set(F.when(surely, F.col("at")))).alias("__framing"))
     hits = materialize(hits, "removals")
     found = kept.withColumns({"__1": ids[0], "__2": ids[1]}).join(hits, ["__1", "__2"], "left")
     # The lines are split once per row; every use below refers to the column.
     found = pinned(found, __lines=F.split(F.col(text), "\n"))
     lines_of, n_lines = F.col("__lines"), F.size("__lines")
     removed = F.aggregate("removed_lines", F.lit(0).cast("bigint"), lambda total, at: total + F.length(lines_of[at]))
-    found = found.withColumn("removed_lines", F.when(removed <= max_share * (F.length(text) - n_lines + 1), F.col("removed_lines")))
+    found = found.withColumn("removed_lines", F.when(removed <= max_share * (F.length(text) - n_lines + 1), F.col("removed_lines")).when(F.size("__framing") > 0, F.col("__framing")))
     gone = F.coalesce("removed_lines", F.array().cast("array<int>"))
     left = F.array_except(F.sequence(F.lit(0), n_lines - 1), gone)
     rest = F.array_join(F.transform(left, lambda at: lines_of[at]), "\n")

@@ -1,5 +1,6 @@
 """Line dedup against its SQL and against a plain count."""
 
+import corpus_pipeline
 import plain
 import pytest
 from compare import connect, differences
@@ -44,3 +45,17 @@ def test_awkward_rows(spark):
 
 def test_empty(spark):
     assert line_spread.report(plain.empty(spark)).collect() == []
+
+
+def test_short_texts_lose_frames_and_copies_stay(spark):
+    frame, copied = "This frame stands on many sites of the web", "This text is only copied, from one site to the next"
+    rows = [(site, f"own words {site}\n{frame}", "en", f"s{site}", 1) for site in range(12)]
+    rows += [(20 + site, f"{copied}\nshort", "en", f"s{site}", 1) for site in range(12)]
+    rows += [(40, f"{copied}\n{frame}", "en", "s1", 1), (41, "long own words " * 20 + f"\n{copied}", "en", None, 1)]
+    docs = spark.createDataFrame(rows, plain.SCHEMA).repartition(3)
+    found = {r["doc_id"]: r["text"] for r in line_spread.without_boilerplate(docs, only_copies=True).collect()}
+    assert [found[site] for site in range(12)] == [f"own words {site}" for site in range(12)]
+    assert all(found[20 + site] == f"{copied}\nshort" for site in range(12))
+    assert found[40] == copied and found[41] == "long own words " * 20
+    through = corpus_pipeline.line_dedup(spark, docs, plain.SF).collect()
+    assert {r["doc_id"]: r["text"] for r in through} == found
