@@ -27,6 +27,8 @@ MAX_CLASSES = 512
 # Odd multipliers that spread code points over 32 bits, one for each place of an n-gram.
 MULTIPLIERS = np.array([2654435761, 2246822519, 3266489917], np.uint64)
 GATHER = 1 << 18
+# Features times classes that are multiplied at once.
+GATHER_CELLS = 1 << 20
 
 
 def ngram_features(text: str, bits: int = FEATURE_BITS) -> np.ndarray:
@@ -52,15 +54,40 @@ class Model:
 
     def score(self, text: str | None) -> tuple[str, float]:
         """The likeliest class and its posterior; `und` and 0 if there is no letter or no class."""
-        if text is None or not self.classes or not any(map(str.isalpha, text)):
-            return UNDETERMINED, 0.0
-        total = self.log_prior.copy()
-        features = ngram_features(text, int(len(self.log_prob)).bit_length() - 1)
-        for at in range(0, len(features), GATHER):
-            numbers, counts = np.unique(features[at : at + GATHER], return_counts=True)
-            total += counts @ self.log_prob[numbers]
-        best = int(total.argmax())
-        return self.classes[best], float(1.0 / np.exp(total - total[best]).sum())
+        return self.scores([text])[0]
+
+    def scores(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """`score` of each text; several are one sparse matrix of counts (row starts, features, counts)."""
+        found = [(UNDETERMINED, 0.0)] * len(texts)
+        if not self.classes:
+            return found
+        bits, most = int(len(self.log_prob)).bit_length() - 1, max(1, GATHER_CELLS // len(self.classes))
+        totals = np.tile(self.log_prior, (len(texts), 1))
+        told = [i for i, text in enumerate(texts) if text is not None and any(map(str.isalpha, text))]
+        rows, held = [], 0
+        for i in told:
+            features = ngram_features(texts[i], bits)
+            for at in range(0, len(features), GATHER):
+                numbers, counts = np.unique(features[at : at + GATHER], return_counts=True)
+                if rows and held + len(numbers) > most:
+                    self._add(totals, rows)
+                    rows, held = [], 0
+                rows.append((i, numbers, counts))
+                held += len(numbers)
+        if rows:
+            self._add(totals, rows)
+        best = totals.argmax(axis=1)
+        for i in told:
+            found[i] = self.classes[best[i]], float(1.0 / np.exp(totals[i] - totals[i, best[i]]).sum())
+        return found
+
+    def _add(self, totals: np.ndarray, rows: list[tuple[int, np.ndarray, np.ndarray]]) -> None:
+        """Adds the product of the sparse rows (place in `totals`, features, counts) and `log_prob`."""
+        starts = np.cumsum([0, *(len(numbers) for _, numbers, _ in rows[:-1])])
+        cells = self.log_prob[np.concatenate([numbers for _, numbers, _ in rows])]
+        cells *= np.concatenate([counts for _, _, counts in rows])[:, None]
+        # A long text has several rows.
+        np.add.at(totals, [i for i, _, _ in rows], np.add.reduceat(cells, starts, axis=0))
 
 
 def _count(bits: int):
@@ -104,7 +131,7 @@ def _task(shared):
     model = Model(*shared.value)
 
     def work(texts):
-        found = [model.score(t) for t in texts]
+        found = model.scores(texts)
         return [[f[0] for f in found], [f[1] for f in found]]
 
     return work

@@ -34,3 +34,20 @@ def test_scores_are_those_of_plain_bayes():
     sums = sum(model.log_prob[f] for f in language.ngram_features(text))
     label, score = model.score(text)
     assert label == "ab"[int(sums.argmax())] and abs(score - 1 / np.exp(sums - sums.max()).sum()) < 1e-9
+
+
+def test_a_batch_scores_as_its_texts_do(monkeypatch):
+    import numpy as np
+
+    model = language.Model(["a", "b", "c"], np.zeros(3), np.log(np.random.default_rng(2).dirichlet(np.ones(1 << 14), 3).T))
+    texts = ["Some words.", None, "", " 12 ", "é", "A longer text of several words, and one more. " * 4, "x"]
+    for cells in (1 << 20, 60):
+        monkeypatch.setattr(language, "GATHER_CELLS", cells)
+        monkeypatch.setattr(language, "GATHER", 100)
+        found = model.scores(texts)
+        for text, (label, score) in zip(texts, found, strict=True):
+            if text is None or not any(map(str.isalpha, text)):
+                assert (label, score) == ("und", 0.0)
+                continue
+            sums = sum(model.log_prob[f] for f in language.ngram_features(text))
+            assert label == "abc"[int(sums.argmax())] and abs(score - 1 / np.exp(sums - sums.max()).sum()) < 1e-9
