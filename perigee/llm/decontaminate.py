@@ -13,13 +13,14 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perigee.llm.common import WORD_PATTERN, computed, without
+from perigee.llm.common import WORD_PATTERN, computed, digests, without
+from perigee.runtime import materialize
 
 SHINGLE_WORDS = 5
 MIN_CONTAINMENT = 0.8
@@ -186,13 +187,17 @@ def _task(shared, threshold: float):
     return work
 
 
-def item_blocks(items: DataFrame, key: str, text: str) -> list[list[tuple[int, str]]]:
-    """Items with a non-null id and text, in blocks of at most about `BLOCK_ITEMS` and `BLOCK_BYTES`."""
+def _sent(block: DataFrame):
+    return block.sparkSession.sparkContext.broadcast([(r["id"], r["text"]) for r in block.collect()])
+
+
+def item_blocks(items: DataFrame, key: str, text: str) -> list[DataFrame]:
+    """Items (id, text) with a non-null id and text, in blocks of at most about `BLOCK_ITEMS` and `BLOCK_BYTES`."""
     rows = items.filter(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
     size = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
     blocks = max(-(-size["n"] // BLOCK_ITEMS), -(-(size["bytes"] or 0) // BLOCK_BYTES))
     bucket = F.pmod(F.xxhash64("id"), F.lit(max(1, blocks)))
-    return [[(r["id"], r["text"]) for r in rows.filter(bucket == b).orderBy("id", "text").collect()] for b in range(blocks)]
+    return [rows.filter(bucket == b).orderBy("id", "text") for b in range(blocks)]
 
 
 def marked(
@@ -203,14 +208,24 @@ def marked(
     An item of fewer than five words counts as one shingle of all its words. Items without an id or a
     word match nothing; of rows with equal item ids the best counts. Null and empty texts contain
     nothing. Rows stay as they are, repeated ones too; each block of items is one pass over the texts.
+    Of several blocks the driver holds one at a time: what the texts contain of it is written before the next.
     """
-    kept = without(docs, ["leaks"])
-    names = []
-    for i, block in enumerate(item_blocks(items, item_key, item_text)):
-        names.append(f"__leaks_{i}")
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-        kept = computed(kept, {names[-1]: "array<bigint>"}, partial(_task, shared, threshold), text)
-    every = F.concat(*names) if names else F.array().cast("array<bigint>")
+    kept, blocks = without(docs, ["leaks"]), item_blocks(items, item_key, item_text)
+    names, ids = ["__leaks"] if blocks else [], digests(F.col(text))
+    if len(blocks) == 1:
+        kept = computed(kept, {"__leaks": "array<bigint>"}, partial(_task, _sent(blocks[0]), threshold), text)
+    elif blocks:
+        texts = kept.select(ids[0].alias("__1"), ids[1].alias("__2"), F.col(text).alias("__words"))
+        written = []
+        for block in blocks:
+            shared = _sent(block)
+            hits = computed(texts, {"__leaks": "array<bigint>"}, partial(_task, shared, threshold), "__words").filter(F.size("__leaks") > 0)
+            written.append(materialize(hits.groupBy("__1", "__2").agg(F.max("__leaks").alias("__leaks")), "leaks"))
+            shared.destroy()
+        found = reduce(DataFrame.unionByName, written).groupBy("__1", "__2").agg(F.flatten(F.collect_list("__leaks")).alias("__leaks"))
+        # Written, so that its size is known; few texts contain items.
+        kept = kept.withColumns({"__1": ids[0], "__2": ids[1]}).join(materialize(found, "leaks"), ["__1", "__2"], "left").drop("__1", "__2")
+    every = F.coalesce("__leaks", F.array().cast("array<bigint>")) if names else F.array().cast("array<bigint>")
     places = F.when(F.size(every) > 0, F.sequence(F.lit(0), F.size(every) - 1, F.lit(3))).otherwise(F.array().cast("array<int>"))
     leaks = F.transform(places, lambda i: F.struct(
         F.get(every, i).alias("item_id"), F.get(every, i + 1).alias("n_shared"), F.get(every, i + 2).alias("n_shingles")))

@@ -53,3 +53,33 @@ def test_empty(spark):
     assert found_in(plain.empty(spark), {1: "some words that are here"}).collect() == []
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert decontaminate.without_leaks(plain.awkward(spark), none).count() == len(plain.AWKWARD)
+
+
+def test_one_block_of_items_is_held_at_a_time(spark, monkeypatch):
+    from pyspark import SparkContext
+    from pyspark.core.broadcast import Broadcast
+
+    draw = random.Random(4)
+    items = {n: " ".join(draw.choices([f"w{i}" for i in range(500)], k=12)) for n in range(20)}
+    texts = [f"{items[n]} and {items[19 - n]}" for n in range(20)] + [items[3], items[3], None, "", "nothing of it"]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], plain.SCHEMA).repartition(3)
+    shown = [*docs.columns, "to_json(leaks)"]
+    want = plain.rows(found_in(docs, items).selectExpr(*shown), "*")
+    assert sum(r[-1].count("item_id") for r in want.elements()) == 42
+    held, most, send, destroy = set(), [], SparkContext.broadcast, Broadcast.destroy
+
+    def sent(self, value):
+        shared = send(self, value)
+        held.add(id(shared))
+        most.append((len(held), len(value)))
+        return shared
+
+    def destroyed(self, blocking=False):
+        held.discard(id(self))
+        destroy(self, blocking)
+
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 6)
+    monkeypatch.setattr(SparkContext, "broadcast", sent)
+    monkeypatch.setattr(Broadcast, "destroy", destroyed)
+    assert plain.rows(found_in(docs, items).selectExpr(*shown), "*") == want
+    assert len(most) == 4 and max(n for n, _ in most) == 1 and sum(size for _, size in most) == 20
