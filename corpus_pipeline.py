@@ -10,32 +10,43 @@ from perigee.llm.common import documents
 from perigee.runtime import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# Names of what the operators compute; a column of documents so named gives way at every stage.
+COMPUTED = ("kept", "simhash", "leaks", "ids")
+
+
+def carried(docs: DataFrame) -> DataFrame:
+    """`docs` with all their columns but those of `COMPUTED`."""
+    return docs.drop(*COMPUTED)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the counting rules and have enough content lines."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.retained(docs.select(COLUMNS), quality.fit(docs, labels))
+    return quality.retained(carried(docs), quality.fit(docs, labels))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that stand on many sites; texts that are only copied stay for the next stage."""
-    return line_spread.without_boilerplate(docs.select(COLUMNS), only_copies=True).select(COLUMNS)
+    docs = carried(docs)
+    # The operator adds columns of these names; the documents' own step aside meanwhile.
+    own = {c: f"__own_{c}" for c in docs.columns if c.lower() in line_spread.ADDED}
+    found = line_spread.without_boilerplate(docs.withColumnsRenamed(own), only_copies=True).drop(*line_spread.ADDED)
+    return found.withColumnsRenamed({v: k for k, v in own.items()})
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates."""
-    return simhash.one_of_each(docs.select(COLUMNS))
+    return simhash.one_of_each(carried(docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
-    return decontaminate.without_leaks(docs.select(COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.without_leaks(carried(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the token ids of their text."""
-    return bpe.encoded(docs.select(COLUMNS), public_tokenizers.path("byte_bpe_50k.json"))
+    return bpe.encoded(carried(docs), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [

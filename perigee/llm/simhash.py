@@ -133,7 +133,11 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", shingle: int = SHINGLE_WOR
     kept = materialize(kept.select(F.col("first.row_1").alias("__1"), F.col("first.row_2").alias("__2")), "kept")
     ids = digests(F.col(key), F.col(text))
     tagged = docs.withColumns({"__1": ids[0], "__2": ids[1]}).join(kept, ["__1", "__2"], "left_semi")
-    least = tagged.groupBy("__1", "__2").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    # Maps and variants have no order; they are compared as text.
+    unordered = [name for name, kind in docs.dtypes if "map<" in kind or "variant" in kind]
+    whole = F.struct(*docs.columns)
+    order = F.struct(*[F.col(c).cast("string") if c in unordered else F.col(c) for c in docs.columns])
+    least = tagged.groupBy("__1", "__2").agg((F.min_by(whole, order) if unordered else F.min(whole)).alias("row"))
     return least.select("row.*")
 
 

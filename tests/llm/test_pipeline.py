@@ -55,3 +55,16 @@ def test_stages_bear_awkward_and_empty_tables(spark, tmp_path):
             found = stage(spark, source, str(tmp_path))
             assert found.columns == [*corpus_pipeline.COLUMNS, *(["ids"] if name == "encoding" else [])]
             assert found.count() <= source.count()
+
+
+def test_stages_carry_further_columns(spark, tmp_path):
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{plain.SF}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    more = ["concat('u', doc_id) AS url", "doc_id AS n_lines", "map('k', doc_id) AS tags"]
+    docs = spark.read.parquet(f"{plain.SF}/documents.parquet").limit(60).selectExpr("*", *more).union(
+        plain.awkward(spark).selectExpr("*", *more))
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, str(tmp_path))
+        assert found.columns == [*docs.columns, *(["ids"] if name == "encoding" else [])]
+        rows = found.selectExpr("doc_id", "url", "n_lines", "tags['k'] AS tag").collect()
+        assert rows and all((r["url"], r["n_lines"], r["tag"]) == (None if r["doc_id"] is None else f"u{r['doc_id']}", r["doc_id"], r["doc_id"]) for r in rows)
