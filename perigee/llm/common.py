@@ -42,6 +42,17 @@ def without(docs: DataFrame, names) -> DataFrame:
     return docs.drop(*names)
 
 
+def fresh_names(docs: DataFrame, *names: str) -> list[str]:
+    """Column names like `names` that no column of `docs` has, also apart from letter case."""
+    taken, found = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"{name}_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def computed(
     docs: DataFrame, fields: dict[str, str], start: Callable[[], Callable[[list[str | None]], list[list]]], text: str = "text"
 ) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm import bpe, decontaminate, language, line_spread, quality, secrets, shards, simhash, token_files, toxicity
+from perigee.llm import alignment, bpe, decontaminate, language, line_spread, prefix_counts, quality, secrets, shards, simhash, token_files, toxicity
 from perigee.llm.common import documents
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_spread.report(documents(spark, sf_dir).select("doc_id", "source", "text"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_counts.report(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_bpe": op2_bpe,
@@ -76,6 +84,8 @@ QUERIES: dict[str, Run] = {
     "op8_language_id": op8_language_id,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_token_counts": op12_token_counts,
 }
 
 SQL: dict[str, str] = {"op7_decontamination": decontaminate.REPORT_SQL, "op10_line_dedup": line_spread.REPORT_SQL}
