@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.llm import alignment, bpe, decontaminate, language, line_spread, prefix_counts, quality, secrets, shards, simhash, token_files, toxicity
+from perigee.llm import alignment, bpe, decontaminate, language, line_spread, prefix_counts, prefix_trie, quality, secrets, shards, simhash, token_files, toxicity
 from perigee.llm.common import documents
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,10 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_counts.report(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_bpe": op2_bpe,
@@ -86,6 +90,9 @@ QUERIES: dict[str, Run] = {
     "op10_line_dedup": op10_line_dedup,
     "op11_token_alignment": op11_token_alignment,
     "op12_token_counts": op12_token_counts,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
-SQL: dict[str, str] = {"op7_decontamination": decontaminate.REPORT_SQL, "op10_line_dedup": line_spread.REPORT_SQL}
+SQL: dict[str, str] = {
+    "op7_decontamination": decontaminate.REPORT_SQL, "op10_line_dedup": line_spread.REPORT_SQL, "op13_prefix_trie": prefix_trie.REPORT_SQL,
+}
