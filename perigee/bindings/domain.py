@@ -234,15 +234,20 @@ def crosswalk(spark: SparkSession, sf_dir: str):
 _PUBLISHED: dict[tuple[str, str], str] = {}
 
 
-def published_crosswalk(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Bridge and audit as the resolution stage publishes them: written once per application to the
-    shared folder and read back, as every later stage does."""
+def crosswalk_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Where the resolution stage publishes the crosswalk: written once per application to the shared
+    folder; every later stage reads it back."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _PUBLISHED:
         folder = fresh_path(spark, "crosswalk")
         save_crosswalk(crosswalk(tune(spark), sf_dir), folder)
         _PUBLISHED[key] = folder
-    folder = _PUBLISHED[key]
+    return _PUBLISHED[key]
+
+
+def published_crosswalk(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Bridge and audit as published."""
+    folder = crosswalk_folder(spark, sf_dir)
     return (read_table(spark, f"{folder}/bridge_asteroid_identifier.parquet", "bridge_asteroid_identifier"),
             read_table(spark, f"{folder}/fact_entity_resolution.parquet", "fact_entity_resolution"))
 

@@ -14,26 +14,26 @@ from perigee.operators.tallying import keys_per_identifier
 from perigee.plans import catalog, cross_source, dossier, watchlist, world
 
 
-@query("entity_bridge", "C1 U2 U3 T7 F3 J13", with_tables("SELECT * FROM brg", "brg"))
+@query("entity_bridge", "C1 U2 U3 F3 J13", with_tables("SELECT * FROM brg", "brg"))
 def _(spark, sf):
-    return D.crosswalk(spark, sf).bridge
+    return D.published_crosswalk(spark, sf)[0]
 
 
-@query("entity_audit", "C1 U2 U4 F1 F2 F30 J13 T7", with_tables("SELECT * FROM aud", "aud"))
+@query("entity_audit", "C1 U2 U4 F1 F2 F30 J13", with_tables("SELECT * FROM aud", "aud"))
 def _(spark, sf):
-    return D.crosswalk(spark, sf).audit
+    return D.published_crosswalk(spark, sf)[1]
 
 
 @query("resolution_candidates", "C1 J13", with_tables(f"""
 SELECT alias, spk AS spkid, {key_of('spk')} AS asteroid_key, count(*) FILTER (kind = 'des') AS des_entities,
   bool_or(kind = 'fullname') AS by_fullname, bool_or(kind = 'alternate') AS by_alternate FROM ali GROUP BY alias, spk""", "ali"))
 def _(spark, sf):
-    return D.crosswalk(spark, sf).candidates
+    return spark.read.parquet(f"{D.crosswalk_folder(spark, sf)}/alias_candidates.parquet")
 
 
 @query("resolution_links", "C1 J13 F30", with_tables("SELECT * FROM clk", "clk"))
 def _(spark, sf):
-    return D.crosswalk(spark, sf).links
+    return spark.read.parquet(f"{D.crosswalk_folder(spark, sf)}/candidate_links.parquet")
 
 
 @query("resolution_metrics", "A14", with_tables("""
@@ -192,7 +192,7 @@ def _world(spark, sf):
     return world.world_snapshot(lake.asteroids, lake.risk, lake.objects, lake.orbits, lake.bridge, lake.audit)
 
 
-@query("world_snapshot", "C12 W3 W10 J8 J3 U5 T4", with_tables("SELECT * FROM wld", "wld"))
+@query("world_snapshot", "C12 W3 W10 J8 J3 U5", with_tables("SELECT * FROM wld", "wld"))
 def _(spark, sf):
     return _world(spark, sf)
 

@@ -42,6 +42,6 @@ def metrics_as_text(checks: DataFrame) -> DataFrame:
 
 def load() -> dict[str, Query]:
     """All queries; the modules register on import."""
-    from perigee.bindings import feed_queries, gate_queries, history_queries, identity_queries, scalar_queries  # noqa: F401
+    from perigee.bindings import feed_queries, gate_queries, history_queries, identity_queries, publication_queries, scalar_queries  # noqa: F401
 
     return REGISTRY

@@ -336,11 +336,6 @@ def audit_of(identifiers: DataFrame) -> DataFrame:
 BRIDGE_ORDER = ["asteroid_key", "source_system", "identifier_name", "identifier_value"]
 
 
-def in_order(table: DataFrame) -> DataFrame:
-    """Bridge or audit rows in their fixed order (a range-partitioned sort)."""
-    return table.orderBy(*(BRIDGE_ORDER if "asteroid_key" in table.columns else IDENTIFIER))
-
-
 def resolve(approaches: DataFrame, catalog: DataFrame, risk: DataFrame, run_id: str, resolved_at: str) -> Crosswalk:
     """Resolve the three feeds. Reads id/name, spkid/designation/fullname/alternate_designations and
     sentry_id/designation/fullname; anything else in the inputs is pruned away. Intermediate tables

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perigee.operators.ordering import check_page, page_of, publish_in_order
+from perigee.runtime import fresh_path
+
 
 def pivot_values(df: DataFrame, keys: list[str], name: str, value: str, columns: dict[str, str]) -> DataFrame:
     """Long to wide: one column per (output -> stored name), the largest value of each."""
@@ -40,15 +43,13 @@ def duplicated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def page(df: DataFrame, order: list[str], limit: int = 50, offset: int = 0) -> tuple[DataFrame, DataFrame]:
-    """One page in a total order, and a one-row frame with the total before slicing."""
-    if not 1 <= limit <= 500:
-        raise ValueError("limit must lie in 1..500")
-    if offset < 0:
-        raise ValueError("offset must not be negative")
-    ascending = [F.col(c).asc_nulls_last() for c in order]
-    rows = df.orderBy(*ascending).offset(offset).limit(limit)
-    total = df.agg(F.count(F.lit(1)).alias("total")).select(
-        "total", F.lit(limit).alias("limit"), F.lit(offset).alias("offset"),
-        F.greatest(F.lit(0), F.least(F.lit(limit), F.col("total") - offset)).cast("bigint").alias("returned"),
-    )
-    return rows, total
+    """One page in a total order, and a one-row frame with the total before slicing.
+
+    `df` runs once: it is published in order, and the page reads the files it touches, at any offset. To
+    turn several pages of one table, publish it and call `page_of`.
+    """
+    check_page(limit, offset)
+    spark = df.sparkSession
+    path = fresh_path(spark, "pages")
+    publish_in_order(df, order, path)
+    return page_of(spark, path, limit, offset)

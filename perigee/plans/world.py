@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee import vocabulary as V
 from perigee.functions.availability import catalog_status, risk_status
 from perigee.functions.keys import unit_direction
+from perigee.operators.ordering import page_of, publish_in_order
 from perigee.operators.picking import closest_encounter, latest_by, preferred_pivot
 from perigee.plans.catalog import coherent_snapshot
 from perigee.plans.watchlist import resolve_ids
@@ -77,6 +78,16 @@ def world_snapshot(
     )
 
 
+def publish_world(flat: DataFrame, path: str) -> DataFrame:
+    """Store the world rows closest first, ties by id, with the manifest that readers take the order from."""
+    return publish_in_order(flat, WORLD_ORDER, path)
+
+
+def nearest_objects(spark: SparkSession, path: str, limit: int = 50, offset: int = 0) -> tuple[DataFrame, DataFrame]:
+    """One page of the published world, in its order, and the page's figures."""
+    return page_of(spark, path, limit, offset)
+
+
 def catalog_block(row=F.col):
     """Struct (status, spkid, snapshot_key, run_id) of a flat world row."""
     status = catalog_status(row("match_state"), row("sbdb_spkid"), row("sbdb_snapshot_key"))

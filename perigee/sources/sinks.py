@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from perigee.functions.dates import date_parts
 from perigee.functions.text import redact_api_key
 from perigee.operators.picking import insert_if_absent
-from perigee.operators.resolution import Crosswalk, audit_of, bridge_of, in_order
+from perigee.operators.ordering import publish_in_order
+from perigee.operators.resolution import BRIDGE_ORDER, IDENTIFIER, Crosswalk, audit_of, bridge_of
 from perigee.runtime import materialize
 from perigee.schemas import table_columns
 from perigee.sources.files import exists
@@ -108,14 +109,15 @@ def load_relational(spark: SparkSession, accepted: DataFrame, folder: str, order
 
 
 def save_crosswalk(crosswalk: Crosswalk, folder: str) -> tuple[str, str]:
-    """Bridge and audit side by side, in their fixed order, with the candidates of ambiguous identifiers.
+    """Bridge and audit side by side, each published in its fixed order with a manifest, and the candidates
+    of ambiguous identifiers.
 
     The collapsed identifiers are computed once for both.
     """
     fixed = materialize(crosswalk.identifiers, "identifiers")
     bridge_path, audit_path = f"{folder}/bridge_asteroid_identifier.parquet", f"{folder}/fact_entity_resolution.parquet"
-    write_table(in_order(bridge_of(fixed)), "bridge_asteroid_identifier", bridge_path)
-    write_table(in_order(audit_of(fixed)), "fact_entity_resolution", audit_path)
+    publish_in_order(check_contract(bridge_of(fixed), "bridge_asteroid_identifier"), BRIDGE_ORDER, bridge_path)
+    publish_in_order(check_contract(audit_of(fixed), "fact_entity_resolution"), IDENTIFIER, audit_path)
     crosswalk.candidates.write.mode("overwrite").parquet(f"{folder}/alias_candidates.parquet")
     crosswalk.links.write.mode("overwrite").parquet(f"{folder}/candidate_links.parquet")
     return bridge_path, audit_path
