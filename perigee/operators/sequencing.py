@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from perigee.functions.dates import iso_date
+from perigee.runtime import materialize
+
 
 def with_neighbours(
     df: DataFrame,
@@ -56,19 +59,58 @@ def month_of(key: str) -> Column:
     return F.substring(F.col(key), 1, 7)
 
 
+# Lengths of the parts of a yyyy-MM-dd key that count years and months.
+CALENDAR = (4, 7)
+
+
+def in_sequence(keys: DataFrame, key: str, parts: tuple[int, ...] = CALENDAR) -> DataFrame:
+    """Distinct keys with `seq`, their rank from 1, and `next_key`, the key that follows.
+
+    A prefix sum over the calendar: keys are numbered inside their month, months inside their year and
+    years on their own; what lies before and the first key behind are handed down. So a window holds at
+    most 31 days, 12 months or one row per year. Any text is put in its right place, as text order is
+    kept by prefixes; only keys that aren't dates (`not_dates` finds them) can make windows larger.
+    """
+    levels = []  # from years to months: one row per prefix, with its keys and the first of them
+    for length in parts:
+        prefix = F.substring(F.col(key), 1, length)
+        levels.append(keys.groupBy(prefix.alias("part")).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first")))
+    above = None
+    for level, length in zip(levels, (0, *parts)):
+        order = (Window.partitionBy("outer") if length else Window).orderBy("part")
+        rows = level.withColumn("outer", F.substring("part", 1, length)) if length else level
+        rows = rows.withColumns({
+            "before": F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+            "behind": F.lead("first").over(order)})
+        if above is not None:
+            rows = rows.join(above, "outer").select(
+                "part", (F.col("before") + F.col("outer_before")).alias("before"), F.coalesce("behind", "outer_behind").alias("behind"))
+        above = rows.select(F.col("part").alias("outer"), F.col("before").alias("outer_before"), F.col("behind").alias("outer_behind"))
+    order = Window.partitionBy("outer").orderBy(key)
+    placed = keys.withColumn("outer", F.substring(F.col(key), 1, parts[-1])).withColumns({
+        "inside": F.row_number().over(order), "behind": F.lead(key).over(order)})
+    return placed.join(above, "outer").select(
+        *keys.columns, (F.col("outer_before") + F.col("inside")).cast("bigint").alias("seq"), F.coalesce("behind", "outer_behind").alias("next_key"))
+
+
+def not_dates(keys: DataFrame, key: str) -> DataFrame:
+    """Keys that aren't calendar dates written yyyy-MM-dd."""
+    return keys.filter(F.col(key).isNotNull() & ~F.col(key).eqNullSafe(iso_date(F.col(key))))
+
+
 def timeline(snapshots: DataFrame) -> DataFrame:
-    """Coverage: one row per snapshot day with counts, times and a dense sequence.
+    """Coverage: one row per snapshot day with counts, times, a dense sequence and the next captured day.
 
-    The windows run over the grouped days, of which a calendar century has 36,525.
+    The days are written first, so the snapshots are read once for all levels of the sequence.
     """
     days = snapshots.filter(F.col("snapshot_key").isNotNull()).groupBy("snapshot_key").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.min("snapshot_time").alias("first_snapshot_time"),
         F.max("snapshot_time").alias("last_snapshot_time"),
     )
-    return days.select(
+    return in_sequence(materialize(days, "snapshot-days"), "snapshot_key").select(
         "snapshot_key",
         F.lit(True).alias("is_captured"),
         "row_count", "first_snapshot_time", "last_snapshot_time",
-        F.dense_rank().over(Window.orderBy("snapshot_key")).cast("bigint").alias("snapshot_seq"),
+        F.col("seq").alias("snapshot_seq"), "next_key",
     )

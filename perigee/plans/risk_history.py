@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perigee.functions.change import any_differs, coverage_gap, flag, presence_state
@@ -27,7 +27,7 @@ ROW_ORDER = ["snapshot_key", "snapshot_time", "run_id"]
 
 def snapshot_coverage(risk: DataFrame) -> DataFrame:
     """One row per captured snapshot day."""
-    return timeline(risk)
+    return timeline(risk).drop("next_key")
 
 
 def _on_timeline(risk: DataFrame, coverage: DataFrame) -> DataFrame:
@@ -72,9 +72,8 @@ def risk_metric_history(risk: DataFrame, bridge: DataFrame) -> DataFrame:
 
 def presence_history(risk: DataFrame) -> DataFrame:
     """Per snapshot row: neighbours of the object in the sequence, gap flag and presence state."""
-    order = Window.orderBy("seq_curr")
-    days = timeline(risk).select("snapshot_key", F.col("snapshot_seq").alias("seq_curr")).withColumn(
-        "global_next_snapshot_key", F.lead("snapshot_key").over(order))
+    days = timeline(risk).select(
+        "snapshot_key", F.col("snapshot_seq").alias("seq_curr"), F.col("next_key").alias("global_next_snapshot_key"))
     days = materialize(days, "coverage")
     rows = _on_timeline(
         risk.select("snapshot_key", "snapshot_time", "run_id", "sentry_id", "designation", "fullname"), days)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from helpers import bridge_rows, by, risk_rows
 from perigee.operators.picking import first_by, insert_if_absent, latest_by, most_severe, preferred_pivot
-from perigee.operators.sequencing import with_neighbours
+from perigee.operators.sequencing import in_sequence, not_dates, with_neighbours
 from perigee.plans import risk_history as H
 
 AS_OF = "2026-09-27T00:00:00Z"
@@ -20,6 +20,28 @@ def test_coverage(spark):
     assert got[D[3]]["snapshot_seq"] == 2
 
 
+def test_sequence_over_months_and_years(spark):
+    days = [date(2023, 11, 28) + timedelta(days=i * i % 900) for i in range(300)]
+    keys = sorted({str(d) for d in days})
+    got = by(in_sequence(spark.createDataFrame([(k,) for k in keys], "k string").repartition(5), "k"), "k")
+    assert [got[k]["seq"] for k in keys] == list(range(1, len(keys) + 1))
+    assert [got[k]["next_key"] for k in keys] == [*keys[1:], None]
+    # Keys that aren't dates keep their place in the order of texts, and are named.
+    odd = sorted([*keys[:40], "2023", "2024-01-03#2", "x", "", "2024-13-01", "2024-1-1"])
+    frame = spark.createDataFrame([(k,) for k in odd], "k string")
+    got = by(in_sequence(frame, "k"), "k")
+    assert [(got[k]["seq"], got[k]["next_key"]) for k in odd] == list(zip(range(1, len(odd) + 1), [*odd[1:], None]))
+    assert {r.k for r in not_dates(frame, "k").collect()} == {"2023", "2024-01-03#2", "x", "", "2024-13-01", "2024-1-1"}
+    assert in_sequence(frame.limit(0), "k").count() == 0
+
+
+def test_no_window_holds_all_keys(spark):
+    plan = H.snapshot_coverage(risk_rows(spark, dict(snapshot_key=D[1])))._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if " Window [" in line]
+    alone = [line for line in windows if "], [part#" in line and "outer#" not in line]
+    assert len(windows) >= 3 and len(alone) == 1 and "snapshot_key" not in alone[0].split("], [")[1]
+
+
 def test_metric_history(spark):
     risk = risk_rows(
         spark, dict(snapshot_key=D[1]), dict(snapshot_key=D[2]),
