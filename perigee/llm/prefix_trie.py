@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perigee.llm.common import BATCH_SETTING, WORD_PATTERN
-from perigee.runtime import materialize, one_row
+from perigee.runtime import materialize
 
 # A conversation takes the opening of the first one of its family, of at most HEADS - 1 turns.
 FAMILY = 20
@@ -160,10 +160,11 @@ def nodes(conversations: DataFrame) -> DataFrame:
         "0L AS k1", "0L AS k2", "conv_id", "0L AS depth", "null AS p1", "null AS p2", "n_convs", "0L AS words")
     found = materialize(found.unionByName(root), "trie")
     # Nodes of depth 1, however many, have the one root; the others meet their parents by key.
-    top = one_row(found.filter("depth = 0").agg(F.min("conv_id").alias("parent_conv_id")))
+    top = found.filter("depth = 0").select("conv_id").first()
+    top = F.lit(top.conv_id if top else None).cast("bigint")
     parents = found.filter("depth > 0").select(F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("conv_id").alias("parent_conv_id"))
     deep = found.filter("depth > 1").join(parents, ["p1", "p2"])
-    linked = deep.unionByName(found.filter("depth = 1").crossJoin(top)).unionByName(found.filter("depth = 0").withColumn("parent_conv_id", F.lit(None).cast("bigint")))
+    linked = deep.unionByName(found.filter("depth = 1").withColumn("parent_conv_id", top)).unionByName(found.filter("depth = 0").withColumn("parent_conv_id", F.lit(None).cast("bigint")))
     counts = found.filter("depth > 0").groupBy(F.col("p1").alias("k1"), F.col("p2").alias("k2")).agg(F.count("*").alias("n_children"))
     full = linked.join(counts, KEY, "left").join(ends, KEY, "left")
     nothing = hashlib.sha256(b"").hexdigest()
