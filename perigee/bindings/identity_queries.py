@@ -266,7 +266,7 @@ FROM (SELECT *, count(*) OVER (PARTITION BY neows_id) AS c FROM wls)
 QUALIFY row_number() OVER (PARTITION BY neows_id ORDER BY miss_distance_km, closest_approach_date) = 1""", "wls"))
 def _(spark, sf):
     lake = D.lakehouse(spark, sf)
-    return dossier.asteroid_detail(_watchlist(spark, sf), lake.audit, lake.bridge)
+    return dossier.asteroid_detail(lake.asteroids, lake.risk, lake.objects, lake.bridge, lake.audit)
 
 
 _EVIDENCE = """CASE WHEN NOT regexp_full_match(s.neows_id, '[0-9]+') THEN 'NeoWs identifier must contain only numeric digits.'

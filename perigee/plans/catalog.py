@@ -89,40 +89,64 @@ def coherent_snapshot(objects: DataFrame, orbits: DataFrame) -> DataFrame:
     return latest_by(written, ["spkid"], SNAPSHOT_ORDER)
 
 
-def catalog_profile(
-    objects: DataFrame, orbits: DataFrame, elements: DataFrame, physical: DataFrame, bridge: DataFrame
-) -> DataFrame:
-    """One row per entity with a catalog snapshot; every value comes from that one snapshot."""
-    pin = ["spkid", "snapshot_key", "run_id"]
-    anchor = coherent_snapshot(objects, orbits)
+PIN = ["spkid", "snapshot_key", "run_id"]
 
-    def pinned(table: DataFrame) -> DataFrame:
-        # Semi join first: rows of older snapshots never reach the aggregates below.
-        return table.join(anchor.select(*pin), pin, "left_semi")
 
-    obj = latest_by(pinned(objects.select(*pin, *OBJECT_FIELDS, F.col("orbit_id").alias("object_orbit_id"))), pin, [])
-    orb = latest_by(pinned(orbits.select(*pin, "orbit_id", *ORBIT_FIELDS)), pin, ["orbit_id"])
-    solution = orb.select(*pin, F.col("orbit_id").alias("solution_id"))
-    elem = pinned(elements.select(*pin, "orbit_id", "element_name", "element_value", "equinox")).join(solution, pin, "left")
-    # With a known solution only its elements count; without one, all of the snapshot's do.
-    elem = elem.filter(F.col("solution_id").isNull() | (F.col("orbit_id") == F.col("solution_id")))
-    picks = [F.max(F.when(F.col("element_name") == n, F.col("element_value"))).alias(o) for o, n in PROFILE_ELEMENTS.items()]
-    elem = elem.groupBy(*pin).agg(*picks, F.max("equinox").alias("element_equinox"))
-    phys = pivot_values(pinned(physical), pin, "param_name", "param_value_numeric", PHYSICAL_PARAMETERS)
+def snapshot_contents(objects: DataFrame, orbits: DataFrame) -> DataFrame:
+    """The coherent snapshot of each object with what it holds: structs `obj` and `orb`, NULL where absent.
 
-    joined = anchor
-    for side in (obj, orb, elem, phys):
-        joined = joined.join(side, pin, "left")
-    joined = joined.join(preferred_pivot(bridge, CATALOG_FEED, "spkid"), "spkid", "inner")
+    Object and orbit rows are tagged in one union, so each table is read once: one aggregate per (object,
+    snapshot, run) picks a payload of either kind, one per object picks the newest snapshot with both.
+    """
+    obj = F.struct(*OBJECT_FIELDS, F.col("orbit_id").alias("object_orbit_id"))
+    orb = F.struct("orbit_id", *ORBIT_FIELDS)
+    none = lambda struct, table: F.lit(None).cast(table.select(struct.alias("s")).schema["s"].dataType)
+    written = objects.select("spkid", *SNAPSHOT_ORDER, obj.alias("obj"), none(orb, orbits).alias("orb")).unionByName(
+        orbits.select("spkid", *SNAPSHOT_ORDER, none(obj, objects).alias("obj"), orb.alias("orb")))
+    # max() ignores NULL, so each kind picks among its own rows.
+    runs = written.groupBy(*PIN).agg(F.max("snapshot_time").alias("snapshot_time"), F.max("obj").alias("obj"), F.max("orb").alias("orb"))
+    # A snapshot without key or run is never looked up.
+    known = F.col("snapshot_key").isNotNull() & F.col("run_id").isNotNull()
+    row = F.struct(*SNAPSHOT_ORDER, F.when(known, F.col("obj")).alias("obj"), F.when(known, F.col("orb")).alias("orb"))
+    return runs.groupBy("spkid").agg(F.max(row).alias("row")).select("spkid", "row.*")
+
+
+def snapshot_profile(objects: DataFrame, orbits: DataFrame, elements: DataFrame, physical: DataFrame) -> DataFrame:
+    """One row per object of the catalog; every value comes from its one coherent snapshot.
+
+    Each of the four tables is read once. Elements and parameters are pivoted per snapshot before they
+    meet the snapshots, so a row per (snapshot, solution) is shuffled and not one per element.
+    """
+    anchor = snapshot_contents(objects, orbits)
+    picks = [F.max(F.when(F.col("element_name") == n, F.col("element_value"))).alias(o) for o, n in PROFILE_ELEMENTS.items()]
+    solved = elements.groupBy(*PIN, F.col("orbit_id").alias("element_orbit_id")).agg(*picks, F.max("equinox").alias("element_equinox"))
+    joined = anchor.join(solved, PIN, "left")
+    # With a known solution only its elements count; without one, all of the snapshot's do.
+    counts = F.col("orb.orbit_id").isNull() | (F.col("element_orbit_id") == F.col("orb.orbit_id"))
+    values = [*PROFILE_ELEMENTS, "element_equinox"]
+    held = F.struct("snapshot_time", "obj", "orb")
+    joined = joined.groupBy(*PIN).agg(F.first(held).alias("held"), *[F.max(F.when(counts, F.col(c))).alias(c) for c in values])
+    joined = joined.select(*PIN, "held.*", *values)
+    phys = pivot_values(physical, PIN, "param_name", "param_value_numeric", PHYSICAL_PARAMETERS)
+    joined = joined.join(phys, PIN, "left")
     first_text = lambda a, b: F.coalesce(F.nullif(F.col(a), F.lit("")), b)
     return joined.select(
-        "spkid", "asteroid_key", *OBJECT_FIELDS, "snapshot_key", "run_id", "snapshot_time",
-        first_text("orbit_id", "object_orbit_id").alias("orbit_id"), "epoch_jd",
-        first_text("equinox", "element_equinox").alias("equinox"),
-        *[c for c in ORBIT_FIELDS if c not in ("epoch_jd", "equinox")],
+        "spkid", *[F.col(f"obj.{c}").alias(c) for c in OBJECT_FIELDS], "snapshot_key", "run_id", "snapshot_time",
+        first_text("orb.orbit_id", "obj.object_orbit_id").alias("orbit_id"), F.col("orb.epoch_jd").alias("epoch_jd"),
+        first_text("orb.equinox", "element_equinox").alias("equinox"),
+        *[F.col(f"orb.{c}").alias(c) for c in ORBIT_FIELDS if c not in ("epoch_jd", "equinox")],
         *PROFILE_ELEMENTS,
         period_from_days(F.col("orbital_period_days")).alias("orbital_period_yr"),
         *PHYSICAL_PARAMETERS,
-        quality_tier(F.col("data_arc_days"), F.col("n_obs_used"), F.col("condition_code")).alias(
+        quality_tier(F.col("orb.data_arc_days"), F.col("orb.n_obs_used"), F.col("orb.condition_code")).alias(
             "astrometric_data_quality_tier"),
     )
+
+
+def catalog_profile(
+    objects: DataFrame, orbits: DataFrame, elements: DataFrame, physical: DataFrame, bridge: DataFrame
+) -> DataFrame:
+    """One row per entity with a catalog snapshot; every value comes from that one snapshot."""
+    profile = snapshot_profile(objects, orbits, elements, physical)
+    joined = profile.join(preferred_pivot(bridge, CATALOG_FEED, "spkid"), "spkid", "inner")
+    return joined.select("spkid", "asteroid_key", *[c for c in profile.columns if c != "spkid"])

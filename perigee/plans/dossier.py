@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from perigee import vocabulary as V
 from perigee.functions.availability import override_reason, risk_gap_reason, section
+from perigee.functions.orbit import lunar_distances
 from perigee.functions.text import empty_to_null
-from perigee.operators.picking import distinct_identifiers, first_by
-from perigee.plans.catalog import catalog_profile
+from perigee.operators.picking import distinct_identifiers
+from perigee.plans.catalog import catalog_profile, snapshot_profile
 from perigee.plans.risk_history import risk_history
-from perigee.plans.watchlist import resolve_ids
+from perigee.plans.watchlist import closest_per_day, described_ids, resolve_ids
 from perigee.plans.world import catalog_block, risk_block, with_optional_columns, world_snapshot
 from perigee.runtime import attach, one_row
 from perigee.schemas import RISK_ASSESSMENT_COLUMNS
@@ -71,15 +72,23 @@ def crosswalk(bridge: DataFrame, asteroid_key: str | None = None) -> DataFrame:
         "asteroid_key", F.col("is_primary_pivot").desc_nulls_last(), "source_system", "identifier_name", "identifier_value")
 
 
-def asteroid_detail(watchlist: DataFrame, audit: DataFrame, bridge: DataFrame, neows_id: str | None = None) -> DataFrame:
-    """One row per approach id: its closest encounter, how many were recorded, and its identity."""
+def asteroid_detail(
+    approaches: DataFrame, risk: DataFrame, objects: DataFrame, bridge: DataFrame, audit: DataFrame, neows_id: str | None = None,
+) -> DataFrame:
+    """One row per approach id: its closest encounter, on how many days one was recorded, and its identity.
+
+    Each table of facts is read once: one aggregate per id picks the row and counts the days, and the
+    identity is looked up for its result. NULL distances and dates come last, the other columns break ties.
+    """
     if neows_id is not None:
-        watchlist = watchlist.filter(F.col("neows_id") == neows_id)
-    seen = watchlist.groupBy("neows_id").agg(F.count(F.lit(1)).alias("approaches_recorded_count"))
-    near = first_by(watchlist.drop("asteroid_key", "match_state"), ["neows_id"], ["miss_distance_km", "closest_approach_date"])
-    state = resolve_ids(seen.select("neows_id"), audit, bridge)
-    return near.join(seen, "neows_id").join(state, "neows_id").select(
-        "neows_id", "name", "closest_approach_date", "miss_distance_km", "miss_distance_lunar", "hazardous",
+        approaches = approaches.filter(F.col("id") == neows_id)
+    order = ["miss_distance_km", "closest_approach_date"]
+    row = F.struct(*[part for c in order for part in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))], "name", "hazardous")
+    near = closest_per_day(approaches).groupBy("neows_id").agg(
+        F.min(row).alias("near"), F.count(F.lit(1)).alias("approaches_recorded_count"))
+    return described_ids(near, risk, objects, bridge, audit).select(
+        "neows_id", "near.name", "near.closest_approach_date", "near.miss_distance_km",
+        lunar_distances(F.col("near.miss_distance_km")).alias("miss_distance_lunar"), "near.hazardous",
         "approaches_recorded_count", F.lit(V.CLOSEST_APPROACH_RULE).alias("selection_rule"), "asteroid_key", "match_state",
         "is_sentry_monitored", "is_sentry_ambiguous", "sentry_id", "has_sbdb_characterization", "sbdb_spkid",
         "sbdb_designation", "sbdb_fullname", "sbdb_orbit_class_name",
@@ -160,12 +169,9 @@ def unified_profile(
     The identifier list of the entity is `crosswalk_answers`, one row per identifier.
     """
     _, missing = with_optional_columns(approaches)
-    flat = world_snapshot(approaches, risk, objects, orbits, bridge, audit, neows_id)
-    catalog = catalog_profile(objects, orbits, elements, physical, bridge)
-    catalog = catalog.select(F.col("asteroid_key").alias("catalog_key"), F.struct(*catalog.columns).alias("cat"))
-    rows = attach(
-        flat, catalog, "asteroid_key", "catalog_key", spread=["neows_id"],
-        when=(F.col("match_state") == V.RESOLVED) & F.col("sbdb_snapshot_key").isNotNull())
+    rows = world_snapshot(
+        approaches, risk, objects, orbits, bridge, audit, neows_id, snapshot_profile(objects, orbits, elements, physical))
+    rows = rows.withColumn("cat", F.when((F.col("match_state") == V.RESOLVED) & F.col("sbdb_snapshot_key").isNotNull(), F.col("cat")))
     rows = rows.withColumn("sbdb", catalog_block()).withColumn("sentry", risk_block())
     state = F.col("match_state")
     resolved = state == V.RESOLVED

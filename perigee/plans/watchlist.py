@@ -37,7 +37,7 @@ EVIDENCE_TEXT = {
 
 
 def resolve_ids(ids: DataFrame, audit: DataFrame, bridge: DataFrame, with_evidence: bool = False) -> DataFrame:
-    """State, key and rule of every approach id (column `neows_id`, distinct).
+    """State, key and rule of every approach id (column `neows_id`, distinct); other columns of `ids` stay.
 
     The newest audit row answers; only without one does the bridge, by how many entities it names.
     """
@@ -62,7 +62,7 @@ def resolve_ids(ids: DataFrame, audit: DataFrame, bridge: DataFrame, with_eviden
         .when(one, V.BRIDGE_EXACT).when(several, V.BRIDGE_SEVERAL).otherwise(V.NO_RECORD)
     )
     out = [
-        "neows_id", state.alias("match_state"), key.alias("asteroid_key"), rule.alias("match_rule"),
+        *ids.columns, state.alias("match_state"), key.alias("asteroid_key"), rule.alias("match_rule"),
         F.col("audit_at").alias("resolved_at"),
     ]
     if with_evidence:
@@ -150,17 +150,16 @@ def linked_risk(risk: DataFrame, bridge: DataFrame) -> DataFrame:
     )
 
 
-def threat_watchlist(
-    approaches: DataFrame, risk: DataFrame, objects: DataFrame, bridge: DataFrame, audit: DataFrame
-) -> DataFrame:
-    """One row per (date, approach id), the closest of its copies, with resolution state and links.
-
-    Monitored here means a risk identifier in the bridge, with or without risk rows.
-    """
-    encounter = first_by(
+def closest_per_day(approaches: DataFrame) -> DataFrame:
+    """One row per (approach id, date): the closest of its copies."""
+    return first_by(
         approaches.select(F.col("id").alias("neows_id"), "name", "closest_approach_date", "miss_distance_km", "hazardous"),
         ["neows_id", "closest_approach_date"], ["miss_distance_km"])
-    state = resolve_ids(approaches.select(F.col("id").alias("neows_id")).distinct(), audit, bridge)
+
+
+def described_ids(ids: DataFrame, risk: DataFrame, objects: DataFrame, bridge: DataFrame, audit: DataFrame) -> DataFrame:
+    """Distinct approach ids (`neows_id`; other columns stay) with their resolution, risk links and catalog object."""
+    state = resolve_ids(ids, audit, bridge)
     pivots = pivot_spkids(bridge).select(F.col("asteroid_key").alias("pivot_key"), F.col("spkid").alias("sbdb_spkid"))
     latest = latest_by(
         objects.select("spkid", "snapshot_key", "snapshot_time", "run_id", "designation", "fullname", "orbit_class_name"),
@@ -170,11 +169,9 @@ def threat_watchlist(
     entity = pivots.join(latest, F.col("sbdb_spkid") == F.col("described_spkid"), "left").join(
         linked_risk(risk, bridge), F.col("pivot_key") == F.col("risk_key"), "full",
     ).withColumn("entity_key", F.coalesce("pivot_key", "risk_key"))
-    # Ids are distinct here, so a busy object meets its entity once, before its approaches multiply.
-    per_id = attach(state, entity, "asteroid_key", "entity_key", spread=["neows_id"])
-    return encounter.join(per_id, "neows_id", "inner").select(
-        "closest_approach_date", "neows_id", "name", "miss_distance_km",
-        lunar_distances(F.col("miss_distance_km")).alias("miss_distance_lunar"), "hazardous", "asteroid_key", "match_state",
+    rows = attach(state, entity, "asteroid_key", "entity_key", spread=["neows_id"])
+    return rows.select(
+        *ids.columns, "asteroid_key", "match_state",
         (F.coalesce("links", F.lit(0)) > 0).alias("is_sentry_monitored"),
         (F.coalesce("links", F.lit(0)) > 1).alias("is_sentry_ambiguous"),
         "sentry_id", "sentry_impact_probability", "sentry_palermo_scale_max", "sentry_torino_scale_max",
@@ -184,6 +181,24 @@ def threat_watchlist(
     )
 
 
+def threat_watchlist(
+    approaches: DataFrame, risk: DataFrame, objects: DataFrame, bridge: DataFrame, audit: DataFrame
+) -> DataFrame:
+    """One row per (date, approach id), the closest of its copies, with resolution state and links.
+
+    Monitored here means a risk identifier in the bridge, with or without risk rows.
+    """
+    # Ids are distinct here, so a busy object meets its entity once, before its approaches multiply.
+    ids = approaches.select(F.col("id").alias("neows_id")).distinct()
+    per_id = described_ids(ids, risk, objects, bridge, audit)
+    rows = closest_per_day(approaches).join(per_id, "neows_id", "inner")
+    return rows.select(
+        "closest_approach_date", "neows_id", "name", "miss_distance_km",
+        lunar_distances(F.col("miss_distance_km")).alias("miss_distance_lunar"), "hazardous",
+        *[c for c in per_id.columns if c != "neows_id"],
+    )
+
+
 def filter_watchlist(
     watchlist: DataFrame, hazardous: bool | None = None, sentry_monitored: bool | None = None,
     horizon_mkm: float | None = None,

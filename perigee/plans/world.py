@@ -36,15 +36,19 @@ def risk_links(bridge: DataFrame) -> DataFrame:
 
 def world_snapshot(
     approaches: DataFrame, risk: DataFrame, objects: DataFrame, orbits: DataFrame, bridge: DataFrame,
-    audit: DataFrame, neows_id: str | None = None,
+    audit: DataFrame, neows_id: str | None = None, profile: DataFrame | None = None,
 ) -> DataFrame:
-    """The flat world rows. With `neows_id` the scan itself is restricted."""
+    """The flat world rows. With `neows_id` the scan itself is restricted.
+
+    A `profile` (one row per object of the catalog, from `snapshot_profile`) takes the place of the
+    catalog's tables; its rows come along as the struct `cat`.
+    """
     if neows_id is not None:
         approaches = approaches.filter(F.col("id") == neows_id)
     approaches, _ = with_optional_columns(approaches)
     core = ["id", "name", "closest_approach_date", "miss_distance_km", "hazardous", *OPTIONAL_APPROACH_COLUMNS]
     near = closest_encounter(approaches.select(*core)).withColumnRenamed("id", "neows_id")
-    state = resolve_ids(near.select("neows_id"), audit, bridge)
+    near = resolve_ids(near, audit, bridge)
 
     # Everything about an entity is gathered per entity first: one row per key.
     latest = latest_by(
@@ -57,16 +61,18 @@ def world_snapshot(
     links = attach(
         risk_links(bridge).withColumn("sole_id", F.when(F.col("links") == 1, F.col("link_id"))),
         latest, "sole_id", "record_id", spread=["link_key"])
-    snapshot = coherent_snapshot(objects, orbits).select(
+    carried = [] if profile is None else ["cat"]
+    snapshot = coherent_snapshot(objects, orbits) if profile is None else profile.withColumn("cat", F.struct(*profile.columns))
+    snapshot = snapshot.select(
         F.col("spkid").alias("snapshot_spkid"), F.col("snapshot_key").alias("sbdb_snapshot_key"),
-        F.col("run_id").alias("sbdb_run_id"))
+        F.col("run_id").alias("sbdb_run_id"), *carried)
     pivots = preferred_pivot(bridge, V.CATALOG_FEED, "spkid").select(
         F.col("asteroid_key").alias("pivot_key"), F.col("spkid").alias("sbdb_spkid"))
     entity = pivots.join(snapshot, F.col("sbdb_spkid") == F.col("snapshot_spkid"), "left").join(
         links, F.col("pivot_key") == F.col("link_key"), "full",
     ).withColumn("entity_key", F.coalesce("pivot_key", "link_key"))
 
-    rows = attach(near.join(state, "neows_id"), entity, "asteroid_key", "entity_key", spread=["neows_id"],
+    rows = attach(near, entity, "asteroid_key", "entity_key", spread=["neows_id"],
                   when=F.col("match_state") == V.RESOLVED)
     catalog = one_row(risk.agg(F.max("snapshot_key").alias("sentry_latest_catalog_snapshot_key")))
     return rows.crossJoin(catalog).select(
@@ -74,7 +80,7 @@ def world_snapshot(
         "match_state", "asteroid_key", "match_rule", "resolved_at", "sbdb_spkid", "sbdb_snapshot_key", "sbdb_run_id",
         F.coalesce("links", F.lit(0)).cast("bigint").alias("sentry_link_count"), F.col("sole_id").alias("sentry_id"),
         "sentry_snapshot_key", "sentry_run_id", "sentry_snapshot_time",
-        *[f"sentry_{c}" for c in RISK_ASSESSMENT_COLUMNS], "sentry_latest_catalog_snapshot_key",
+        *[f"sentry_{c}" for c in RISK_ASSESSMENT_COLUMNS], "sentry_latest_catalog_snapshot_key", *carried,
     )
 
 

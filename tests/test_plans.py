@@ -189,9 +189,33 @@ def test_answers(spark, profile_inputs):
     assert ("8", None) in ids and len([i for i in ids if i[0] == "1"]) == 3
     first = dossier.crosswalk(links, "k1").collect()
     assert [r.is_primary_pivot for r in first] == [True, False, False]
-    served = watchlist.threat_watchlist(rows.unionByName(rows.withColumn("closest_approach_date", F.lit("2027-01-01"))), rsk, objects, links, log)
-    detail = by(dossier.asteroid_detail(served, log, links), "neows_id")["1"]
-    assert detail["approaches_recorded_count"] == 2 and detail["closest_approach_date"] == "2026-09-28"
+    twice = rows.unionByName(rows.withColumn("closest_approach_date", F.lit("2027-01-01"))).unionByName(rows.withColumn("miss_distance_km", F.lit(9e9)))
+    detail = by(dossier.asteroid_detail(twice, rsk, objects, links, log), "neows_id")
+    assert detail["1"]["approaches_recorded_count"] == 2 and detail["1"]["closest_approach_date"] == "2026-09-28"
+    assert detail["1"]["miss_distance_km"] == 5e6 and detail["1"]["sentry_id"] == "s1" and detail["1"]["sbdb_fullname"] == "F1"
+    assert detail["2"]["is_sentry_ambiguous"] and detail["8"]["match_state"] == "UNRESOLVED" and set(detail) == {"1", "2", "3", "8"}
+    assert dossier.asteroid_detail(twice, rsk, objects, links, log, neows_id="2").count() == 1
+
+
+def reads(df):
+    """How often a plan reads each stored table, by the name of its folder."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    paths = [leaves.apply(i).relation().location().rootPaths().mkString(",").rsplit("/", 1)[1] for i in range(leaves.size())]
+    return {p: paths.count(p) for p in paths}
+
+
+def test_facts_are_read_once(spark, profile_inputs, tmp_path):
+    names = ["approaches", "risk", "objects", "orbits", "elements", "physical", "bridge", "audit"]
+    for name, table in zip(names, profile_inputs):
+        table.write.parquet(f"{tmp_path}/{name}")
+    approaches, risk_table, objects, orbits, elements, physical, links, log = stored = [spark.read.parquet(f"{tmp_path}/{n}") for n in names]
+    profile = reads(dossier.unified_profile(*stored))
+    assert {n: profile[n] for n in ("approaches", "objects", "orbits", "elements", "physical")} == dict.fromkeys(("approaches", "objects", "orbits", "elements", "physical"), 1)
+    assert profile["risk"] <= 2
+    catalog_reads = reads(catalog.catalog_profile(objects, orbits, elements, physical, links))
+    assert {n: catalog_reads[n] for n in ("objects", "orbits", "elements", "physical")} == dict.fromkeys(("objects", "orbits", "elements", "physical"), 1)
+    detail = reads(dossier.asteroid_detail(approaches, risk_table, objects, links, log))
+    assert (detail["approaches"], detail["objects"], detail.get("risk", 0)) == (1, 1, 0)  # no risk value is asked for
 
 
 def as_json(df):
