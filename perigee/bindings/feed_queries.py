@@ -14,10 +14,10 @@ from perigee.operators import extract_catalog as C
 from perigee.operators import extract_risk as K
 from perigee.operators.validation import validate_profiles, validate_world
 from perigee.plans import ingest, world
-from perigee.plans.quality import approach_gate, catalog_gate, risk_gate, with_silent_payloads
+from perigee.plans.quality import approach_gate, catalog_gate, risk_gate
 from perigee.runtime import fresh_path
 from perigee.sources import sinks
-from perigee.sources.raw import approach_records, risk_records
+from perigee.sources.raw import approach_entries, approach_records, risk_entries, risk_records
 from perigee.sources.tables import read_csv, read_partitioned, read_table
 from perigee.sources.targets import clean_targets
 
@@ -68,8 +68,7 @@ SELECT CASE WHEN NOT {_KEPT} THEN 0 WHEN {_OK} THEN 2 ELSE 1 END::BIGINT AS vali
   {_KEPT} AND v >= 14 AS gate_passed, CASE o_orderkey % 97 WHEN 3 THEN 'unreadable' WHEN 4 THEN 'empty' END AS defect, count(*) AS payloads
 FROM {_ALL} GROUP BY ALL""")
 def _(spark, sf):
-    tally = A.approach_tally(_approach_records(spark, sf), ["source_file"])
-    gate = approach_gate(with_silent_payloads(tally, P.approach_payloads(spark, sf), ["source_file"]))
+    gate = approach_gate(A.approach_tally(approach_entries(P.approach_payloads(spark, sf)), ["source_file"]))
     return gate.groupBy("valid_records", "skipped_records", "rejection_pct", "gate_passed", "defect").agg(F.count(F.lit(1)).alias("payloads"))
 
 
@@ -109,8 +108,7 @@ SELECT valid AS valid_records, received - valid AS skipped_records, CASE WHEN re
 FROM (SELECT event_id, CASE WHEN event_id % 89 IN (5, 6) THEN 0 ELSE 3 END::BIGINT AS received,
   CASE WHEN event_id % 89 IN (5, 6) OR v IN (0, 2, 3, 4, 5, 7, 10, 11) THEN 0 ELSE 1 END::BIGINT AS valid FROM {_ALL_EV}) GROUP BY ALL""")
 def _(spark, sf):
-    tally = K.risk_tally(_risk_records(spark, sf), ["snapshot_key"])
-    gate = risk_gate(with_silent_payloads(tally, P.risk_payloads(spark, sf), ["snapshot_key"]))
+    gate = risk_gate(K.risk_tally(risk_entries(P.risk_payloads(spark, sf)), ["snapshot_key"]))
     return gate.groupBy("valid_records", "skipped_records", "rejection_pct", "status", "defect").agg(F.count(F.lit(1)).alias("payloads"))
 
 

@@ -87,22 +87,51 @@ def _defect() -> Column:
 
 
 def judge_approaches(records: DataFrame, scope: list[str]) -> DataFrame:
-    """All records with their fields and `reject_reason`, before copies are compared."""
-    parsed = pinned(records.select(*scope, *PLACE, "record_json"), t=F.from_json("record_json", RECORD_TEXT), y=F.from_json("record_json", RECORD_TYPED))
+    """All records with their fields and `reject_reason`, before copies are compared.
+
+    Given the entries of payloads, the row of a silent payload keeps its `defect` and has no reason.
+    """
+    marks = [c for c in ("defect",) if c in records.columns]
+    parsed = pinned(records.select(*scope, *PLACE, *marks, "record_json"), t=F.from_json("record_json", RECORD_TEXT), y=F.from_json("record_json", RECORD_TYPED))
     parsed = pinned(parsed, numbers=approach_numbers(F.col("t")))
     parts = _presence(F.col("t"))
     fielded = pinned(parsed, **approach_fields(F.col("t"), F.col("y"), F.col("numbers")), **parts)
-    return fielded.drop("record_json", "t", "y", "numbers").withColumn("reject_reason", _defect()).drop(*parts)
+    reason = F.when(F.col("defect").isNull(), _defect()) if marks else _defect()
+    return fielded.drop("record_json", "t", "y", "numbers").withColumn("reject_reason", reason).drop(*parts)
 
 
-def accepted_approaches(records: DataFrame, scope: list[str], placed: bool = False) -> DataFrame:
-    """The table rows: sound records, the first of each (id, date) within its payload (`scope`), with
-    their place in it if `placed`."""
-    sound = judge_approaches(records, scope).filter(F.col("reject_reason").isNull())
-    kept = first_by(sound, [*scope, "id", "closest_approach_date"], PLACE)
+def _sound(judged: DataFrame) -> Column:
+    sound = F.col("reject_reason").isNull()
+    return sound & F.col("defect").isNull() if "defect" in judged.columns else sound
+
+
+def accepted_rows(judged: DataFrame, scope: list[str], placed: bool = False) -> DataFrame:
+    """The table rows of judged records: the first sound one of each (id, date) within its payload
+    (`scope`), with their place in it if `placed`."""
+    kept = first_by(judged.filter(_sound(judged)), [*scope, "id", "closest_approach_date"], PLACE)
     return kept.select(*scope, *(PLACE if placed else []), *table_columns("asteroids"))
 
 
+def payload_tally(judged: DataFrame, scope: list[str]) -> DataFrame:
+    """Per payload: received, valid and skipped counts; of judged entries also the `defect` of silent ones.
+
+    Copies are counted by grouping, not by comparing rows: valid is the number of distinct sound
+    (id, date) pairs.
+    """
+    marked = "defect" in judged.columns
+    pair = F.when(_sound(judged), F.struct("id", "closest_approach_date"))
+    one = F.count_if(F.col("defect").isNull()) if marked else F.count(F.lit(1))
+    pairs = judged.groupBy(*scope, pair.alias("pair")).agg(one.alias("n"), *([F.max("defect").alias("defect")] if marked else []))
+    return pairs.groupBy(*scope).agg(
+        *([F.max("defect").alias("defect")] if marked else []), F.sum("n").alias("records_received"), F.count("pair").alias("valid_records"),
+        (F.sum("n") - F.count("pair")).alias("skipped_records"))
+
+
+def accepted_approaches(records: DataFrame, scope: list[str], placed: bool = False) -> DataFrame:
+    """The table rows of raw records."""
+    return accepted_rows(judge_approaches(records, scope), scope, placed)
+
+
 def classified_approaches(records: DataFrame, scope: list[str]) -> DataFrame:
     """Every record with its verdict, later copies marked `duplicate`."""
     judged = judge_approaches(records, scope)
@@ -115,15 +144,5 @@ def classified_approaches(records: DataFrame, scope: list[str]) -> DataFrame:
 
 
 def approach_tally(records: DataFrame, scope: list[str]) -> DataFrame:
-    """Per payload: received, valid and skipped counts.
-
-    Copies are counted by grouping, not by comparing rows: valid is the number of distinct sound
-    (id, date) pairs.
-    """
-    judged = judge_approaches(records, scope)
-    sound = F.col("reject_reason").isNull()
-    pairs = judged.groupBy(*scope, F.when(sound, F.struct("id", "closest_approach_date")).alias("pair")).agg(
-        F.count(F.lit(1)).alias("n"))
-    return pairs.groupBy(*scope).agg(
-        F.sum("n").alias("records_received"), F.count("pair").alias("valid_records"),
-        (F.sum("n") - F.count("pair")).alias("skipped_records"))
+    """Per payload: received, valid and skipped counts of raw records or entries."""
+    return payload_tally(judge_approaches(records, scope), scope)

@@ -67,17 +67,41 @@ def _defect() -> Column:
 
 
 def judge_risk(records: DataFrame, scope: list[str]) -> DataFrame:
-    rows = records.select(*scope, "record_pos", "record_json")
+    """All records with their fields and `reject_reason`; rows of silent payloads keep their `defect`."""
+    marks = [c for c in ("defect",) if c in records.columns]
+    rows = records.select(*scope, "record_pos", *marks, "record_json")
     parsed = pinned(rows, t=F.from_json("record_json", RECORD_TEXT), y=F.from_json("record_json", RECORD_NUMBERS))
     written = _written(F.col("t"))
     fielded = pinned(parsed, **risk_fields(F.col("t"), F.col("y")), **written).drop("record_json", "t", "y")
-    return fielded.withColumn("reject_reason", _defect()).drop(*written)
+    reason = F.when(F.col("defect").isNull(), _defect()) if marks else _defect()
+    return fielded.withColumn("reject_reason", reason).drop(*written)
+
+
+def _sound(judged: DataFrame) -> Column:
+    sound = F.col("reject_reason").isNull()
+    return sound & F.col("defect").isNull() if "defect" in judged.columns else sound
+
+
+def accepted_risk_rows(judged: DataFrame, scope: list[str]) -> DataFrame:
+    """Snapshot rows of judged records. `scope` names the payload and holds snapshot_key, run_id and snapshot_time."""
+    kept = first_by(judged.filter(_sound(judged)), [*scope, "sentry_id"], ["record_pos"])
+    return kept.select(*table_columns("fact_sentry_risk_snapshot"))
+
+
+def payload_tally(judged: DataFrame, scope: list[str]) -> DataFrame:
+    """Per payload: received, valid and skipped counts; of judged entries also the `defect` of silent ones."""
+    marked = "defect" in judged.columns
+    one = F.count_if(F.col("defect").isNull()) if marked else F.count(F.lit(1))
+    ids = judged.groupBy(*scope, F.when(_sound(judged), F.col("sentry_id")).alias("kept")).agg(
+        one.alias("n"), *([F.max("defect").alias("defect")] if marked else []))
+    return ids.groupBy(*scope).agg(
+        *([F.max("defect").alias("defect")] if marked else []), F.sum("n").alias("records_received"), F.count("kept").alias("valid_records"),
+        (F.sum("n") - F.count("kept")).alias("skipped_records"))
 
 
 def accepted_risk(records: DataFrame, scope: list[str]) -> DataFrame:
-    """Snapshot rows. `scope` names the payload and must hold snapshot_key, run_id and snapshot_time."""
-    sound = judge_risk(records, scope).filter(F.col("reject_reason").isNull())
-    return first_by(sound, [*scope, "sentry_id"], ["record_pos"]).select(*table_columns("fact_sentry_risk_snapshot"))
+    """Snapshot rows of raw records."""
+    return accepted_risk_rows(judge_risk(records, scope), scope)
 
 
 def classified_risk(records: DataFrame, scope: list[str]) -> DataFrame:
@@ -90,9 +114,5 @@ def classified_risk(records: DataFrame, scope: list[str]) -> DataFrame:
 
 
 def risk_tally(records: DataFrame, scope: list[str]) -> DataFrame:
-    judged = judge_risk(records, scope)
-    ids = judged.groupBy(*scope, F.when(F.col("reject_reason").isNull(), F.col("sentry_id")).alias("kept")).agg(
-        F.count(F.lit(1)).alias("n"))
-    return ids.groupBy(*scope).agg(
-        F.sum("n").alias("records_received"), F.count("kept").alias("valid_records"),
-        (F.sum("n") - F.count("kept")).alias("skipped_records"))
+    """Per payload: received, valid and skipped counts of raw records or entries."""
+    return payload_tally(judge_risk(records, scope), scope)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.operators.extract_approaches import accepted_approaches, approach_tally
-from perigee.plans.quality import approach_gate, passing, with_silent_payloads
+from perigee.operators.extract_approaches import accepted_rows, judge_approaches, payload_tally
+from perigee.plans.quality import approach_gate, passing
+from perigee.runtime import materialize
 from perigee.schemas import table_columns
-from perigee.sources.raw import approach_records, payload_files
+from perigee.sources.raw import approach_entries, payload_files
 
 SOURCE = ["source_file", "source_sha256"]
 
@@ -16,11 +17,12 @@ SOURCE = ["source_file", "source_sha256"]
 def replay_payloads(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of the raw documents that pass the gate, stamped with file name and digest; and the gate itself.
 
-    Every document has a row in the gate, also one that can't be read or holds no record.
+    The documents are parsed and judged once, into a written table that both are made of. Every document
+    has a row in the gate, also one that can't be read or holds no record.
     """
-    records = approach_records(payloads)
-    gate = approach_gate(with_silent_payloads(approach_tally(records, SOURCE), payloads, SOURCE))
-    rows = passing(accepted_approaches(records, SOURCE), gate, SOURCE)
+    judged = materialize(judge_approaches(approach_entries(payloads), SOURCE), "judged")
+    gate = approach_gate(payload_tally(judged, SOURCE))
+    rows = passing(accepted_rows(judged, SOURCE), gate, SOURCE)
     named = rows.select(
         *table_columns("asteroids"),
         F.element_at(F.split("source_file", "/"), -1).alias("source_raw_file"),

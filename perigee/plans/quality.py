@@ -68,17 +68,6 @@ def share_pct(part: Column, whole: Column, empty: float = 0.0) -> Column:
 
 # --- gates over an extraction in flight ----------------------------------------------------------
 
-def with_silent_payloads(tally: DataFrame, payloads: DataFrame, scope: list[str], payload: str = "payload") -> DataFrame:
-    """The tally with a row for every payload: those without a record have zero counts and `defect`,
-    'unreadable' or 'empty', so that a gate can refuse them."""
-    defect = F.when(F.try_parse_json(F.col(payload)).isNull(), "unreadable").otherwise("empty")
-    listed = payloads.select(*scope, defect.alias("defect")).join(tally, scope, "left")
-    silent = F.col("records_received").isNull()
-    counts = ["records_received", "valid_records", "skipped_records"]
-    return listed.withColumn("defect", F.when(silent, F.col("defect"))).withColumns(
-        {c: F.coalesce(F.col(c), F.lit(0).cast("bigint")) for c in counts})
-
-
 def approach_gate(tally: DataFrame) -> DataFrame:
     """Rejection rate and gate of each payload: some valid rows, strictly under 20 % rejected."""
     pct = share_pct(F.col("skipped_records"), F.col("records_received"))

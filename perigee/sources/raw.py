@@ -5,9 +5,11 @@ A payload is one document; at scale there are many files, and each is split into
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from perigee.runtime import pinned
+
 # Records stay JSON text: arrays and maps keep the order of the file.
 APPROACH_PAYLOAD = "near_earth_objects map<string, array<string>>"
 RISK_PAYLOAD = "data array<string>"
@@ -23,24 +25,49 @@ def payload_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+CORRUPT = {"columnNameOfCorruptRecord": "corrupt"}
+
+
+def _entries(payloads: DataFrame, payload: str, schema: str, listed: Column) -> DataFrame:
+    """One row per record, and one for each payload without any, which says why in `defect`.
+
+    A payload is parsed once. Only one that is marked as broken and gives no record is looked at again,
+    to tell an unreadable text from a document of another shape.
+    """
+    kept = [c for c in payloads.columns if c != payload]
+    parsed = pinned(payloads, parsed=F.from_json(payload, f"{schema}, corrupt string", CORRUPT))
+    # A comparison in two steps: the parse of the second is reached for silent broken payloads alone.
+    broken = F.col(payload).isNull() | F.when(F.col("parsed.corrupt").isNotNull(), F.try_parse_json(F.col(payload)).isNull()).otherwise(False)
+    silent = F.coalesce(F.size(listed) == 0, F.lit(True))
+    defect = F.when(silent, F.when(broken, "unreadable").otherwise("empty"))
+    return parsed.select(*kept, defect.alias("defect"), F.explode_outer(listed).alias("record"))
+
+
+def approach_entries(payloads: DataFrame, payload: str = "payload") -> DataFrame:
+    """Close-approach records with their place in the file (date entry, list position), and silent payloads."""
+    listed = F.flatten(F.transform(
+        F.filter(F.map_entries("parsed.near_earth_objects"), lambda e: e["value"].isNotNull()),
+        lambda e, i: F.transform(e["value"], lambda r, j: F.struct(
+            i.alias("entry_pos"), e["key"].alias("entry_date"), j.alias("record_pos"), r.alias("record_json")))))
+    rows = _entries(payloads, payload, APPROACH_PAYLOAD, listed)
+    return rows.select(*[c for c in rows.columns if c != "record"], "record.entry_pos", "record.entry_date", "record.record_pos", "record.record_json")
+
+
+def risk_entries(payloads: DataFrame, payload: str = "payload") -> DataFrame:
+    """Risk records with their place in the list, and silent payloads."""
+    listed = F.transform("parsed.data", lambda r, j: F.struct(j.alias("record_pos"), r.alias("record_json")))
+    rows = _entries(payloads, payload, RISK_PAYLOAD, listed)
+    return rows.select(*[c for c in rows.columns if c != "record"], "record.record_pos", "record.record_json")
+
+
 def approach_records(payloads: DataFrame, payload: str = "payload") -> DataFrame:
-    """One row per close-approach record, with its place in the file (date entry, list position)."""
-    parsed = payloads.withColumn("__p", F.from_json(payload, APPROACH_PAYLOAD)).drop(payload)
-    entries = parsed.select(
-        *[c for c in payloads.columns if c != payload],
-        F.posexplode(F.map_entries("__p.near_earth_objects")).alias("entry_pos", "entry"))
-    return entries.select(
-        *[c for c in payloads.columns if c != payload], "entry_pos", F.col("entry.key").alias("entry_date"),
-        F.posexplode("entry.value").alias("record_pos", "record_json"),
-    )
+    """One row per close-approach record, with its place in the file."""
+    return approach_entries(payloads, payload).filter("defect IS NULL").drop("defect")
 
 
 def risk_records(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per risk record, with its place in the list."""
-    parsed = payloads.withColumn("__p", F.from_json(payload, RISK_PAYLOAD)).drop(payload)
-    return parsed.select(
-        *[c for c in payloads.columns if c != payload], F.posexplode("__p.data").alias("record_pos", "record_json"),
-    )
+    return risk_entries(payloads, payload).filter("defect IS NULL").drop("defect")
 
 
 def read_summary(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -10,14 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee import vocabulary as V
-from perigee.operators.extract_approaches import PLACE, accepted_approaches, approach_tally
-from perigee.operators.extract_risk import accepted_risk, risk_tally
+from perigee.operators import extract_approaches as approaches
+from perigee.operators import extract_risk as risk
+from perigee.operators.extract_approaches import PLACE, accepted_rows, judge_approaches
+from perigee.operators.extract_risk import accepted_risk_rows, judge_risk
 from perigee.operators.picking import insert_if_absent
-from perigee.plans.quality import approach_gate, passing, risk_gate, with_silent_payloads
+from perigee.plans.quality import approach_gate, passing, risk_gate
 from perigee.runtime import materialize
 from perigee.schemas import table_columns
 from perigee.sources.files import exists
-from perigee.sources.raw import approach_records, risk_records
+from perigee.sources.raw import approach_entries, risk_entries
 from perigee.sources.tables import check_contract, read_table
 
 RAW_FILE_DDL = "path string, modificationTime timestamp, length bigint, content binary"
@@ -52,11 +54,11 @@ def ingest_approaches(spark: SparkSession, folder: str, table_path: str, checkpo
     scope = ["source_file"]
 
     def handle(batch: DataFrame, _: int) -> None:
-        files = materialize(batch, "landed")
-        records = approach_records(files)
-        gate = materialize(approach_gate(with_silent_payloads(approach_tally(records, scope), files, scope)), "gate")
+        # Parsed once: rows, gate and quarantine are made of the judged records.
+        judged = materialize(judge_approaches(approach_entries(batch.drop("source_sha256")), scope), "judged")
+        gate = materialize(approach_gate(approaches.payload_tally(judged, scope)), "gate")
         quarantine(gate.filter(~F.col("gate_passed")), table_path)
-        rows = passing(accepted_approaches(records, scope, placed=True), gate, scope)
+        rows = passing(accepted_rows(judged, scope, placed=True), gate, scope)
         append_unseen(rows, "asteroids", table_path, ["id", "closest_approach_date"], [*scope, *PLACE], "closest_approach_date")
 
     return (raw_stream(spark, folder).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
@@ -70,13 +72,13 @@ def ingest_risk(spark: SparkSession, folder: str, table_path: str, checkpoint: s
 
     def handle(batch: DataFrame, _: int) -> None:
         stem = F.regexp_extract("source_file", r"([^/]+)\.json$", 1)
-        files = materialize(batch.withColumns({
+        files = batch.withColumns({
             "snapshot_key": F.substring(stem, 1, 10), "run_id": F.substring(stem, F.lit(12), F.length(stem)),
-            "snapshot_time": F.concat(F.substring(stem, 1, 10), F.lit("T00:00:00Z"))}), "landed")
-        records = risk_records(files)
-        gate = risk_gate(with_silent_payloads(risk_tally(records, [*scope, "source_file"]), files, [*scope, "source_file"]))
+            "snapshot_time": F.concat(F.substring(stem, 1, 10), F.lit("T00:00:00Z"))})
+        judged = materialize(judge_risk(risk_entries(files.drop("source_sha256")), [*scope, "source_file"]), "judged")
+        gate = risk_gate(risk.payload_tally(judged, [*scope, "source_file"]))
         quarantine(gate.filter(F.col("status") == V.FAILED), table_path)
-        rows = accepted_risk(records, scope).select(*table_columns("fact_sentry_risk_snapshot"))
+        rows = accepted_risk_rows(judged, scope).select(*table_columns("fact_sentry_risk_snapshot"))
         append_unseen(rows, "fact_sentry_risk_snapshot", table_path, ["snapshot_key", "sentry_id"], [], "snapshot_key")
 
     return (raw_stream(spark, folder).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
