@@ -64,6 +64,29 @@ class Memo(dict):
         return found
 
 
+class RecentMemo(Memo):
+    """A memo in two halves: when the newer one is full, it takes the older one's place.
+
+    What is asked for again moves back to the newer half, so frequent pieces are never forgotten, and a
+    full memory loses the rare ones only.
+    """
+
+    def __init__(self, encode):
+        super().__init__(encode)
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.older.get(piece)
+        if found is None:
+            found = self.encode(piece)
+        if len(piece) <= MEMO_CHARS:
+            if len(self) >= MEMO_ENTRIES // 2:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = found
+        return found
+
+
 def unlimited(text: str) -> Tokenizer:
     """The tokenizer of a file, without truncation and padding."""
     tokenizer = Tokenizer.from_str(text)

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
 import zlib
 from array import array
 
@@ -21,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perigee.llm.common import BATCH_SETTING, pieces
-from perigee.llm.pretrained import LETTERS, SIMPLE, Memo, byte_letters, file_text, kept_in_worker, unlimited
+from perigee.llm.pretrained import LETTERS, SIMPLE, RecentMemo, byte_letters, file_text, kept_in_worker, unlimited
 from perigee.llm.shards import bucket_offsets
 from perigee.runtime import fresh_path, materialize
 
@@ -127,11 +126,11 @@ def unpack(words: np.ndarray, stretches: np.ndarray, escapes: np.ndarray, n: int
 
 
 class WordEncoder:
-    """Ids of whole texts for a tokenizer file that drops white space, by way of their words.
+    """Ids of whole texts for a tokenizer file that drops white space, by way of their pieces.
 
-    The file's normalizer and pieces never reach over a blank, so words are encoded on their own, by the
-    library, and remembered. Words whose characters engines might class differently go through the
-    whole library pipeline.
+    The file's normalizer and pieces never reach over a blank. A text of characters that all engines
+    class alike is cut into pieces at once; other texts are taken word by word, and words with other
+    characters go through the whole library pipeline. Pieces and such words are remembered.
     """
 
     def __init__(self, text: str):
@@ -145,19 +144,19 @@ class WordEncoder:
         if any(re.search(r"\s", t["content"]) or t["normalized"] for t in config["added_tokens"]):
             raise ValueError("added tokens must be strings without blanks")
         self.special = tuple(t["content"] for t in config["added_tokens"])
-        # Words differ more than their pieces, mostly by marks at their ends; both are remembered.
-        self.pieces = Memo(self.piece)
-        self.memo = Memo(self.word)
+        # Words differ more than their pieces, mostly by marks at their ends, so no plain word is remembered.
+        self.pieces = RecentMemo(self.piece)
+        self.words = RecentMemo(self.word)
+
+    def plain(self, text: str) -> bool:
+        return SIMPLE.fullmatch(text) is not None and not any(s in text for s in self.special)
+
+    def cut(self, text: str) -> bytes:
+        """Ids of a plain text; its letters are composed already, so lower case is all the normalizer does."""
+        return b"".join(map(self.pieces.__getitem__, PIECES.findall(text.lower())))
 
     def word(self, word: str) -> bytes:
-        if not word:
-            return b""
-        if not SIMPLE.fullmatch(word) or any(s in word for s in self.special):
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        else:
-            plain = word if word.isascii() else unicodedata.normalize("NFC", word)
-            return b"".join(map(self.pieces.__getitem__, PIECES.findall(plain.lower())))
-        return np.array(ids, "<u4").tobytes()
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def piece(self, piece: str) -> bytes:
         letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.table)
@@ -165,8 +164,10 @@ class WordEncoder:
 
     def encode(self, text: str | None) -> bytes:
         text = text or ""
+        if self.plain(text):
+            return self.cut(text)
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        return b"".join(map(self.memo.__getitem__, words))
+        return b"".join(self.cut(w) if self.plain(w) else self.words[w] for w in words)
 
 
 def _block(chunk: int, first: int, docs: list[int | None], found: list[np.ndarray]) -> pa.RecordBatch:
