@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perigee.llm.common import digests, without
+from perigee.llm.common import digests, fresh_names, without
 from perigee.runtime import materialize, pinned
 
 MIN_SITES = 10
@@ -20,9 +20,6 @@ MIN_CHARS = 20
 # 3 % (one standard deviation), so the band is 16 deviations wide on either side.
 NEAR = 0.5
 LOG_REGISTERS = 10
-# Boilerplate frames a text. Where it would take more than this share of the characters, the document is
-# itself a copy spread over sites; its text stays for the near-duplicate step, which keeps one of them.
-MAX_SHARE = 0.5
 BLANKS = " \t\n\x0b\x0c\r\xa0"
 ADDED = ("n_lines", "n_removed", "removed_lines")
 
@@ -60,38 +57,36 @@ def widespread(docs: DataFrame, site: str = "source", text: str = "text", min_si
 
 def without_boilerplate(
     docs: DataFrame, key: str = "doc_id", site: str = "source", text: str = "text",
-    min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, max_share: float = MAX_SHARE, only_copies: bool = False,
+    min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, min_texts: int = 1,
 ) -> DataFrame:
     """`docs` with boilerplate lines taken out of the text, and `n_lines`, `n_removed`, `removed_lines`.
 
-    The other lines keep their order and bytes. A text loses nothing if boilerplate is over `max_share` of
-    its characters (line ends not counted); with 1.0 a text that is only boilerplate becomes empty. With
-    `only_copies` that spares only lines that stand in fewer than `min_sites` distinct texts with a site,
-    as such lines are on many sites by whole copies; other boilerplate goes whatever its share. Null
-    texts stay null with no lines; an empty text has one empty line. Rows with a null site lose lines
-    but don't count as a site. Repeated rows stay. `removed_lines` are positions from 0, ascending.
+    Boilerplate are lines on `min_sites` distinct non-null sites or more that stand in at least `min_texts`
+    distinct texts with a site; with more than one, a text that was only copied from site to site keeps
+    its lines. All boilerplate goes, whatever its share: a text of nothing else becomes empty. The other
+    lines keep their order and bytes. Null texts stay null with no lines; an empty text has one empty
+    line. Rows with a null site lose lines but don't count as a site. Repeated rows stay; an empty table
+    gives an empty one. Very long texts are split in the JVM, one text at a time. `removed_lines` are
+    positions from 0, ascending. Columns named like an added one are replaced, all others stay.
     """
     shared = widespread(docs, site, text, min_sites, min_chars)
     kept = without(docs, ADDED)
     ids = digests(F.col(key), F.col(text))
     keys, same = ["line_1", "line_2"], digests(F.col(text))
-    found_in = [F.when(F.col(site).isNotNull(), c).alias(f"text_{i}") for i, c in enumerate(same, 1)] if only_copies else []
-    hits = _lines(kept, text, min_chars, ids[0].alias("__1"), ids[1].alias("__2"), *found_in).join(shared, keys, "left_semi")
-    surely = F.lit(False)
-    if only_copies:
+    found_in = [F.when(F.col(site).isNotNull(), c).alias(f"text_{i}") for i, c in enumerate(same, 1)] if min_texts > 1 else []
+    hits = _lines(kept, text, min_chars, ids[0].alias("row_1"), ids[1].alias("row_2"), *found_in).join(shared, keys, "left_semi")
+    if min_texts > 1:
         hits = materialize(hits, "occurrences")
         texts = hits.filter(F.col("text_1").isNotNull()).select(*keys, "text_1", "text_2").distinct()
-        framing = texts.groupBy(*keys).count().select(*keys, (F.col("count") >= min_sites).alias("framing"))
-        hits, surely = hits.join(materialize(framing, "framing"), keys, "left"), F.coalesce("framing", F.lit(False))
-    hits = hits.groupBy("__1", "__2").agg(
-        F.array_sort(F.collect_set("at")).alias("removed_lines"), F.array_sort(F.collect_set(F.when(surely, F.col("at")))).alias("__framing"))
-    hits = materialize(hits, "removals")
-    found = kept.withColumns({"__1": ids[0], "__2": ids[1]}).join(hits, ["__1", "__2"], "left")
+        framing = texts.groupBy(*keys).count().filter(F.col("count") >= min_texts)
+        hits = hits.join(materialize(framing.select(*keys), "framing"), keys, "left_semi")
+    hits = materialize(hits.groupBy("row_1", "row_2").agg(F.array_sort(F.collect_set("at")).alias("removed_lines")), "removals")
+    row_1, row_2, split = fresh_names(docs, "row_1", "row_2", "split_text")
+    hits = hits.withColumnsRenamed({"row_1": row_1, "row_2": row_2})
+    found = kept.withColumns({row_1: ids[0], row_2: ids[1]}).join(hits, [row_1, row_2], "left")
     # The lines are split once per row; every use below refers to the column.
-    found = pinned(found, __lines=F.split(F.col(text), "\n"))
-    lines_of, n_lines = F.col("__lines"), F.size("__lines")
-    removed = F.aggregate("removed_lines", F.lit(0).cast("bigint"), lambda total, at: total + F.length(lines_of[at]))
-    found = found.withColumn("removed_lines", F.when(removed <= max_share * (F.length(text) - n_lines + 1), F.col("removed_lines")).when(F.size("__framing") > 0, F.col("__framing")))
+    found = pinned(found, **{split: F.split(F.col(text), "\n")})
+    lines_of, n_lines = F.col(split), F.size(split)
     gone = F.coalesce("removed_lines", F.array().cast("array<int>"))
     left = F.array_except(F.sequence(F.lit(0), n_lines - 1), gone)
     rest = F.array_join(F.transform(left, lambda at: lines_of[at]), "\n")
@@ -118,11 +113,9 @@ WITH lines AS (
   SELECT line FROM normal WHERE length(line) >= {MIN_CHARS} GROUP BY line HAVING count(DISTINCT source) >= {MIN_SITES}
 ), marked AS (
   SELECT n.*, w.line IS NOT NULL AS common FROM normal n LEFT JOIN wide w ON n.line = w.line
-), share AS (
-  SELECT *, common AND sum(CASE WHEN common THEN length(raw) ELSE 0 END) OVER (PARTITION BY doc_id) <= {MAX_SHARE} * sum(length(raw)) OVER (PARTITION BY doc_id) AS gone FROM marked
 )
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
-  coalesce(string_agg(CAST(place AS VARCHAR), ',' ORDER BY place) FILTER (WHERE gone), '') AS removed,
-  sha256(coalesce(string_agg(raw, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS text_sha256
-FROM share GROUP BY doc_id
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE common) AS n_removed,
+  coalesce(string_agg(CAST(place AS VARCHAR), ',' ORDER BY place) FILTER (WHERE common), '') AS removed,
+  sha256(coalesce(string_agg(raw, chr(10) ORDER BY place) FILTER (WHERE NOT common), '')) AS text_sha256
+FROM marked GROUP BY doc_id
 """

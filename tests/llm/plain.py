@@ -97,16 +97,16 @@ def contained(text: str | None, items: dict[int, str]) -> set[int]:
 BLANKS = " \t\n\x0b\x0c\r\xa0"
 
 
-def spread_removed(docs: list[tuple], min_sites: int = 10, min_chars: int = 20, max_share: float = 0.5) -> list[list[int]]:
+def spread_removed(docs: list[tuple], min_sites: int = 10, min_chars: int = 20, min_texts: int = 1) -> list[list[int]]:
     """docs (text, site) -> the lines that go from each text."""
-    sites = defaultdict(set)
+    sites, texts = defaultdict(set), defaultdict(set)
     for text, site in docs:
         for line in [] if text is None else text.split("\n"):
             if site is not None:
                 sites[line.strip(BLANKS).lower()].add(site)
+                texts[line.strip(BLANKS).lower()].add(text)
     out = []
     for text, _ in docs:
-        lines = [] if text is None else text.split("\n")
-        gone = [i for i, x in enumerate(lines) if len(x.strip(BLANKS).lower()) >= min_chars and len(sites[x.strip(BLANKS).lower()]) >= min_sites]
-        out.append(gone if sum(len(lines[i]) for i in gone) <= max_share * sum(map(len, lines)) else [])
+        lines = [] if text is None else [x.strip(BLANKS).lower() for x in text.split("\n")]
+        out.append([i for i, x in enumerate(lines) if len(x) >= min_chars and len(sites[x]) >= min_sites and len(texts[x]) >= min_texts])
     return out

@@ -25,8 +25,8 @@ def check(docs, **options):
     return gone
 
 
-@pytest.mark.parametrize("share", [0.5, 1.0])
-def test_lines_near_the_threshold(spark, share):
+@pytest.mark.parametrize("texts", [1, 10])
+def test_lines_near_the_threshold(spark, texts):
     common, rows = "  This line stands on many sites of the web \t", []
     for n in (3, 8, 9, 10, 11, 14, 15, 16, 40):
         for site in range(n):
@@ -34,13 +34,14 @@ def test_lines_near_the_threshold(spark, share):
             rows.append((len(rows), body if site % 3 else f"{common.upper()}{n}\n\n{body}", "en", f"s{site}", 1))
             rows.append((len(rows), f"{common}{n}", "en", "s0", 1))
     rows += [(len(rows), f"{common}40\n" * 300 + "rest", "en", "s1", 1), (len(rows), "rest\n" * 900 + f"{common}40", "en", None, 1)] * 2
-    gone = check(spark.createDataFrame(rows, plain.SCHEMA), max_share=share)
+    gone = check(spark.createDataFrame(rows, plain.SCHEMA), min_texts=texts)
     assert any(gone)
 
 
 def test_awkward_rows(spark):
-    check(plain.awkward(spark, "n_lines line at site"))
-    check(plain.awkward(spark), min_sites=1, min_chars=0, max_share=1.0)
+    check(plain.awkward(spark, "n_lines line at site row_1 row_2 split_text line_1 text_1 __1 __lines"), min_sites=1, min_texts=1)
+    check(plain.awkward(spark, "row_1 text_1 split_text"), min_sites=1, min_texts=2)
+    check(plain.awkward(spark), min_sites=1, min_chars=0)
 
 
 def test_empty(spark):
@@ -51,11 +52,13 @@ def test_short_texts_lose_frames_and_copies_stay(spark):
     frame, copied = "This frame stands on many sites of the web", "This text is only copied, from one site to the next"
     rows = [(site, f"own words {site}\n{frame}", "en", f"s{site}", 1) for site in range(12)]
     rows += [(20 + site, f"{copied}\nshort", "en", f"s{site}", 1) for site in range(12)]
+    rows += [(60 + site, frame, "en", f"s{site}", 1) for site in range(2)]
     rows += [(40, f"{copied}\n{frame}", "en", "s1", 1), (41, "long own words " * 20 + f"\n{copied}", "en", None, 1)]
     docs = spark.createDataFrame(rows, plain.SCHEMA).repartition(3)
-    found = {r["doc_id"]: r["text"] for r in line_spread.without_boilerplate(docs, only_copies=True).collect()}
+    found = {r["doc_id"]: r["text"] for r in line_spread.without_boilerplate(docs, min_texts=10).collect()}
     assert [found[site] for site in range(12)] == [f"own words {site}" for site in range(12)]
     assert all(found[20 + site] == f"{copied}\nshort" for site in range(12))
-    assert found[40] == copied and found[41] == "long own words " * 20
+    assert found[60] == found[61] == ""
+    assert found[40] == copied and found[41] == "long own words " * 20 + f"\n{copied}"
     through = corpus_pipeline.line_dedup(spark, docs, plain.SF).collect()
     assert {r["doc_id"]: r["text"] for r in through} == found

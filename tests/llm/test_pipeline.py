@@ -32,7 +32,7 @@ def test_run(spark):
     chain = quality.fit(docs, labels)
     rows = [r.asDict() for r in docs.collect()]
     rows = [r for r in rows if r["text"] and not counted(r["text"])[-1] and content_share(r["text"], chain) >= 0.5]
-    for r, gone in zip(rows, plain.spread_removed([(r["text"], r["source"]) for r in rows])):
+    for r, gone in zip(rows, plain.spread_removed([(r["text"], r["source"]) for r in rows], min_texts=10)):
         r["text"] = "\n".join(x for i, x in enumerate(r["text"].split("\n")) if i not in gone)
     prints = [plain.fingerprint(r["text"]) for r in rows]
     first = {}
