@@ -26,11 +26,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that stand on many sites; texts that are only copied stay for the next stage."""
+    """Documents without lines that stand on many sites in as many texts; what is only copied stays for the next stage."""
     docs = carried(docs)
     # The operator adds columns of these names; the documents' own step aside meanwhile.
     own = {c: f"__own_{c}" for c in docs.columns if c.lower() in line_spread.ADDED}
-    found = line_spread.without_boilerplate(docs.withColumnsRenamed(own), only_copies=True).drop(*line_spread.ADDED)
+    found = line_spread.without_boilerplate(docs.withColumnsRenamed(own), min_texts=line_spread.MIN_SITES).drop(*line_spread.ADDED)
     return found.withColumnsRenamed({v: k for k, v in own.items()})
 
 
