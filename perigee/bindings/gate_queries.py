@@ -168,22 +168,18 @@ def _(spark, sf):
         F.lit(0).alias("failed_targets_count"), F.lit(0.0).alias("failure_rate_pct"), F.lit(True).alias("circuit_breaker_passed"))
     sinks.write_report(summary, f"{folder}/{Q.APPROACH_SUMMARY}")
     sinks.write_report(batch, f"{folder}/{Q.CATALOG_SUMMARY}")
-    checks = Q.full_suite(spark, folder, publish_keys=["asteroids.parquet"], verify=True).select("check_name", "status")
+    checks = Q.full_suite(spark, folder, publish_keys=spark.createDataFrame([("asteroids.parquet",), ("neows_summary.json",)], "key string"), verify=True).select("check_name", "status")
     ready = storage_ready(spark, folder).agg(F.min("present").alias("ok")).select(
         F.lit("storage_ready").alias("check_name"), Q.verdict(F.col("ok")).alias("status"))
     sinks.write_report(Q.roll_up(checks), f"{folder}/dq_result.json")
     return checks.unionByName(ready)
 
 
-@query("run_manifests", "A16 F7 F32", """
-SELECT 'r' || o_orderkey AS pipeline_run_id, CASE WHEN o_orderstatus = 'P' THEN 'HISTORICAL_BACKFILL' ELSE 'CURRENT_PRODUCTION' END AS execution_mode,
-  CASE WHEN bool_or(k AND (l_returnflag = 'A' OR l_discount > 0.05)) THEN 'FAILED' ELSE 'SUCCESS' END AS overall_status,
-  greatest(0, floor(max(o_totalprice)) - 100000) AS duration_seconds, count(*) FILTER (k) AS stage_count,
-  coalesce(string_agg(DISTINCT 'p/' || l_partkey || '?api_key=REDACTED', ',' ORDER BY 'p/' || l_partkey || '?api_key=REDACTED') FILTER (k), '') AS published_keys,
-  'metadata/pipeline_runs/year=' || strftime(max(o_orderdate), '%Y/month=%m/day=%d') || '/run_manifest_r' || o_orderkey || '.json' AS manifest_path
-FROM (SELECT *, l_linenumber IS NOT NULL AND NOT (o_orderstatus = 'P' AND l_linenumber = 3) AS k FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey)
-GROUP BY o_orderkey, o_orderstatus""")
-def _(spark, sf):
+_RUN_STAGES = "(SELECT *, l_linenumber IS NOT NULL AND NOT (o_orderstatus = 'P' AND l_linenumber = 3) AS k FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey)"
+
+
+def _runs(spark, sf):
+    """A run per order, a stage per line; some stages fail, the third one of a backfill doesn't count."""
     orders, lines = D.table(spark, sf, "orders"), D.table(spark, sf, "lineitem")
     run = F.concat(F.lit("r"), F.col("o_orderkey").cast("string"))
     runs = orders.select(
@@ -198,6 +194,31 @@ def _(spark, sf):
         F.when(F.col("l_discount") > 0.05, False).alias("dq_gate_passed"), none.alias("failure_gate_passed"),
         none.alias("crosswalk_gate_passed"), none.alias("checks_passed"),
         F.array(F.concat(F.lit(" p/"), F.col("l_partkey").cast("string"), F.lit("?api_key=abc"))).alias("published_keys"),
-        F.create_map(F.lit("Api_Token"), F.lit("x"), F.lit("note"), F.lit("y")).alias("details"))
-    out = as_text(manifest.run_manifests(runs, stages), "published_keys")
-    return out.select("pipeline_run_id", "execution_mode", "overall_status", "duration_seconds", "stage_count", "published_keys", "manifest_path")
+        F.create_map(F.lit("Api_Token"), F.lit("x"), F.lit("note"), F.col("l_linestatus")).alias("details"))
+    return runs, stages
+
+
+@query("run_manifests", "A16 F32", f"""
+SELECT 'r' || o_orderkey AS pipeline_run_id, CASE WHEN o_orderstatus = 'P' THEN 'HISTORICAL_BACKFILL' ELSE 'CURRENT_PRODUCTION' END AS execution_mode,
+  CASE WHEN bool_or(k AND (l_returnflag = 'A' OR l_discount > 0.05)) THEN 'FAILED' ELSE 'SUCCESS' END AS overall_status,
+  greatest(0, floor(max(o_totalprice)) - 100000) AS duration_seconds, count(*) FILTER (k) AS stage_count,
+  count(DISTINCT l_partkey) FILTER (k) AS published_key_count,
+  'metadata/pipeline_runs/year=' || strftime(max(o_orderdate), '%Y/month=%m/day=%d') || '/run_manifest_r' || o_orderkey || '.json' AS manifest_path
+FROM {_RUN_STAGES} GROUP BY o_orderkey, o_orderstatus""")
+def _(spark, sf):
+    return manifest.run_manifests(*_runs(spark, sf)).drop("schema_version", "started_at", "completed_at")
+
+
+@query("manifest_keys", "A16 F6", f"""
+SELECT DISTINCT 'r' || o_orderkey AS pipeline_run_id, 'p/' || l_partkey || '?api_key=REDACTED' AS key FROM {_RUN_STAGES} WHERE k""")
+def _(spark, sf):
+    return manifest.manifest_keys(*_runs(spark, sf))
+
+
+@query("manifest_stages", "A16 F7", f"""
+SELECT 'r' || o_orderkey AS pipeline_run_id, CASE WHEN l_linenumber = 3 THEN 'sentry' ELSE 'stage' || l_linenumber END AS stage,
+  CASE WHEN l_returnflag = 'A' THEN 'FAILED' ELSE 'OK' END AS status, l_returnflag = 'A' OR l_discount > 0.05 AS failed,
+  CASE WHEN l_discount > 0.05 THEN false END AS dq_gate_passed, 1 AS kept_details, l_linestatus AS note FROM {_RUN_STAGES} WHERE k""")
+def _(spark, sf):
+    rows = manifest.manifest_stages(*_runs(spark, sf))
+    return rows.select("pipeline_run_id", "stage", "status", "failed", "dq_gate_passed", F.size("details").alias("kept_details"), F.col("details")["note"].alias("note"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perigee.functions.dates import run_document_path
@@ -33,22 +33,43 @@ def clean_stages(runs: DataFrame, stages: DataFrame) -> DataFrame:
     return joined.filter(~dropped).withColumn("details", scrub_map(F.col("details"))).drop("mode")
 
 
-def run_manifests(runs: DataFrame, stages: DataFrame) -> DataFrame:
-    """One row per run: status, clamped duration, sorted distinct published keys, document path.
-
-    A run publishes a bounded list of keys (one per dataset and stage), collected per run.
-    """
-    valid = runs.filter(blank_to_null(F.col("pipeline_run_id")).isNotNull()).withColumn(
+def known_runs(runs: DataFrame) -> DataFrame:
+    """Runs with an id and one of the two modes."""
+    return runs.filter(blank_to_null(F.col("pipeline_run_id")).isNotNull()).withColumn(
         "execution_mode", F.upper(strip(F.col("execution_mode")))).filter(F.col("execution_mode").isin(PRODUCTION, BACKFILL))
-    kept = clean_stages(valid, stages)
+
+
+def manifest_keys(runs: DataFrame, stages: DataFrame) -> DataFrame:
+    """(pipeline_run_id, key): the distinct keys each run has published, without secrets, one per row."""
+    kept = clean_stages(known_runs(runs), stages)
+    published = kept.select(strip(F.col("pipeline_run_id")).alias("pipeline_run_id"), F.explode("published_keys").alias("key"))
+    return published.select("pipeline_run_id", redact_api_key(strip(F.col("key"))).alias("key")).filter("key <> ''").distinct()
+
+
+def _stage_failed() -> Column:
     failed = F.coalesce(F.upper(strip(F.col("status"))).isin(FAILED_STATUSES), F.lit(False))
     for flag in GATE_FLAGS:
         failed = failed | F.coalesce(~F.col(flag), F.lit(False))
-    status = kept.groupBy("pipeline_run_id").agg(F.max(failed).alias("any_failed"), F.count(F.lit(1)).alias("stage_count"))
-    published = kept.select("pipeline_run_id", F.explode("published_keys").alias("key")).select(
-        "pipeline_run_id", redact_api_key(strip(F.col("key"))).alias("key")).filter("key <> ''").distinct()
-    keys = published.groupBy("pipeline_run_id").agg(F.sort_array(F.collect_list("key")).alias("published_keys"))
-    joined = valid.join(status, "pipeline_run_id", "left").join(keys, "pipeline_run_id", "left")
+    return failed
+
+
+def manifest_stages(runs: DataFrame, stages: DataFrame) -> DataFrame:
+    """(pipeline_run_id, stage, status, failed, flags, details): the stages of each run, details without secrets."""
+    kept = clean_stages(known_runs(runs), stages)
+    return kept.select(strip(F.col("pipeline_run_id")).alias("pipeline_run_id"), "stage", F.upper(strip(F.col("status"))).alias("status"),
+                       _stage_failed().alias("failed"), *GATE_FLAGS, "details")
+
+
+def run_manifests(runs: DataFrame, stages: DataFrame) -> DataFrame:
+    """One row per run: status, clamped duration, number of stages and of distinct published keys, document path.
+
+    The keys themselves are `manifest_keys`, the stages `manifest_stages`, each a row of its own.
+    """
+    valid = known_runs(runs)
+    kept = clean_stages(valid, stages)
+    status = kept.groupBy("pipeline_run_id").agg(F.max(_stage_failed()).alias("any_failed"), F.count(F.lit(1)).alias("stage_count"))
+    keys = manifest_keys(runs, stages).groupBy(F.col("pipeline_run_id").alias("keyed_run")).agg(F.count(F.lit(1)).alias("published_key_count"))
+    joined = valid.join(status, "pipeline_run_id", "left").join(keys, strip(F.col("pipeline_run_id")) == F.col("keyed_run"), "left")
     began, ended = F.try_to_timestamp("started_at"), F.try_to_timestamp("completed_at")
     elapsed = (F.unix_micros(ended) - F.unix_micros(began)) / 1e6
     given = F.upper(strip(F.col("overall_status")))
@@ -58,6 +79,6 @@ def run_manifests(runs: DataFrame, stages: DataFrame) -> DataFrame:
         "execution_mode", F.coalesce(given, derived).alias("overall_status"), "started_at", "completed_at",
         F.greatest(F.lit(0.0), F.round(F.coalesce("duration_seconds", elapsed, F.lit(0.0)), 2)).alias("duration_seconds"),
         F.coalesce("stage_count", F.lit(0)).alias("stage_count"),
-        F.coalesce("published_keys", F.array().cast("array<string>")).alias("published_keys"),
+        F.coalesce("published_key_count", F.lit(0)).alias("published_key_count"),
         run_document_path(F.col("started_at"), F.col("pipeline_run_id")).alias("manifest_path"),
     )

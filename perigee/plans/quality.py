@@ -16,6 +16,7 @@ from perigee.operators.tallying import orphans
 from perigee.runtime import one_row
 from perigee.schemas import CATALOG_TABLES, CHECK_DDL
 from perigee.sources.files import exists, first_existing, listing
+from perigee.sources.publication import publication_gaps
 from perigee.sources.raw import read_summary
 from perigee.sources.tables import ALIASES, read_table, stored_columns
 
@@ -323,22 +324,29 @@ def artifact_check(spark: SparkSession, folder: str, mode: str = V.PRODUCTION) -
          "empty_artifacts": F.col("empty"), "orphan_sbdb_tables": split})
 
 
-def publication_check(spark: SparkSession, root: str, keys: list[str], verify: bool = False) -> DataFrame:
-    """Every published key exists and is not empty; skipped unless asked for."""
+NAMED_KEYS = 20
+
+
+def publication_check(spark: SparkSession, root: str, keys: DataFrame | None = None, verify: bool = False) -> DataFrame:
+    """Every published key (column `key`) exists and is not empty; skipped unless asked for.
+
+    The keys meet a listing of the files in a join; the check names the first lost ones and counts all,
+    `publication_gaps` lists them.
+    """
     name, dataset = "s3_publication_verification", "s3"
+    if keys is None:
+        keys = spark.createDataFrame([], "key string")
+    total = keys.agg(F.countDistinct("key").alias("total"))
     if not verify:
-        return fixed_check(spark, name, dataset, V.NOT_APPLICABLE, "publication not verified", {"keys_count": str(len(keys))})
-    if not keys:
-        return fixed_check(spark, name, dataset, V.PASSED, "nothing to verify", {"total_keys": "0"})
-    row = listing(spark, root, keys).agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(F.col("bytes") > 0).alias("verified"),
-        F.array_join(F.sort_array(F.collect_list(F.when(~F.col("present"), F.col("name")))), ",").alias("missing"),
-        F.array_join(F.sort_array(F.collect_list(F.when(F.col("present") & (F.col("bytes") == 0), F.col("name")))), ",").alias("empty"))
+        return check_row(total, name, dataset, F.lit(V.NOT_APPLICABLE), F.lit("publication not verified"), {"keys_count": F.col("total")})
+    gaps = publication_gaps(spark, root, keys)
+    first = gaps.orderBy("key").limit(NAMED_KEYS).agg(F.array_join(F.sort_array(F.collect_list("key")), ",").alias("lost"))
+    row = total.crossJoin(one_row(gaps.agg(F.count(F.lit(1)).alias("lost_keys")))).crossJoin(one_row(first))
+    verified = F.col("total") - F.col("lost_keys")
     return check_row(
-        row, name, dataset, verdict(F.col("verified") == F.col("total")),
-        F.format_string("%d/%d verified; missing: %s; empty: %s", "verified", "total", "missing", "empty"),
-        {"total_keys": F.col("total"), "verified_count": F.col("verified"), "missing_keys": F.col("missing"),
-         "empty_keys": F.col("empty")})
+        row, name, dataset, verdict(F.col("lost_keys") == 0),
+        F.format_string("%d/%d verified; missing or empty: %s", verified, "total", "lost"),
+        {"total_keys": F.col("total"), "verified_count": verified, "lost_keys": F.col("lost")})
 
 
 def roll_up(checks: DataFrame) -> DataFrame:
@@ -423,9 +431,9 @@ def crosswalk_checks(spark: SparkSession, folder: str) -> list[DataFrame]:
 
 def full_suite(spark: SparkSession, folder: str, mode: str = V.PRODUCTION, snapshot_date: str | None = None,
                start_date: str | None = None, end_date: str | None = None, publish_root: str | None = None,
-               publish_keys: list[str] | None = None, verify: bool = False) -> DataFrame:
-    """All gates of an output folder, as check rows."""
+               publish_keys: DataFrame | None = None, verify: bool = False) -> DataFrame:
+    """All gates of an output folder, as check rows; `publish_keys` is a table with a column `key`."""
     return union_checks([
         *_approach_ingestion(spark, folder), _risk_ingestion(spark, folder, mode), *_catalog_ingestion(spark, folder),
         *output_checks(spark, folder, mode, snapshot_date, start_date, end_date), *crosswalk_checks(spark, folder),
-        publication_check(spark, publish_root or folder, publish_keys or [], verify)])
+        publication_check(spark, publish_root or folder, publish_keys, verify)])

@@ -13,21 +13,7 @@ from perigee.operators.resolution import BRIDGE_ORDER, IDENTIFIER, Crosswalk, au
 from perigee.runtime import materialize
 from perigee.schemas import table_columns
 from perigee.sources.files import exists
-from perigee.sources.tables import CSV_FORMAT, check_contract, read_table
-
-# Where each dataset is published, below a root; `{name}` is the table.
-LAYOUT = {
-    "approach_raw": "raw/approaches",
-    "approach": "processed/approaches",
-    "approach_csv": "processed_csv/approaches",
-    "risk_raw": "raw/sentry/risk_snapshot",
-    "risk": "processed/sentry/risk_snapshot",
-    "catalog_raw": "raw/sbdb",
-    "catalog": "processed/sbdb/{name}",
-    "crosswalk": "reference/asteroid_crosswalk/{name}",
-    "runs": "metadata/pipeline_runs",
-}
-
+from perigee.sources.tables import CSV_FORMAT, check_contract, escape_lines, read_table
 
 def write_table(df: DataFrame, name: str, path: str, mode: str = "overwrite") -> None:
     """Declared columns only, Snappy Parquet."""
@@ -48,7 +34,7 @@ def write_table_with_lineage(df: DataFrame, name: str, path: str, run_id: str, i
 
 def write_csv(df: DataFrame, path: str) -> None:
     """The five legacy columns; anything else is left out."""
-    df.select(*table_columns("asteroids_csv")).write.mode("overwrite").options(**CSV_FORMAT).csv(path)
+    escape_lines(df.select(*table_columns("asteroids_csv"))).write.mode("overwrite").options(**CSV_FORMAT).csv(path)
 
 
 def publish(df: DataFrame, root: str, moment: Column) -> None:
@@ -62,12 +48,6 @@ def publish(df: DataFrame, root: str, moment: Column) -> None:
      .partitionBy("year", "month", "day").parquet(root))
 
 
-def publish_csv(df: DataFrame, root: str, moment: Column) -> None:
-    parted = df.select(*table_columns("asteroids_csv")).withColumns(date_parts(moment))
-    (parted.hint("rebalance", "year", "month", "day").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").options(**CSV_FORMAT).partitionBy("year", "month", "day").csv(root))
-
-
 def redact_payloads(payloads: DataFrame, column: str = "payload") -> DataFrame:
     """Raw documents with the api_key of every link hidden."""
     return payloads.withColumn(column, redact_api_key(F.col(column)))

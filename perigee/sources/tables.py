@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,13 +47,40 @@ def read_partitioned(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(schema).option("basePath", root).parquet(root)
 
 
-# Every blank is data; a NULL is written as a mark, so that an empty text stays one.
+# Every blank is data; a NULL is written as a mark, so that an empty text stays one. Line ends and the sign
+# of the escapes itself are written as escapes, so that each row is one line: files can be split, and no
+# text is taken for a mark.
 CSV_FORMAT = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "nullValue": "\\N", "escape": '"'}
+LINE_ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def _text_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+
+
+def escape_lines(df: DataFrame) -> DataFrame:
+    """Text columns with backslash and line ends as two-character escapes."""
+    def escaped(value: Column) -> Column:
+        for sign, written in LINE_ESCAPES:
+            value = F.replace(value, F.lit(sign), F.lit(written))
+        return value
+
+    return df.withColumns({c: escaped(F.col(c)) for c in _text_columns(df)})
+
+
+def restore_lines(df: DataFrame) -> DataFrame:
+    """Text columns as they were before `escape_lines`."""
+    def restored(value: Column) -> Column:
+        # Split at escaped backslashes first: what is left between them holds only whole escapes.
+        parts = F.transform(F.split(value, r"\\\\"), lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+        return F.array_join(parts, "\\")
+
+    return df.withColumns({c: restored(F.col(c)) for c in _text_columns(df)})
 
 
 def read_csv(spark: SparkSession, path: str, name: str = "asteroids_csv") -> DataFrame:
-    """Comma-separated files with one header line each; blanks count, and NULL is not the empty text."""
-    return spark.read.schema(table_schema(name)).options(**CSV_FORMAT).csv(path)
+    """Comma-separated files with one header line each; blanks and line ends count, and NULL is not the empty text."""
+    return restore_lines(spark.read.schema(table_schema(name)).options(**CSV_FORMAT).csv(path))
 
 
 def resolve_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

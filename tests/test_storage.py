@@ -118,7 +118,7 @@ def test_full_suite(spark, tmp_path):
     assert {k: v for k, v in got.items() if v != "PASSED"} == {"s3_publication_verification": "NOT_APPLICABLE"}
     total = Q.roll_up(suite).first()
     assert total.overall_status == "PASSED" and total.not_applicable == 1
-    late = statuses(Q.full_suite(spark, folder, start_date="2026-10-02", verify=True, publish_keys=["asteroids.parquet", "nothing"]))
+    late = statuses(Q.full_suite(spark, folder, start_date="2026-10-02", verify=True, publish_keys=spark.createDataFrame([("asteroids.parquet",), ("nothing",)], "key string")))
     assert late["source_partition_dates"] == "FAILED" and late["s3_publication_verification"] == "FAILED"
     back = statuses(Q.full_suite(spark, folder, mode=V.BACKFILL))
     assert back["sentry_snapshot_validation"] == "NOT_APPLICABLE" and back["pre_resolution_output_accounting"] == "PASSED"
@@ -181,6 +181,9 @@ def test_run_manifests(spark):
         ("b", "sbdb", "ok", *none, [" k2 ", "k2", ""], {}), ("c", "x", "error", *none, None, {})], manifest.STAGE_DDL)
     got = by(manifest.run_manifests(runs, stages), "pipeline_run_id")
     assert set(got) == {"a", "b", "c"}
-    assert got["a"]["overall_status"] == "FAILED" and got["a"]["duration_seconds"] == 90.5 and got["a"]["published_keys"] == ["k0?api_key=REDACTED", "k1"]
-    assert got["b"]["overall_status"] == "SUCCESS" and got["b"]["duration_seconds"] == 0.0 and got["b"]["published_keys"] == ["k2"] and got["b"]["stage_count"] == 1
+    assert got["a"]["overall_status"] == "FAILED" and got["a"]["duration_seconds"] == 90.5 and got["a"]["published_key_count"] == 2
+    assert got["b"]["overall_status"] == "SUCCESS" and got["b"]["duration_seconds"] == 0.0 and got["b"]["published_key_count"] == 1 and got["b"]["stage_count"] == 1
+    assert {tuple(r) for r in manifest.manifest_keys(runs, stages).collect()} == {("a", "k0?api_key=REDACTED"), ("a", "k1"), ("b", "k2")}
+    assert {(r.pipeline_run_id, r.stage, r.failed, len(r.details)) for r in manifest.manifest_stages(runs, stages).collect()} == {
+        ("a", "neows", True, 0), ("b", "sbdb", False, 0), ("c", "x", True, 0)}
     assert got["c"]["overall_status"] == "SUCCESS" and got["a"]["manifest_path"].endswith("day=01/run_manifest_a.json")
