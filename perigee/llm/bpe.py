@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perigee.llm.common import BATCH_SETTING, computed, digests, pieces, without
+from perigee.llm.common import BATCH_SETTING, computed, digests, fresh_names, pieces, without
 from perigee.llm.pretrained import LETTERS, SIMPLE, Memo, byte_letters, file_text, kept_in_worker, unlimited
 from perigee.runtime import materialize
 
@@ -191,7 +191,8 @@ def encoded(docs: DataFrame, path: str, text: str = "text", leaf: int = LEAF_CHA
 
     Null and empty texts have no ids. Texts of over `part` code points are cut into parts that different
     tasks encode, each distinct text once, and joined again; the other texts are encoded where they
-    are. Rows stay as they are, repeated ones too; an empty table gives an empty one.
+    are. Rows stay as they are, repeated ones too; an empty table gives an empty one. A column `ids` of
+    `docs` is replaced, all others stay.
     """
     spark = docs.sparkSession
     spark.conf.set(*BATCH_SETTING)
@@ -202,11 +203,11 @@ def encoded(docs: DataFrame, path: str, text: str = "text", leaf: int = LEAF_CHA
     names = [t["content"] for t in json.loads(shared.value[1])["added_tokens"]]
     cut = "|".join("\\Q" + n + "\\E" for n in names) or r"(?!)"
     hashes = digests(F.col(text))
-    keys = ["row_1", "row_2"]
-    marked = kept.filter(is_long).withColumns(dict(zip(["__1", "__2"], hashes)))
-    texts = kept.filter(is_long).select(hashes[0].alias("row_1"), hashes[1].alias("row_2"), F.col(text).alias("__text"))
+    keys, own = ["row_1", "row_2"], fresh_names(kept, "row_1", "row_2", "ids")[:2]
+    marked = kept.filter(is_long).withColumns(dict(zip(own, hashes)))
+    texts = kept.filter(is_long).select(hashes[0].alias("row_1"), hashes[1].alias("row_2"), F.col(text).alias("whole"))
     # Cut first, so that copies meet part by part and no task gathers whole long texts.
-    segments = texts.select(*keys, F.regexp_extract_all("__text", F.lit(f"({cut})"), 1).alias("marks"), F.posexplode(F.split("__text", cut, -1)).alias("segment", "body"))
+    segments = texts.select(*keys, F.regexp_extract_all("whole", F.lit(f"({cut})"), 1).alias("marks"), F.posexplode(F.split("whole", cut, -1)).alias("segment", "body"))
     places = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.length("body") / part) - 1).cast("int"))
     parts = segments.select(*keys, F.when(F.col("segment") == 0, F.col("marks")).alias("marks"), "segment", "body", F.explode(places).alias("part"))
     parts = parts.select(*keys, "marks", "segment", "part", F.col("body").substr(F.col("part") * part + 1, F.lit(part)).alias("text"))
@@ -215,7 +216,7 @@ def encoded(docs: DataFrame, path: str, text: str = "text", leaf: int = LEAF_CHA
     done = unique.mapInArrow(_parts_task(shared, leaf), "row_1 bigint, row_2 bigint, segment int, part int, marks array<string>, text string, chars array<int>, tokens array<int>, ids array<int>")
     rows = done.groupBy(*keys).agg(F.first("marks", ignorenulls=True).alias("marks"), F.collect_list(F.struct("segment", "part", "text", "chars", "tokens", "ids")).alias("parts"))
     joined = materialize(rows.mapInArrow(_join_task(shared, leaf), "row_1 bigint, row_2 bigint, ids array<int>"), "long-texts")
-    long = marked.join(joined, (F.col("__1") == F.col("row_1")) & (F.col("__2") == F.col("row_2")), "left").select(*kept.columns, "ids")
+    long = marked.join(joined.withColumnsRenamed(dict(zip(keys, own))), own, "left").select(*kept.columns, "ids")
     return short.unionByName(long)
 
 

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perigee.llm.common import WORD_PATTERN, computed, digests, without
+from perigee.llm.common import WORD_PATTERN, computed, digests, fresh_names, without
 from perigee.runtime import materialize
 
 SHINGLE_WORDS = 5
@@ -211,21 +211,22 @@ def marked(
     Of several blocks the driver holds one at a time: what the texts contain of it is written before the next.
     """
     kept, blocks = without(docs, ["leaks"]), item_blocks(items, item_key, item_text)
-    names, ids = ["__leaks"] if blocks else [], digests(F.col(text))
+    own, row_1, row_2 = fresh_names(kept, "found_leaks", "row_1", "row_2")
+    names, ids = [own] if blocks else [], digests(F.col(text))
     if len(blocks) == 1:
-        kept = computed(kept, {"__leaks": "array<bigint>"}, partial(_task, _sent(blocks[0]), threshold), text)
+        kept = computed(kept, {own: "array<bigint>"}, partial(_task, _sent(blocks[0]), threshold), text)
     elif blocks:
-        texts = kept.select(ids[0].alias("__1"), ids[1].alias("__2"), F.col(text).alias("__words"))
+        texts = kept.select(ids[0].alias(row_1), ids[1].alias(row_2), F.col(text).alias("whole"))
         written = []
         for block in blocks:
             shared = _sent(block)
-            hits = computed(texts, {"__leaks": "array<bigint>"}, partial(_task, shared, threshold), "__words").filter(F.size("__leaks") > 0)
-            written.append(materialize(hits.groupBy("__1", "__2").agg(F.max("__leaks").alias("__leaks")), "leaks"))
+            hits = computed(texts, {own: "array<bigint>"}, partial(_task, shared, threshold), "whole").filter(F.size(own) > 0)
+            written.append(materialize(hits.groupBy(row_1, row_2).agg(F.max(own).alias(own)), "leaks"))
             shared.destroy()
-        found = reduce(DataFrame.unionByName, written).groupBy("__1", "__2").agg(F.flatten(F.collect_list("__leaks")).alias("__leaks"))
+        found = reduce(DataFrame.unionByName, written).groupBy(row_1, row_2).agg(F.flatten(F.collect_list(own)).alias(own))
         # Written, so that its size is known; few texts contain items.
-        kept = kept.withColumns({"__1": ids[0], "__2": ids[1]}).join(materialize(found, "leaks"), ["__1", "__2"], "left").drop("__1", "__2")
-    every = F.coalesce("__leaks", F.array().cast("array<bigint>")) if names else F.array().cast("array<bigint>")
+        kept = kept.withColumns({row_1: ids[0], row_2: ids[1]}).join(materialize(found, "leaks"), [row_1, row_2], "left").drop(row_1, row_2)
+    every = F.coalesce(own, F.array().cast("array<bigint>")) if names else F.array().cast("array<bigint>")
     places = F.when(F.size(every) > 0, F.sequence(F.lit(0), F.size(every) - 1, F.lit(3))).otherwise(F.array().cast("array<int>"))
     leaks = F.transform(places, lambda i: F.struct(
         F.get(every, i).alias("item_id"), F.get(every, i + 1).alias("n_shared"), F.get(every, i + 2).alias("n_shingles")))
@@ -234,8 +235,8 @@ def marked(
 
 def without_leaks(docs: DataFrame, items: DataFrame, threshold: float = MIN_CONTAINMENT, text: str = "text") -> DataFrame:
     """The rows of `docs` that contain no item; their columns stay as they are."""
-    found = marked(docs.withColumn("__text", F.col(text)).select(F.struct(*docs.columns).alias("__row"), "__text"), items, threshold, "__text")
-    return found.filter(F.size("leaks") == 0).select("__row.*")
+    found = marked(docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("whole")), items, threshold, "whole")
+    return found.filter(F.size("leaks") == 0).select("row.*")
 
 
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perigee.llm.common import BATCH_SETTING, computed, pieces, sampled
+from perigee.llm.common import BATCH_SETTING, computed, fresh_names, pieces, sampled
 
 SAMPLE_ROWS = 4_000
 MIN_WORDS = 20
@@ -216,10 +216,14 @@ def judged(docs: DataFrame, chain: Chain, min_content: float = MIN_CONTENT, text
 
 
 def retained(docs: DataFrame, chain: Chain, min_content: float = MIN_CONTENT, text: str = "text") -> DataFrame:
-    """The rows of `docs` that pass the counting rules and the share of content, with their own columns."""
-    # Named apart from the documents' own columns, which stay as they are.
-    verdict = computed(docs, {"__kept": "boolean"}, partial(_verdict, chain.weights, chain.moves, min_content), text)
-    return verdict.filter("__kept").drop("__kept")
+    """The rows of `docs` that pass the counting rules and the share of content, with their own columns.
+
+    Null, empty and short texts fail the counting rules. Very long texts are judged whole, one at a time.
+    Repeated rows stay or go together; an empty table gives an empty one.
+    """
+    own = fresh_names(docs, "kept")[0]
+    verdict = computed(docs, {own: "boolean"}, partial(_verdict, chain.weights, chain.moves, min_content), text)
+    return verdict.filter(F.col(own)).drop(own)
 
 
 def _verdict(weights, moves, min_content):

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from perigee.llm.common import without
+from perigee.llm.common import fresh_names, without
 from perigee.runtime import fresh_path, materialize
 
 SHARDS = 40
@@ -53,25 +53,38 @@ def shuffled(
 
     `identity` are expressions that tell rows apart and don't change when a task runs again, such as
     the file and position of a stored row; copies and null keys then scatter like any rows. Rows with
-    equal identity share a bucket. Columns must be of orderable types (no maps). Null texts have size 16. An empty table gives an empty one.
+    equal identity share a bucket. Columns may be of any type; rows of equal identity are put in order by
+    their text form where they hold maps or variants. Null texts have size 16. An empty table gives an
+    empty one. Columns named like an added one are replaced, all others stay.
     """
-    identified = docs.withColumns({"__size": row_size(F.col(text)), "__where": F.xxhash64(F.lit(seed), *identity)})
+    size, where, bucket, place = fresh_names(docs, "row_size", "row_hash", "row_bucket", "row_place")
+    identified = docs.withColumns({size: row_size(F.col(text)), where: F.xxhash64(F.lit(seed), *identity)})
     kept = [c for c in docs.columns if c.lower() not in PLACES]
-    total = identified.agg(F.sum("__size").alias("bytes"), F.count("*").alias("rows")).first()
+    total = identified.agg(F.sum(size).alias("bytes"), F.count("*").alias("rows")).first()
     buckets = max(1, -(-(total["bytes"] or 0) // bucket_bytes))
-    identified = identified.withColumn("__bucket", F.pmod(F.col("__where"), F.lit(buckets)))
-    offsets = materialize(bucket_offsets(identified.groupBy(F.col("__bucket").alias("bucket")).agg(F.count("*").alias("n"))), "offsets")
+    identified = identified.withColumn(bucket, F.pmod(F.col(where), F.lit(buckets)))
+    offsets = materialize(bucket_offsets(identified.groupBy(F.col(bucket).alias("bucket")).agg(F.count("*").alias("n"))), "offsets")
     if buckets <= BROADCAST_BUCKETS:
         offsets = F.broadcast(offsets)
     # A fixed order of the buckets in a task and of the rows in a bucket: a task that runs again permutes alike.
-    dealt = identified.repartition(buckets, "__bucket").sortWithinPartitions("__bucket")
-    record = F.struct(*kept, F.col("__size").alias("size"))
-    permuted = dealt.groupBy("__bucket").agg(F.sort_array(F.collect_list(F.struct("__where", record.alias("record")))).alias("records"))
-    placed = permuted.join(offsets, permuted["__bucket"] == offsets["bucket"]).select("offset", F.shuffle("records", seed).alias("records"))
-    rows = placed.select("offset", F.posexplode("records").alias("at", "entry")).select("entry.record.*", (F.col("offset") + F.col("at")).alias("__place"))
+    dealt = identified.repartition(buckets, bucket).sortWithinPartitions(bucket)
+    record = F.struct(*kept, F.col(size).alias("size"))
+    unordered = any("map<" in kind or "variant" in kind for _, kind in docs.dtypes)
+    tie = [record.cast("string").alias("tie")] if unordered else []
+    listed = F.collect_list(F.struct(F.col(where).alias("where"), *tie, record.alias("record")))
+    records = F.array_sort(listed, _by_place) if unordered else F.sort_array(listed)
+    permuted = dealt.groupBy(F.col(bucket).alias("bucket")).agg(records.alias("records"))
+    placed = permuted.join(offsets, "bucket").select("offset", F.shuffle("records", seed).alias("records"))
+    rows = placed.select("offset", F.posexplode("records").alias("at", "entry")).select("entry.record.*", (F.col("offset") + F.col("at")).alias(place))
     n = max(1, total["rows"])
-    rows = rows.withColumns({"law": F.lit("rows"), "shard": F.expr(f"cast(__place * {shards} div {n} as int)"), "grown_shard": F.lit(None).cast("int")})
-    return rows.withColumn("slot", F.expr(f"__place - (shard * {n}L + {shards - 1}) div {shards}")).select(*kept, *PLACES)
+    rows = rows.withColumns({"law": F.lit("rows"), "shard": F.expr(f"cast({place} * {shards} div {n} as int)"), "grown_shard": F.lit(None).cast("int")})
+    return rows.withColumn("slot", F.expr(f"{place} - (shard * {n}L + {shards - 1}) div {shards}")).select(*kept, *PLACES)
+
+
+def _by_place(a: Column, b: Column) -> Column:
+    """Order of two entries by hash, then by text form."""
+    left, right = F.struct(a["where"], a["tie"]), F.struct(b["where"], b["tie"])
+    return F.when(left < right, -1).when(left > right, 1).otherwise(0)
 
 
 def write_shards(docs: DataFrame, identity: list[Column], path: str | None = None, **options) -> str:

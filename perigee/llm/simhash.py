@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perigee.llm.common import computed, digests, without
+from perigee.llm.common import computed, digests, fresh_names, without
 from perigee.runtime import materialize
 
 SHINGLE_WORDS = 3
@@ -111,10 +111,10 @@ def classes(docs: DataFrame, key: str = "doc_id", shingle: int = SHINGLE_WORDS,
     other. Repeated rows stay repeated. An empty table gives an empty one. `row_1` and `row_2` identify
     (key, text).
     """
-    marked = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
-    ids = digests(F.col("__key"), F.col("__text"))
-    prints = fingerprints(marked.withColumns({"row_1": ids[0], "row_2": ids[1]}), shingle, "__text")
-    rows = materialize(prints.select(F.col("__key").alias(key), "row_1", "row_2", "simhash"), "prints")
+    marked = docs.select(F.col(key).alias("own_key"), F.col(text).alias("whole"))
+    ids = digests(F.col("own_key"), F.col("whole"))
+    prints = fingerprints(marked.withColumns({"row_1": ids[0], "row_2": ids[1]}), shingle, "whole")
+    rows = materialize(prints.select(F.col("own_key").alias(key), "row_1", "row_2", "simhash"), "prints")
     distinct = materialize(rows.groupBy("simhash").agg(F.min(key).alias("first_key")), "distinct")
     found = materialize(components(links(distinct.select("simhash"), max_bits)), "classes")
     named = distinct.join(found, distinct.simhash == found.node, "left")
@@ -126,18 +126,21 @@ def classes(docs: DataFrame, key: str = "doc_id", shingle: int = SHINGLE_WORDS,
 def one_of_each(docs: DataFrame, key: str = "doc_id", shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, text: str = "text") -> DataFrame:
     """The rows of `docs` with one document of each class: the smallest key, then the smallest row hash.
 
-    Rows equal in key and text are one document; of these the least row by its other columns stays.
+    Rows equal in key and text are one document; of these the least row by its other columns stays. Null,
+    blank and very long texts are documents like any others; an empty table gives an empty one. All
+    columns stay as they are.
     """
+    row_1, row_2 = fresh_names(docs, "row_1", "row_2")
     kept = classes(docs, key, shingle, max_bits, text).groupBy("class_print").agg(
         F.min(F.struct(F.col(key).isNull(), F.col(key), "row_1", "row_2")).alias("first"))
-    kept = materialize(kept.select(F.col("first.row_1").alias("__1"), F.col("first.row_2").alias("__2")), "kept")
+    kept = materialize(kept.select(F.col("first.row_1").alias(row_1), F.col("first.row_2").alias(row_2)), "kept")
     ids = digests(F.col(key), F.col(text))
-    tagged = docs.withColumns({"__1": ids[0], "__2": ids[1]}).join(kept, ["__1", "__2"], "left_semi")
+    tagged = docs.withColumns({row_1: ids[0], row_2: ids[1]}).join(kept, [row_1, row_2], "left_semi")
     # Maps and variants have no order; they are compared as text.
     unordered = [name for name, kind in docs.dtypes if "map<" in kind or "variant" in kind]
     whole = F.struct(*docs.columns)
     order = F.struct(*[F.col(c).cast("string") if c in unordered else F.col(c) for c in docs.columns])
-    least = tagged.groupBy("__1", "__2").agg((F.min_by(whole, order) if unordered else F.min(whole)).alias("row"))
+    least = tagged.groupBy(row_1, row_2).agg((F.min_by(whole, order) if unordered else F.min(whole)).alias("row"))
     return least.select("row.*")
 
 
