@@ -30,6 +30,37 @@ def test_segments_are_the_maximal_ones():
         assert [s for *_, s in found] == pytest.approx([s for *_, s in want])
 
 
+@pytest.mark.parametrize("falling", [True, False])
+def test_the_scan_is_linear(falling):
+    """Scattered marked words, of which no two join; twice the words take about twice the steps."""
+
+    class Counted(float):
+        asked = 0
+
+        def __ge__(self, other):
+            Counted.asked += 1
+            return float(self) >= other
+
+        def __add__(self, other):
+            return Counted(float(self) + other)
+
+        __radd__ = __add__
+
+    steps = []
+    for n in (4_000, 8_000, 16_000, 32_000):
+        marked = [(20 * i, Counted(1.0 if falling else 1.0 + (i % 7) / 2)) for i in range(n)]
+        Counted.asked = 0
+        found = toxicity.maximal_segments(marked, 20 * n, -0.4 if falling else -0.06)
+        steps.append(Counted.asked)
+        assert found and all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+    assert all(b < 2.3 * a for a, b in zip(steps, steps[1:])) and steps[-1] < 6 * 32_000
+
+
+def test_a_long_text_of_scattered_words_takes_no_time(spark):
+    segments = toxicity.maximal_segments([(3 * i, 0.5) for i in range(300_000)], 900_000, -0.4)
+    assert len(segments) == 300_000
+
+
 def test_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     found = toxicity.report(docs, labels).filter("held_out").join(labels, "doc_id").toPandas()
