@@ -12,6 +12,10 @@ from perigee.functions.availability import dominant_reason
 from perigee.operators.resolution import resolution_metrics, metrics_breakdown
 from perigee.operators.tallying import keys_per_identifier
 from perigee.plans import catalog, cross_source, dossier, watchlist, world
+from perigee.plans.risk_history import risk_metric_history
+from perigee.runtime import fresh_path
+from perigee.sources.runs import append_run, read_latest_run, read_runs
+from perigee.sources.sinks import dataset_lineage
 
 
 @query("entity_bridge", "C1 U2 U3 F3 J13", with_tables("SELECT * FROM brg", "brg"))
@@ -222,16 +226,31 @@ def _(spark, sf):
         axis("x"), axis("y"), axis("z"))
 
 
-@query("world_info", "C12 P15", with_tables(f"""
+def _lineage(spark, sf):
+    """The run table of the approach dataset: a run per year, the newest one is served."""
+    runs = D.table(spark, sf, "orders").select(F.year("o_orderdate").cast("string").alias("y"), "o_orderkey").groupBy("y").agg(F.max("o_orderkey").alias("top"))
+    runs = runs.select(
+        F.lit("asteroids").alias("table_name"), F.concat(F.lit("run-"), "y").alias("run_id"), F.concat("y", F.lit("-12-31")).alias("ingested_at"),
+        F.lit("neows").alias("source"), F.concat(F.lit("raw_"), "y", F.lit(".json")).alias("source_raw_file"), F.sha2(F.col("top").cast("string"), 256).alias("source_raw_sha256"))
+    return dataset_lineage(runs)
+
+
+_LINEAGE = """(SELECT 'run-' || max(year(o_orderdate)) AS run_id, 'raw_' || max(year(o_orderdate)) || '.json' AS raw_file,
+  sha256((max(o_orderkey) FILTER (year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)))::VARCHAR) AS raw_sha FROM orders)"""
+
+
+@query("world_info", "C12 P15 F33", with_tables(f"""
 SELECT count(*) AS object_count, 'CLOSEST_OBSERVED_APPROACH' AS encounter_selection_rule,
   max(sentry_latest_catalog_snapshot_key) AS sentry_latest_catalog_snapshot_key, '{",".join(_OPTIONAL)}' AS neows_fields_not_in_dataset,
-  '{V.DIRECTION_ALGORITHM}' AS direction_algorithm FROM wld""", "wld"))
+  '{V.DIRECTION_ALGORITHM}' AS direction_algorithm, any_value(run_id) AS dataset_run_id, any_value(raw_file) AS source_raw_file,
+  any_value(raw_sha) AS source_raw_sha256 FROM wld, {_LINEAGE}""", "wld"))
 def _(spark, sf):
     lake = D.lakehouse(spark, sf)
     old = lake.asteroids.drop(*_OPTIONAL)  # a dataset from before the optional columns
     _, missing = world.with_optional_columns(old)
     flat = world.world_snapshot(old, lake.risk, lake.objects, lake.orbits, lake.bridge, lake.audit)
-    return as_text(world.world_info(flat, missing), "neows_fields_not_in_dataset")
+    info = as_text(world.world_info(flat, missing, _lineage(spark, sf)), "neows_fields_not_in_dataset")
+    return info.select("*", F.col("spatial_model.direction_algorithm").alias("direction_algorithm"), "neows.*").drop("spatial_model", "neows")
 
 
 _RISK_PROFILE = """
@@ -361,15 +380,16 @@ SELECT neows_id, {_missing(_IDENTITY)} AS identity_missing, {_status(_missing(_I
   {_missing(_ORBIT_WHY)} AS orbit_missing, {_status(_missing(_ORBIT_WHY), 28)} AS orbit_status,
   {_missing(_BODY)} AS physical_missing, {_missing(_ASSESS)} AS assessment_missing, {_status(_missing(_ASSESS), 13)} AS assessment_status,
   rs AS sentry_status, CASE WHEN rs IN ('available', 'linked_no_record') THEN '/asteroids/' || neows_id || '/sentry' END AS assessment_endpoint,
-  p.snapshot_key AS catalog_snapshot_key, CASE WHEN rs = 'available' THEN sentry_snapshot_time END AS risk_snapshot_time
-FROM (SELECT w.*, {_RISK_STATUS} AS rs, q.designation AS cd, q.fullname AS cf, q AS p, {_NO_CAT} AS why FROM wld w
+  p.snapshot_key AS catalog_snapshot_key, CASE WHEN rs = 'available' THEN sentry_snapshot_time END AS risk_snapshot_time,
+  l.run_id AS dataset_run_id, l.raw_sha AS source_raw_sha256
+FROM {_LINEAGE} l, (SELECT w.*, {_RISK_STATUS} AS rs, q.designation AS cd, q.fullname AS cf, q AS p, {_NO_CAT} AS why FROM wld w
 LEFT JOIN ({_PROFILE}) q ON w.match_state = 'RESOLVED' AND w.sbdb_snapshot_key IS NOT NULL AND q.asteroid_key = w.asteroid_key)"""
 
 
 def _profile(spark, sf):
     lake = D.lakehouse(spark, sf)
     return dossier.unified_profile(
-        lake.asteroids, lake.risk, lake.objects, lake.orbits, lake.elements, lake.physical, lake.bridge, lake.audit)
+        lake.asteroids, lake.risk, lake.objects, lake.orbits, lake.elements, lake.physical, lake.bridge, lake.audit, lineage=_lineage(spark, sf))
 
 
 def _map_text(column: str):
@@ -394,7 +414,8 @@ def _(spark, sf):
         F.col("sentry.assessment.availability.status").alias("assessment_status"),
         F.col("sentry.status").alias("sentry_status"), F.col("sentry.assessment_endpoint").alias("assessment_endpoint"),
         F.col("provenance.sbdb.snapshot_key").alias("catalog_snapshot_key"),
-        F.col("provenance.sentry.snapshot_time").alias("risk_snapshot_time"))
+        F.col("provenance.sentry.snapshot_time").alias("risk_snapshot_time"),
+        F.col("provenance.neows.dataset_run_id").alias("dataset_run_id"), F.col("provenance.neows.source_raw_sha256").alias("source_raw_sha256"))
 
 
 @query("dominant_missing_reason", "A17", with_tables(f"""
@@ -405,3 +426,96 @@ def _(spark, sf):
     return _profile(spark, sf).select(
         "neows_id", dominant_reason(F.col("sentry.assessment.availability.unavailable")).alias("assessment_reason"),
         dominant_reason(F.col("encounter.availability.unavailable")).alias("encounter_reason"))
+
+
+_ORBIT_VALUES = [c for c in dossier.ORBIT_SECTION if c not in ("is_neo", "is_pha")]
+
+
+@query("unified_profile_values", "C20 C14 P2 F29", with_tables(f"""
+SELECT neows_id, name, closest_approach_date, miss_distance_km, hazardous AS is_potentially_hazardous, close_approach_datetime, close_approach_epoch_ms,
+  relative_velocity_km_s, is_sentry_object, absolute_magnitude_h, estimated_diameter_min_km, estimated_diameter_max_km,
+  p.is_neo AS is_neo, p.is_pha AS is_pha, {", ".join(f"p.{c} AS {c}" for c in _ORBIT_VALUES)},
+  {", ".join(f"p.{c} AS {c}" for c in dossier.PHYSICAL_SECTION)},
+  {", ".join(f"CASE WHEN rs = 'available' THEN " + (f"nullif(sentry_{c}, '')" if c in ("designation", "fullname", "impact_year_range", "last_obs_date") else f"sentry_{c}") + f" END AS sentry_{c}" for c in _RISK_ASSESSMENT)}
+FROM (SELECT w.*, {_RISK_STATUS} AS rs, q AS p FROM wld w
+LEFT JOIN ({_PROFILE}) q ON w.match_state = 'RESOLVED' AND w.sbdb_snapshot_key IS NOT NULL AND q.asteroid_key = w.asteroid_key)""", "wld", *_PROFILE_TABLES))
+def _(spark, sf):
+    p = _profile(spark, sf)
+    section = lambda name, fields, prefix="": [F.col(f"{name}.{c}").alias(f"{prefix}{c}") for c in fields]
+    return p.select(
+        "neows_id", F.col("identity.name").alias("name"),
+        *section("encounter", ["closest_approach_date", "miss_distance_km", "is_potentially_hazardous", "close_approach_datetime", "close_approach_epoch_ms", "relative_velocity_km_s", "is_sentry_object"]),
+        *section("neows_physical", dossier.APPROACH_PHYSICAL_SECTION), *section("orbit", ["is_neo", "is_pha", *_ORBIT_VALUES]),
+        *section("physical", dossier.PHYSICAL_SECTION), *section("sentry.assessment", _RISK_ASSESSMENT, "sentry_"))
+
+
+# --- several resolution runs ---------------------------------------------------------------------
+
+_LAST = "right(source_identifier_value, 1)"
+_LOG = f"""(SELECT resolution_run_id, resolved_at, source_system, identifier_name, source_identifier_value, match_state, match_rule, assigned_asteroid_key, evidence_json
+  FROM aud WHERE NOT (source_system = 'neows' AND {_LAST} = '9')
+UNION ALL SELECT 'run-0002', CASE WHEN {_LAST} IN ('1', '2') THEN resolved_at ELSE '2024-03-02T00:00:00Z' END, source_system, identifier_name, source_identifier_value,
+  CASE WHEN {_LAST} = '0' THEN 'UNRESOLVED' ELSE match_state END, CASE WHEN {_LAST} = '0' THEN 'SECOND_RUN' ELSE match_rule END,
+  CASE WHEN {_LAST} <> '0' THEN assigned_asteroid_key END, evidence_json FROM aud WHERE {_LAST} IN ('0', '1', '2', '3', '4')
+UNION ALL SELECT 'run-0003', '2024-03-02T00:00:00Z', source_system, identifier_name, source_identifier_value, match_state, 'THIRD_RUN', assigned_asteroid_key, evidence_json
+  FROM aud WHERE {_LAST} IN ('3', '5'))"""
+_DOUBLED = """(SELECT asteroid_key, source_system, identifier_name, identifier_value FROM brg UNION ALL
+  SELECT 'other-' || identifier_value, source_system, identifier_name, identifier_value FROM brg WHERE source_system = 'neows' AND right(identifier_value, 2) IN ('19', '39', '59', '79', '99'))"""
+
+
+def _audit_log(spark, sf):
+    """Three runs over the stored audit, whose clocks overlap: the second takes up a half of the identifiers,
+    the third two tenths, and no run has evaluated approach ids that end in 9."""
+    audit = D.published_crosswalk(spark, sf)[1]
+    last, late = F.expr("right(source_identifier_value, 1)"), F.lit("2024-03-02T00:00:00Z")
+    first = audit.filter(~((F.col("source_system") == V.APPROACH_FEED) & (last == "9")))
+    second = audit.filter(last.isin("0", "1", "2", "3", "4")).withColumns({
+        "resolution_run_id": F.lit("run-0002"), "resolved_at": F.when(last.isin("1", "2"), F.col("resolved_at")).otherwise(late),
+        "match_state": F.when(last == "0", V.UNRESOLVED).otherwise(F.col("match_state")), "match_rule": F.when(last == "0", "SECOND_RUN").otherwise(F.col("match_rule")),
+        "assigned_asteroid_key": F.when(last != "0", F.col("assigned_asteroid_key"))})
+    third = audit.filter(last.isin("3", "5")).withColumns({"resolution_run_id": F.lit("run-0003"), "resolved_at": late, "match_rule": F.lit("THIRD_RUN")})
+    folder = fresh_path(spark, "audit-log")
+    for rows in (first, second, third):
+        append_run(rows, folder)
+    return folder
+
+
+@query("coverage_of_latest_run", "C9 W11 J11 A11 J12", with_tables(f"""
+SELECT source_system, match_state, match_rule, count(*) AS evaluation_count, t AS total_source_system_evaluations, round(count(*) / t * 100, 4) AS pct_of_source_system,
+  count(DISTINCT assigned_asteroid_key) AS resolved_to_canonical_key_count, max(resolution_run_id) AS resolution_run_id, max(resolved_at) AS resolved_at
+FROM (SELECT *, count(*) OVER (PARTITION BY source_system) AS t FROM {_LOG} WHERE resolution_run_id = (SELECT resolution_run_id FROM {_LOG} ORDER BY resolved_at DESC, resolution_run_id DESC LIMIT 1))
+GROUP BY 1, 2, 3, t""", "aud"))
+def _(spark, sf):
+    return cross_source.crosswalk_coverage_audit(read_latest_run(spark, _audit_log(spark, sf)))
+
+
+@query("id_resolution_over_runs", "W4 C10 J9 F18 A12", with_tables(f"""
+SELECT i.id AS neows_id,
+  CASE WHEN NOT regexp_full_match(i.id, '[0-9]+') THEN 'INVALID' WHEN a.match_state = 'RESOLVED' AND a.assigned_asteroid_key IS NULL THEN 'UNRESOLVED'
+    WHEN a.match_state IS NOT NULL THEN a.match_state WHEN b.n = 1 THEN 'RESOLVED' WHEN b.n > 1 THEN 'AMBIGUOUS' ELSE 'UNRESOLVED' END AS match_state,
+  CASE WHEN NOT regexp_full_match(i.id, '[0-9]+') THEN NULL WHEN a.match_state = 'RESOLVED' THEN a.assigned_asteroid_key WHEN a.match_state IS NULL AND b.n = 1 THEN b.ky END AS asteroid_key,
+  CASE WHEN NOT regexp_full_match(i.id, '[0-9]+') THEN 'INVALID_SYNTAX' WHEN a.match_state IS NOT NULL THEN coalesce(a.match_rule, 'NO_CROSS_SOURCE_MATCH')
+    WHEN b.n = 1 THEN 'BRIDGE_EXACT_NEOWS_ID' WHEN b.n > 1 THEN 'BRIDGE_MULTIPLE_CANDIDATE_KEYS' ELSE 'NO_RESOLUTION_RECORD' END AS match_rule, a.resolved_at
+FROM (SELECT DISTINCT id FROM apr) i
+LEFT JOIN (SELECT * FROM {_LOG} WHERE source_system = 'neows' AND identifier_name = 'id'
+  QUALIFY row_number() OVER (PARTITION BY source_identifier_value ORDER BY resolved_at DESC, resolution_run_id DESC) = 1) a ON a.source_identifier_value = i.id
+LEFT JOIN (SELECT identifier_value AS id, count(DISTINCT asteroid_key) AS n, min(asteroid_key) AS ky FROM {_DOUBLED}
+  WHERE source_system = 'neows' AND identifier_name = 'id' GROUP BY 1) b ON b.id = i.id""", "apr", "aud", "brg"))
+def _(spark, sf):
+    bridge = D.published_crosswalk(spark, sf)[0]
+    twice = bridge.filter((F.col("source_system") == V.APPROACH_FEED) & F.expr("right(identifier_value, 2) IN ('19', '39', '59', '79', '99')"))
+    bridge = bridge.unionByName(twice.withColumn("asteroid_key", F.concat(F.lit("other-"), "identifier_value")))
+    ids = D.approaches(spark, sf).select(F.col("id").alias("neows_id")).distinct()
+    return watchlist.resolve_ids(ids, read_runs(spark, _audit_log(spark, sf)), bridge)
+
+
+@query("risk_of_several_keys", "J2 A6 C3", with_tables("""
+SELECT r.snapshot_key, r.sentry_id, b.asteroid_key, lag(r.impact_probability) OVER (PARTITION BY r.sentry_id ORDER BY r.snapshot_key, r.snapshot_time, r.run_id, b.asteroid_key) AS prev_impact_probability
+FROM rsk r JOIN cov USING (snapshot_key) LEFT JOIN (SELECT identifier_value, asteroid_key FROM brg WHERE source_system = 'sentry' AND identifier_name = 'sentry_id'
+  UNION SELECT identifier_value, 'zz-' || identifier_value FROM brg WHERE source_system = 'sentry' AND identifier_name = 'sentry_id' AND identifier_value LIKE '%7') b ON b.identifier_value = r.sentry_id""", "rsk", "cov", "brg"))
+def _(spark, sf):
+    bridge = D.published_crosswalk(spark, sf)[0]
+    twice = bridge.filter((F.col("source_system") == V.RISK_FEED) & (F.col("identifier_name") == "sentry_id") & F.col("identifier_value").endswith("7"))
+    bridge = bridge.unionByName(twice.withColumn("asteroid_key", F.concat(F.lit("zz-"), "identifier_value")))
+    rows = risk_metric_history(D.risk_snapshots(spark, sf), bridge)
+    return rows.select("snapshot_key", "sentry_id", "asteroid_key", "prev_impact_probability")

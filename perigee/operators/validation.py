@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from perigee import vocabulary as V
 from perigee.functions.text import is_number, is_object, leaf_text
-from perigee.runtime import attach, pinned
+from perigee.runtime import attach, materialize, pinned
 
 UNIT_TOLERANCE = 1e-6
 ID_DIGITS = r"^[1-9][0-9]*$"
@@ -108,16 +108,54 @@ def world_defect(record: Column) -> Column:
     return reason.when(F.abs(length - 1.0) > UNIT_TOLERANCE, "illustrative_direction: no unit vector")
 
 
-def envelope_defect(record: Column, algorithms: list[str]) -> Column:
-    """Code of what is wrong with the envelope of a world response: its lists, header or direction algorithm."""
-    header = "$.metadata"
-    return (
-        F.when(~F.coalesce(F.schema_of_variant(record).startswith("OBJECT"), F.lit(False)), "response: no object")
-        .when(~F.coalesce(F.schema_of_variant(F.try_variant_get(record, "$.data", "variant")).startswith("ARRAY"), F.lit(False)), "data: no list")
-        .when(~is_object(record, header), "metadata: no object")
-        .when(~_is(record, f"{header}.count", "integer", False), "metadata.count: no integer")
-        .when(~F.coalesce(leaf_text(record, f"{header}.direction_algorithm").isin(algorithms), F.lit(False)), "metadata.direction_algorithm: unknown value")
-    )
+# What is judged in the header of a world response, in this order.
+HEADER_RULES = [
+    ("world", "object", False), ("world.spatial_model", "object", False),
+    ("world.spatial_model.direction_semantics", [V.DIRECTION_SEMANTICS], False), ("world.spatial_model.direction_algorithm", "string", False),
+    ("world.spatial_model.note", "string", False), ("world.neows", "object", False), ("world.object_count", "integer", False),
+]
+
+
+def envelope_defect(response: Column, algorithms: list[str]) -> Column:
+    """Code of what is wrong with a world response as a whole, NULL for a sound one: its list, its header, or
+    a direction algorithm that isn't one of `algorithms`."""
+    is_list = lambda path: F.coalesce(F.schema_of_variant(F.try_variant_get(response, path, "variant")).startswith("ARRAY"), F.lit(False))
+    whole = F.coalesce(F.schema_of_variant(response).startswith("OBJECT"), F.lit(False))
+    reason = F.when(~whole, "response: no object").when(~is_list("$.data"), "data: no list")
+    for path, kind, nullable in HEADER_RULES:
+        reason = reason.when(~_meets(response, path, kind, nullable), _code(path, kind))
+    reason = reason.when(~is_list("$.world.neows_fields_not_in_dataset"), "world.neows_fields_not_in_dataset: no list")
+    known = F.coalesce(leaf_text(response, "$.world.spatial_model.direction_algorithm").isin(algorithms), F.lit(False))
+    return reason.when(~known, "world.spatial_model.direction_algorithm: not supported")
+
+
+def validate_responses(
+    responses: DataFrame, key: str = "response_id", text: str = "response_json", algorithms: list[str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """World responses judged on two levels: (envelopes, records).
+
+    Envelopes are (`key`, envelope_reason, received), one row per response. Records are (`key`, position,
+    neows_id, reason), one row per record of a response with a list: a refused envelope refuses all its
+    records by its own reason; in a sound one each record is judged, and all copies of an id that
+    repeats within the response are refused. Nothing is repaired. Each response is parsed once, into a
+    written table that both levels are made of.
+    """
+    supported = algorithms if algorithms is not None else [V.DIRECTION_ALGORITHM]
+    parsed = pinned(responses.select(key, text), r=F.try_parse_json(text))
+    listed = F.try_variant_get("r", "$.data", "array<variant>")
+    judged = pinned(parsed, envelope_reason=envelope_defect(F.col("r"), supported), items=listed).drop(text, "r")
+    exploded = judged.select(key, "envelope_reason", F.posexplode_outer("items").alias("position", "record"))
+    is_record = F.col("position").isNotNull()
+    ident = F.when(_kind(F.col("record"), "$.neows_id") == "STRING", leaf_text(F.col("record"), "$.neows_id"))
+    own = F.when(is_record, F.coalesce(F.concat(F.lit("envelope: "), "envelope_reason"), world_defect(F.col("record"))))
+    rows = materialize(exploded.select(key, "envelope_reason", "position", ident.alias("neows_id"), own.alias("reason")), "judged-responses")
+    envelopes = rows.groupBy(key).agg(F.first("envelope_reason").alias("envelope_reason"), F.count("position").alias("received"))
+    records = rows.filter("position IS NOT NULL").drop("envelope_reason")
+    sound = records.filter(F.col("reason").isNull())
+    repeated = sound.groupBy(key, "neows_id").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select(key, "neows_id", F.lit(True).alias("repeated"))
+    joined = records.join(repeated, [key, "neows_id"], "left")
+    twice = F.col("reason").isNull() & F.coalesce("repeated", F.lit(False))
+    return envelopes, joined.select(key, "position", "neows_id", F.when(twice, "neows_id: repeated").otherwise(F.col("reason")).alias("reason"))
 
 
 def validate_world(records: DataFrame, text: str = "record_json") -> DataFrame:

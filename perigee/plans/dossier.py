@@ -17,7 +17,7 @@ from perigee.operators.picking import distinct_identifiers
 from perigee.plans.catalog import catalog_profile, snapshot_profile
 from perigee.plans.risk_history import risk_history
 from perigee.plans.watchlist import closest_per_day, described_ids, resolve_ids
-from perigee.plans.world import catalog_block, risk_block, with_optional_columns, world_snapshot
+from perigee.plans.world import NO_LINEAGE, catalog_block, risk_block, with_optional_columns, world_snapshot
 from perigee.runtime import attach, one_row
 from perigee.schemas import RISK_ASSESSMENT_COLUMNS
 
@@ -162,16 +162,18 @@ def crosswalk_answers(approaches, audit, bridge, neows_id=None) -> DataFrame:
 
 def unified_profile(
     approaches: DataFrame, risk: DataFrame, objects: DataFrame, orbits: DataFrame, elements: DataFrame,
-    physical: DataFrame, bridge: DataFrame, audit: DataFrame, neows_id: str | None = None,
+    physical: DataFrame, bridge: DataFrame, audit: DataFrame, neows_id: str | None = None, lineage: DataFrame | None = None,
 ) -> DataFrame:
     """One nested profile per approach id, every section with its availability and provenance.
 
-    The identifier list of the entity is `crosswalk_answers`, one row per identifier.
+    The identifier list of the entity is `crosswalk_answers`, one row per identifier. `lineage` is the
+    one row of `dataset_lineage`; without it the run of the approach dataset is unknown.
     """
     _, missing = with_optional_columns(approaches)
     rows = world_snapshot(
         approaches, risk, objects, orbits, bridge, audit, neows_id, snapshot_profile(objects, orbits, elements, physical))
     rows = rows.withColumn("cat", F.when((F.col("match_state") == V.RESOLVED) & F.col("sbdb_snapshot_key").isNotNull(), F.col("cat")))
+    rows = rows.withColumn("neows", F.lit(None).cast(NO_LINEAGE)) if lineage is None else rows.crossJoin(one_row(lineage))
     rows = rows.withColumn("sbdb", catalog_block()).withColumn("sentry", risk_block())
     state = F.col("match_state")
     resolved = state == V.RESOLVED
@@ -223,6 +225,7 @@ def unified_profile(
             F.when(linked, F.concat(F.lit("/asteroids/"), "neows_id", F.lit("/sentry"))).alias("assessment_endpoint"),
         ).alias("sentry"),
         F.struct(
+            F.col("neows"),
             F.struct("match_rule", "resolved_at").alias("resolution"),
             F.struct(F.coalesce(cat["spkid"], F.col("sbdb.spkid")).alias("spkid"), cat["snapshot_key"].alias("snapshot_key"),
                      cat["run_id"].alias("run_id"), cat["snapshot_time"].alias("snapshot_time")).alias("sbdb"),

@@ -128,8 +128,11 @@ def world_records(flat: DataFrame) -> DataFrame:
     )
 
 
+NO_LINEAGE = "struct<dataset_run_id:string,source_raw_file:string,source_raw_sha256:string>"
+
+
 def world_info(flat: DataFrame, missing_columns: list[str], lineage: DataFrame | None = None) -> DataFrame:
-    """The one-row header of a world snapshot."""
+    """The one-row header of a world snapshot; `lineage` is `dataset_lineage` of the run table, else unknown."""
     info = flat.agg(
         F.count(F.lit(1)).alias("object_count"),
         F.max("sentry_latest_catalog_snapshot_key").alias("sentry_latest_catalog_snapshot_key"),
@@ -137,6 +140,15 @@ def world_info(flat: DataFrame, missing_columns: list[str], lineage: DataFrame |
         "object_count", F.lit(V.CLOSEST_APPROACH_RULE).alias("encounter_selection_rule"),
         "sentry_latest_catalog_snapshot_key",
         F.array(*[F.lit(c) for c in missing_columns]).cast("array<string>").alias("neows_fields_not_in_dataset"),
-        F.lit(V.DIRECTION_ALGORITHM).alias("direction_algorithm"),
+        F.struct(F.lit(V.DIRECTION_SEMANTICS).alias("direction_semantics"), F.lit(V.DIRECTION_ALGORITHM).alias("direction_algorithm"),
+                 F.lit(DIRECTION_NOTE).alias("note")).alias("spatial_model"),
     )
-    return info if lineage is None else info.crossJoin(one_row(lineage))
+    return info.withColumn("neows", F.lit(None).cast(NO_LINEAGE)) if lineage is None else info.crossJoin(one_row(lineage))
+
+
+DIRECTION_NOTE = "Distances are real; directions follow from the id alone and are no positions in the sky."
+
+
+def world_envelope(info: DataFrame) -> DataFrame:
+    """The header as a JSON text (`world_json`), for a response that carries records beside it."""
+    return info.select(F.to_json(F.struct(*info.columns), {"ignoreNullFields": "false"}).alias("world_json"))

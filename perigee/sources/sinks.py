@@ -24,14 +24,27 @@ def with_lineage(df: DataFrame, run_id: str, ingested_at: str, source: str) -> D
     return df.withColumns({"run_id": F.lit(run_id), "ingested_at": F.lit(ingested_at), "source": F.lit(source)})
 
 
-def write_table_with_lineage(df: DataFrame, name: str, path: str, run_id: str, ingested_at: str, source: str) -> None:
-    """The table plus a one-row run table next to it, which the lineage check reads back."""
+RUN_TABLE_DDL = "table_name string, run_id string, ingested_at string, source string, source_raw_file string, source_raw_sha256 string"
+
+
+def write_table_with_lineage(
+    df: DataFrame, name: str, path: str, run_id: str, ingested_at: str, source: str, raw_file: str | None = None, raw_sha256: str | None = None,
+) -> None:
+    """The table plus a one-row run table next to it, which the lineage check and the served headers read back."""
     write_table(df, name, path)
-    runs = df.sparkSession.createDataFrame([(name, run_id, ingested_at, source)],
-                                           "table_name string, run_id string, ingested_at string, source string")
+    runs = df.sparkSession.createDataFrame([(name, run_id, ingested_at, source, raw_file, raw_sha256)], RUN_TABLE_DDL)
     runs.write.mode("overwrite").parquet(f"{path}_runs")
 
 
+def dataset_lineage(runs: DataFrame) -> DataFrame:
+    """One row with the struct `neows`: the newest run of the approach dataset and the raw file it was read from."""
+    row = F.struct("ingested_at", "run_id", "source_raw_file", "source_raw_sha256")
+    newest = runs.filter(F.col("table_name") == "asteroids").agg(F.max(row).alias("r"))
+    return newest.select(F.struct(
+        F.col("r.run_id").alias("dataset_run_id"), F.col("r.source_raw_file").alias("source_raw_file"),
+        F.col("r.source_raw_sha256").alias("source_raw_sha256")).alias("neows"))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """The five legacy columns; anything else is left out."""
     escape_lines(df.select(*table_columns("asteroids_csv"))).write.mode("overwrite").options(**CSV_FORMAT).csv(path)

@@ -54,6 +54,7 @@ LUNAR_DISTANCE_KM = 384400.0
 KEY_NAMESPACE = "e7b8c9d0-1234-5678-9abc-def012345678"
 DIRECTION_SALT = "nasa-asteroid-world/illustrative-direction/v1:"
 DIRECTION_ALGORITHM = "sha256-uniform-sphere-v1"
+DIRECTION_SEMANTICS = "illustrative"
 
 # Check statuses.
 PASSED, FAILED, WARNING = "PASSED", "FAILED", "WARNING"
