@@ -12,11 +12,12 @@ from perigee.bindings.sql import with_tables
 from perigee.operators import extract_approaches as A
 from perigee.operators import extract_catalog as C
 from perigee.operators import extract_risk as K
-from perigee.operators.validation import validate_profiles, validate_world
+from perigee.operators.validation import validate_profiles, validate_responses, validate_world
 from perigee.plans import ingest, world
 from perigee.plans.quality import approach_gate, catalog_gate, risk_gate
 from perigee.runtime import fresh_path
 from perigee.sources import sinks
+from perigee.sources.sinks import dataset_lineage
 from perigee.sources.raw import approach_entries, approach_records, risk_entries, risk_records
 from perigee.sources.tables import read_csv, read_partitioned, read_table
 from perigee.sources.targets import clean_targets
@@ -213,6 +214,52 @@ def _(spark, sf):
     return validate_profiles(profiles.select(sent.alias("record_json"))).groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
 
 
+_ENVELOPES = """CASE right(k, 1) WHEN '0' THEN 'data: no list' WHEN '1' THEN 'world.object_count: no integer'
+  WHEN '2' THEN 'world.spatial_model.direction_algorithm: not supported' WHEN '3' THEN 'world.spatial_model.direction_semantics: unknown value'
+  WHEN '4' THEN 'response: no object' WHEN '5' THEN 'world.neows: no object' END"""
+_SENT = f"""(SELECT *, {_ENVELOPES} AS e FROM (SELECT left(neows_id, greatest(0, length(neows_id) - 2)) AS k, neows_id, name, match_state,
+  unnest(CASE WHEN match_state = 'UNRESOLVED' THEN [1, 2] ELSE [1] END) FROM wld))"""
+
+
+def _responses(spark, sf):
+    """World responses of at most a hundred objects (ids that differ in the last two signs); the sign before
+    decides what is wrong with the envelope. Unresolved objects are sent twice."""
+    records = world.world_records(_world(spark, sf))
+    k = F.expr("left(neows_id, greatest(0, length(neows_id) - 2))")
+    sent = records.select(
+        k.alias("response_id"), F.to_json(F.struct(*records.columns), {"ignoreNullFields": "false"}).alias("record_json"),
+        F.explode(F.when(F.col("resolution.match_state") == "UNRESOLVED", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"))
+    # A response is bounded: a hundred ids, each twice at most.
+    lists = sent.groupBy("response_id").agg(F.array_join(F.sort_array(F.collect_list("record_json")), ",").alias("items"))
+    case = F.expr("right(response_id, 1)")
+    lake = D.lakehouse(spark, sf)
+    head = world.world_envelope(world.world_info(lake.asteroids.select(F.lit("x").alias("sentry_latest_catalog_snapshot_key")), [], dataset_lineage(
+        spark.createDataFrame([("asteroids", "r1", "2024-03-01", "neows", "raw.json", "00")], sinks.RUN_TABLE_DDL))))
+    text = F.col("world_json")
+    text = (
+        F.when(case == "1", F.regexp_replace(text, r'"object_count":([0-9]+)', '"object_count":"$1"'))
+        .when(case == "2", F.replace(text, F.lit("-v1"), F.lit("-v2"))).when(case == "3", F.replace(text, F.lit('"illustrative"'), F.lit('"measured"')))
+        .when(case == "5", F.replace(text, F.lit('"neows":'), F.lit('"other":'))).otherwise(text))
+    body = F.when(case == "0", F.concat(F.lit('{"world":'), text, F.lit(',"data":{"items":['), "items", F.lit("]}}"))).when(
+        case == "4", F.concat(F.lit("["), "items", F.lit("]"))).otherwise(F.concat(F.lit('{"world":'), text, F.lit(',"data":['), "items", F.lit("]}")))
+    return lists.crossJoin(F.broadcast(head)).select("response_id", body.alias("response_json"))
+
+
+@query("response_envelopes", "P13", with_tables(f"""
+SELECT e AS envelope_reason, count(*) AS responses, sum(n)::BIGINT AS received FROM (
+SELECT k, e, CASE WHEN e IN ('data: no list', 'response: no object') THEN 0 ELSE count(*) END AS n FROM {_SENT} GROUP BY k, e) GROUP BY 1""", "wld"))
+def _(spark, sf):
+    return validate_responses(_responses(spark, sf))[0].groupBy("envelope_reason").agg(F.count(F.lit(1)).alias("responses"), F.sum("received").alias("received"))
+
+
+@query("response_records", "P13", with_tables(f"""
+SELECT neows_id, CASE WHEN e IS NOT NULL THEN 'envelope: ' || e WHEN NOT regexp_full_match(neows_id, '[1-9][0-9]*') THEN 'neows_id: no id' WHEN name IS NULL THEN 'name: no text'
+  WHEN match_state = 'UNRESOLVED' THEN 'neows_id: repeated' END AS reason, count(*) AS records
+FROM {_SENT} WHERE e IS NULL OR e NOT IN ('data: no list', 'response: no object') GROUP BY 1, 2""", "wld"))
+def _(spark, sf):
+    return validate_responses(_responses(spark, sf))[1].groupBy("neows_id", "reason").agg(F.count(F.lit(1)).alias("records"))
+
+
 # --- writers, read back --------------------------------------------------------------------------
 
 @query("partitioned_risk_roundtrip", "K1 K4 S3 F32", with_tables("""

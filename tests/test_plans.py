@@ -242,6 +242,40 @@ def test_validation_accepts_what_the_plans_produce(spark, profile_inputs):
     assert sorted(r.reason for r in out) == sorted([*changes, "neows_id: repeated", "neows_id: repeated", "record: no object"])
 
 
+def test_responses_are_judged_on_two_levels(spark, profile_inputs):
+    from perigee.operators.validation import validate_responses
+    from perigee.sources.sinks import RUN_TABLE_DDL, dataset_lineage
+
+    rows, rsk, objects, orbits, elements, physical, links, log = profile_inputs
+    flat = world.world_snapshot(rows, rsk, objects, orbits, links, log)
+    runs = spark.createDataFrame([("asteroids", "r1", "2026-01-01", "neows", "a.json", "aa"), ("asteroids", "r2", "2026-02-01", "neows", "b.json", "bb"), ("other", "r3", "2027", "x", None, None)], RUN_TABLE_DDL)
+    info = world.world_info(flat, ["x"], dataset_lineage(runs))
+    assert info.first().neows.asDict() == dict(dataset_run_id="r2", source_raw_file="b.json", source_raw_sha256="bb")
+    assert world.world_info(flat, []).first().neows is None
+    assert by(dossier.unified_profile(*profile_inputs, lineage=dataset_lineage(runs)), "neows_id")["1"]["provenance"]["neows"]["dataset_run_id"] == "r2"
+    head = json.loads(world.world_envelope(info).first().world_json)
+    good = [json.loads(r.record_json) for r in as_json(world.world_records(flat)).collect()]
+    spatial = head["spatial_model"]
+    sent = {
+        "fine": {"world": head, "data": good}, "empty": {"world": head, "data": []}, "twice": {"world": head, "data": [*good, good[0], {**good[1], "name": ""}, 5, None]},
+        "data: no list": {"world": head, "data": {}}, "world: no object": {"data": good}, "response: no object": [good], "world.object_count: no integer": {"world": {**head, "object_count": 1.5}, "data": good},
+        "world.spatial_model.direction_algorithm: not supported": {"world": {**head, "spatial_model": {**spatial, "direction_algorithm": "v0"}}, "data": good},
+        "world.spatial_model.note: no string": {"world": {**head, "spatial_model": {**spatial, "note": None}}, "data": good},
+        "world.neows_fields_not_in_dataset: no list": {"world": {**head, "neows_fields_not_in_dataset": "x"}, "data": good}}
+    frame = spark.createDataFrame([(k, json.dumps(v)) for k, v in sent.items()] + [("cut", '{"world":')], "response_id string, response_json string")
+    envelopes, records = validate_responses(frame)
+    got = by(envelopes, "response_id")
+    assert {k: v["envelope_reason"] for k, v in got.items()} == {**{k: k if ":" in k else None for k in sent}, "cut": "response: no object"}
+    assert got["fine"]["received"] == len(good) and got["data: no list"]["received"] == got["empty"]["received"] == got["cut"]["received"] == 0
+    reasons = {}
+    for r in records.collect():
+        reasons.setdefault(r.response_id, []).append((r.position, r.reason))
+    assert {r for _, r in reasons["fine"]} == {None}
+    n = len(good)
+    assert dict(reasons["twice"]) == {**{i: None for i in range(n)}, 0: "neows_id: repeated", n: "neows_id: repeated", n + 1: "name: no text", n + 2: "record: no object", n + 3: "record: no object"}
+    assert {r for _, r in reasons["world: no object"]} == {"envelope: world: no object"} and "cut" not in reasons
+
+
 def test_sky(spark):
     rows = spark.createDataFrame([("1", 5e5), ("2", 2.5e6), ("3", 1.2e8)], "neows_id string, miss_distance_km double")
     assert sky.distance_domain(rows).first().max_km == 1.3e8

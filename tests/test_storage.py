@@ -187,3 +187,20 @@ def test_run_manifests(spark):
     assert {(r.pipeline_run_id, r.stage, r.failed, len(r.details)) for r in manifest.manifest_stages(runs, stages).collect()} == {
         ("a", "neows", True, 0), ("b", "sbdb", False, 0), ("c", "x", True, 0)}
     assert got["c"]["overall_status"] == "SUCCESS" and got["a"]["manifest_path"].endswith("day=01/run_manifest_a.json")
+
+
+def test_audit_log_of_several_runs(spark, tmp_path):
+    from perigee.sources.runs import append_run, read_latest_run, read_runs, runs
+
+    root = f"{tmp_path}/log"
+    assert read_runs(spark, root).count() == 0 and read_latest_run(spark, root).count() == 0
+    row = dict(source_system="neows", identifier_name="id", match_state="RESOLVED", assigned_asteroid_key="k")
+    for run, at, values in (("b", "2026-01-02", ["1", "2"]), ("a", "2026-01-02", ["1"]), ("c", "2026-01-01", ["1", "2", "3"])):
+        append_run(make(spark, "fact_entity_resolution", *[{**row, "resolution_run_id": run, "resolved_at": at, "source_identifier_value": v} for v in values]), root)
+    assert read_runs(spark, root).count() == 6 and runs(spark, root).count() == 3
+    newest = read_latest_run(spark, root)
+    assert {(r.resolution_run_id, r.source_identifier_value) for r in newest.collect()} == {("b", "1"), ("b", "2")}
+    assert "PartitionFilters: [isnotnull(resolution_run_id" in newest._jdf.queryExecution().executedPlan().toString()
+    # A run whose rows are written but which isn't listed yet is not read.
+    make(spark, "fact_entity_resolution", {**row, "resolution_run_id": "d", "resolved_at": "2026-09-09", "source_identifier_value": "1"}).write.mode("append").partitionBy("resolution_run_id").parquet(f"{root}/log")
+    assert read_runs(spark, root).count() == 6 and {r.resolution_run_id for r in read_latest_run(spark, root).collect()} == {"b"}
