@@ -85,10 +85,10 @@ def _risk_records(spark, sf):
 
 @query("raw_risk_rows", "P3 S7", f"""
 SELECT '2024-03-01#' || event_id AS snapshot_key, 'raw-1' AS run_id, '2024-03-01T00:00:00Z' AS snapshot_time, 'e' || event_id AS sentry_id,
-  'D ' || user_id AS designation, CASE WHEN v = 8 THEN 'D ' || user_id ELSE '(Full)' END AS fullname, CASE WHEN v <> 6 THEN 18.5::DOUBLE END AS absolute_magnitude,
-  0.66::DOUBLE AS estimated_diameter_km, CASE WHEN v = 1 THEN 1 ELSE 8.5e-07 END AS impact_probability, CASE WHEN v = 12 THEN 7 ELSE 5 END::BIGINT AS potential_impacts_count,
-  -2.75::DOUBLE AS palermo_scale_cum, value AS palermo_scale_max, 0::BIGINT AS torino_scale_max, 23.5::DOUBLE AS v_infinity_km_s,
-  CASE WHEN v = 9 THEN '' ELSE '2056-2113' END AS impact_year_range, strftime(ts, '%Y-%m-%d') AS last_obs_date, 2444222.5::DOUBLE AS last_obs_jd
+  'D ' || user_id AS designation, CASE WHEN v = 8 THEN 'D ' || user_id ELSE '(Full)' END AS fullname, CASE WHEN v <> 6 THEN 20.25::DOUBLE END AS absolute_magnitude,
+  0.31::DOUBLE AS estimated_diameter_km, CASE WHEN v = 1 THEN 1 ELSE 4.5e-07 END AS impact_probability, CASE WHEN v = 12 THEN 7 ELSE 5 END::BIGINT AS potential_impacts_count,
+  -3.25::DOUBLE AS palermo_scale_cum, value AS palermo_scale_max, 0::BIGINT AS torino_scale_max, 17.25::DOUBLE AS v_infinity_km_s,
+  CASE WHEN v = 9 THEN '' ELSE '2061-2094' END AS impact_year_range, strftime(ts, '%Y-%m-%d') AS last_obs_date, 2455555.5::DOUBLE AS last_obs_jd
 FROM {_EV} WHERE v NOT IN (0, 2, 3, 4, 5, 7, 10, 11)""")
 def _(spark, sf):
     return K.accepted_risk(_risk_records(spark, sf), ["snapshot_key", "run_id", "snapshot_time"])

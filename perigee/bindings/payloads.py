@@ -88,12 +88,12 @@ def risk_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         id=_q(F.concat(F.lit(" e"), key.cast("string"), F.lit(" "))),
         des=_either(v == 11, '" "', _q(F.concat(F.lit("D "), F.col("user_id").cast("string")))),
         fullname=_either(v == 8, none, '"(Full)"'),
-        ip=_either(v == 0, '"0"', _either(v == 1, '"1"', _either(v == 2, '"1.5"', '"8.5e-07"'))),
+        ip=_either(v == 0, '"0"', _either(v == 1, '"1"', _either(v == 2, '"1.5"', '"4.5e-07"'))),
         n_imp=_either(v == 3, '"0"', _either(v == 12, "7", '"5"')),
-        ps_cum='"-2.75"', ps_max=_q(F.col("value")),
-        ts_max=_either(v == 4, '"-1"', '"0"'), v_inf=_either(v == 5, '"-1"', '"23.5"'),
-        range=_either(v == 9, none, '"2056-2113"'), last_obs=_either(v == 10, '"2024-2-1"', _q(F.date_format("ts", "yyyy-MM-dd"))),
-        h=_either(v == 6, '" "', _either(v == 7, '"x"', '"18.5"')), diameter='"0.66"', last_obs_jd="2444222.5",
+        ps_cum='"-3.25"', ps_max=_q(F.col("value")),
+        ts_max=_either(v == 4, '"-1"', '"0"'), v_inf=_either(v == 5, '"-1"', '"17.25"'),
+        range=_either(v == 9, none, '"2061-2094"'), last_obs=_either(v == 10, '"2024-2-1"', _q(F.date_format("ts", "yyyy-MM-dd"))),
+        h=_either(v == 6, '" "', _either(v == 7, '"x"', '"20.25"')), diameter='"0.31"', last_obs_jd="2455555.5",
     )
     doc = _obj(data=F.concat(F.lit("["), rec, F.lit(","), rec, F.lit(",3]")))
     doc = _silenced(doc, key % 89, 5, F.lit('{"data":[]}'))

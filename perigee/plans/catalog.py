@@ -12,7 +12,7 @@ from perigee.vocabulary import CATALOG_FEED
 
 SNAPSHOT_ORDER = ["snapshot_key", "snapshot_time", "run_id"]
 
-# output column -> stored element or parameter name
+# Output column -> stored element or parameter name.
 VIEW_ELEMENTS = {
     "eccentricity": "e", "semi_major_axis_au": "a", "perihelion_distance_au": "q", "inclination_deg": "i",
 }

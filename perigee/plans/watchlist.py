@@ -29,13 +29,6 @@ def latest_audit(audit: DataFrame) -> DataFrame:
         F.col("resolved_at").alias("audit_at"), F.col("evidence_json").alias("audit_evidence"))
 
 
-EVIDENCE_TEXT = {
-    V.INVALID_SYNTAX: "NeoWs identifier must contain only numeric digits.",
-    V.BRIDGE_EXACT: "Deterministic exact match in canonical entity bridge fallback.",
-    V.NO_RECORD: "No crosswalk record found for this NeoWs identifier.",
-}
-
-
 def resolve_ids(ids: DataFrame, audit: DataFrame, bridge: DataFrame, with_evidence: bool = False) -> DataFrame:
     """State, key and rule of every approach id (column `neows_id`, distinct); other columns of `ids` stay.
 
@@ -67,12 +60,11 @@ def resolve_ids(ids: DataFrame, audit: DataFrame, bridge: DataFrame, with_eviden
     ]
     if with_evidence:
         explain = (
-            F.when(~digits, EVIDENCE_TEXT[V.INVALID_SYNTAX])
+            F.when(~digits, V.EVIDENCE_TEXT[V.INVALID_SYNTAX])
             .when(audited, F.col("audit_evidence"))
-            .when(one, EVIDENCE_TEXT[V.BRIDGE_EXACT])
-            .when(several, F.format_string(
-                "Identifier maps to %d distinct candidate entity keys in bridge fallback.", F.col("key_count")))
-            .otherwise(EVIDENCE_TEXT[V.NO_RECORD])
+            .when(one, V.EVIDENCE_TEXT[V.BRIDGE_EXACT])
+            .when(several, F.format_string(V.EVIDENCE_TEXT[V.BRIDGE_SEVERAL], F.col("key_count")))
+            .otherwise(V.EVIDENCE_TEXT[V.NO_RECORD])
         )
         out.append(explain.alias("evidence"))
     return found.select(*out)

@@ -31,6 +31,14 @@ BRIDGE_SEVERAL = "BRIDGE_MULTIPLE_CANDIDATE_KEYS"
 NO_RECORD = "NO_RESOLUTION_RECORD"
 INVALID_SYNTAX = "INVALID_SYNTAX"
 
+# Sentences served as evidence where no audit row answers.
+EVIDENCE_TEXT = {
+    INVALID_SYNTAX: "NeoWs identifier must contain only numeric digits.",
+    BRIDGE_EXACT: "Deterministic exact match in canonical entity bridge fallback.",
+    BRIDGE_SEVERAL: "Identifier maps to %d distinct candidate entity keys in bridge fallback.",
+    NO_RECORD: "No crosswalk record found for this NeoWs identifier.",
+}
+
 # Presence states.
 NEW_ENTRY = "NEW_ENTRY"
 PERSISTENT = "PERSISTENT"

@@ -5,9 +5,9 @@ from __future__ import annotations
 from perigee.schemas import table_schema
 
 RISK_DEFAULTS = dict(
-    run_id="run", designation="1979 XB", fullname="(1979 XB)", impact_probability=1e-6, potential_impacts_count=5,
-    palermo_scale_cum=-2.5, palermo_scale_max=-2.5, torino_scale_max=0, v_infinity_km_s=23.7, last_obs_date="1979-12-15",
-    impact_year_range="2056-2113")
+    run_id="run", designation="2031 QT7", fullname="(2031 QT7)", impact_probability=1e-6, potential_impacts_count=5,
+    palermo_scale_cum=-4.25, palermo_scale_max=-4.5, torino_scale_max=0, v_infinity_km_s=11.5, last_obs_date="2019-12-15",
+    impact_year_range="2061-2094")
 
 
 def make(spark, name, *rows, extra=""):

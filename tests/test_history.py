@@ -45,7 +45,7 @@ def test_no_window_holds_all_keys(spark):
 def test_metric_history(spark):
     risk = risk_rows(
         spark, dict(snapshot_key=D[1]), dict(snapshot_key=D[2]),
-        dict(snapshot_key=D[4], impact_probability=3e-6, torino_scale_max=1, last_obs_date="1980-01-04", palermo_scale_max=None),
+        dict(snapshot_key=D[4], impact_probability=3e-6, torino_scale_max=1, last_obs_date="2020-01-04", palermo_scale_max=None),
         dict(snapshot_key=D[1], sentry_id="other"))
     got = by(H.risk_metric_history(risk, bridge_rows(spark, ("k1", "sentry", "sentry_id", "id_1"))), "sentry_id", "snapshot_key")
     first, second, third = (got["id_1", D[i]] for i in (1, 2, 4))

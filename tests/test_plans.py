@@ -86,7 +86,7 @@ def test_three_meanings_of_linked(spark):
     assert [view["3"]["is_sentry_monitored"], served["3"]["is_sentry_monitored"], flat["3"]["sentry_link_count"]] == [False, True, 1]
     assert flat["3"]["sentry_id"] == "s9" and flat["3"]["sentry_snapshot_key"] is None
     assert view["1"]["sentry_impact_probability"] == served["1"]["sentry_impact_probability"] == flat["1"]["sentry_impact_probability"] == 2e-6
-    assert view["1"]["sentry_all_time_max_impact_probability"] == 9e-6 and view["1"]["sentry_impact_year_range"] == "2056-2113"
+    assert view["1"]["sentry_all_time_max_impact_probability"] == 9e-6 and view["1"]["sentry_impact_year_range"] == "2061-2094"
     # Two risk ids: latest scalars are withheld, maxima are not.
     assert view["2"]["is_sentry_ambiguous"] and view["2"]["sentry_id"] is None and view["2"]["sentry_all_time_max_impact_probability"] == 1e-6
     assert served["2"]["sentry_impact_probability"] is None and flat["2"]["sentry_id"] is None and flat["2"]["sentry_link_count"] == 2

@@ -41,11 +41,11 @@ def test_every_rule(spark):
     result = run(
         spark,
         catalog=[
-            ("1", "2025 HX", "(2025 HX)"), ("2", "138971", "138971 (2001 CB21)", ["2001 CB21"]), ("3", "2001 SY169", "(2001 SY169)", ["2013 ET"]),
+            ("1", "2025 HX", "(2025 HX)"), ("2", "900007", "900007 (2031 QT7)", ["2031 QT7"]), ("3", "2001 SY169", "(2001 SY169)", ["2013 ET"]),
             ("4", "DUP", "(DUP A)"), ("5", "DUP", "(DUP B)"), ("6", "2008 ST", "(2008 ST)"), ("7", "6 OTHER", "x"), ("7", "7 OTHER", "x"),
             ("8", "A8", "n8", ["SHARED"]), ("9", "A9", "n9", ["SHARED"]), (None, "lost", "lost"), ("  ", "lost", "lost")],
         approaches=[
-            ("1", "(2025 HX)"), ("301", " ( 2025   hx ) "), ("302", "138971 (2001 CB21)"), ("303", "(2013 ET)"), ("304", "DUP"),
+            ("1", "(2025 HX)"), ("301", " ( 2025   hx ) "), ("302", "900007 (2031 QT7)"), ("303", "(2013 ET)"), ("304", "DUP"),
             ("6", "2025 HX"), ("7", "nothing"), ("305", "SHARED"), ("306", "2025 HX1"), ("307", None), (None, "x"), (" ", "y")],
         risk=[("s1", "2008 ST", "(2008 ST)"), ("s2", "DUP", None), ("s3", "none", "n"), (None, "d", "f"), ("s4", " ", "f"), ("s5", "2013 ET", "f")])
     got = audit(result)
