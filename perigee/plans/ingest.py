@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee.operators.extract_approaches import accepted_rows, judge_approaches, payload_tally
-from perigee.plans.quality import approach_gate, passing
+from perigee.operators.extract_catalog import batch_tally
+from perigee.plans.quality import approach_gate, catalog_gate, passing
 from perigee.runtime import materialize
 from perigee.schemas import table_columns
 from perigee.sources.raw import approach_entries, payload_files
@@ -30,5 +31,19 @@ def replay_payloads(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     return named, gate
 
 
+def approach_summary(gate: DataFrame, run_id: str, start_date: str, end_date: str) -> DataFrame:
+    """The one-row summary of a run from the gate of its payloads: their counts, and the gate over all of them."""
+    totals = gate.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("records_received", "valid_records", "skipped_records")])
+    judged = approach_gate(totals)
+    return judged.select(
+        F.lit(run_id).alias("run_id"), F.lit(start_date).alias("start_date"), F.lit(end_date).alias("end_date"), "records_received",
+        "valid_records", "skipped_records", "rejection_pct", "gate_passed")
+
+
+def catalog_summary(classified: DataFrame) -> DataFrame:
+    """The summary of each catalog run (snapshot_key, run_id, snapshot_time) from its classified targets."""
+    return catalog_gate(batch_tally(classified, ["snapshot_key", "run_id", "snapshot_time"]))
+
+
 def replay_approaches(spark: SparkSession, raw_path: str) -> tuple[DataFrame, DataFrame]:
     return replay_payloads(payload_files(spark, raw_path))
