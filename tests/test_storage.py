@@ -74,7 +74,7 @@ def test_streaming_ingest_adds_only_the_unseen(spark, tmp_path):
     (risks / "2026-09-27_run7.json").write_text(json.dumps({"data": [risk(), risk(id="2", ip="0")]}))
     ingest_risk(spark, str(risks), store, str(tmp_path / "check2")).awaitTermination()
     row = tables.read_table(spark, store, "fact_sentry_risk_snapshot").first()
-    assert (row.snapshot_key, row.run_id, row.sentry_id) == ("2026-09-27", "run7", "bJ79X00B")
+    assert (row.snapshot_key, row.run_id, row.sentry_id) == ("2026-09-27", "run7", "x31Q07T")
 
 
 def test_targets(spark, tmp_path):
