@@ -2,13 +2,16 @@
 
 One model describes random strings and one ordinary identifiers; both are first-order chains over a
 fixed alphabet. They are trained from samples that the patterns label: what a pattern matched is
-random, every other run of the same characters is ordinary. As one corpus may know few kinds of random
-strings, the random model also counts expected transitions of the usual alphabets. A long run outside
-the pattern matches is a secret if random is likelier by more than the odds that runs are ordinary.
+random, every other run of the same characters is ordinary. As one corpus may know few kinds of either,
+the random model also counts expected transitions of the usual alphabets, and the ordinary one those of
+identifiers: the words of the corpus and of sample identifiers joined in camel case, by underscores,
+dashes and slashes, in upper case and with numbers, and dates and ruled lines. A run of `LEAST_RUN` characters or more beside the pattern
+matches is a secret if random is likelier by more than the odds that runs are ordinary.
 """
 
 from __future__ import annotations
 
+import importlib
 import math
 import re
 from bisect import bisect_left
@@ -30,17 +33,34 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 # A run of 24 or more hexadecimal digits; the whole run is the leftmost match that HEX has there.
 LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LEAST_RUN = 8
 ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_=-"
 STATES = len(ALPHABET)
 SMOOTHING = 0.5
 PRIOR_ODDS = 1e4  # ordinary runs for one random run
 ORDINARY = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 RANDOM_PART = re.compile(r"[A-Za-z0-9+/_=-]{6,}")
-# Usual alphabets of random strings, as ends of ranges in ALPHABET; each weighs as much as this many
-# characters at least, and all of them together as much as the corpus' own random strings.
-USUAL = (slice(0, 36), slice(0, 62), slice(0, 64))
+# Usual alphabets of random strings, as places in ALPHABET: capitals and digits, letters and digits, base
+# 64, small letters, and hexadecimal digits in either case. Each weighs as much as this many characters
+# at least, and all of them together as much as the corpus' own random strings.
+USUAL = tuple(np.r_[part] for part in (np.s_[0:36], np.s_[0:62], np.s_[0:64], np.s_[36:62], np.s_[0:10, 36:42], np.s_[0:16]))
 USUAL_CHARS = 5_000
+# Shares of the ordinary model: identifiers made of words, and within them each shape's. A word of an
+# identifier is shorter than the runs that are counted, so its joints weigh more.
+IDENTIFIER_SHARE = 0.2
+SHAPES = {"camel": 0.35, "_": 0.25, "upper": 0.2, "/": 0.1, "-": 0.1}
+JOINTS = 1.6
+SAMPLE_SHARE = 0.3  # of the words of identifiers, by weight
+SAMPLE_FLOOR = 0.1  # transitions no sample has
+NUMBER_SHARE = 0.04  # letters followed by a number, at each joint
+DATE_SHARE = 0.02
+RULE_SHARE = 0.01
+# Modules of the standard library whose names are the sample identifiers.
+SAMPLE_MODULES = (
+    "builtins", "os", "string", "datetime", "decimal", "email", "functools", "http", "importlib", "itertools", "math", "operator", "random", "re",
+    "shutil", "sqlite3", "statistics", "struct", "tempfile", "time", "types", "unittest", "urllib.parse", "zipfile", "token", "stat", "tarfile")
+SAMPLE_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+DIGITS, UPPER, LOWER = slice(0, 10), slice(10, 36), slice(36, 62)
 PLACE = np.full(128, STATES, np.int64)  # blanks between runs stand for a start
 PLACE[[ord(c) for c in ALPHABET]] = np.arange(STATES)
 FIELDS = {"n_assign": "bigint", "n_access": "bigint", "n_hex": "bigint", "base_spans": "array<string>", "spans": "array<string>"}
@@ -115,32 +135,121 @@ def fit(docs: DataFrame, text: str = "text") -> np.ndarray:
     sums = np.zeros((2, STATES + 1, STATES + 1))
     for row in counted.groupBy("random", "before", "after").agg(F.sum("n").alias("n")).collect():
         sums[int(row["random"]), row["before"], row["after"]] = row["n"]
-    return log_ratios(sums[0, :, :STATES], sums[1, :, :STATES])
+    return log_ratios(sums[0], sums[1])
+
+
+def sample_identifiers(modules: tuple[str, ...] = SAMPLE_MODULES) -> list[str]:
+    """Names of the modules and of their classes: labelled samples of identifiers."""
+    found: set[str] = set()
+    for module in modules:
+        own = importlib.import_module(module)
+        for name in dir(own):
+            found.add(name)
+            if isinstance(value := getattr(own, name, None), type):
+                found.update(dir(value))
+    return sorted(found)
+
+
+def _letters(words: list[str]) -> np.ndarray:
+    """Transitions of lower-case words, from a start and to an end, by letter; 26 stands for both."""
+    codes = np.concatenate([np.frombuffer(f"{{{w}{{".encode(), np.uint8) for w in words]).astype(np.int64) - ord("a")
+    return np.bincount(codes[:-1] * 27 + codes[1:], minlength=27 * 27).reshape(27, 27).astype(float)
+
+
+def identifiers(ordinary: np.ndarray, ends: np.ndarray, samples: list[str]) -> np.ndarray:
+    """Expected transitions of identifiers made of the ordinary runs' letters and of the samples' words, as shares.
+
+    `ends` counts the characters that runs end with.
+    """
+    both = lambda m: m[..., LOWER] + m[..., UPPER]
+    known = _letters([w.lower() for name in samples for w in SAMPLE_WORD.findall(name)] or ["a"])
+    own = both(ordinary[LOWER, :]) + both(ordinary[UPPER, :])
+    size = max(USUAL_CHARS, own.sum())
+
+    def mixed(corpus: np.ndarray, sample: np.ndarray) -> np.ndarray:
+        return (1 - SAMPLE_SHARE) * (corpus + 0.05) / (corpus + 0.05).sum() + SAMPLE_SHARE * (sample + SAMPLE_FLOOR) / (sample + SAMPLE_FLOOR).sum()
+
+    inner = size * mixed(own, known[:26, :26])
+    first = size / 5 * mixed(both(ordinary[STATES]), known[26, :26])
+    last = size / 5 * mixed(both(ends), known[:26, 26])
+    follow = inner / inner.sum(axis=1, keepdims=True)
+    joint, size = np.outer(last / last.sum(), first / first.sum()), inner.sum()
+    # Each shape has the inside of words, and as many joints as there are words.
+    words = JOINTS * first.sum() / size
+    first, last, inner = first / first.sum(), last / last.sum(), inner / size
+    found = np.zeros_like(ordinary)
+    for shape, share in SHAPES.items():
+        own = np.zeros_like(ordinary)
+        letters = UPPER if shape == "upper" else LOWER
+        own[letters, letters] += inner
+        own[STATES, letters] += words * first / 3
+        if shape == "camel":
+            own[LOWER, UPPER] += words * joint
+            own[UPPER, LOWER] += words * first[:, None] * follow
+            own[STATES, UPPER] += words * first / 3
+        else:
+            mark = ALPHABET.index("_" if shape == "upper" else shape)
+            own[letters, mark] += words * last
+            own[mark, letters] += words * first
+            own[STATES, mark] += words / 6
+            own[mark, DIGITS] += words * NUMBER_SHARE / 10
+        own[letters, DIGITS] += words * NUMBER_SHARE * last[:, None] / 10
+        own[DIGITS, letters] += words * NUMBER_SHARE * first / 10
+        found += share * own / own.sum()
+    dates, dash = np.zeros_like(ordinary), ALPHABET.index("-")
+    dates[DIGITS, DIGITS] += 0.7 / 100
+    dates[DIGITS, dash] += 0.1 / 10
+    dates[dash, DIGITS] += 0.1 / 10
+    dates[STATES, DIGITS] += 0.08 / 10
+    dates[DIGITS, ALPHABET.index("T")] += 0.01 / 10
+    dates[ALPHABET.index("T"), DIGITS] += 0.01 / 10
+    rules = np.zeros_like(ordinary)
+    for mark in "=-_+/":
+        at = ALPHABET.index(mark)
+        rules[at, at] += 0.19
+        rules[STATES, at] += 0.01
+    return (1 - DATE_SHARE - RULE_SHARE) * found + DATE_SHARE * dates + RULE_SHARE * rules
 
 
 def log_ratios(ordinary: np.ndarray, random: np.ndarray) -> np.ndarray:
+    """Log-likelihood ratio by (before, after) from transition counts; the last column, a run's end, is zero."""
+    ends, ordinary, random = ordinary[:, STATES], ordinary[:, :STATES], random[:, :STATES]
     usual = np.zeros_like(random)
     each = max(USUAL_CHARS, random.sum() / len(USUAL))
     for part in USUAL:
-        size = part.stop - part.start
-        usual[part, part] += each / size**2
-        usual[STATES, part] += each / size / 32
+        usual[np.ix_(part, part)] += each / len(part) ** 2
+        usual[STATES, part] += each / len(part) / 32
+    # Hexadecimal digits come in groups too, with dashes between.
+    dash, grouped = ALPHABET.index("-"), USUAL[-2]
+    usual[grouped, dash] += each / len(grouped) / 9
+    usual[dash, grouped] += each / len(grouped) / 9
+    made = identifiers(ordinary, ends, sample_identifiers())
+    weight = max(USUAL_CHARS, ordinary.sum()) * IDENTIFIER_SHARE / (1 - IDENTIFIER_SHARE)
     logs = []
-    for own in (ordinary, random + usual):
+    for own in (ordinary + weight * made, random + usual):
         single = (own.sum(axis=0) + 1.0) / (own.sum() + STATES)
-        weight = SMOOTHING * STATES
-        logs.append(np.log((own + weight * single) / (own.sum(axis=1, keepdims=True) + weight)))
-    return logs[1] - logs[0]
+        lean = SMOOTHING * STATES
+        logs.append(np.log((own + lean * single) / (own.sum(axis=1, keepdims=True) + lean)))
+    return np.hstack([logs[1] - logs[0], np.zeros((STATES + 1, 1))])
 
 
 def markov_spans(text: str, ratios: np.ndarray, base: list[Span]) -> list[Span]:
-    found, taken = [], Taken(base)
-    least = math.log(PRIOR_ODDS)
-    for match in RUN.finditer(text):
-        codes = _codes(match[0])
-        if ratios[codes[:-1], codes[1:]].sum() > least and not taken.overlaps(*match.span()):
-            found.append((match.start(), 3, match.end()))
-    return found
+    """Runs beside the base spans whose ratio is above the prior odds; a run that holds a base span is
+    scored in the parts around it."""
+    # One byte for each code point; those outside the alphabet end a run.
+    codes = PLACE[np.frombuffer(text.encode("ascii", "replace"), np.uint8)]
+    for start, _, end in base:
+        codes[start:end] = STATES
+    inside = np.flatnonzero(np.diff(np.concatenate([[False], codes < STATES, [False]])))
+    starts, ends = inside[::2], inside[1::2]
+    long = ends - starts >= LEAST_RUN
+    starts, ends = starts[long], ends[long]
+    if not len(starts):
+        return []
+    before = np.concatenate([[STATES], codes[:-1]])
+    totals = np.concatenate([[0.0], np.cumsum(ratios.ravel()[before * (STATES + 1) + codes])])
+    found = totals[ends] - totals[starts] > math.log(PRIOR_ODDS)
+    return [(a, 3, b) for a, b in zip(starts[found].tolist(), ends[found].tolist())]
 
 
 def scan(text: str | None, ratios: np.ndarray) -> tuple:
@@ -160,8 +269,9 @@ def _task(ratios):
 def scanned(docs: DataFrame, ratios: np.ndarray, text: str = "text") -> DataFrame:
     """`docs` with the columns of `FIELDS`: counts of base spans, base spans and all spans.
 
-    A span is kind:start:end in code points, by start and kind. Null and empty texts have none. Rows
-    stay as they are, repeated ones too; an empty table gives an empty one.
+    A span is kind:start:end in code points, by start and kind. Null and empty texts have none. Very long
+    texts are scanned whole, in memory that grows with the text alone. Rows stay as they are, repeated
+    ones too; an empty table gives an empty one. Columns named like an added one are replaced.
     """
     return computed(docs, FIELDS, partial(_task, ratios), text)
 
