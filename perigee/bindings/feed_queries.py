@@ -294,18 +294,21 @@ def _(spark, sf):
 
 
 @query("relational_load", "K5", with_tables("""
-SELECT count(*) AS children, count(DISTINCT asteroid_id) AS parents, max(first_date) AS last_first_date, true AS second_load_adds_nothing
-FROM (SELECT id AS asteroid_id, closest_approach_date, min(closest_approach_date) OVER (PARTITION BY id) AS first_date FROM (SELECT DISTINCT id, closest_approach_date FROM apr))""", "apr"))
+SELECT 'approach' AS stored, id AS asteroid_id, closest_approach_date AS approach_date, miss_distance_km, NULL AS name, NULL::BOOLEAN AS hazardous, 0 AS added_again FROM apr
+QUALIFY row_number() OVER (PARTITION BY id, closest_approach_date ORDER BY miss_distance_km) = 1
+UNION ALL SELECT 'asteroid', id, NULL, NULL, name, hazardous, 0 FROM apr QUALIFY row_number() OVER (PARTITION BY id ORDER BY name NULLS FIRST, hazardous NULLS FIRST) = 1""", "apr"))
 def _(spark, sf):
+    """Both tables as they stand after the rows were loaded twice, and how many rows the second load added."""
     folder = fresh_path(spark, "relational")
     rows = D.approaches(spark, sf)
     sinks.load_relational(spark, rows, folder)
-    parents, children = sinks.load_relational(spark, rows, folder)
-    stored = read_table(spark, f"{folder}/close_approaches", "relational_close_approaches")
-    per = stored.groupBy("asteroid_id").agg(F.count(F.lit(1)).alias("n"), F.min("approach_date").alias("d"))
-    added = parents.select(F.lit(1).alias("x")).unionByName(children.select(F.lit(1).alias("x"))).agg((F.count("x") == 0).alias("second_load_adds_nothing"))
-    kept = read_table(spark, f"{folder}/asteroids", "relational_asteroids").agg(F.count(F.lit(1)).alias("parents"))
-    return per.agg(F.sum("n").alias("children"), F.max("d").alias("last_first_date")).crossJoin(F.broadcast(kept)).crossJoin(F.broadcast(added))
+    added = sum(t.count() for t in sinks.load_relational(spark, rows, folder))
+    none = lambda kind: F.lit(None).cast(kind)
+    children = read_table(spark, f"{folder}/close_approaches", "relational_close_approaches").select(
+        F.lit("approach").alias("stored"), "asteroid_id", "approach_date", "miss_distance_km", none("string").alias("name"), none("boolean").alias("hazardous"))
+    parents = read_table(spark, f"{folder}/asteroids", "relational_asteroids").select(
+        F.lit("asteroid").alias("stored"), "asteroid_id", none("string").alias("approach_date"), none("double").alias("miss_distance_km"), "name", "hazardous")
+    return children.unionByName(parents).withColumn("added_again", F.lit(added))
 
 
 @query("raw_replay", "S8 K6 F6 Q1", f"""

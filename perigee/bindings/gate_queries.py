@@ -132,6 +132,23 @@ def _(spark, sf):
         states.withColumnRenamed("status", "without_table"), "without_table").select("gate_passed", "with_table", "without_table", "runs")
 
 
+@query("approach_run_lineage", "Q3", """
+SELECT run AS run_id, CASE WHEN NOT gate THEN 'FAILED' WHEN valid = n AND (run = '' OR run = 'run-' || (SELECT max(year(o_orderdate)) FROM orders)) THEN 'PASSED' ELSE 'FAILED' END AS status,
+  n AS parquet_rows, 'run-' || (SELECT max(year(o_orderdate)) FROM orders) AS embedded_run_id
+FROM (SELECT 'run-' || year(o_orderdate) AS run, (SELECT count(*) FROM orders) AS valid, year(o_orderdate) <> 1996 AS gate FROM orders GROUP BY year(o_orderdate)
+  UNION ALL SELECT '', (SELECT count(*) FROM orders), true UNION ALL SELECT 'run-' || max(year(o_orderdate)), count(*) - 1, true FROM orders), (SELECT count(*) AS n FROM orders)""")
+def _(spark, sf):
+    """The table's run against summaries of other years, of its own, without a run, with a row less, and behind a failed gate."""
+    years = D.table(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("y")).agg(F.count(F.lit(1)).alias("n"))
+    total = years.agg(F.sum("n").alias("n"), F.max("y").alias("y")).first()
+    run = F.concat(F.lit("run-"), F.col("y").cast("string"))
+    summaries = years.select(run.alias("run_id"), F.lit(total.n).alias("valid_records"), (F.col("y") != 1996).alias("gate_passed")).unionByName(
+        spark.createDataFrame([("", total.n, True), (f"run-{total.y}", total.n - 1, True)], "run_id string, valid_records bigint, gate_passed boolean"))
+    runs = years.select(F.lit("asteroids").alias("table_name"), run.alias("run_id"))
+    checks = Q.approach_lineage_check(summaries, D.approaches(spark, sf), runs)
+    return checks.select(F.col("metrics")["summary_run_id"].alias("run_id"), "status", F.col("metrics")["parquet_rows"].cast("bigint").alias("parquet_rows"), F.col("metrics")["embedded_run_id"].alias("embedded_run_id"))
+
+
 _TALLIES = f"""(SELECT *, s > 0 AND f / n < 0.25::DOUBLE AS passed, round(f / n * 100, 2) AS pct FROM (
 SELECT 'all' AS run, count(*) AS n, count(*) FILTER (status = 'success') AS s, count(*) FILTER (status = 'failed') AS f, count(*) FILTER (status = 'duplicate') AS d FROM {_TARGETS}
 UNION ALL SELECT 'mended', count(*), count(*) FILTER (status = 'success'), 0, count(*) FILTER (status = 'duplicate') FROM {_TARGETS} WHERE status <> 'failed'))"""

@@ -10,6 +10,7 @@ from perigee.bindings.registry import as_text, query
 from perigee.bindings.sql import _OPTIONAL, _RISK_ASSESSMENT, key_of, with_tables
 from perigee.functions.availability import dominant_reason
 from perigee.operators.resolution import resolution_metrics, metrics_breakdown
+from perigee.operators.picking import newest_partition
 from perigee.operators.tallying import keys_per_identifier
 from perigee.plans import catalog, cross_source, dossier, watchlist, world
 from perigee.plans.risk_history import risk_metric_history
@@ -292,14 +293,17 @@ _EVIDENCE = """CASE WHEN NOT regexp_full_match(s.neows_id, '[0-9]+') THEN 'NeoWs
   ELSE coalesce(s.evidence_json, 'No crosswalk record found for this NeoWs identifier.') END"""
 
 
+_ANSWERED = [*catalog.OBJECT_FIELDS, "snapshot_key", "run_id", "snapshot_time", "orbit_id", "epoch_jd", "equinox",
+             *[c for c in catalog.ORBIT_FIELDS if c not in ("epoch_jd", "equinox")], *catalog.PROFILE_ELEMENTS, *catalog.PHYSICAL_PARAMETERS, "astrometric_data_quality_tier"]
+
+
 @query("catalog_answers", "C19 C14", with_tables(f"""
-SELECT s.neows_id, s.match_state, {_EVIDENCE} AS evidence, p.spkid, p.orbit_id, p.equinox, p.eccentricity, p.absolute_magnitude, p.astrometric_data_quality_tier
+SELECT s.neows_id, s.match_state, {_EVIDENCE} AS evidence, p.spkid, p.asteroid_key AS answer_key, {", ".join(f"p.{c}" for c in _ANSWERED)}
 FROM res s LEFT JOIN ({_PROFILE}) p ON s.match_state = 'RESOLVED' AND p.asteroid_key = s.asteroid_key""", "res", *_PROFILE_TABLES))
 def _(spark, sf):
     lake = D.lakehouse(spark, sf)
     out = dossier.catalog_answers(lake.asteroids, lake.audit, lake.bridge, lake.objects, lake.orbits, lake.elements, lake.physical)
-    return out.select("neows_id", "match_state", "evidence", *[f"data.{c}" for c in (
-        "spkid", "orbit_id", "equinox", "eccentricity", "absolute_magnitude", "astrometric_data_quality_tier")])
+    return out.select("neows_id", "match_state", "evidence", "data.spkid", F.col("data.asteroid_key").alias("answer_key"), *[f"data.{c}" for c in _ANSWERED])
 
 
 @query("risk_answers", "C19 C15", with_tables(f"""
@@ -329,11 +333,15 @@ def _(spark, sf):
 
 
 @query("history_rows", "C19 C16 W9", with_tables("""
-SELECT s.neows_id, r.sentry_id, r.snapshot_key, r.impact_probability, r.palermo_scale_max FROM res s JOIN lnk l ON s.match_state = 'RESOLVED'
-AND l.asteroid_key = s.asteroid_key AND l.n = 1 JOIN rsk r ON r.sentry_id = l.sid""", "res", "lnk", "rsk"))
+SELECT s.neows_id, r.sentry_id, r.snapshot_key, r.impact_probability, r.palermo_scale_max,
+  coalesce(r.impact_probability <> r.prev_ip, false) AS is_impact_probability_changed, coalesce(r.palermo_scale_max <> r.prev_ps, false) AS is_palermo_scale_max_changed
+FROM res s JOIN lnk l ON s.match_state = 'RESOLVED' AND l.asteroid_key = s.asteroid_key AND l.n = 1
+JOIN (SELECT *, lag(impact_probability) OVER w AS prev_ip, lag(palermo_scale_max) OVER w AS prev_ps FROM rsk WINDOW w AS (PARTITION BY sentry_id ORDER BY snapshot_key)) r
+  ON r.sentry_id = l.sid""", "res", "lnk", "rsk"))
 def _(spark, sf):
     answers, lake = _history_answers(spark, sf)
-    return dossier.history_rows(answers, lake.risk).select("neows_id", "sentry_id", "snapshot_key", "impact_probability", "palermo_scale_max")
+    return dossier.history_rows(answers, lake.risk).select(
+        "neows_id", "sentry_id", "snapshot_key", "impact_probability", "palermo_scale_max", "is_impact_probability_changed", "is_palermo_scale_max_changed")
 
 
 @query("crosswalk_answers", "C19 C17", with_tables("""
@@ -519,3 +527,40 @@ def _(spark, sf):
     bridge = bridge.unionByName(twice.withColumn("asteroid_key", F.concat(F.lit("zz-"), "identifier_value")))
     rows = risk_metric_history(D.risk_snapshots(spark, sf), bridge)
     return rows.select("snapshot_key", "sentry_id", "asteroid_key", "prev_impact_probability")
+
+
+# --- datasets of another shape -------------------------------------------------------------------
+
+@query("approaches_stored_twice", "W2", with_tables("""
+SELECT id, name, closest_approach_date, miss_distance_km, hazardous, year, month, day FROM (
+SELECT id, name, closest_approach_date, miss_distance_km, hazardous, year, month, day FROM apr
+UNION ALL SELECT id, name, closest_approach_date, miss_distance_km * 2, hazardous, (year::INT + 1)::VARCHAR, month, day FROM apr WHERE hazardous
+UNION ALL SELECT id, 'older', closest_approach_date, 1.0, true, (year::INT - 1)::VARCHAR, month, day FROM apr)
+QUALIFY row_number() OVER (PARTITION BY id, closest_approach_date ORDER BY year DESC, month DESC, day DESC, name DESC NULLS LAST, miss_distance_km DESC, hazardous DESC NULLS LAST) = 1""", "apr"))
+def _(spark, sf):
+    """Approaches that lie in the partitions of two or three years."""
+    rows = D.approaches(spark, sf).select("id", "name", "closest_approach_date", "miss_distance_km", "hazardous", "year", "month", "day")
+    shifted = lambda n: (F.col("year").cast("int") + n).cast("string")
+    again = rows.filter("hazardous").withColumns({"miss_distance_km": F.col("miss_distance_km") * 2, "year": shifted(1)})
+    older = rows.withColumns({"name": F.lit("older"), "miss_distance_km": F.lit(1.0), "hazardous": F.lit(True), "year": shifted(-1)})
+    return newest_partition(rows.unionByName(again).unionByName(older))
+
+
+_OLDER = ["relative_velocity_km_s", "estimated_diameter_max_km", "is_sentry_object"]
+
+
+@query("profile_of_older_dataset", "F22 F21 P15 C20", with_tables("""
+SELECT neows_id, 'not_in_current_contract' AS relative_velocity_km_s, 'not_in_current_contract' AS estimated_diameter_max_km, 'not_in_current_contract' AS is_sentry_object,
+  CASE WHEN close_approach_datetime IS NULL THEN 'not_in_source' END AS close_approach_datetime, CASE WHEN hazardous IS NULL THEN 'not_in_source' END AS is_potentially_hazardous,
+  CASE WHEN estimated_diameter_min_km IS NULL THEN 'not_in_source' END AS estimated_diameter_min_km, 'partial' AS encounter_status
+FROM wld""", "wld"))
+def _(spark, sf):
+    """Profiles over an approach table from before three of its columns."""
+    lake = D.lakehouse(spark, sf)
+    p = dossier.unified_profile(
+        lake.asteroids.drop(*_OLDER), lake.risk, lake.objects, lake.orbits, lake.elements, lake.physical, lake.bridge, lake.audit)
+    why = lambda section, name: F.col(f"{section}.availability.unavailable")[name].alias(name)
+    return p.select(
+        "neows_id", why("encounter", "relative_velocity_km_s"), why("neows_physical", "estimated_diameter_max_km"), why("encounter", "is_sentry_object"),
+        why("encounter", "close_approach_datetime"), why("encounter", "is_potentially_hazardous"), why("neows_physical", "estimated_diameter_min_km"),
+        F.col("encounter.availability.status").alias("encounter_status"))
