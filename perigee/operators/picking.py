@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from perigee.runtime import materialize
+
 
 def _pick(df: DataFrame, keys: list[str], order: list[str], largest: bool) -> DataFrame:
     rest = [c for c in df.columns if c not in keys and c not in order]
@@ -75,9 +77,10 @@ def insert_if_absent(
     keys, only the target's rows in the incoming range of that column are read.
     """
     order = order or []
-    fresh = first_by(incoming, keys, order)
+    # Written, so that what comes in is computed once for its range and for the join.
+    fresh = materialize(first_by(incoming, keys, order), "incoming")
     if between:
-        low, high = incoming.agg(F.min(between), F.max(between)).first()
+        low, high = fresh.agg(F.min(between), F.max(between)).first()
         target = target.filter(F.col(between).between(F.lit(low), F.lit(high)))
     kept = fresh.drop(*[c for c in order if c not in target.columns])
     return kept.join(target.select(*keys), keys, "left_anti")

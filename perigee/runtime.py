@@ -22,6 +22,7 @@ RUNTIME_SETTINGS = {
 STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 _SCRATCH: dict[str, str] = {}
+_WRITTEN: dict[str, list[str]] = {}
 
 
 def build_session(app_name: str = "perigee", master: str | None = None, **settings: str) -> SparkSession:
@@ -60,7 +61,22 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses; `clear_scratch` knows it."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what this application has written to its fresh paths, and return how many there were.
+
+    For the end of a job: frames that read intermediate tables can't be used afterwards.
+    """
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    return len(paths)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

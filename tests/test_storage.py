@@ -204,3 +204,15 @@ def test_audit_log_of_several_runs(spark, tmp_path):
     # A run whose rows are written but which isn't listed yet is not read.
     make(spark, "fact_entity_resolution", {**row, "resolution_run_id": "d", "resolved_at": "2026-09-09", "source_identifier_value": "1"}).write.mode("append").partitionBy("resolution_run_id").parquet(f"{root}/log")
     assert read_runs(spark, root).count() == 6 and {r.resolution_run_id for r in read_latest_run(spark, root).collect()} == {"b"}
+
+
+def test_scratch_is_cleared(spark, monkeypatch):
+    from perigee import runtime
+    from perigee.sources.files import exists
+
+    monkeypatch.setattr(runtime, "_WRITTEN", {})
+    path = runtime.fresh_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    runtime.materialize(spark.range(3), "y")
+    assert exists(spark, path) and runtime.clear_scratch(spark) == 2 and not exists(spark, path)
+    assert runtime.clear_scratch(spark) == 0
