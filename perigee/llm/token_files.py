@@ -32,6 +32,9 @@ SUMS = {2: (1, 1), 3: (2, 1), 4: (2, 2), 5: (4, 1), 6: (4, 2), 7: (4, 3), 8: (4,
 STRETCH = 1_024
 BLOCK_IDS = 1 << 16
 RANGE_BYTES = 24 << 20
+# More text makes longer ranges, not more of them: a range is sorted by Spark's external sort and written
+# block by block, so its length costs no memory.
+MAX_RANGES = 20_000
 BLOCKS = (
     "chunk int, first bigint, n_ids bigint, words binary, stretches binary, escapes binary, "
     "doc_ids array<bigint>, ends array<bigint>"
@@ -206,8 +209,9 @@ def write_tokens(
     """Write the ids of all documents, each ended by `end_id`, in ascending order of `key`; return the folder.
 
     Null keys come first; rows with equal keys follow `ties` (by default the hash of the text), which
-    also lets a hot key spread over ranges. Null and empty texts have the end id alone. A chunk is one
-    range of keys; `first` counts the ids of a chunk before the block.
+    also lets a hot key spread over ranges. Null and empty texts have the end id alone; a very long text
+    is a block of its own, and an empty table gives files without rows. A chunk is one range of keys;
+    `first` counts the ids of a chunk before the block.
     """
     spark = docs.sparkSession
     spark.conf.set(*BATCH_SETTING)
@@ -215,7 +219,7 @@ def write_tokens(
     tie = F.xxhash64(*ties) if ties else F.xxhash64(F.col(text))
     rows = docs.select(F.col(key).cast("bigint").alias("key"), tie.alias("tie"), F.col(text).alias("text"))
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    ranges = max(1, -(-size // RANGE_BYTES))
+    ranges = min(max(1, -(-size // RANGE_BYTES)), MAX_RANGES)
     ranged = rows.repartitionByRange(ranges, F.asc_nulls_first("key"), "tie").sortWithinPartitions(F.asc_nulls_first("key"), "tie")
     chunked = ranged.select(F.spark_partition_id().alias("chunk"), "key", "text")
     chunked.mapInArrow(_write_task(file_text(spark, path), end_id), BLOCKS).write.parquet(out)

@@ -61,3 +61,13 @@ def test_round_trip_of_any_values():
             assert (token_files.unpack(words, stretches, escapes, n) == ids).all()
             if n and top < 2:
                 assert len(words) <= n // 60 + 2 * (n // 1024 + 1)
+
+
+def test_few_long_ranges(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(token_files, "RANGE_BYTES", 64)
+    docs = spark.createDataFrame([(i, "some words " * (i % 9)) for i in range(200)], "doc_id long, text string").repartition(5)
+    wide = {r["doc_id"]: (r["ids"], r["start"]) for r in token_files.read_tokens(spark, token_files.write_tokens(docs, PATH)).collect()}
+    monkeypatch.setattr(token_files, "MAX_RANGES", 3)
+    out = token_files.write_tokens(docs, PATH)
+    assert spark.read.parquet(out).select("chunk").distinct().count() <= 3
+    assert {r["doc_id"]: (r["ids"], r["start"]) for r in token_files.read_tokens(spark, out).collect()} == wide
