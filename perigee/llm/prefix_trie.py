@@ -35,6 +35,11 @@ ENDS_IN_CHUNK = 4_096
 COPIES_IN_STEP = 65_536
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A table of the trie, in files by size: rounds leave ever fewer rows, and few files keep them cheap to read."""
+    return materialize(df.hint("rebalance"), name)
+
+
 def head_turns(conv_id: Column) -> Column:
     """How many turns of the family's first conversation a conversation opens with."""
     return (F.crc32(conv_id.cast("string")) % HEADS).cast("bigint")
@@ -158,7 +163,7 @@ def nodes(conversations: DataFrame) -> DataFrame:
         F.count("*").alias("n_convs"), F.first("words").alias("words"))
     root = convs.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs")).filter("n_convs > 0").selectExpr(
         "0L AS k1", "0L AS k2", "conv_id", "0L AS depth", "null AS p1", "null AS p2", "n_convs", "0L AS words")
-    found = materialize(found.unionByName(root), "trie")
+    found = written(found.unionByName(root), "trie")
     # Nodes of depth 1, however many, have the one root; the others meet their parents by key.
     top = found.filter("depth = 0").select("conv_id").first()
     top = F.lit(top.conv_id if top else None).cast("bigint")
@@ -168,7 +173,7 @@ def nodes(conversations: DataFrame) -> DataFrame:
     counts = found.filter("depth > 0").groupBy(F.col("p1").alias("k1"), F.col("p2").alias("k2")).agg(F.count("*").alias("n_children"))
     full = linked.join(counts, KEY, "left").join(ends, KEY, "left")
     nothing = hashlib.sha256(b"").hexdigest()
-    return materialize(full.select(
+    return written(full.select(
         "conv_id", "depth", "parent_conv_id", "n_convs", F.coalesce("n_children", F.lit(0)).cast("bigint").alias("n_children"),
         ((F.col("n_convs") - 1) * F.col("words")).alias("own_saved"), F.coalesce("ends_sha256", F.lit(nothing)).alias("ends_sha256")), "nodes")
 
@@ -191,19 +196,19 @@ def contracted(tree: DataFrame, sums: list[str]) -> DataFrame:
     while True:
         # Rake: what has no child is done, and its parent takes its totals.
         kids = alive.filter("pc IS NOT NULL").groupBy(F.col("pc").alias("c"), F.col("pd").alias("d")).agg(F.lit(True).alias("inner"))
-        flagged = materialize(alive.join(kids, ["c", "d"], "left").withColumn("inner", F.coalesce("inner", F.lit(False))), "trie-rake")
+        flagged = written(alive.join(kids, ["c", "d"], "left").withColumn("inner", F.coalesce("inner", F.lit(False))), "trie-rake")
         final.append(flagged.filter("NOT inner").select("c", "d", *sums))
         upward = flagged.filter("pc IS NOT NULL").groupBy(F.col("pc").alias("c"), F.col("pd").alias("d")).agg(
             *[F.sum(F.when(~F.col("inner"), F.col(s)).otherwise(0)).alias(f"more_{s}") for s in sums],
             F.count_if("inner").alias("n_kids"), F.max(F.when(F.col("inner"), F.struct("c", "d"))).alias("kid"))
         body = flagged.filter("inner").join(upward, ["c", "d"])
-        body = materialize(body.select("c", "d", "pc", "pd", *map(added, sums), "n_kids", F.when(F.col("n_kids") == 1, F.col("kid")).alias("kid")), "trie-body")
+        body = written(body.select("c", "d", "pc", "pd", *map(added, sums), "n_kids", F.when(F.col("n_kids") == 1, F.col("kid")).alias("kid")), "trie-body")
         if body.isEmpty():
             break
         # Compress: every other node of a chain, as coins fall, is spliced out.
         drawn = body.filter(F.col("pc").isNotNull() & F.col("kid").isNotNull() & heads_up(turn))
         below = drawn.select(F.struct("c", "d").alias("kid"))
-        out = materialize(drawn.join(below, "kid", "left_anti").select("c", "d", "pc", "pd", *sums, "kid"), "trie-spliced")
+        out = written(drawn.join(below, "kid", "left_anti").select("c", "d", "pc", "pd", *sums, "kid"), "trie-spliced")
         spliced.append(out)
         gone = out.select("c", "d", F.lit(True).alias("gone"), F.lit(None).cast("bigint").alias("npc"), F.lit(None).cast("bigint").alias("npd"), *[F.lit(0).cast("bigint").alias(f"more_{s}") for s in sums])
         up = out.select(F.col("pc").alias("c"), F.col("pd").alias("d"), F.lit(False).alias("gone"), F.lit(None).cast("bigint").alias("npc"), F.lit(None).cast("bigint").alias("npd"), *[F.col(s).alias(f"more_{s}") for s in sums])
@@ -217,7 +222,7 @@ def contracted(tree: DataFrame, sums: list[str]) -> DataFrame:
     later = final[len(spliced)]
     for turn in reversed(range(len(spliced))):
         totals = later.select(F.struct("c", "d").alias("kid"), *[F.col(s).alias(f"more_{s}") for s in sums])
-        back = materialize(spliced[turn].join(totals, "kid").select("c", "d", *map(added, sums)), "trie-expanded")
+        back = written(spliced[turn].join(totals, "kid").select("c", "d", *map(added, sums)), "trie-expanded")
         later = later.unionByName(back).unionByName(final[turn])
     return later
 
