@@ -21,6 +21,8 @@ SEED = 20240
 BUCKET_BYTES = 8 << 20
 ROW_BYTES = 16
 OFFSETS_PER_GROUP = 1024
+# Beyond so many buckets a task gets a run of neighbouring ones, and permutes them one after the other.
+MAX_TASKS = 50_000
 # Offsets take 16 bytes a bucket; up to this many (16 MB) are broadcast, more are joined by shuffle.
 BROADCAST_BUCKETS = 1 << 20
 PLACES = ("size", "law", "shard", "slot", "grown_shard")
@@ -57,7 +59,7 @@ def shuffled(
     their text form where they hold maps or variants. Null texts have size 16. An empty table gives an
     empty one. Columns named like an added one are replaced, all others stay.
     """
-    size, where, bucket, place = fresh_names(docs, "row_size", "row_hash", "row_bucket", "row_place")
+    size, where, bucket, place, task = fresh_names(docs, "row_size", "row_hash", "row_bucket", "row_place", "row_task")
     identified = docs.withColumns({size: row_size(F.col(text)), where: F.xxhash64(F.lit(seed), *identity)})
     kept = [c for c in docs.columns if c.lower() not in PLACES]
     total = identified.agg(F.sum(size).alias("bytes"), F.count("*").alias("rows")).first()
@@ -67,14 +69,16 @@ def shuffled(
     if buckets <= BROADCAST_BUCKETS:
         offsets = F.broadcast(offsets)
     # A fixed order of the buckets in a task and of the rows in a bucket: a task that runs again permutes alike.
-    dealt = identified.repartition(buckets, bucket).sortWithinPartitions(bucket)
+    # A task's number is that of its partition, so no two buckets meet by chance and each run of a job permutes alike.
+    tasks = min(buckets, MAX_TASKS)
+    dealt = identified.withColumn(task, F.expr(f"cast(`{bucket}` * {tasks}L div {buckets} as int)")).repartitionById(tasks, task).sortWithinPartitions(bucket)
     record = F.struct(*kept, F.col(size).alias("size"))
     unordered = any("map<" in kind or "variant" in kind for _, kind in docs.dtypes)
     tie = [record.cast("string").alias("tie")] if unordered else []
     listed = F.collect_list(F.struct(F.col(where).alias("where"), *tie, record.alias("record")))
     records = F.array_sort(listed, _by_place) if unordered else F.sort_array(listed)
-    permuted = dealt.groupBy(F.col(bucket).alias("bucket")).agg(records.alias("records"))
-    placed = permuted.join(offsets, "bucket").select("offset", F.shuffle("records", seed).alias("records"))
+    permuted = dealt.groupBy(task, F.col(bucket).alias("bucket")).agg(records.alias("records")).select("bucket", F.shuffle("records", seed).alias("records"))
+    placed = permuted.join(offsets, "bucket").select("offset", "records")
     rows = placed.select("offset", F.posexplode("records").alias("at", "entry")).select("entry.record.*", (F.col("offset") + F.col("at")).alias(place))
     n = max(1, total["rows"])
     rows = rows.withColumns({"law": F.lit("rows"), "shard": F.expr(f"cast({place} * {shards} div {n} as int)"), "grown_shard": F.lit(None).cast("int")})

@@ -42,6 +42,17 @@ def test_order_is_random(spark):
     assert abs(np.corrcoef(place, range(4000))[0, 1]) < 0.06
 
 
+def test_neighbouring_buckets_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(shards, "MAX_TASKS", 3)
+    docs = spark.range(1000).selectExpr("id AS doc_id", "repeat('t', cast(id % 50 as int)) AS text")
+    found = shards.shuffled(docs, [F.col("doc_id")], bucket_bytes=1000)
+    check(found.withColumn("text_crc32", F.crc32("text")), docs)
+    again = shards.shuffled(docs.repartition(5), [F.col("doc_id")], bucket_bytes=1000)
+    assert plain.rows(found, "doc_id", "shard", "slot") == plain.rows(again, "doc_id", "shard", "slot")
+    monkeypatch.setattr(shards, "BROADCAST_BUCKETS", 1)
+    assert plain.rows(found, "doc_id", "shard", "slot") == plain.rows(shards.shuffled(docs, [F.col("doc_id")], bucket_bytes=1000), "doc_id", "shard", "slot")
+
+
 def test_awkward_rows(spark, tmp_path):
     plain.awkward(spark, "shard size other").write.parquet(str(tmp_path / "d"))
     docs = spark.read.parquet(str(tmp_path / "d"))
