@@ -6,15 +6,18 @@ more than the prefix before its last token, and one pass over a text yields the
 prefixes. The counts are stored as steps, 16 bits for each code point; sums of steps then answer how
 many tokens a prefix has and where a budget of tokens ends, without the tokenizer.
 
-Tokens of the model don't reach over the start of a run of blanks, so the steps of a text are the steps
-of its chunks (blanks with what follows them) in a row, and frequent chunks are remembered.
+Tokens of the model reach neither over the start of a run of blanks nor from a letter to a sign that is
+none, so the steps of a text are the steps of its parts (blanks with the letters, or with the other
+signs, that follow) in a row, and frequent parts are remembered.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import partial
+from operator import sub
 
 import ahocorasick
 import numpy as np
@@ -25,11 +28,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perigee.llm.common import BATCH_SETTING, computed, without
-from perigee.llm.pretrained import MAX_FILE_BYTES, Memo, kept_in_worker
+from perigee.llm.pretrained import MAX_FILE_BYTES, RecentMemo, kept_in_worker
 
 # The character that stands for a blank in the model's pieces.
 BLANK = "▁"
-CHUNKS = re.compile(f"{BLANK}+[^{BLANK}]*")
+# Letters of any script (raised digits count as signs), and every other sign but the blank.
+LETTER = r"[^\W\d_²³¹]"
+SIGN = rf"(?:[^\w{BLANK}]|[\d_²³¹])"
+PARTS = re.compile(f"{BLANK}*(?:{LETTER}+|{SIGN}+)|{BLANK}+")
+# What no piece may hold, so that parts are encoded on their own.
+ACROSS = re.compile(f"[^{BLANK}]{BLANK}|{LETTER}{SIGN}|{SIGN}{LETTER}")
 PAIR_ENTRIES = 1_000_000
 # No token: what a prefix ends with after a character that has no piece of its own.
 NONE = -1
@@ -47,14 +55,14 @@ class PrefixCounter:
         self.score = {p: own.get_score(i) for i, p in self.piece.items()}
         if any(own.is_unused(i) for i in found) or own.encode("") or "".join(own.encode("  a ", out_type=str)) != BLANK * 3 + "a" + BLANK:
             raise ValueError("not a model that keeps every blank and adds one in front")
-        if any(re.search(f"[^{BLANK}]{BLANK}", p) for p in self.score):
-            raise ValueError("pieces reach over the start of a blank")
+        if any(ACROSS.search(p) for p in self.score):
+            raise ValueError("pieces reach over the start of a blank, or from letters to other signs")
         self.ends = ahocorasick.Automaton()
         for i, p in self.piece.items():
             self.ends.add_word(p, (i, len(p)))
         self.ends.make_automaton()
         self.pairs: dict[int, bool] = {}
-        self.memo = Memo(self.chunk)
+        self.memo = RecentMemo(self.part)
 
     def merged(self, text: str) -> list[str]:
         """The pieces of a short text, by merging its best neighbours."""
@@ -77,8 +85,8 @@ class PrefixCounter:
         self.pairs[left << 32 | right] = found
         return found
 
-    def chunk(self, text: str) -> bytes:
-        """Steps of a chunk: how the count changes with each of its characters."""
+    def part(self, text: str) -> bytes:
+        """Steps of a part: how the count changes with each of its characters."""
         counts, last, pairs = [0], [NONE], self.pairs
         for end, (token, size) in self.ends.iter(text):
             while len(counts) <= end:
@@ -95,14 +103,13 @@ class PrefixCounter:
                 last.append(token)
         while len(counts) <= len(text):
             counts.append(counts[-1] + len(text[len(counts) - 1].encode()))
-        return np.diff(np.array(counts, np.int64)).astype(STEP, casting="unsafe").tobytes()
+        return array("h", map(sub, counts[1:], counts)).tobytes()
 
     def steps(self, text: str | None) -> bytes:
         """Steps of a whole text, one for each code point."""
         if not text:
             return b""
-        chunks = CHUNKS.findall(BLANK + text.replace(" ", BLANK))
-        found = bytearray().join(map(self.memo.__getitem__, chunks))
+        found = bytearray().join(map(self.memo.__getitem__, PARTS.findall(BLANK + text.replace(" ", BLANK))))
         # The blank in front is no character of the text; its step belongs to the first one.
         own = np.frombuffer(found, STEP)[1:].copy()
         own[0] += np.frombuffer(found, STEP, 1)[0]
