@@ -7,9 +7,9 @@ their places, so prefixes are sums over runs of places and the totals of the run
 Totals of subtrees come from contracting the trie. A round rakes the leaves (their totals are final and
 go to their parents), then compresses chains: of the nodes with one child left, those whose coin shows
 heads while their child's doesn't are spliced out, their own share goes to the parent, and the child
-moves up. Rounds are joins and aggregates on node ids; their number grows with the logarithm of the trie,
-however deep it is. Last, the spliced nodes return in reverse order: each is its own share and the total
-of the child it had.
+moves up. Rounds join nodes and what their neighbours tell them by node id; their number grows with the
+logarithm of the trie, however deep it is. Last, the spliced nodes return in reverse order: each is its
+own share and the total of the child it had.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from perigee.llm.common import BATCH_SETTING, WORD_PATTERN
@@ -183,47 +183,64 @@ def heads_up(turn: int) -> Column:
     return F.xxhash64(F.lit(turn), "c", "d") % 2 == 0
 
 
+def _messages(rows: DataFrame, *messages: dict[str, Column | str | int | bool | None]) -> DataFrame:
+    """For each row one row per message; a message names the node (c, d) it is for, and its other columns."""
+    def value(v) -> Column:
+        return F.col(v) if isinstance(v, str) else v if isinstance(v, Column) else F.lit(v)
+
+    sent = F.inline(F.array(*[F.struct(*[value(v).alias(k) for k, v in m.items()]) for m in messages]))
+    return rows.select(sent).filter("c IS NOT NULL")
+
+
 def contracted(tree: DataFrame, sums: list[str]) -> DataFrame:
     """(c, d, *sums) -> totals over the subtree of each node of `tree` (c, d, pc, pd, *sums).
 
-    (c, d) names a node and (pc, pd) its parent; the root's is null. Each round's tables are written.
+    (c, d) names a node and (pc, pd) its parent; the root's is null. In each step the nodes and what
+    others tell them meet in one aggregate by node; each step's table is written.
     """
-    def added(column: str) -> Column:
-        return (F.col(column) + F.coalesce(f"more_{column}", F.lit(0))).alias(column)
-
+    none = F.lit(None).cast("bigint")
+    keep, nothing = {s: s for s in sums}, {s: F.lit(0).cast("bigint") for s in sums}
+    totals = [F.sum(s).alias(s) for s in sums]
+    place = [F.max("pc").alias("pc"), F.max("pd").alias("pd")]
     final, spliced, turn = [], [], 0
     alive = tree.select("c", "d", "pc", "pd", *sums)
     while True:
         # Rake: what has no child is done, and its parent takes its totals.
-        kids = alive.filter("pc IS NOT NULL").groupBy(F.col("pc").alias("c"), F.col("pd").alias("d")).agg(F.lit(True).alias("inner"))
-        flagged = written(alive.join(kids, ["c", "d"], "left").withColumn("inner", F.coalesce("inner", F.lit(False))), "trie-rake")
+        told = _messages(
+            alive, {"c": "c", "d": "d", "pc": "pc", "pd": "pd", **keep, "inner": False},
+            {"c": "pc", "d": "pd", "pc": none, "pd": none, **nothing, "inner": True})
+        flagged = written(told.groupBy("c", "d").agg(*place, *totals, F.max("inner").alias("inner")), "trie-rake")
         final.append(flagged.filter("NOT inner").select("c", "d", *sums))
-        upward = flagged.filter("pc IS NOT NULL").groupBy(F.col("pc").alias("c"), F.col("pd").alias("d")).agg(
-            *[F.sum(F.when(~F.col("inner"), F.col(s)).otherwise(0)).alias(f"more_{s}") for s in sums],
-            F.count_if("inner").alias("n_kids"), F.max(F.when(F.col("inner"), F.struct("c", "d"))).alias("kid"))
-        body = flagged.filter("inner").join(upward, ["c", "d"])
-        body = written(body.select("c", "d", "pc", "pd", *map(added, sums), "n_kids", F.when(F.col("n_kids") == 1, F.col("kid")).alias("kid")), "trie-body")
-        if body.isEmpty():
+        inner = F.col("inner")
+        told = _messages(
+            flagged, {"c": "c", "d": "d", "pc": "pc", "pd": "pd", **keep, "inner": "inner", "kids": 0, "kc": none, "kd": none},
+            {"c": "pc", "d": "pd", "pc": none, "pd": none, **{s: F.when(inner, 0).otherwise(F.col(s)).cast("bigint") for s in sums}, "inner": False,
+             "kids": inner.cast("int"), "kc": F.when(inner, F.col("c")), "kd": F.when(inner, F.col("d"))})
+        body = told.groupBy("c", "d").agg(*place, *totals, F.max("inner").alias("inner"), F.sum("kids").alias("kids"), F.max("kc").alias("kc"), F.max("kd").alias("kd"))
+        left = Observation()
+        body = written(body.filter("inner").observe(left, F.count(F.lit(1)).alias("nodes")), "trie-body")
+        if not left.get["nodes"]:
             break
         # Compress: every other node of a chain, as coins fall, is spliced out.
-        drawn = body.filter(F.col("pc").isNotNull() & F.col("kid").isNotNull() & heads_up(turn))
-        below = drawn.select(F.struct("c", "d").alias("kid"))
-        out = written(drawn.join(below, "kid", "left_anti").select("c", "d", "pc", "pd", *sums, "kid"), "trie-spliced")
+        drawn = body.filter((F.col("kids") == 1) & F.col("pc").isNotNull() & heads_up(turn)).select("c", "d", "pc", "pd", *sums, "kc", "kd")
+        below = drawn.select(F.col("c").alias("kc"), F.col("d").alias("kd"))
+        out = written(drawn.join(below, ["kc", "kd"], "left_anti"), "trie-spliced")
         spliced.append(out)
-        gone = out.select("c", "d", F.lit(True).alias("gone"), F.lit(None).cast("bigint").alias("npc"), F.lit(None).cast("bigint").alias("npd"), *[F.lit(0).cast("bigint").alias(f"more_{s}") for s in sums])
-        up = out.select(F.col("pc").alias("c"), F.col("pd").alias("d"), F.lit(False).alias("gone"), F.lit(None).cast("bigint").alias("npc"), F.lit(None).cast("bigint").alias("npd"), *[F.col(s).alias(f"more_{s}") for s in sums])
-        down = out.select("kid.c", "kid.d", F.lit(False).alias("gone"), F.col("pc").alias("npc"), F.col("pd").alias("npd"), *[F.lit(0).cast("bigint").alias(f"more_{s}") for s in sums])
-        changes = gone.unionByName(up).unionByName(down).groupBy("c", "d").agg(
-            F.max("gone").alias("gone"), F.max("npc").alias("npc"), F.max("npd").alias("npd"), *[F.sum(f"more_{s}").alias(f"more_{s}") for s in sums])
-        kept = body.join(changes, ["c", "d"], "left").filter(~F.coalesce("gone", F.lit(False)))
-        alive = kept.select("c", "d", F.coalesce("npc", "pc").alias("pc"), F.coalesce("npd", "pd").alias("pd"), *map(added, sums))
+        same = {"npc": none, "npd": none}
+        told = _messages(
+            out, {"c": "c", "d": "d", "pc": none, "pd": none, **nothing, "gone": True, **same},
+            {"c": "pc", "d": "pd", "pc": none, "pd": none, **keep, "gone": False, **same},
+            {"c": "kc", "d": "kd", "pc": none, "pd": none, **nothing, "gone": False, "npc": "pc", "npd": "pd"})
+        told = body.select("c", "d", "pc", "pd", *sums, F.lit(False).alias("gone"), none.alias("npc"), none.alias("npd")).unionByName(told)
+        kept = told.groupBy("c", "d").agg(*place, *totals, F.max("gone").alias("gone"), F.max("npc").alias("npc"), F.max("npd").alias("npd")).filter("NOT gone")
+        alive = kept.select("c", "d", F.coalesce("npc", "pc").alias("pc"), F.coalesce("npd", "pd").alias("pd"), *sums)
         turn += 1
     # Expand: a node spliced in a round has the total of its child, which left in a later one.
     later = final[len(spliced)]
     for turn in reversed(range(len(spliced))):
-        totals = later.select(F.struct("c", "d").alias("kid"), *[F.col(s).alias(f"more_{s}") for s in sums])
-        back = written(spliced[turn].join(totals, "kid").select("c", "d", *map(added, sums)), "trie-expanded")
-        later = later.unionByName(back).unionByName(final[turn])
+        known = later.select(F.col("c").alias("kc"), F.col("d").alias("kd"), *[F.col(s).alias(f"more_{s}") for s in sums])
+        back = spliced[turn].join(known, ["kc", "kd"]).select("c", "d", *[(F.col(s) + F.col(f"more_{s}")).alias(s) for s in sums])
+        later = later.unionByName(written(back, "trie-expanded")).unionByName(final[turn])
     return later
 
 
