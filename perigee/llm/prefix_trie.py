@@ -219,7 +219,9 @@ def contracted(tree: DataFrame, sums: list[str]) -> DataFrame:
         body = told.groupBy("c", "d").agg(*place, *totals, F.max("inner").alias("inner"), F.sum("kids").alias("kids"), F.max("kc").alias("kc"), F.max("kd").alias("kd"))
         left = Observation()
         body = written(body.filter("inner").observe(left, F.count(F.lit(1)).alias("nodes")), "trie-body")
-        if not left.get["nodes"]:
+        # The count comes with the write; where the plan had nothing to count, the table is asked.
+        nodes = left.get.get("nodes")
+        if nodes == 0 or nodes is None and body.isEmpty():
             break
         # Compress: every other node of a chain, as coins fall, is spliced out.
         drawn = body.filter((F.col("kids") == 1) & F.col("pc").isNotNull() & heads_up(turn)).select("c", "d", "pc", "pd", *sums, "kc", "kd")
