@@ -24,6 +24,7 @@ HEADLINE = [
     "world_snapshot", "risk_profile", "asteroid_detail", "unified_profile", "raw_approach_rows", "raw_risk_rows",
     "catalog_object_rows", "latest_event_per_user", "first_line_per_order", "approach_totals", "closest_ten",
     "distance_bands", "squeezed_documents", "redacted_pages", "structure_checks", "crosswalk_checks",
+    "raw_replay", "deep_line_page", "world_in_order", "published_approaches",
 ]
 
 
