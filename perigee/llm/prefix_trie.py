@@ -35,11 +35,6 @@ ENDS_IN_CHUNK = 4_096
 COPIES_IN_STEP = 65_536
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """A table of the trie, in files by size: rounds leave ever fewer rows, and few files keep them cheap to read."""
-    return materialize(df.hint("rebalance"), name)
-
-
 def head_turns(conv_id: Column) -> Column:
     """How many turns of the family's first conversation a conversation opens with."""
     return (F.crc32(conv_id.cast("string")) % HEADS).cast("bigint")
@@ -163,7 +158,7 @@ def nodes(conversations: DataFrame) -> DataFrame:
         F.count("*").alias("n_convs"), F.first("words").alias("words"))
     root = convs.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs")).filter("n_convs > 0").selectExpr(
         "0L AS k1", "0L AS k2", "conv_id", "0L AS depth", "null AS p1", "null AS p2", "n_convs", "0L AS words")
-    found = written(found.unionByName(root), "trie")
+    found = materialize(found.unionByName(root), "trie")
     # Nodes of depth 1, however many, have the one root; the others meet their parents by key.
     top = found.filter("depth = 0").select("conv_id").first()
     top = F.lit(top.conv_id if top else None).cast("bigint")
@@ -173,7 +168,7 @@ def nodes(conversations: DataFrame) -> DataFrame:
     counts = found.filter("depth > 0").groupBy(F.col("p1").alias("k1"), F.col("p2").alias("k2")).agg(F.count("*").alias("n_children"))
     full = linked.join(counts, KEY, "left").join(ends, KEY, "left")
     nothing = hashlib.sha256(b"").hexdigest()
-    return written(full.select(
+    return materialize(full.select(
         "conv_id", "depth", "parent_conv_id", "n_convs", F.coalesce("n_children", F.lit(0)).cast("bigint").alias("n_children"),
         ((F.col("n_convs") - 1) * F.col("words")).alias("own_saved"), F.coalesce("ends_sha256", F.lit(nothing)).alias("ends_sha256")), "nodes")
 
@@ -209,7 +204,7 @@ def contracted(tree: DataFrame, sums: list[str]) -> DataFrame:
         told = _messages(
             alive, {"c": "c", "d": "d", "pc": "pc", "pd": "pd", **keep, "inner": False},
             {"c": "pc", "d": "pd", "pc": none, "pd": none, **nothing, "inner": True})
-        flagged = written(told.groupBy("c", "d").agg(*place, *totals, F.max("inner").alias("inner")), "trie-rake")
+        flagged = materialize(told.groupBy("c", "d").agg(*place, *totals, F.max("inner").alias("inner")), "trie-rake")
         final.append(flagged.filter("NOT inner").select("c", "d", *sums))
         inner = F.col("inner")
         told = _messages(
@@ -218,7 +213,7 @@ def contracted(tree: DataFrame, sums: list[str]) -> DataFrame:
              "kids": inner.cast("int"), "kc": F.when(inner, F.col("c")), "kd": F.when(inner, F.col("d"))})
         body = told.groupBy("c", "d").agg(*place, *totals, F.max("inner").alias("inner"), F.sum("kids").alias("kids"), F.max("kc").alias("kc"), F.max("kd").alias("kd"))
         left = Observation()
-        body = written(body.filter("inner").observe(left, F.count(F.lit(1)).alias("nodes")), "trie-body")
+        body = materialize(body.filter("inner").observe(left, F.count(F.lit(1)).alias("nodes")), "trie-body")
         # The count comes with the write; where the plan had nothing to count, the table is asked.
         nodes = left.get.get("nodes")
         if nodes == 0 or nodes is None and body.isEmpty():
@@ -226,7 +221,7 @@ def contracted(tree: DataFrame, sums: list[str]) -> DataFrame:
         # Compress: every other node of a chain, as coins fall, is spliced out.
         drawn = body.filter((F.col("kids") == 1) & F.col("pc").isNotNull() & heads_up(turn)).select("c", "d", "pc", "pd", *sums, "kc", "kd")
         below = drawn.select(F.col("c").alias("kc"), F.col("d").alias("kd"))
-        out = written(drawn.join(below, ["kc", "kd"], "left_anti"), "trie-spliced")
+        out = materialize(drawn.join(below, ["kc", "kd"], "left_anti"), "trie-spliced")
         spliced.append(out)
         same = {"npc": none, "npd": none}
         told = _messages(
@@ -242,7 +237,7 @@ def contracted(tree: DataFrame, sums: list[str]) -> DataFrame:
     for turn in reversed(range(len(spliced))):
         known = later.select(F.col("c").alias("kc"), F.col("d").alias("kd"), *[F.col(s).alias(f"more_{s}") for s in sums])
         back = spliced[turn].join(known, ["kc", "kd"]).select("c", "d", *[(F.col(s) + F.col(f"more_{s}")).alias(s) for s in sums])
-        later = later.unionByName(written(back, "trie-expanded")).unionByName(final[turn])
+        later = later.unionByName(materialize(back, "trie-expanded")).unionByName(final[turn])
     return later
 
 
