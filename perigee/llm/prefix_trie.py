@@ -35,6 +35,11 @@ ENDS_IN_CHUNK = 4_096
 COPIES_IN_STEP = 65_536
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A table of a round that the expansion reads again, in files by size: rounds leave ever fewer rows."""
+    return materialize(df.hint("rebalance"), name)
+
+
 def head_turns(conv_id: Column) -> Column:
     """How many turns of the family's first conversation a conversation opens with."""
     return (F.crc32(conv_id.cast("string")) % HEADS).cast("bigint")
@@ -204,7 +209,7 @@ def contracted(tree: DataFrame, sums: list[str]) -> DataFrame:
         told = _messages(
             alive, {"c": "c", "d": "d", "pc": "pc", "pd": "pd", **keep, "inner": False},
             {"c": "pc", "d": "pd", "pc": none, "pd": none, **nothing, "inner": True})
-        flagged = materialize(told.groupBy("c", "d").agg(*place, *totals, F.max("inner").alias("inner")), "trie-rake")
+        flagged = written(told.groupBy("c", "d").agg(*place, *totals, F.max("inner").alias("inner")), "trie-rake")
         final.append(flagged.filter("NOT inner").select("c", "d", *sums))
         inner = F.col("inner")
         told = _messages(
@@ -221,7 +226,7 @@ def contracted(tree: DataFrame, sums: list[str]) -> DataFrame:
         # Compress: every other node of a chain, as coins fall, is spliced out.
         drawn = body.filter((F.col("kids") == 1) & F.col("pc").isNotNull() & heads_up(turn)).select("c", "d", "pc", "pd", *sums, "kc", "kd")
         below = drawn.select(F.col("c").alias("kc"), F.col("d").alias("kd"))
-        out = materialize(drawn.join(below, ["kc", "kd"], "left_anti"), "trie-spliced")
+        out = written(drawn.join(below, ["kc", "kd"], "left_anti"), "trie-spliced")
         spliced.append(out)
         same = {"npc": none, "npd": none}
         told = _messages(
@@ -237,7 +242,7 @@ def contracted(tree: DataFrame, sums: list[str]) -> DataFrame:
     for turn in reversed(range(len(spliced))):
         known = later.select(F.col("c").alias("kc"), F.col("d").alias("kd"), *[F.col(s).alias(f"more_{s}") for s in sums])
         back = spliced[turn].join(known, ["kc", "kd"]).select("c", "d", *[(F.col(s) + F.col(f"more_{s}")).alias(s) for s in sums])
-        later = later.unionByName(materialize(back, "trie-expanded")).unionByName(final[turn])
+        later = later.unionByName(written(back, "trie-expanded")).unionByName(final[turn])
     return later
 
 
