@@ -71,8 +71,9 @@ class RecentMemo(Memo):
     full memory loses the rare ones only.
     """
 
-    def __init__(self, encode):
+    def __init__(self, encode, entries: int = MEMO_ENTRIES):
         super().__init__(encode)
+        self.half = entries // 2
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
@@ -80,7 +81,7 @@ class RecentMemo(Memo):
         if found is None:
             found = self.encode(piece)
         if len(piece) <= MEMO_CHARS:
-            if len(self) >= MEMO_ENTRIES // 2:
+            if len(self) >= self.half:
                 self.older = dict(self)
                 self.clear()
             self[piece] = found

@@ -31,10 +31,8 @@ LAYOUTS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8),
 SUMS = {2: (1, 1), 3: (2, 1), 4: (2, 2), 5: (4, 1), 6: (4, 2), 7: (4, 3), 8: (4, 4), 10: (8, 2), 12: (8, 4), 15: (8, 7), 20: (12, 8), 30: (20, 10), 60: (30, 30)}
 STRETCH = 1_024
 BLOCK_IDS = 1 << 16
-RANGE_BYTES = 24 << 20
-# More text makes longer ranges, not more of them: a range is sorted by Spark's external sort and written
-# block by block, so its length costs no memory.
-MAX_RANGES = 20_000
+# Pieces a task remembers: words of some hundred MB of text.
+MEMO_PIECES = 1_500_000
 BLOCKS = (
     "chunk int, first bigint, n_ids bigint, words binary, stretches binary, escapes binary, "
     "doc_ids array<bigint>, ends array<bigint>"
@@ -148,7 +146,7 @@ class WordEncoder:
             raise ValueError("added tokens must be strings without blanks")
         self.special = tuple(t["content"] for t in config["added_tokens"])
         # Words differ more than their pieces, mostly by marks at their ends, so no plain word is remembered.
-        self.pieces = RecentMemo(self.piece)
+        self.pieces = RecentMemo(self.piece, MEMO_PIECES)
         self.words = RecentMemo(self.word)
 
     def plain(self, text: str) -> bool:
@@ -205,22 +203,25 @@ def _write_task(shared, end_id: int):
 
 def write_tokens(
     docs: DataFrame, path: str, out: str | None = None, key: str = "doc_id", text: str = "text", end_id: int = END_ID, ties: list[Column] | None = None,
+    ranges: int | None = None,
 ) -> str:
     """Write the ids of all documents, each ended by `end_id`, in ascending order of `key`; return the folder.
 
     Null keys come first; rows with equal keys follow `ties` (by default the hash of the text), which
     also lets a hot key spread over ranges. Null and empty texts have the end id alone; a very long text
     is a block of its own, and an empty table gives files without rows. A chunk is one range of keys;
-    `first` counts the ids of a chunk before the block.
+    `first` counts the ids of a chunk before the block. There are `ranges` of them, or as many as the
+    session's shuffle partitions and the size of the text give; a range is sorted by Spark's external
+    sort and written block by block, so its length costs no memory.
     """
     spark = docs.sparkSession
     spark.conf.set(*BATCH_SETTING)
     out = out or fresh_path(spark, "tokens")
     tie = F.xxhash64(*ties) if ties else F.xxhash64(F.col(text))
     rows = docs.select(F.col(key).cast("bigint").alias("key"), tie.alias("tie"), F.col(text).alias("text"))
-    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    ranges = min(max(1, -(-size // RANGE_BYTES)), MAX_RANGES)
-    ranged = rows.repartitionByRange(ranges, F.asc_nulls_first("key"), "tie").sortWithinPartitions(F.asc_nulls_first("key"), "tie")
+    by = [F.asc_nulls_first("key"), F.col("tie")]
+    dealt = rows.repartitionByRange(ranges, *by) if ranges else rows.repartitionByRange(*by)
+    ranged = dealt.sortWithinPartitions(*by)
     chunked = ranged.select(F.spark_partition_id().alias("chunk"), "key", "text")
     chunked.mapInArrow(_write_task(file_text(spark, path), end_id), BLOCKS).write.parquet(out)
     return out
