@@ -61,14 +61,16 @@ def manifest_stages(runs: DataFrame, stages: DataFrame) -> DataFrame:
 
 
 def run_manifests(runs: DataFrame, stages: DataFrame) -> DataFrame:
-    """One row per run: status, clamped duration, number of stages and of distinct published keys, document path.
+    """One row per run: status, clamped duration, number of stages, sorted distinct published keys and their number,
+    document path.
 
-    The keys themselves are `manifest_keys`, the stages `manifest_stages`, each a row of its own.
+    A run publishes a few keys, one per dataset and stage; `manifest_keys` has them a row each, `manifest_stages` the stages.
     """
     valid = known_runs(runs)
     kept = clean_stages(valid, stages)
     status = kept.groupBy("pipeline_run_id").agg(F.max(_stage_failed()).alias("any_failed"), F.count(F.lit(1)).alias("stage_count"))
-    keys = manifest_keys(runs, stages).groupBy(F.col("pipeline_run_id").alias("keyed_run")).agg(F.count(F.lit(1)).alias("published_key_count"))
+    keys = manifest_keys(runs, stages).groupBy(F.col("pipeline_run_id").alias("keyed_run")).agg(
+        F.sort_array(F.collect_list("key")).alias("published_keys"), F.count(F.lit(1)).alias("published_key_count"))
     joined = valid.join(status, "pipeline_run_id", "left").join(keys, strip(F.col("pipeline_run_id")) == F.col("keyed_run"), "left")
     began, ended = F.try_to_timestamp("started_at"), F.try_to_timestamp("completed_at")
     elapsed = (F.unix_micros(ended) - F.unix_micros(began)) / 1e6
@@ -79,6 +81,7 @@ def run_manifests(runs: DataFrame, stages: DataFrame) -> DataFrame:
         "execution_mode", F.coalesce(given, derived).alias("overall_status"), "started_at", "completed_at",
         F.greatest(F.lit(0.0), F.round(F.coalesce("duration_seconds", elapsed, F.lit(0.0)), 2)).alias("duration_seconds"),
         F.coalesce("stage_count", F.lit(0)).alias("stage_count"),
+        F.coalesce("published_keys", F.array().cast("array<string>")).alias("published_keys"),
         F.coalesce("published_key_count", F.lit(0)).alias("published_key_count"),
         run_document_path(F.col("started_at"), F.col("pipeline_run_id")).alias("manifest_path"),
     )

@@ -189,6 +189,14 @@ def test_run_manifests(spark):
     assert got["c"]["overall_status"] == "SUCCESS" and got["a"]["manifest_path"].endswith("day=01/run_manifest_a.json")
 
 
+def test_run_manifests_hold_their_keys(spark):
+    runs = spark.createDataFrame([("a", "CURRENT_PRODUCTION", "2026-10-01", None, None, None), ("b", "CURRENT_PRODUCTION", "2026-10-01", None, None, None)], manifest.RUN_DDL)
+    stages = spark.createDataFrame([("a", s, "ok", *(None,) * 4, keys, {}) for s, keys in (("x", ["k2", "k0?api_key=x"]), ("y", ["k1", " k2 "]))], manifest.STAGE_DDL)
+    got = by(manifest.run_manifests(runs, stages), "pipeline_run_id")
+    assert got["a"]["published_keys"] == ["k0?api_key=REDACTED", "k1", "k2"] and got["a"]["published_key_count"] == 3
+    assert got["b"]["published_keys"] == [] and got["b"]["published_key_count"] == 0
+
+
 def test_audit_log_of_several_runs(spark, tmp_path):
     from perigee.sources.runs import append_run, read_latest_run, read_runs, runs
 
