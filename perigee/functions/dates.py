@@ -10,8 +10,7 @@ from perigee.functions.text import strip
 
 def iso_date(text: Column) -> Column:
     """The text itself when it is a real yyyy-MM-dd calendar date, else NULL."""
-    day = F.try_to_date(F.regexp_extract(strip(text), r"^([0-9]{4}-[0-9]{2}-[0-9]{2})$", 1), "yyyy-MM-dd")
-    return F.date_format(day, "yyyy-MM-dd")
+    return F.regexp_extract(strip(text), r"^([0-9]{4}-[0-9]{2}-[0-9]{2})$", 1).try_cast("date").cast("string")
 
 
 def approach_datetime(text: Column) -> Column:

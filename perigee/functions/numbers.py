@@ -13,8 +13,9 @@ _INTEGER = r"(?U)^[\s\x1c-\x1f]*([+-]?[0-9]+)[\s\x1c-\x1f]*$"
 def to_double(text: Column) -> Column:
     """A finite double, or NULL, of any length. Type suffixes, digit separators, NaN and infinities are
     malformed, and so is a number too large for a double."""
-    value = F.regexp_extract(text, _DECIMAL, 1).try_cast("double")
-    return F.when(F.abs(value) < float("inf"), value)
+    value = F.array(F.regexp_extract(text, _DECIMAL, 1).try_cast("double"))
+    # Infinities leave the list, so the text is read once; a comparison would hold the expression twice.
+    return F.get(F.array_remove(F.array_remove(value, float("inf")), float("-inf")), 0)
 
 
 def to_bigint(text: Column) -> Column:

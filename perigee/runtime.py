@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # HotSpot compiles no method above 8000 bytes; the judging of a record in one generated method would run uncompiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 # Static settings for sessions made here. Recording the Python call site of every expression costs
 # more than planning these queries.

@@ -28,19 +28,21 @@ def payload_files(spark: SparkSession, path: str) -> DataFrame:
 CORRUPT = {"columnNameOfCorruptRecord": "corrupt"}
 
 
-def _entries(payloads: DataFrame, payload: str, schema: str, listed: Column) -> DataFrame:
+def _entries(payloads: DataFrame, payload: str, schema: str, exploded: Column, *names: str) -> DataFrame:
     """One row per record, and one for each payload without any, which says why in `defect`.
 
+    `exploded` gives the record as `names`, the first of which is NULL for a payload without records alone.
+
     A payload is parsed once. Only one that is marked as broken and gives no record is looked at again,
     to tell an unreadable text from a document of another shape.
     """
     kept = [c for c in payloads.columns if c != payload]
     parsed = pinned(payloads, parsed=F.from_json(payload, f"{schema}, corrupt string", CORRUPT))
+    rows = parsed.select(*kept, payload, F.col("parsed.corrupt").alias("corrupt_text"), exploded.alias(*names))
     # A comparison in two steps: the parse of the second is reached for silent broken payloads alone.
-    broken = F.col(payload).isNull() | F.when(F.col("parsed.corrupt").isNotNull(), F.try_parse_json(F.col(payload)).isNull()).otherwise(False)
-    silent = F.coalesce(F.size(listed) == 0, F.lit(True))
-    defect = F.when(silent, F.when(broken, "unreadable").otherwise("empty"))
-    return parsed.select(*kept, defect.alias("defect"), F.explode_outer(listed).alias("record"))
+    broken = F.col(payload).isNull() | F.when(F.col("corrupt_text").isNotNull(), F.try_parse_json(F.col(payload)).isNull()).otherwise(False)
+    defect = F.when(F.col(names[0]).isNull(), F.when(broken, "unreadable").otherwise("empty"))
+    return rows.select(*kept, defect.alias("defect"), *names)
 
 
 def approach_entries(payloads: DataFrame, payload: str = "payload") -> DataFrame:
@@ -49,15 +51,13 @@ def approach_entries(payloads: DataFrame, payload: str = "payload") -> DataFrame
         F.filter(F.map_entries("parsed.near_earth_objects"), lambda e: e["value"].isNotNull()),
         lambda e, i: F.transform(e["value"], lambda r, j: F.struct(
             i.alias("entry_pos"), e["key"].alias("entry_date"), j.alias("record_pos"), r.alias("record_json")))))
-    rows = _entries(payloads, payload, APPROACH_PAYLOAD, listed)
+    rows = _entries(payloads, payload, APPROACH_PAYLOAD, F.explode_outer(listed), "record")
     return rows.select(*[c for c in rows.columns if c != "record"], "record.entry_pos", "record.entry_date", "record.record_pos", "record.record_json")
 
 
 def risk_entries(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """Risk records with their place in the list, and silent payloads."""
-    listed = F.transform("parsed.data", lambda r, j: F.struct(j.alias("record_pos"), r.alias("record_json")))
-    rows = _entries(payloads, payload, RISK_PAYLOAD, listed)
-    return rows.select(*[c for c in rows.columns if c != "record"], "record.record_pos", "record.record_json")
+    return _entries(payloads, payload, RISK_PAYLOAD, F.posexplode_outer("parsed.data"), "record_pos", "record_json")
 
 
 def approach_records(payloads: DataFrame, payload: str = "payload") -> DataFrame:
