@@ -13,7 +13,7 @@ from perigee.bindings.sql import with_tables
 from perigee.operators import extract_risk as K
 from perigee.operators.tallying import duplicated_keys, orphans
 from perigee.plans import ingest, manifest, quality as Q
-from perigee.runtime import fresh_path
+from perigee.runtime import fresh_path, materialize
 from perigee.sources import sinks
 from perigee.sources.raw import read_summary, risk_entries
 from perigee.sources.tables import open_lakehouse, storage_ready
@@ -170,7 +170,8 @@ SELECT 'sbdb_circuit_breaker' AS check_name, 'sbdb' AS dataset, CASE WHEN passed
 UNION ALL {_lineage_sql('false', 'NULL::BIGINT')} UNION ALL {_lineage_sql('true', _STORED)} UNION ALL {_lineage_sql('true', '(' + _STORED + ' - 1)')}""")
 def _(spark, sf):
     """A run with its failures and one whose failed targets were withdrawn, without tables, with theirs, and with a row less."""
-    targets = _targets(spark, sf)
+    # Written, as the summaries and the checks read them again.
+    targets = materialize(_targets(spark, sf).select("snapshot_key", "run_id", "snapshot_time", "target", "spkid", "status"), "targets")
     summary = ingest.catalog_summary(targets).unionByName(ingest.catalog_summary(targets.filter("status <> 'failed'")))
     objects = targets.filter("status = 'success'").select("spkid")
     short = objects.join(F.broadcast(objects.agg(F.max("spkid").alias("spkid"))), "spkid", "left_anti")

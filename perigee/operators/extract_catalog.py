@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from perigee.functions.numbers import to_bigint, to_double
 from perigee.functions.text import blank_to_null, is_object, leaf_kind, squeeze, strip
-from perigee.runtime import attach, pinned
+from perigee.runtime import attach, materialize, pinned
 from perigee.schemas import table_columns
 
 DOCUMENT_TEXT = (
@@ -164,11 +164,12 @@ def classify_targets(documents: DataFrame, scope: list[str]) -> DataFrame:
     """Status per target of a run (`scope`): success, duplicate or failed.
 
     Targets are taken in sorted order: the first sound document of an object succeeds, later targets
-    of that object are duplicates, and broken documents before it have failed.
+    of that object are duplicates, and broken documents before it have failed. Documents are judged once,
+    into a written table that the winners and the targets are both made of.
     """
     judged = judge_documents(documents)
     identified = F.when(F.col("object_defect").isNull(), F.to_json(F.struct(*scope, "spkid")))
-    judged = judged.withColumn("object_in_run", identified)
+    judged = materialize(judged.withColumn("object_in_run", identified), "judged-documents")
     winner = judged.filter(F.col("defect").isNull()).groupBy("object_in_run").agg(F.min("target").alias("winner"))
     winner = winner.withColumnRenamed("object_in_run", "won")
     joined = attach(judged, winner, "object_in_run", "won", spread=["target"])
