@@ -132,6 +132,25 @@ def payload_tally(judged: DataFrame, scope: list[str]) -> DataFrame:
         (F.sum("n") - F.count("pair")).alias("skipped_records"))
 
 
+def settled_payloads(judged: DataFrame, scope: list[str]) -> DataFrame:
+    """Judged entries of payloads, one row per sound (id, date) of a payload and one for its other records together.
+
+    `kept` holds the table row, NULL for the other records; every row has the tally of its payload, and `nth` numbers
+    the rows of a payload. Payloads are dealt out once: whatever is compared or counted lies in one of them, which is
+    no larger than a document that one task has parsed before.
+    """
+    sound = _sound(judged)
+    pair = F.when(sound, F.struct("id", "closest_approach_date"))
+    row = F.when(sound, F.struct(*PLACE, F.struct(*table_columns("asteroids")).alias("kept")))
+    found = judged.repartition(*scope).groupBy(*scope, pair.alias("pair")).agg(
+        F.count_if(F.col("defect").isNull()).alias("n"), F.max("defect").alias("said"), F.min(row).alias("row"))
+    payload = Window.partitionBy(*scope)
+    tallied = found.select(
+        *scope, F.col("row.kept").alias("kept"), F.row_number().over(payload.orderBy("pair")).alias("nth"), F.max("said").over(payload).alias("defect"),
+        F.sum("n").over(payload).alias("records_received"), F.count("pair").over(payload).alias("valid_records"))
+    return tallied.withColumn("skipped_records", F.col("records_received") - F.col("valid_records"))
+
+
 def accepted_approaches(records: DataFrame, scope: list[str], placed: bool = False) -> DataFrame:
     """The table rows of raw records."""
     return accepted_rows(judge_approaches(records, scope), scope, placed)

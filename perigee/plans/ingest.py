@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.operators.extract_approaches import accepted_rows, judge_approaches, payload_tally
+from perigee.operators.extract_approaches import judge_approaches, settled_payloads
 from perigee.operators.extract_catalog import batch_tally
-from perigee.plans.quality import approach_gate, catalog_gate, passing
+from perigee.plans.quality import approach_gate, catalog_gate
 from perigee.runtime import materialize
 from perigee.schemas import table_columns
 from perigee.sources.raw import approach_entries, payload_files
@@ -18,14 +18,14 @@ SOURCE = ["source_file", "source_sha256"]
 def replay_payloads(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of the raw documents that pass the gate, stamped with file name and digest; and the gate itself.
 
-    The documents are parsed and judged once, into a written table that both are made of. Every document
-    has a row in the gate, also one that can't be read or holds no record.
+    The documents are parsed, judged and counted once, into a written table that both are made of without another
+    shuffle. Every document has a row in the gate, also one that can't be read or holds no record.
     """
-    judged = materialize(judge_approaches(approach_entries(payloads), SOURCE), "judged")
-    gate = approach_gate(payload_tally(judged, SOURCE))
-    rows = passing(accepted_rows(judged, SOURCE), gate, SOURCE)
+    settled = materialize(settled_payloads(judge_approaches(approach_entries(payloads), SOURCE), SOURCE), "judged")
+    gate = approach_gate(settled.filter("nth = 1").drop("nth", "kept"))
+    rows = approach_gate(settled).filter(F.col("gate_passed") & F.col("kept").isNotNull())
     named = rows.select(
-        *table_columns("asteroids"),
+        *[F.col("kept")[c].alias(c) for c in table_columns("asteroids")],
         F.element_at(F.split("source_file", "/"), -1).alias("source_raw_file"),
         F.col("source_sha256").alias("source_raw_sha256"))
     return named, gate

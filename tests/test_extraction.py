@@ -219,3 +219,18 @@ def test_targets_are_judged_once(spark):
     docs = spark.createDataFrame([("r", "T1", "{}"), ("r", "T2", "[]")], "run_id string, target string, payload string")
     classified = C.classify_targets(docs, ["run_id"])
     assert parses(classified)[0] == 0 and {(r.target, r.status) for r in classified.collect()} == {("T1", "failed"), ("T2", "failed")}
+
+
+def test_replayed_payloads_are_dealt_out_once(spark):
+    from perigee.plans.ingest import replay_payloads
+
+    near = lambda *records: json.dumps({"near_earth_objects": {"2026-09-29": list(records)}})
+    docs = {"good": near(approach(), approach(id="2")), "copies": near(approach(name="first"), *[approach()] * 9), "late": near(*[approach(id=str(i)) for i in range(9)], approach(), approach(name="")),
+            "cut": near(approach())[:-3], "none": near(), "bad": near(approach(id=""))}
+    rows, gate = replay_payloads(spark.createDataFrame([(k, k, v) for k, v in docs.items()], "source_file string, source_sha256 string, payload string"))
+    # Rows and gate are read from the written table as they are: no shuffle, no join.
+    assert all("Exchange" not in df._jdf.queryExecution().executedPlan().toString() for df in (rows, gate))
+    assert {r.source_file: (r.records_received, r.valid_records, r.skipped_records, r.gate_passed, r.defect) for r in gate.collect()} == {
+        "good": (2, 2, 0, True, None), "copies": (10, 1, 9, False, None), "late": (11, 9, 2, True, None),
+        "cut": (0, 0, 0, False, "unreadable"), "none": (0, 0, 0, False, "empty"), "bad": (1, 0, 1, False, None)}
+    assert sorted((r.source_raw_file, r.id, r.name) for r in rows.collect()) == [("good", "1", "(A)"), ("good", "2", "(A)"), *[("late", str(i), "(A)") for i in range(9)]]
