@@ -43,12 +43,13 @@ def _kind(record: Column, path: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(record, path, "variant"))
 
 
-def _is(record: Column, path: str, kind: str, nullable: bool) -> Column:
-    found = _kind(record, path)
+def _fits(value: Column, kind: str, nullable: bool) -> Column:
+    """Whether a VARIANT is of a kind; an absent one (NULL) is not."""
+    found = F.schema_of_variant(value)
     if kind == "number":
         good = is_number(found)
     elif kind == "integer":
-        text = leaf_text(record, path).cast("string")
+        text = leaf_text(value, "$")
         good = (found == "BIGINT") | (is_number(found) & (text.try_cast("double") == F.floor(text.try_cast("double"))))
     else:
         good = found == kind.upper()
@@ -57,6 +58,10 @@ def _is(record: Column, path: str, kind: str, nullable: bool) -> Column:
     return F.coalesce(good, F.lit(False))
 
 
+def _is(record: Column, path: str, kind: str, nullable: bool) -> Column:
+    return _fits(F.try_variant_get(record, path, "variant"), kind, nullable)
+
+
 def _double(record: Column, path: str) -> Column:
     return F.try_variant_get(record, path, "double")
 
@@ -171,19 +176,30 @@ def validate_world(records: DataFrame, text: str = "record_json") -> DataFrame:
     return joined.withColumn("reason", F.when(twice, "neows_id: repeated").otherwise(F.col("reason"))).drop("repeated_id")
 
 
-def profile_defect(record: Column) -> Column:
-    """Reason a profile is unusable: any displayed field of the wrong kind fails all of it."""
+def profile_sections(record: Column) -> dict[str, Column]:
+    """The sections of a profile as maps, NULL where a section is no object.
+
+    Every path is looked up from the root of the record; a map holds all fields of a section after one pass.
+    """
+    return {f"held_{s.replace('.', '_')}": F.try_variant_get(record, f"$.{s}", "map<string, variant>") for s in PROFILE_FIELDS}
+
+
+def profile_defect(record: Column, sections: dict[str, Column]) -> Column:
+    """Reason a profile is unusable: any displayed field of the wrong kind fails all of it.
+
+    `sections` are the values of `profile_sections`.
+    """
     reason = F.when(~_is(record, "$.neows_id", "string", False), "neows_id: no string")
-    for section, fields in PROFILE_FIELDS.items():
-        reason = reason.when(~is_object(record, f"$.{section}"), f"{section}: no object")
+    for (section, fields), held in zip(PROFILE_FIELDS.items(), sections.values(), strict=True):
+        reason = reason.when(held.isNull(), f"{section}: no object")
         for name, kind in fields.items():
-            reason = reason.when(~_is(record, f"$.{section}.{name}", kind, True), f"{section}.{name}: no {kind}")
-        block = f"$.{section}.availability"
-        given = _kind(record, block).isNotNull()
-        known = F.coalesce(leaf_text(record, f"{block}.status").isin(V.AVAILABLE, V.PARTIAL, V.UNAVAILABLE), F.lit(False))
-        reasons = F.map_values(F.try_variant_get(record, f"{block}.unavailable", "map<string, string>"))
+            reason = reason.when(~_fits(held[name], kind, True), f"{section}.{name}: no {kind}")
+        block = held["availability"]
+        given = block.isNotNull()
+        known = F.coalesce(leaf_text(block, "$.status").isin(V.AVAILABLE, V.PARTIAL, V.UNAVAILABLE), F.lit(False))
+        reasons = F.map_values(F.try_variant_get(block, "$.unavailable", "map<string, string>"))
         listed = F.coalesce(F.forall(reasons, lambda r: F.coalesce(r.isin(V.UNAVAILABLE_REASONS), F.lit(False))), F.lit(False))
-        reason = reason.when(given & ~(known & is_object(record, f"{block}.unavailable")), f"{section}.availability: unknown value")
+        reason = reason.when(given & ~(known & is_object(block, "$.unavailable")), f"{section}.availability: unknown value")
         reason = reason.when(given & ~listed, f"{section}.availability: unknown reason")
     return (
         reason.when(~(_is(record, "$.sentry.status", "string", False) & _is(record, "$.sentry.source_contract", "string", False)
@@ -193,4 +209,6 @@ def profile_defect(record: Column) -> Column:
 
 def validate_profiles(records: DataFrame, text: str = "record_json") -> DataFrame:
     parsed = pinned(records, r=F.try_parse_json(text))
-    return pinned(parsed, reason=profile_defect(F.col("r"))).drop("r")
+    sections = profile_sections(F.col("r"))
+    judged = pinned(pinned(parsed, **sections), reason=profile_defect(F.col("r"), {name: F.col(name) for name in sections}))
+    return judged.drop("r", *sections)

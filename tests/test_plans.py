@@ -300,3 +300,21 @@ def test_adhoc_partition_filters_prune(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in plan and "TakeOrderedAndProject" in plan
     assert adhoc.monthly_summary(stored, "2026", "09").count() == 2
     assert stored.schema["month"].dataType.simpleString() == "string" and stored.first().month == "09"
+
+
+def test_a_section_is_looked_up_once(spark, profile_inputs):
+    profiles = as_json(dossier.unified_profile(*profile_inputs))
+    judged = validate_profiles(profiles.limit(1))._jdf.queryExecution().optimizedPlan().toString()
+    # One look-up a section, three an availability block and a few for the whole; not one or two for every field.
+    assert judged.count("variant_get(") < 50
+
+    good = json.loads(profiles.first().record_json)
+    wrong = {
+        "orbit: no object": {**good, "orbit": [1]}, "physical.albedo: no number": {**good, "physical": {**good["physical"], "albedo": "0.1"}},
+        "orbit.eccentricity: no number": {**good, "orbit": {k: v for k, v in good["orbit"].items() if k != "eccentricity"}},
+        "sentry.assessment.torino_scale_max: no integer": {**good, "sentry": {**good["sentry"], "assessment": {**good["sentry"]["assessment"], "torino_scale_max": 1.5}}},
+        "identity.availability: unknown value": {**good, "identity": {**good["identity"], "availability": None}},
+        "physical.availability: unknown reason": {**good, "physical": {**good["physical"], "availability": {"status": "partial", "unavailable": {"albedo": "?"}}}}}
+    whole = {**good, "sentry": {**good["sentry"], "assessment": {**good["sentry"]["assessment"], "torino_scale_max": 2.0}}}
+    sent = spark.createDataFrame([(json.dumps(r),) for r in [*wrong.values(), whole]], "record_json string")
+    assert [r.reason for r in validate_profiles(sent).collect()] == [*wrong, None]
