@@ -57,7 +57,8 @@ def designation(k: Column, seg: Column, nat: Column, yr: Column) -> Column:
 
 def catalog_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One object snapshot per customer and year with orders."""
-    years = _orders(spark, sf_dir).groupBy("k", "yr").agg(F.max("o_orderkey").alias("last_order"))
+    # Dealt out by customer once, for the aggregate and the join.
+    years = _orders(spark, sf_dir).repartition("k").groupBy("k", "yr").agg(F.max("o_orderkey").alias("last_order"))
     rows = years.join(identities(spark, sf_dir), "k")
     k, seg, nat, yr = F.col("k"), F.col("seg"), F.col("nat"), F.col("yr")
     own = designation(k, seg, nat, yr)
@@ -172,7 +173,8 @@ def _snapshot(yr: Column) -> list[Column]:
 
 def orbits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One orbit solution per customer, year and order status."""
-    rows = _orders(spark, sf_dir).groupBy("k", "yr", "o_orderstatus").agg(
+    # An aggregate of texts sorts its rows: here those of a shuffled part, not of a whole split of the file.
+    rows = _orders(spark, sf_dir).repartition("k").groupBy("k", "yr", "o_orderstatus").agg(
         F.min("day").alias("d0"), F.max("day").alias("d1"), F.count(F.lit(1)).alias("n"),
         F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi"), F.max("o_orderkey").alias("last_order"),
         F.max(F.substring("o_orderpriority", 1, 1)).alias("p"))
@@ -192,8 +194,9 @@ def orbits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _orders(spark, sf_dir).select("o_orderkey", "k", "yr", "o_orderstatus")
-    return table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    """Lines with the catalog id of their customer, dealt out by it, as everything about an object is grouped by it."""
+    orders = _orders(spark, sf_dir).select("o_orderkey", F.concat(F.lit("20"), _text(F.col("k"))).alias("spkid"), "yr", "o_orderstatus")
+    return table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).repartition("spkid")
 
 
 def _lookup(mapping: dict, key: Column) -> Column:
@@ -202,11 +205,11 @@ def _lookup(mapping: dict, key: Column) -> Column:
 
 def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orbit elements by line number, the largest scaled price per (customer, year, status, element)."""
-    rows = _lines(spark, sf_dir).groupBy("k", "yr", "o_orderstatus", "l_linenumber").agg(
+    rows = _lines(spark, sf_dir).groupBy("spkid", "yr", "o_orderstatus", "l_linenumber").agg(
         F.max("l_extendedprice").alias("v"), F.max("l_discount").alias("s"))
     none = F.lit(None).cast("string")
     return rows.select(
-        *_snapshot(F.col("yr")), F.concat(F.lit("20"), _text(F.col("k"))).alias("spkid"),
+        *_snapshot(F.col("yr")), "spkid",
         F.col("o_orderstatus").alias("orbit_id"), F.lit(2450000.5).alias("epoch_jd"), F.lit("J2000").alias("equinox"),
         _lookup(ELEMENT_BY_LINE, F.col("l_linenumber")).alias("element_name"), (F.col("v") / 1e4).alias("element_value"),
         F.col("s").alias("sigma"), none.alias("units"), none.alias("title"), none.alias("label"),
@@ -215,11 +218,11 @@ def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def physical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Physical parameters by flag pair."""
-    rows = _lines(spark, sf_dir).groupBy("k", "yr", "l_returnflag", "l_linestatus").agg(F.max("l_quantity").alias("v"))
+    rows = _lines(spark, sf_dir).groupBy("spkid", "yr", "l_returnflag", "l_linestatus").agg(F.max("l_quantity").alias("v"))
     name = _lookup(PARAMETER_BY_FLAGS, F.concat("l_returnflag", "l_linestatus"))
     none = F.lit(None).cast("string")
     return rows.select(
-        *_snapshot(F.col("yr")), F.concat(F.lit("20"), _text(F.col("k"))).alias("spkid"), name.alias("param_name"),
+        *_snapshot(F.col("yr")), "spkid", name.alias("param_name"),
         F.when(name != "extent", F.col("v")).alias("param_value_numeric"),
         F.concat(_text(F.col("v").cast("bigint")), F.when(name == "extent", " x 2").otherwise("")).alias("param_value_raw"),
         F.lit(None).cast("double").alias("sigma"), none.alias("units"), none.alias("bib_reference"), none.alias("notes"),

@@ -96,13 +96,14 @@ def snapshot_contents(objects: DataFrame, orbits: DataFrame) -> DataFrame:
     """The coherent snapshot of each object with what it holds: structs `obj` and `orb`, NULL where absent.
 
     Object and orbit rows are tagged in one union, so each table is read once: one aggregate per (object,
-    snapshot, run) picks a payload of either kind, one per object picks the newest snapshot with both.
+    snapshot, run) picks a payload of either kind, one per object picks the newest snapshot with both. Rows
+    are dealt out by object once, for both aggregates and for the joins that follow; nothing is sorted before.
     """
     obj = F.struct(*OBJECT_FIELDS, F.col("orbit_id").alias("object_orbit_id"))
     orb = F.struct("orbit_id", *ORBIT_FIELDS)
     none = lambda struct, table: F.lit(None).cast(table.select(struct.alias("s")).schema["s"].dataType)
     written = objects.select("spkid", *SNAPSHOT_ORDER, obj.alias("obj"), none(orb, orbits).alias("orb")).unionByName(
-        orbits.select("spkid", *SNAPSHOT_ORDER, none(obj, objects).alias("obj"), orb.alias("orb")))
+        orbits.select("spkid", *SNAPSHOT_ORDER, none(obj, objects).alias("obj"), orb.alias("orb"))).repartition("spkid")
     # max() ignores NULL, so each kind picks among its own rows.
     runs = written.groupBy(*PIN).agg(F.max("snapshot_time").alias("snapshot_time"), F.max("obj").alias("obj"), F.max("orb").alias("orb"))
     # A snapshot without key or run is never looked up.

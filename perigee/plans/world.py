@@ -68,12 +68,10 @@ def world_snapshot(
         F.col("run_id").alias("sbdb_run_id"), *carried)
     pivots = preferred_pivot(bridge, V.CATALOG_FEED, "spkid").select(
         F.col("asteroid_key").alias("pivot_key"), F.col("spkid").alias("sbdb_spkid"))
-    entity = pivots.join(snapshot, F.col("sbdb_spkid") == F.col("snapshot_spkid"), "left").join(
-        links, F.col("pivot_key") == F.col("link_key"), "full",
-    ).withColumn("entity_key", F.coalesce("pivot_key", "link_key"))
-
-    rows = attach(near, entity, "asteroid_key", "entity_key", spread=["neows_id"],
-                  when=F.col("match_state") == V.RESOLVED)
+    cataloged = pivots.join(snapshot, F.col("sbdb_spkid") == F.col("snapshot_spkid"), "left")
+    # Both sides of an entity meet the objects by the same key, so that each is shuffled by it once.
+    rows = attach(near, cataloged, "asteroid_key", "pivot_key", spread=["neows_id"],
+                  when=F.col("match_state") == V.RESOLVED, also=[(links, "link_key")])
     catalog = one_row(risk.agg(F.max("snapshot_key").alias("sentry_latest_catalog_snapshot_key")))
     return rows.crossJoin(catalog).select(
         "neows_id", "name", "closest_approach_date", "miss_distance_km", "hazardous", *OPTIONAL_APPROACH_COLUMNS,

@@ -16,6 +16,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A task that reads a shuffled part sorts and groups it several times over, so parts stay small.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    # Sides that are dealt out by some of a join's keys are joined as they are, not shuffled by all keys again.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # HotSpot compiles no method above 8000 bytes; the judging of a record in one generated method would run uncompiled.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
@@ -120,8 +124,9 @@ def attach(
     right_key: str | None = None,
     spread: list[str] | None = None,
     when: Column | None = None,
+    also: list[tuple[DataFrame, str]] | None = None,
 ) -> DataFrame:
-    """Left join `right` (one row per `right_key`) onto `left`.
+    """Left join `right` (one row per `right_key`) onto `left`, and the tables of `also` by the same key.
 
     Rows of `left` with a NULL key, or for which `when` does not hold, match nothing; their join
     key is scattered so they never meet in a single task.
@@ -131,7 +136,9 @@ def attach(
     if when is not None:
         value = F.when(when, value)
     probe = left.withColumn("__probe", scattered(value, *(spread or left.columns[:1])))
-    build = right.filter(F.col(right_key).isNotNull()).withColumn("__build", F.col(right_key).cast("string"))
-    clash = [c for c in right.columns if c in left.columns]
-    build = build.drop(*clash) if clash else build
-    return probe.join(build, F.col("__probe") == F.col("__build"), "left").drop("__probe", "__build")
+    for table, table_key in [(right, right_key), *(also or [])]:
+        build = table.filter(F.col(table_key).isNotNull()).withColumn("__build", F.col(table_key).cast("string"))
+        clash = [c for c in table.columns if c in probe.columns]
+        build = build.drop(*clash) if clash else build
+        probe = probe.join(build, F.col("__probe") == F.col("__build"), "left").drop("__build")
+    return probe.drop("__probe")

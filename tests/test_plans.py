@@ -318,3 +318,15 @@ def test_a_section_is_looked_up_once(spark, profile_inputs):
     whole = {**good, "sentry": {**good["sentry"], "assessment": {**good["sentry"]["assessment"], "torino_scale_max": 2.0}}}
     sent = spark.createDataFrame([(json.dumps(r),) for r in [*wrong.values(), whole]], "record_json string")
     assert [r.reason for r in validate_profiles(sent).collect()] == [*wrong, None]
+
+
+def test_rows_of_an_object_are_dealt_out_once(spark, profile_inputs):
+    _, _, objects, orbits, elements, physical, links, _ = profile_inputs
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        by_object = [elements.repartition("spkid"), physical.repartition("spkid")]
+        plan = catalog.snapshot_profile(objects, orbits, *by_object)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert len(shuffles) == 3 and all("hashpartitioning(spkid" in line for line in shuffles)
