@@ -273,23 +273,25 @@ IDENTIFIER = ["source_system", "identifier_name", "source_identifier_value"]
 
 
 def evaluated_pairs(evaluations: DataFrame) -> DataFrame:
-    """One row per identifier and key, or alias of its candidates, with the most conservative verdict."""
+    """One row per identifier and matched object, or alias of its candidates, with the most conservative verdict.
+
+    Objects go by their short ids; the keys made of them are computed where rows are published.
+    """
     severity = F.create_map(*[F.lit(x) for kv in V.STATE_SEVERITY.items() for x in kv])
     verdict = F.struct(
         severity[F.col("match_state")].alias("severity"), "match_state", "match_rule", "matched_target_system",
         "matched_target_identifier_name", "matched_target_identifier_value", "evidence_json",
     )
-    keyed = evaluations.withColumn("key", F.when(F.col("matched_spkid").isNotNull(), entity_key(F.col("matched_spkid"))))
-    return keyed.groupBy(*IDENTIFIER, "key", "candidates_alias").agg(F.max(verdict).alias("verdict"))
+    return evaluations.groupBy(*IDENTIFIER, "matched_spkid", "candidates_alias").agg(F.max(verdict).alias("verdict"))
 
 
 def collapse(pairs: DataFrame, run_id: str, resolved_at: str) -> DataFrame:
-    """One row per identifier: the most conservative evaluation, and its single key if it has one.
+    """One row per identifier: the most conservative evaluation, and its single object if it has one.
 
     An identifier that reached two keys is quarantined: no bridge row, and an AMBIGUOUS audit.
     """
     joined = pairs.groupBy(*IDENTIFIER).agg(
-        F.count("key").alias("key_count"), F.min("key").alias("first_key"), F.max("verdict").alias("v"))
+        F.count("matched_spkid").alias("key_count"), F.min("matched_spkid").alias("first_spkid"), F.max("verdict").alias("v"))
     clash = F.col("key_count") > 1
     v = F.col("v")
     state = F.when(clash, V.AMBIGUOUS).otherwise(v["match_state"])
@@ -300,12 +302,11 @@ def collapse(pairs: DataFrame, run_id: str, resolved_at: str) -> DataFrame:
         v["matched_target_system"].alias("matched_target_system"),
         v["matched_target_identifier_name"].alias("matched_target_identifier_name"),
         v["matched_target_identifier_value"].alias("matched_target_identifier_value"),
-        F.when(state == V.RESOLVED, F.col("first_key")).alias("assigned_asteroid_key"),
         state.alias("match_state"),
         F.when(clash, V.COLLISION).otherwise(v["match_rule"]).alias("match_rule"),
         F.when(clash, evidence(error=F.lit(COMPETING_KEYS), candidate_count=F.col("key_count")))
         .otherwise(v["evidence_json"]).alias("evidence_json"),
-        F.when(F.col("key_count") == 1, F.col("first_key")).alias("bridge_key"),
+        F.when(F.col("key_count") == 1, F.col("first_spkid")).alias("sole_spkid"),
     )
 
 
@@ -313,24 +314,25 @@ def candidate_links(pairs: DataFrame) -> DataFrame:
     """Where the candidates of ambiguous identifiers are: under an alias, or the competing keys themselves."""
     by_alias = pairs.filter(F.col("candidates_alias").isNotNull()).select(
         *IDENTIFIER, F.col("verdict.match_rule").alias("kind"), F.col("candidates_alias").alias("alias"), F.lit(None).cast("string").alias("candidate_key"))
-    keyed = pairs.filter(F.col("key").isNotNull())
-    several = keyed.groupBy(*IDENTIFIER).agg(F.count("key").alias("n")).filter("n > 1").drop("n")
+    keyed = pairs.filter(F.col("matched_spkid").isNotNull())
+    several = keyed.groupBy(*IDENTIFIER).agg(F.count("matched_spkid").alias("n")).filter("n > 1").drop("n")
     competing = keyed.join(several, IDENTIFIER, "left_semi").select(
-        *IDENTIFIER, F.lit(COMPETING).alias("kind"), F.lit(None).cast("string").alias("alias"), F.col("key").alias("candidate_key"))
+        *IDENTIFIER, F.lit(COMPETING).alias("kind"), F.lit(None).cast("string").alias("alias"), entity_key(F.col("matched_spkid")).alias("candidate_key"))
     return by_alias.unionByName(competing)
 
 
 def bridge_of(identifiers: DataFrame) -> DataFrame:
     is_pivot = (F.col("source_system") == V.CATALOG_FEED) & (F.col("identifier_name") == "spkid")
-    return identifiers.filter(F.col("bridge_key").isNotNull()).select(
-        F.col("bridge_key").alias("asteroid_key"), "source_system", "identifier_name",
+    return identifiers.filter(F.col("sole_spkid").isNotNull()).select(
+        entity_key(F.col("sole_spkid")).alias("asteroid_key"), "source_system", "identifier_name",
         F.col("source_identifier_value").alias("identifier_value"), is_pivot.alias("is_primary_pivot"),
         F.col("resolved_at").alias("created_at"), F.col("resolved_at").alias("updated_at"),
     )
 
 
 def audit_of(identifiers: DataFrame) -> DataFrame:
-    return identifiers.drop("bridge_key")
+    assigned = F.when(F.col("match_state") == V.RESOLVED, entity_key(F.col("sole_spkid")))
+    return identifiers.withColumn("assigned_asteroid_key", assigned).drop("sole_spkid")
 
 
 BRIDGE_ORDER = ["asteroid_key", "source_system", "identifier_name", "identifier_value"]

@@ -158,3 +158,11 @@ def test_empty_inputs(spark):
     result = run(spark)
     assert result.audit.count() == result.bridge.count() == 0
     assert resolution_metrics(result.audit, result.bridge).first().resolution_rate_pct == 0.0
+
+
+def test_keys_are_made_where_rows_are_published(spark):
+    result = run(spark, [("1", "A", "a"), ("2", "B", "b")], [("30", "A"), ("30", "B"), ("31", "A")])
+    # A key is a long hash of a short id: what is shuffled and written on the way holds the ids alone.
+    assert not [c for c in result.identifiers.columns if c.endswith("_key")]
+    assert result.audit.columns[-1] == "assigned_asteroid_key"
+    assert audit(result)["neows", "id", "31"]["assigned_asteroid_key"] == key(spark, "1")
