@@ -75,7 +75,7 @@ def stage(df: DataFrame, root: str, run: str, dataset: str, moment: Column, name
         table = name or {"approach": "asteroids", "risk": "fact_sentry_risk_snapshot"}.get(dataset)
         dated = df.withColumns(parts)
         rows = dated.select(*[F.col(c) for c in (check_contract(df, table).columns if table else df.columns)], *DAY)
-    rows = rows.withColumn("run", F.lit(run)).hint("rebalance", *DAY)
+    rows = rows.hint("rebalance", *DAY).withColumn("run", F.lit(run))
     writer = rows.write.mode("append").partitionBy("run", *DAY)
     if dataset == "approach_csv":
         writer.options(**CSV_FORMAT).csv(place)
