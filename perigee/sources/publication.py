@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perigee.functions.dates import date_parts
+from perigee.functions.dates import date_of, date_parts
 from perigee.schemas import DATE_PARTS, table_columns, table_schema
 from perigee.sources.files import exists
 from perigee.sources.tables import CSV_FORMAT, check_contract, escape_lines, restore_lines
@@ -66,16 +66,16 @@ def stage(df: DataFrame, root: str, run: str, dataset: str, moment: Column, name
     A run that failed is published again under another id.
     """
     place = f"{root}/{dataset_place(dataset, name)}"
-    parts = date_parts(moment)
+    # Only the date is shuffled; its parts and the run are written beside the rows afterwards.
+    dated = df.withColumn("__day", date_of(moment))
     if dataset == "approach_csv":
-        rows = escape_lines(df.select(*table_columns("asteroids_csv"), *[parts[c].alias(c) for c in DAY]))
+        rows = escape_lines(dated.select(*table_columns("asteroids_csv"), "__day"))
     elif dataset.endswith("_raw"):
-        rows = df.select("payload", *[parts[c].alias(c) for c in DAY])
+        rows = dated.select("payload", "__day")
     else:
         table = name or {"approach": "asteroids", "risk": "fact_sentry_risk_snapshot"}.get(dataset)
-        dated = df.withColumns(parts)
-        rows = dated.select(*[F.col(c) for c in (check_contract(df, table).columns if table else df.columns)], *DAY)
-    rows = rows.hint("rebalance", *DAY).withColumn("run", F.lit(run))
+        rows = dated.select(*(check_contract(df, table).columns if table else df.columns), "__day")
+    rows = rows.hint("rebalance", "__day").withColumns({**date_parts(F.col("__day")), "run": F.lit(run)}).drop("__day")
     writer = rows.write.mode("append").partitionBy("run", *DAY)
     if dataset == "approach_csv":
         writer.options(**CSV_FORMAT).csv(place)

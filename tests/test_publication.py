@@ -85,3 +85,15 @@ def test_csv_keeps_any_text(spark, tmp_path):
     P.stage(rows, f"{tmp_path}/lake", "a", "approach_csv", F.col("closest_approach_date"))
     P.commit(spark, f"{tmp_path}/lake", "a", "1")
     assert {int(r.id): r.name for r in P.read_published(spark, f"{tmp_path}/lake", "approach_csv").collect()} == dict(enumerate(names))
+
+
+def test_only_the_date_is_shuffled_beside_the_rows(spark, tmp_path, monkeypatch):
+    kind, seen = type(spark.range(1)), []
+    plain = kind.hint
+    monkeypatch.setattr(kind, "hint", lambda df, *args: seen.append(df.columns) or plain(df, *args))
+    rows = spark.createDataFrame([("a", "2024-03-01T07:00"), ("b", "2024-03-01"), ("c", None)], "payload string, moment string")
+    P.stage(rows, str(tmp_path), "r1", "approach_raw", F.col("moment"))
+    assert seen == [["payload", "__day"]]
+    stored = spark.read.option("basePath", f"{tmp_path}/raw/approaches").text(f"{tmp_path}/raw/approaches")
+    got = {r.value: (r.run, r.year, r.month, r.day) for r in stored.collect()}
+    assert got == {"a": ("r1", 2024, 3, 1), "b": ("r1", 2024, 3, 1), "c": ("r1", None, None, None)}
