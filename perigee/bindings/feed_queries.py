@@ -316,9 +316,9 @@ SELECT count(*) AS table_rows, sum(o_totalprice) > 0 AS distances, count(DISTINC
   (SELECT count(*) FROM {_ALL} WHERE NOT ({_KEPT} AND v >= 14)) AS refused
 FROM {_ORD}, (SELECT unnest([0, 1]) AS record) WHERE v >= 14""")
 def _(spark, sf):
-    # The redacted documents are written as text lines, and each line is replayed as a file would be.
+    # The redacted documents are written as packed text lines, and each line is replayed as a file would be.
     path = fresh_path(spark, "raw")
-    sinks.write_raw(P.approach_payloads(spark, sf), path)
+    sinks.write_raw(P.approach_payloads(spark, sf), path, packed=True)
     lines = spark.read.text(path).select(
         F.concat(F.lit("replay/"), F.sha2("value", 256)).alias("source_file"), F.sha2("value", 256).alias("source_sha256"), F.col("value").alias("payload"))
     rows, gate = ingest.replay_payloads(lines)

@@ -66,8 +66,19 @@ def redact_payloads(payloads: DataFrame, column: str = "payload") -> DataFrame:
     return payloads.withColumn(column, redact_api_key(F.col(column)))
 
 
-def write_raw(payloads: DataFrame, path: str) -> None:
-    redact_payloads(payloads).select("payload").write.mode("overwrite").text(path)
+# One task reads a packed file, as it can't be split, so a file holds at most so many documents.
+PACKED_DOCUMENTS = 5_000
+
+
+def write_raw(payloads: DataFrame, path: str, packed: bool = False) -> None:
+    """The redacted documents, one per line; `packed` as gzip, several files per task where there are many documents.
+
+    Whoever reads lines gets the same text of packed files. `payload_files` takes the bytes of whole files and needs plain ones.
+    """
+    lines = redact_payloads(payloads).select("payload").write.mode("overwrite")
+    if packed:
+        lines = lines.option("compression", "gzip").option("maxRecordsPerFile", PACKED_DOCUMENTS)
+    lines.text(path)
 
 
 def parent_rows(accepted: DataFrame, order: list[str]) -> DataFrame:

@@ -53,6 +53,33 @@ def test_replay(spark, tmp_path):
     assert sorted(r.gate_passed for r in gate.collect()) == [False, True]
 
 
+def test_packed_raw_documents_read_as_the_plain_ones(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "PACKED_DOCUMENTS", 10)
+    docs = [json.dumps({"near_earth_objects": {"d": [approach(id=str(i))]}, "links": {"next": f"http://x?n={i}&api_key=s{i}"}}) for i in range(30)]
+    payloads = spark.createDataFrame([*[(d,) for d in docs], ("",), (None,)], "payload string").coalesce(1)
+    plain, packed = str(tmp_path / "plain"), str(tmp_path / "packed")
+    sinks.write_raw(payloads, plain)
+    sinks.write_raw(payloads, packed, packed=True)
+    lines = lambda path: sorted(r.value for r in spark.read.text(path).collect())
+    assert lines(packed) == lines(plain) and len(lines(packed)) == 32 and "api_key=s" not in "".join(lines(packed))
+    # A packed file is read by one task: many documents are several files.
+    assert len(list((tmp_path / "packed").glob("part-*.gz"))) == 4 and len(list((tmp_path / "plain").glob("part-*"))) == 1
+
+
+def test_raw_replay_stores_its_documents_packed(spark):
+    from pathlib import Path
+
+    from perigee.bindings.registry import load
+    from perigee.runtime import shared_folder
+
+    stored = lambda: set(Path(shared_folder(spark)).glob("raw-*"))
+    earlier = stored()
+    load()["raw_replay"].run(spark, "/root/testdata/sf0.001").collect()
+    (path,) = stored() - earlier
+    text = spark.read.text(str(path)).agg(F.sum(F.octet_length("value") + 1)).first()[0]
+    assert 0 < 4 * sum(f.stat().st_size for f in path.glob("part-*")) < text
+
+
 def test_streaming_ingest_adds_only_the_unseen(spark, tmp_path):
     land, table, check = tmp_path / "land", str(tmp_path / "table"), str(tmp_path / "check")
     land.mkdir()
