@@ -13,7 +13,8 @@ BLANKS = (
     "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 _RUN = r"(?U)[\s\x1c-\x1f]+"
-_SECRET = r"(?U)([?&]api_key=)[^&\"'\s]+"
+# The fixed name comes first, as Java then skips through the text; what stands before it is looked at where it is found.
+_SECRET = r"(?U)api_key=(?<=[?&]api_key=)[^&\"'\s]+"
 
 
 def strip(text: Column) -> Column:
@@ -52,7 +53,7 @@ def empty_to_null(text: Column) -> Column:
 
 def redact_api_key(text: Column) -> Column:
     """Hide the value of an `api_key` query parameter up to the next separator, quote or space."""
-    return F.regexp_replace(text, _SECRET, "$1REDACTED")
+    return F.regexp_replace(text, _SECRET, "api_key=REDACTED")
 
 
 def is_sensitive(name: Column) -> Column:

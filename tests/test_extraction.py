@@ -215,6 +215,22 @@ def test_counts_written_in_any_way(spark):
     assert [got[i] for i in range(len(values))] == [5, 5, 7, None, 100, 5, 6, -3, None, 9007199254740992, 123456789012345, None]
 
 
+def test_judging_a_replayed_record_is_compiled(spark):
+    from perigee.plans.ingest import SOURCE
+    from perigee.sources.raw import approach_entries
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        docs = spark.createDataFrame([("f", "d", "{}")], "source_file string, source_sha256 string, payload string")
+        plan = A.settled_payloads(A.judge_approaches(approach_entries(docs), SOURCE), SOURCE)._jdf.queryExecution().executedPlan()
+        stages = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(plan)
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # Above the limit the whole stage would be interpreted, field by field.
+    assert 0 < max(sizes) <= int(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))
+
+
 def test_targets_are_judged_once(spark):
     docs = spark.createDataFrame([("r", "T1", "{}"), ("r", "T2", "[]")], "run_id string, target string, payload string")
     classified = C.classify_targets(docs, ["run_id"])

@@ -25,6 +25,13 @@ def test_redaction(spark):
         "http://x?api_key=REDACTED&z=1", 'a "http://x?q=1&api_key=REDACTED" b', "no_api_key=1", None]
 
 
+def test_redaction_looks_at_what_stands_before_the_name(spark):
+    raw = ["?api_key=", "?api_key=&api_key=x", "?api_key=a?api_key=b", "api_key=x", "&&api_key=x&api_key=y z", "?api_key=api_key=x", "?apiapi_key=x", "?api_key=é\u3000é", "?API_KEY=x"]
+    assert values(spark, text.redact_api_key, raw) == [
+        "?api_key=", "?api_key=&api_key=REDACTED", "?api_key=REDACTED", "api_key=x", "&&api_key=REDACTED&api_key=REDACTED z", "?api_key=REDACTED",
+        "?apiapi_key=x", "?api_key=REDACTED\u3000é", "?API_KEY=x"]
+
+
 def test_scrub_nested(spark):
     df = spark.sql("""select named_struct('Auth_Token', 't', 'keep', array(named_struct('u', 'x?api_key=1', 'secretId', 2)),
         'm', map('PASSWORD', 'p', 'ok', 'y?api_key=2')) as s""")
